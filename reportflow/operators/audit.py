@@ -25,8 +25,9 @@ EXAMPLE_SUFFIX = ".invalid"
 RULE_IP, RULE_EMAIL, RULE_MARKER = "private_ipv4", "email", "internal_marker"
 
 
-def leak_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Findings ``(id_col, rule, match)`` over whole texts.
+def leak_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  keep: list[str] | None = None) -> DataFrame:
+    """Findings ``(*keep, id_col, rule, match)`` over whole texts.
 
     The three rules are evaluated in one pass over the input (a single scan,
     no shuffle): each row produces an array of findings that is exploded.
@@ -45,5 +46,6 @@ def leak_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     empty = F.array().cast("array<struct<rule:string,match:string>>")
     findings = F.concat(F.coalesce(ip, empty), F.coalesce(mails, empty),
                         F.coalesce(marker, empty))
-    return (docs.select(F.col(id_col), F.explode(findings).alias("f"))
-            .select(F.col(id_col), "f.rule", "f.match"))
+    extra = [F.col(c) for c in (keep or [])]
+    return (docs.select(*extra, F.col(id_col), F.explode(findings).alias("f"))
+            .select(*extra, F.col(id_col), "f.rule", "f.match"))

@@ -30,10 +30,12 @@ def sort_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Column, last: bool) -> DataFrame:
+    # the whole row is the final tie-break, so the pick is deterministic
     payload = F.struct(*[_col(c) for c in df.columns])
-    agg = F.max_by(payload, order) if last else F.min_by(payload, order)
+    ranked = F.struct(order.alias("o"), payload.alias("p"))
+    agg = F.max(ranked) if last else F.min(ranked)
     return (df.groupBy(*[_col(k) for k in keys]).agg(agg.alias("__row"))
-            .select("__row.*"))
+            .select("__row.p.*"))
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence = (),

@@ -20,7 +20,7 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("error_code", T.StringType()),
     T.StructField("error_type", T.StringType()),
     T.StructField("description", T.StringType()),
-    T.StructField("ingest_date", T.TimestampType()),
+    T.StructField("ingest_date", T.TimestampNTZType()),   # wall clock
     T.StructField("email_sent", T.IntegerType()),
 ])
 
@@ -67,7 +67,7 @@ def ledger_rows(outcomes: DataFrame, now: dt.datetime, name: str = "report_name"
         F.when(good, F.lit(SUCCESS[0])).otherwise(F.lit(FAILURE[0])).alias("error_code"),
         F.when(good, F.lit(SUCCESS[1])).otherwise(F.lit(FAILURE[1])).alias("error_type"),
         F.when(good, F.lit(SUCCESS[2])).otherwise(F.lit(FAILURE[2])).alias("description"),
-        F.lit(now).cast("timestamp").alias("ingest_date"),
+        F.lit(now.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz").alias("ingest_date"),
         F.lit(0).cast("int").alias("email_sent"),
     )
 

@@ -20,8 +20,8 @@ from reportflow.operators.gates import date_prefix_predicate
 BATCH, SEQ = "__batch", "__seq"
 
 
-def _with_order(df: DataFrame, batch: int, seq: str | None) -> DataFrame:
-    s = F.col(f"`{seq}`").cast("bigint") if seq and seq in df.columns else F.lit(0).cast("bigint")
+def _with_order(df: DataFrame, batch: int, seq: str | None, seq_type: str) -> DataFrame:
+    s = F.col(f"`{seq}`") if seq and seq in df.columns else F.lit(None).cast(seq_type)
     return df.withColumns({BATCH: F.lit(batch), SEQ: s})
 
 
@@ -38,10 +38,11 @@ def merge_snapshot(existing: DataFrame | None, incoming: DataFrame, key: str,
     the same keep-last and null-key rules.
     """
     cols = [c for c in incoming.columns if c != seq]
+    seq_type = dict(incoming.dtypes)[seq] if seq else "bigint"
     if existing is None:
         if on_create == "as_is":
             return incoming.select(*[F.col(f"`{c}`") for c in cols])
-        parts = _with_order(incoming, 1, seq)
+        parts = _with_order(incoming, 1, seq, seq_type)
     else:
         if scope == "report_date":
             if not (date_col and report_date):
@@ -49,8 +50,8 @@ def merge_snapshot(existing: DataFrame | None, incoming: DataFrame, key: str,
             existing = existing.where(date_prefix_predicate(existing, date_col, report_date))
         elif scope != "all":
             raise ValueError(f"unknown scope {scope!r}")
-        parts = (_with_order(existing.select(*[F.col(f"`{c}`") for c in cols]), 0, None)
-                 .unionByName(_with_order(incoming, 1, seq).select(*cols, BATCH, SEQ)))
+        parts = (_with_order(existing.select(*[F.col(f"`{c}`") for c in cols]), 0, None, seq_type)
+                 .unionByName(_with_order(incoming, 1, seq, seq_type).select(*cols, BATCH, SEQ)))
     parts = parts.where(F.col(f"`{key}`").isNotNull())
     merged = keep_last(parts, [key], order_by=[*sort_cols, BATCH], seq=SEQ)
     return merged.select(*[F.col(f"`{c}`") for c in cols])

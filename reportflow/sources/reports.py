@@ -59,20 +59,14 @@ def list_files(spark: SparkSession, paths: str | Sequence[str],
 
 
 def _peek(spark: SparkSession, path: str, nbytes: int = PEEK_BYTES) -> str:
+    """The first ``nbytes`` of a file (header peek; bounded, one small read per file)."""
     fs, jp = hadoop_fs(spark, path)
     stream = fs.open(jp)
     try:
-        size = min(nbytes, fs.getFileStatus(jp).getLen())
-        buf = bytearray()
-        chunk = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.byte, 8192)
-        while len(buf) < size:
-            n = stream.read(chunk, 0, min(8192, size - len(buf)))
-            if n is None or n <= 0:
-                break
-            buf.extend(bytes(chunk)[:n])
+        data = stream.readNBytes(int(min(nbytes, fs.getFileStatus(jp).getLen())))
     finally:
         stream.close()
-    return bytes(buf).decode("utf-8", errors="replace")
+    return bytes(data).decode("utf-8", errors="replace")
 
 
 def sniff_sep(first_lines: str, candidates: str = ",;") -> str:
@@ -87,13 +81,23 @@ def sniff_sep(first_lines: str, candidates: str = ",;") -> str:
 def read_head(spark: SparkSession, path: str, preamble: int, sep: str | None = None) -> FileHead:
     text = _peek(spark, path)
     lines = text.splitlines()
-    use_sep = sep or sniff_sep("\n".join(lines[:2]) if len(lines) > 1 else (lines[0] if lines else ","))
     rest = lines[preamble:]
     header_line = next((ln for ln in rest if ln.strip() != ""), "")
+    use_sep = sep or sniff_sep("\n".join(lines[:2]) if len(lines) > 1 else (lines[0] if lines else ","))
+    if sep is None and use_sep not in header_line:
+        # the first two lines were all preamble: let the header line decide
+        counts = {c: header_line.count(c) for c in ",;"}
+        if max(counts.values()) > 0:
+            use_sep = max(counts, key=counts.get)
     raw = next(csv.reader(io.StringIO(header_line), delimiter=use_sep), [])
     return FileHead(path, path.rsplit("/", 1)[-1], use_sep, tuple(raw))
 
 
+def decoded_name(c: Column) -> Column:
+    """File names in ``_metadata`` are URI-encoded; decode them (a literal ``+`` stays)."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
 def null_tokens(df: DataFrame, columns: Iterable[str] | None = None,
                 tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
     """Map pandas' default null tokens to null on the given (default: all) columns."""
@@ -115,7 +119,7 @@ def _read_group(spark: SparkSession, heads: list[FileHead], multiline: bool) ->
           .option("multiLine", multiline).option("mode", "PERMISSIVE")
           .csv([h.path for h in heads])
           .select("*", F.col("_metadata.file_path").alias(PATH),
-                  F.col("_metadata.file_name").alias(FILE),
+                  decoded_name(F.col("_metadata.file_name")).alias(FILE),
                   F.monotonically_increasing_id().alias(SEQ)))
     # locate the header row of each file by its text; drop it and what precedes it
     is_header = reduce(lambda a, b: a & b,
