@@ -24,8 +24,20 @@ def composite_key(*parts, sep: str = "-") -> Column:
 
 
 def cell_identity(node, cell, factor: int = 256) -> Column:
-    """``node * factor + cell`` over numeric text, as BIGINT text.
+    """``node * factor + cell`` over numeric text, as BIGINT text; null in, null out.
 
-    Non-numeric text raises under ANSI casts; a null part gives null.
+    ``try_cast`` is used on purpose: Spark does not fix the evaluation order of
+    a plan, and a pushed-down predicate may evaluate this expression on rows a
+    later filter removes (a report's own header row, for instance).  A failing
+    ANSI cast there would abort a correct job.  Non-numeric ids therefore give
+    null here; ``invalid_identity`` flags them for an explicit check.
     """
-    return (_c(node).cast("bigint") * F.lit(factor) + _c(cell).cast("bigint")).cast("string")
+    n, c = _c(node).try_cast("bigint"), _c(cell).try_cast("bigint")
+    return (n * F.lit(factor) + c).cast("string")
+
+
+def invalid_identity(node, cell) -> Column:
+    """True where a present id part is not an integer (the reference rejects such reports)."""
+    def bad(x):
+        return _c(x).isNotNull() & _c(x).try_cast("bigint").isNull()
+    return bad(node) | bad(cell)

@@ -19,18 +19,16 @@ from reportflow.functions import commands as cmdf
 from reportflow.functions.keys import cell_identity, composite_key
 from reportflow.functions.software import software_merge
 from reportflow.functions.text import (choose_name, digits_only, fill_default, last_chars,
-                                       sentinel_coalesce, strip_leading_zeros, table_name,
-                                       trim_unicode)
+                                       sentinel_coalesce, strip_leading_zeros, trim_unicode)
 from reportflow.operators.dedup import keep_first, nulls_last_key
 from reportflow.operators.gates import complete_row_gate, drop_matching, drop_null_keys
 from reportflow.operators.joins import enrich, natural_outer, outer_on_keys
-from reportflow.operators.project import all_text, prefix_columns, rename
+from reportflow.operators.project import all_text, rename
 from reportflow.operators.setops import append
 from reportflow.plans import specs as S
-from reportflow.sinks.export import readable
 from reportflow.sinks.snapshot import SnapshotTable
 from reportflow.sources.reports import FILE, PATH, SEQ, file_prefix
-from reportflow.spec import DERIVED, ReportSpec
+from reportflow.spec import ReportSpec
 
 ORDER = "__seq"
 META = (FILE, PATH, SEQ)
@@ -46,6 +44,11 @@ def _col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _v(value) -> Column:
+    """A literal, or a Column when a batch of deliveries carries per-row values."""
+    return value if isinstance(value, Column) else F.lit(value)
+
+
 def _ensure(df: DataFrame, cols) -> DataFrame:
     """Add absent columns as null text (a report may omit optional columns)."""
     missing = [c for c in cols if c not in df.columns]
@@ -57,43 +60,56 @@ def _order(*parts) -> Column:
     return nulls_last_key(list(parts))
 
 
-def _finish(spec: ReportSpec, df: DataFrame, oss: str | None, report_date: str | None,
-            order: Column) -> Staged:
+def _finish(spec: ReportSpec, df: DataFrame, oss, report_date, order: Column,
+            by: tuple[str, ...] = ()) -> Staged:
     stamped = {}
     if oss is not None and "oss" in spec.table_columns:
-        stamped["oss"] = F.lit(oss)
+        stamped["oss"] = _v(oss)
     if report_date is not None and "update_date" in spec.table_columns:
-        stamped["update_date"] = F.lit(report_date)
+        stamped["update_date"] = _v(report_date)
     df = df.withColumn(ORDER, order)
     renamed = rename(df, spec.renames)
     if stamped:
         renamed = renamed.withColumns(stamped)
     renamed = _ensure(renamed, [c for c in spec.table_columns])
     rows = renamed.select(*[_col(c).cast("string").alias(f"{spec.table}_{c}")
-                            for c in spec.table_columns], F.col(ORDER))
+                            for c in spec.table_columns], F.col(ORDER),
+                          *[_col(b) for b in by if b in renamed.columns])
     return Staged(spec, rows)
 
 
-def _side(df: DataFrame, cols, seq_name: str) -> DataFrame:
+def _side(df: DataFrame, cols, seq_name: str, by: tuple[str, ...] = ()) -> DataFrame:
     df = _ensure(df, cols)
-    return df.select(*[_col(c) for c in cols], F.col(SEQ).alias(seq_name))
+    return df.select(*[_col(c) for c in cols], F.col(SEQ).alias(seq_name),
+                     *[_col(b).alias(f"{b}_r") for b in by])
 
 
 # --- NETWORKS ----------------------------------------------------------------
+# ``by`` names delivery columns (e.g. a delivery id): side-file joins and de-dup
+# then stay inside each delivery, so many deliveries run as one job.
+
+def _enrich(left: DataFrame, side: DataFrame, lk: str, rk: str, by: tuple[str, ...]) -> DataFrame:
+    m = enrich(left, side, [lk, *by], [rk, *[f"{b}_r" for b in by]], "full")
+    if by:
+        m = m.withColumns({b: F.coalesce(_col(b), _col(f"{b}_r")) for b in by}).drop(
+            *[f"{b}_r" for b in by])
+    return m
 
-def parent(bsc: DataFrame, rnc: DataFrame, oss: str, report_date: str) -> Staged:
+
+def parent(bsc: DataFrame, rnc: DataFrame, oss, report_date, by: tuple[str, ...] = ()) -> Staged:
     """BSC list with the RNC list appended (node_id is the OSP code)."""
     r = rename(rnc, {"node_id": "osp_code[whole_number]"})
     both = append(bsc.withColumn("__part", F.lit(0)), r.withColumn("__part", F.lit(1)))
-    return _finish(S.PARENT, both, oss, report_date, _order("__part", SEQ))
+    return _finish(S.PARENT, both, oss, report_date, _order("__part", SEQ), by)
 
 
-def site_2g(sites: DataFrame, co_mpt: DataFrame, oss: str, report_date: str) -> Staged:
+def site_2g(sites: DataFrame, co_mpt: DataFrame, oss, report_date,
+            by: tuple[str, ...] = ()) -> Staged:
     """R2: 2G sites enriched with the 2G CO-MPT list, first row per BTS name."""
     t = _ensure(sites, ["bts_software_version_1"]).withColumn(
         "unique_id", composite_key("bsc_name", "bts_index"))
-    side = _side(co_mpt, ["gbts_function_name", "ne_name", "product_version"], "__rseq")
-    m = enrich(t, side, ["bts_name"], ["gbts_function_name"], "full")
+    side = _side(co_mpt, ["gbts_function_name", "ne_name", "product_version"], "__rseq", by)
+    m = _enrich(t, side, "bts_name", "gbts_function_name", by)
     # rows without a BTS name are dropped next, so Catalyst turns the full join into a left join
     m = m.where(_col("bts_name").isNotNull())
     m = m.withColumns({
@@ -102,34 +118,35 @@ def site_2g(sites: DataFrame, co_mpt: DataFrame, oss: str, report_date: str) ->
         "sran": F.coalesce(_col("ne_name"), F.lit("")),
         "numb_name": digits_only("bts_name"),
     })
-    m = keep_first(m, ["bts_name"], order_by=[SEQ, "__rseq"])
-    return _finish(S.SITE_2G, m, oss, report_date, _order(SEQ, "__rseq"))
+    m = keep_first(m, ["bts_name", *by], order_by=[SEQ, "__rseq"])
+    return _finish(S.SITE_2G, m, oss, report_date, _order(SEQ, "__rseq"), by)
 
 
-def cell_2g(cells: DataFrame, oss: str, report_date: str) -> Staged:
+def cell_2g(cells: DataFrame, oss, report_date, by: tuple[str, ...] = ()) -> Staged:
     """2G cells; on equal keys the row with the last routing area wins."""
     t = cells.withColumn("cgi", composite_key("mcc", "mnc", "cell_lac", "cell_ci"))
     t = t.withColumns({"unique_id": composite_key("bsc_name", "cgi"),
                        "name_numb": digits_only("bts_name")})
-    return _finish(S.CELL_2G, t, oss, report_date, _order("routing_area", SEQ))
+    return _finish(S.CELL_2G, t, oss, report_date, _order("routing_area", SEQ), by)
 
 
-def trx_2g(trx: DataFrame, oss: str, report_date: str) -> Staged:
+def trx_2g(trx: DataFrame, oss, report_date, by: tuple[str, ...] = ()) -> Staged:
     """2G TRX, first row per four-part key (depends on the duplicate Cell Index)."""
     t = trx.withColumn("unique_id", composite_key("bsc_name", "cell_name", "cell_index", "trx_id"))
-    t = keep_first(t, ["unique_id"], seq=SEQ)
-    return _finish(S.TRX_2G, t, oss, report_date, _order(SEQ))
+    t = keep_first(t, ["unique_id", *by], seq=SEQ)
+    return _finish(S.TRX_2G, t, oss, report_date, _order(SEQ), by)
 
 
-def site_3g(sites: DataFrame, co_mpt: DataFrame, nodeb_info: DataFrame, oss: str,
-            report_date: str) -> Staged:
+def site_3g(sites: DataFrame, co_mpt: DataFrame, nodeb_info: DataFrame, oss, report_date,
+            by: tuple[str, ...] = ()) -> Staged:
     """3G sites enriched with CO-MPT 3G (different key names) and NodeB Info."""
     co = drop_null_keys(_ensure(co_mpt, ["nodeb_function_name"]), ["nodeb_function_name"])
     side = _side(co, ["nodeb_function_name", "ne_name", "product_version", "cabinet_type"],
-                 "__rseq")
-    info = _side(nodeb_info, ["nodeb_name", "nodeb_version", "nodeb_type"], "__iseq")
-    m = enrich(sites, side, ["nodeb_name"], ["nodeb_function_name"], "full")
-    m = outer_on_keys(m, info, ["nodeb_name"], "full")
+                 "__rseq", by)
+    info = _ensure(nodeb_info, ["nodeb_name", "nodeb_version", "nodeb_type"]).select(
+        "nodeb_name", "nodeb_version", "nodeb_type", F.col(SEQ).alias("__iseq"), *by)
+    m = _enrich(sites, side, "nodeb_name", "nodeb_function_name", by)
+    m = outer_on_keys(m, info, ["nodeb_name", *by], "full")
     m = m.withColumns({
         "unique_id": composite_key("bsc_name", "nodeb_id"),
         "cabinet": sentinel_coalesce("nodeb_type", "cabinet_type", "UMTS", "UNKNOWN"),
@@ -138,15 +155,16 @@ def site_3g(sites: DataFrame, co_mpt: DataFrame, nodeb_info: DataFrame, oss: str
         "sran_name": F.coalesce(_col("ne_name"), F.lit("")),
         "numb": strip_leading_zeros(digits_only("nodeb_name")),
     })
-    return _finish(S.SITE_3G, m, oss, report_date, _order("ne_name", SEQ, "__rseq", "__iseq"))
+    return _finish(S.SITE_3G, m, oss, report_date,
+                   _order("ne_name", SEQ, "__rseq", "__iseq"), by)
 
 
-def cell_3g(cells: DataFrame, oss: str, report_date: str) -> Staged:
+def cell_3g(cells: DataFrame, oss, report_date, by: tuple[str, ...] = ()) -> Staged:
     """3G cells keyed by BSC and CGI."""
     t = cells.withColumn("cgi", composite_key("mobile_country_code", "mobile_network_code",
                                               "location_area_code", "cell_id"))
     t = t.withColumn("unique_id", composite_key("bsc_name", "cgi"))
-    return _finish(S.CELL_3G, t, oss, report_date, _order(SEQ))
+    return _finish(S.CELL_3G, t, oss, report_date, _order(SEQ), by)
 
 
 def _site_sw(df: DataFrame) -> DataFrame:
@@ -156,24 +174,30 @@ def _site_sw(df: DataFrame) -> DataFrame:
                                               fill_default("product_version")))
 
 
-def site_4g(sites: DataFrame, co_mpt: DataFrame, oss: str, report_date: str) -> Staged:
+def site_4g(sites: DataFrame, co_mpt: DataFrame, oss, report_date,
+            by: tuple[str, ...] = ()) -> Staged:
     """4G sites plus the CO-MPT 4G list appended; first row per (oss, NE name)."""
     co = drop_null_keys(_ensure(co_mpt, ["enodeb_function_name"]), ["enodeb_function_name"])
-    co = keep_first(co, ["enodeb_function_name"], seq=SEQ)
+    co = keep_first(co, ["enodeb_function_name", *by], seq=SEQ)
     co = rename(co, {"ne_name": "sran_name", "enodeb_function_name": "ne_name"})
     both = append(sites.withColumn("__part", F.lit(0)), co.withColumn("__part", F.lit(1)))
     both = _ensure(_site_sw(both), ["cabinet_type", "sran_name"])
     both = both.withColumns({
         "number": strip_leading_zeros(last_chars("ne_name", 5)),
-        "unique_id": composite_key(F.lit(oss), "ne_name"),
+        "unique_id": composite_key(_v(oss), "ne_name"),
         "sran_name": F.coalesce(_col("sran_name"), F.lit("")),
     })
-    both = keep_first(both, ["unique_id"], order_by=["cabinet_type", "__part"], seq=SEQ)
-    return _finish(S.SITE_4G, both, oss, report_date, _order("cabinet_type", "__part", SEQ))
+    both = keep_first(both, ["unique_id", *by], order_by=["cabinet_type", "__part"], seq=SEQ)
+    return _finish(S.SITE_4G, both, oss, report_date, _order("cabinet_type", "__part", SEQ), by)
+
 
+def cell_4g(cells: DataFrame, co_mpt_cells: DataFrame, oss, report_date,
+            by: tuple[str, ...] = ()) -> Staged:
+    """4G cells naturally joined with the CO-MPT cell list; ECGI from eNodeB and cell.
 
-def cell_4g(cells: DataFrame, co_mpt_cells: DataFrame, oss: str, report_date: str) -> Staged:
-    """4G cells naturally joined with the CO-MPT cell list; ECGI from eNodeB and cell."""
+    The natural join uses every shared report column (the delivery columns in
+    ``by`` are shared too, so matches stay inside a delivery).
+    """
     co = drop_null_keys(_ensure(co_mpt_cells, ["enodeb_function_name"]),
                         ["enodeb_function_name"])
     left = cells.drop(FILE, PATH).withColumnRenamed(SEQ, "__lseq")
@@ -182,35 +206,36 @@ def cell_4g(cells: DataFrame, co_mpt_cells: DataFrame, oss: str, report_date: st
     ecgi = composite_key("mobile_country_code", "mobile_network_code",
                          cell_identity("enodeb_id", "cell_id"))
     m = m.withColumn("ecgi", ecgi)
-    m = m.withColumn("unique_id", composite_key(F.lit(oss), "ne_name", "ecgi"))
-    return _finish(S.CELL_4G, m, oss, report_date, _order("__lseq", "__rseq"))
+    m = m.withColumn("unique_id", composite_key(_v(oss), "ne_name", "ecgi"))
+    return _finish(S.CELL_4G, m, oss, report_date, _order("__lseq", "__rseq"), by)
 
 
-def site_5g(sites: DataFrame, oss: str, report_date: str) -> Staged:
+def site_5g(sites: DataFrame, oss, report_date, by: tuple[str, ...] = ()) -> Staged:
     """5G sites."""
     t = _site_sw(sites).withColumns({
-        "unique_id": composite_key(F.lit(oss), "ne_name"),
+        "unique_id": composite_key(_v(oss), "ne_name"),
         "number": strip_leading_zeros(last_chars("ne_name", 5)),
     })
-    return _finish(S.SITE_5G, t, oss, report_date, _order(SEQ))
+    return _finish(S.SITE_5G, t, oss, report_date, _order(SEQ), by)
 
 
-def cell_5g(cells: DataFrame, oss: str, report_date: str) -> Staged:
+def cell_5g(cells: DataFrame, oss, report_date, by: tuple[str, ...] = ()) -> Staged:
     """5G cells; NCGI from gNodeB and NR cell."""
     t = cells.withColumn("ncgi", cell_identity("gnodeb_id", "nr_cell_id"))
-    t = t.withColumn("unique_id", composite_key("gnodeb_function_name", F.lit(oss), "ncgi"))
-    return _finish(S.CELL_5G, t, oss, report_date, _order(SEQ))
+    t = t.withColumn("unique_id", composite_key("gnodeb_function_name", _v(oss), "ncgi"))
+    return _finish(S.CELL_5G, t, oss, report_date, _order(SEQ), by)
 
 
 # --- EXTERNALS --------------------------------------------------------------------
 
-def external(spec: ReportSpec, df: DataFrame, oss: str, report_date: str) -> Staged:
+def external(spec: ReportSpec, df: DataFrame, oss, report_date,
+             by: tuple[str, ...] = ()) -> Staged:
     """CGI/ECGI and key from the raw headers, null keys dropped."""
     id_name, id_parts, key_parts = S.EXTERNAL_KEYS[spec.file_name]
     t = _ensure(df, [*id_parts, *key_parts])
     t = t.withColumns({id_name: composite_key(*id_parts), "unique_id": composite_key(*key_parts)})
     t = drop_null_keys(t, ["unique_id"])
-    return _finish(spec, t, oss, report_date, _order(SEQ))
+    return _finish(spec, t, oss, report_date, _order(SEQ), by)
 
 
 # --- HCMD, PKI, generic -----------------------------------------------------------
@@ -224,6 +249,9 @@ def command_log(logs: DataFrame, insert_time: dt.datetime) -> DataFrame:
     """Command logs -> table rows (text, prefixed); appended, not merged.
 
     ``logs`` is a scan with two preamble lines and the footer row removed.
+    Every value is stripped, configuration echo lines are dropped and the
+    command text, class and operator code are derived; the BSC is the file
+    name before its first underscore.
     """
     data_cols = [c for c in logs.columns if c not in META]
     t = logs.select(*[trim_unicode(c).alias(c) for c in data_cols], *META)
@@ -239,7 +267,7 @@ def command_log(logs: DataFrame, insert_time: dt.datetime) -> DataFrame:
     return all_text(t.select(*[_col(c).alias(f"{spec.table}_{c}") for c in spec.table_columns]))
 
 
-def pki(report: DataFrame, insert_time: dt.datetime) -> Staged:
+def pki(report: DataFrame, insert_time: dt.datetime, by: tuple[str, ...] = ()) -> Staged:
     """Certificate inventory, null site dropped, merged over all dates."""
     t = drop_null_keys(_ensure(report, ["site_name"]), ["site_name"])
     t = t.withColumn("insert_time", F.lit(insert_time.strftime("%Y-%m-%d %H:%M:%S")))
@@ -247,19 +275,26 @@ def pki(report: DataFrame, insert_time: dt.datetime) -> Staged:
     t = t.withColumn(ORDER, _order(SEQ))
     t = rename(t, spec.renames)
     t = _ensure(t, spec.table_columns)
-    rows = t.select(*[_col(c).cast("string") for c in spec.table_columns], F.col(ORDER))
+    rows = t.select(*[_col(c).cast("string") for c in spec.table_columns], F.col(ORDER),
+                    *[_col(b) for b in by])
     return Staged(spec, rows)
 
 
-def generic(report: DataFrame, report_name: str, oss: str,
-            insert_time: dt.datetime) -> tuple[str, DataFrame]:
-    """Any report; a file loads only if it has at least one complete row."""
+def generic(report: DataFrame, oss, insert_time: dt.datetime) -> DataFrame:
+    """Any report; a file loads only if it has at least one complete row.
+
+    Returns text rows plus ``oss`` and ``insert_time``; the target table is the
+    canonical report name (``functions.text.table_name``).
+    """
     data_cols = [c for c in report.columns if c not in META]
     t = complete_row_gate(report, [PATH], data_cols)
     t = t.select(*[_col(c) for c in data_cols]).withColumns({
-        "oss": F.lit(oss), "insert_time": F.lit(insert_time.strftime("%Y-%m-%d %H:%M:%S"))})
-    name = report_name.lower().strip().replace(" ", "_").replace(".", "")
-    return name, all_text(t)
+        "oss": _v(oss), "insert_time": F.lit(insert_time.strftime("%Y-%m-%d %H:%M:%S"))})
+    return all_text(t)
+
+
+def generic_table_name(report_name: str) -> str:
+    return report_name.lower().strip().replace(" ", "_").replace(".", "")
 
 
 # --- loading and export -------------------------------------------------------------
@@ -285,22 +320,23 @@ _NE_NAME = {
 }
 
 
-def export(rows: DataFrame, spec: ReportSpec) -> DataFrame:
-    """Table rows -> readable export rows (labels, export order, NE Name)."""
-    if spec.table == "pki_project":
-        return rows.drop(ORDER) if ORDER in rows.columns else rows
+def export(rows: DataFrame, spec: ReportSpec, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Table rows -> readable export rows (labels, export order, NE Name) + ``keep``."""
+    extra = [F.col(f"`{c}`") for c in keep]
+    if spec.table == S.PKI.table:
+        return rows.select(*[_col(c) for c in spec.table_columns], *extra)
     pairs = spec.export_pairs()
+    out = rows.select(*[_col(c).alias(label) for c, label in pairs], *extra)
     if spec.table in _NE_NAME:
         sran, name = _NE_NAME[spec.table]
-        out = readable(rows, spec)
-        out = out.withColumn("NE Name", choose_name(F.col(f"`{sran}`"), F.col(f"`{name}`")))
+        out = out.withColumn("NE Name", choose_name(_col(sran), _col(name)))
         order = list(spec.export_order)
         if "NE Name" not in order:
             order.append("NE Name")
-        return out.select(*[F.col(f"`{c}`") for c in order])
-    return rows.select(*[F.col(f"`{c}`").alias(label) for c, label in pairs])
+        out = out.select(*[_col(c) for c in order], *extra)
+    return out
 
 
 __all__ = ["Staged", "parent", "site_2g", "cell_2g", "trx_2g", "site_3g", "cell_3g", "site_4g",
            "cell_4g", "site_5g", "cell_5g", "external", "command_log", "pki", "generic", "load",
-           "export", "table_name", "DERIVED"]
+           "export", "generic_table_name"]

@@ -126,8 +126,7 @@ def _read_group(spark: SparkSession, heads: list[FileHead], multiline: bool) ->
                        [F.col(f"c{i}").eqNullSafe(F.lit(v if v != "" else None))
                         for i, v in enumerate(raw)])
     hdr = (df.where(is_header).groupBy(PATH).agg(F.min(SEQ).alias("__hdr")))
-    body = (df.join(hdr, on=PATH, how="inner").where(F.col(SEQ) > F.col("__hdr"))
-            .drop("__hdr"))
+    body = df.join(hdr, on=PATH, how="inner").where(F.col(SEQ) > F.col("__hdr"))
     return body.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)],
                        FILE, PATH, SEQ)
 
@@ -151,9 +150,11 @@ def scan_reports(spark: SparkSession, paths: str | Sequence[str], preamble: int
         groups.setdefault((h.sep, h.raw_header), []).append(h)
     parts = [_read_group(spark, g, multiline) for g in groups.values()]
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    cols = df.columns
     for _ in range(footer):
         last = df.groupBy(PATH).agg(F.max(SEQ).alias("__last"))
-        df = df.join(last, on=PATH, how="inner").where(F.col(SEQ) < F.col("__last")).drop("__last")
+        df = (df.join(last, on=PATH, how="inner").where(F.col(SEQ) < F.col("__last"))
+              .select(*[F.col(f"`{c}`") for c in cols]))
     if map_null_tokens:
         df = null_tokens(df, [c for c in df.columns if c not in (FILE, PATH, SEQ)])
     return df
