@@ -33,16 +33,22 @@ def leak_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     no shuffle): each row produces an array of findings that is exploded.
     """
     t = F.col(text_col)
-    ip = F.when(t.rlike(PRIVATE_IPV4),
+    # cheap substring tests guard each regex: every match contains one of these
+    # literals, so texts without them skip the (look-around heavy) patterns
+    may_ip = t.contains("10.") | t.contains("192.168.") | t.contains("172.")
+    may_mail = t.contains("@")
+    low = F.lower(t)
+    may_marker = low.contains("/app/users/") | low.contains("outlook-") | low.contains("webmail-")
+    ip = F.when(may_ip & t.rlike(PRIVATE_IPV4),
                 F.array(F.struct(F.lit(RULE_IP).alias("rule"),
                                  F.regexp_extract(t, PRIVATE_IPV4, 0).alias("match"))))
-    marker = F.when(t.rlike(INTERNAL_MARKER),
+    marker = F.when(may_marker & t.rlike(INTERNAL_MARKER),
                     F.array(F.struct(F.lit(RULE_MARKER).alias("rule"),
                                      F.regexp_extract(t, INTERNAL_MARKER, 0).alias("match"))))
-    mails = F.transform(
+    mails = F.when(may_mail, F.transform(
         F.filter(F.regexp_extract_all(t, F.lit(EMAIL), 0),
                  lambda m: ~F.lower(m).endswith(EXAMPLE_SUFFIX)),
-        lambda m: F.struct(F.lit(RULE_EMAIL).alias("rule"), m.alias("match")))
+        lambda m: F.struct(F.lit(RULE_EMAIL).alias("rule"), m.alias("match"))))
     empty = F.array().cast("array<struct<rule:string,match:string>>")
     findings = F.concat(F.coalesce(ip, empty), F.coalesce(mails, empty),
                         F.coalesce(marker, empty))

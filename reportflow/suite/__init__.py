@@ -1,6 +1,7 @@
 """Registered queries (one per operator of the survey) and their DuckDB oracles."""
 
-from reportflow.suite import files, ledger_queries, relational, scalars  # noqa: F401  (registration)
+from reportflow.suite import (files, ledger_queries, pipeline_queries, relational,  # noqa: F401
+                              scalars)
 from reportflow.suite.base import DOCS, ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES", "DOCS"]
