@@ -6,8 +6,9 @@ sniff ``,`` or ``;`` and to read the header names); rows are read by Spark.
 
 Preamble lines are removed by locating the header row by its text inside each
 file; the file's own order is the scan order (``multiLine`` keeps a file in one
-task, so a monotonically increasing id orders the rows of a file).  A footer is
-removed with a per-file maximum joined back.  The many-report case (many files,
+task, so a monotonically increasing id orders the rows of a file).  Header
+position and last row come from one per-file aggregate joined back (one row
+per file), so the files are parsed twice, not once per rule.  The many-report case (many files,
 many regions and dates) runs as one job per header layout.
 """
 
@@ -31,7 +32,7 @@ NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "n/a", "nan", "null")
 
 FILE, PATH, SEQ = "_file", "_path", "_seq"
-PEEK_BYTES = 1 << 16
+PEEK_BYTES = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -58,12 +59,31 @@ def list_files(spark: SparkSession, paths: str | Sequence[str],
     return sorted(out)
 
 
-def _peek(spark: SparkSession, path: str, nbytes: int = PEEK_BYTES) -> str:
-    """The first ``nbytes`` of a file (header peek; bounded, one small read per file)."""
-    fs, jp = hadoop_fs(spark, path)
-    stream = fs.open(jp)
+def _local_path(path: str) -> str | None:
+    """The OS path of a local-file URI (``file:``/no scheme), else None."""
+    from urllib.parse import unquote, urlparse
+    u = urlparse(path)
+    if u.scheme in ("", "file"):
+        return unquote(u.path)
+    return None
+
+
+def _peek(spark: SparkSession, path: str, nbytes: int = PEEK_BYTES, fs=None) -> str:
+    """The first ``nbytes`` of a file (header peek; bounded, one small read per file).
+
+    Local files are read directly; other file systems through Hadoop's API.
+    """
+    local = _local_path(path)
+    if local is not None:
+        with open(local, "rb") as fh:
+            return fh.read(nbytes).decode("utf-8", errors="replace")
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    if fs is None:
+        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.open(jpath)
     try:
-        data = stream.readNBytes(int(min(nbytes, fs.getFileStatus(jp).getLen())))
+        data = stream.readNBytes(nbytes)
     finally:
         stream.close()
     return bytes(data).decode("utf-8", errors="replace")
@@ -78,8 +98,9 @@ def sniff_sep(first_lines: str, candidates: str = ",;") -> str:
         return max(counts, key=counts.get)
 
 
-def read_head(spark: SparkSession, path: str, preamble: int, sep: str | None = None) -> FileHead:
-    text = _peek(spark, path)
+def read_head(spark: SparkSession, path: str, preamble: int, sep: str | None = None,
+              fs=None) -> FileHead:
+    text = _peek(spark, path, fs=fs)
     lines = text.splitlines()
     rest = lines[preamble:]
     header_line = next((ln for ln in rest if ln.strip() != ""), "")
@@ -108,7 +129,8 @@ def null_tokens(df: DataFrame, columns: Iterable[str] | None = None,
         for c in df.columns])
 
 
-def _read_group(spark: SparkSession, heads: list[FileHead], multiline: bool) -> DataFrame:
+def _read_group(spark: SparkSession, heads: list[FileHead], multiline: bool,
+                footer: int) -> DataFrame:
     raw = list(heads[0].raw_header)
     names = normalise_headers(raw)
     width = len(raw)
@@ -121,12 +143,23 @@ def _read_group(spark: SparkSession, heads: list[FileHead], multiline: bool) ->
           .select("*", F.col("_metadata.file_path").alias(PATH),
                   decoded_name(F.col("_metadata.file_name")).alias(FILE),
                   F.monotonically_increasing_id().alias(SEQ)))
-    # locate the header row of each file by its text; drop it and what precedes it
+    # Per file, in one aggregate (one row per file): the position of the header row,
+    # located by its text, and the position of the last row.  Rows up to the
+    # header (preamble, header) and the last ``footer`` rows are dropped.
     is_header = reduce(lambda a, b: a & b,
                        [F.col(f"c{i}").eqNullSafe(F.lit(v if v != "" else None))
                         for i, v in enumerate(raw)])
-    hdr = (df.where(is_header).groupBy(PATH).agg(F.min(SEQ).alias("__hdr")))
-    body = df.join(hdr, on=PATH, how="inner").where(F.col(SEQ) > F.col("__hdr"))
+    bounds = df.groupBy(PATH).agg(F.min(F.when(is_header, F.col(SEQ))).alias("__hdr"),
+                                  F.max(SEQ).alias("__last"))
+    body = df.join(bounds, on=PATH, how="inner").where(F.col(SEQ) > F.col("__hdr"))
+    if footer == 1:
+        body = body.where(F.col(SEQ) < F.col("__last"))
+    elif footer > 1:
+        # the last ``footer`` rows of each file: rank from the end (files are small groups)
+        from pyspark.sql import Window
+        w = Window.partitionBy(PATH).orderBy(F.col(SEQ).desc())
+        body = body.withColumn("__from_end", F.row_number().over(w)).where(
+            F.col("__from_end") > footer)
     return body.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)],
                        FILE, PATH, SEQ)
 
@@ -144,17 +177,13 @@ def scan_reports(spark: SparkSession, paths: str | Sequence[str], preamble: int
     files = list_files(spark, paths, pattern)
     if not files:
         raise FileNotFoundError(f"no report files under {paths}")
-    heads = [read_head(spark, p, preamble, sep) for p in files]
+    fs, _ = hadoop_fs(spark, files[0])
+    heads = [read_head(spark, p, preamble, sep, fs=fs) for p in files]
     groups: dict[tuple, list[FileHead]] = {}
     for h in heads:
         groups.setdefault((h.sep, h.raw_header), []).append(h)
-    parts = [_read_group(spark, g, multiline) for g in groups.values()]
+    parts = [_read_group(spark, g, multiline, footer) for g in groups.values()]
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    cols = df.columns
-    for _ in range(footer):
-        last = df.groupBy(PATH).agg(F.max(SEQ).alias("__last"))
-        df = (df.join(last, on=PATH, how="inner").where(F.col(SEQ) < F.col("__last"))
-              .select(*[F.col(f"`{c}`") for c in cols]))
     if map_null_tokens:
         df = null_tokens(df, [c for c in df.columns if c not in (FILE, PATH, SEQ)])
     return df
