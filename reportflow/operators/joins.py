@@ -39,8 +39,14 @@ def enrich(left: DataFrame, right: DataFrame, left_on: Sequence[str],
     overlap = set(left.columns) & set(right.columns)
     if overlap:
         raise ValueError(f"overlapping columns {sorted(overlap)}; select or rename first")
-    joined = left.alias(L).join(right.alias(R), _cond(left_on, right_on), how)
-    return joined.select(*[_q(L, c) for c in left.columns], *[_q(R, c) for c in right.columns])
+
+    def project(joined: DataFrame, _mode: str) -> DataFrame:
+        return joined.select(*[_q(L, c).alias(c) for c in left.columns],
+                             *[_q(R, c).alias(c) for c in right.columns])
+
+    if how in ("full", "outer", "full_outer"):
+        return _full_outer(left, right, left_on, project, right_on)
+    return project(left.alias(L).join(right.alias(R), _cond(left_on, right_on), how), how)
 
 
 def _key_col(k: str, how: str) -> Column:
@@ -60,15 +66,44 @@ def _suffix_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
     if markers:
         left = left.withColumn("__in_l", F.lit(True))
         right = right.withColumn("__in_r", F.lit(True))
-    joined = left.alias(L).join(right.alias(R), _cond(keys, keys), how)
-    out = [_key_col(k, how) for k in keys]
-    out += [_q(L, c).alias(c + suffixes[0] if c in clash else c) for c in lrest]
-    out += [_q(R, c).alias(c + suffixes[1] if c in clash else c) for c in rrest]
-    if markers:
-        in_l, in_r = _q(L, "__in_l").isNotNull(), _q(R, "__in_r").isNotNull()
-        out.append(F.when(in_l & in_r, F.lit("both"))
-                   .when(in_l, F.lit("left_only")).otherwise(F.lit("right_only")).alias(MERGE))
-    return joined.select(*out)
+
+    def project(joined: DataFrame, mode: str) -> DataFrame:
+        out = [_key_col(k, mode) for k in keys]
+        out += [_q(L, c).alias(c + suffixes[0] if c in clash else c) for c in lrest]
+        out += [_q(R, c).alias(c + suffixes[1] if c in clash else c) for c in rrest]
+        if markers:
+            in_l, in_r = _q(L, "__in_l").isNotNull(), _q(R, "__in_r").isNotNull()
+            out.append(F.when(in_l & in_r, F.lit("both"))
+                       .when(in_l, F.lit("left_only")).otherwise(F.lit("right_only"))
+                       .alias(MERGE))
+        return joined.select(*out)
+
+    if how in ("full", "outer", "full_outer"):
+        return _full_outer(left, right, keys, project)
+    return project(left.alias(L).join(right.alias(R), _cond(keys, keys), how), how)
+
+
+def _full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str], project,
+                right_keys: Sequence[str] | None = None) -> DataFrame:
+    """Full outer join as (left outer join) + (right rows without a partner).
+
+    Same rows as a full outer join, but both parts are joins whose large side
+    AQE can split when a key is skewed (it cannot split a full outer join), and
+    a filter on a left-side column later in the plan prunes the second part.
+    """
+    rk = list(right_keys) if right_keys is not None else list(keys)
+    matched = left.alias(L).join(right.alias(R), _cond(keys, rk), "left")
+    right_only = right.alias(R).join(left.alias(L), _cond(keys, rk), "left_anti")
+    both = matched.select(*[_q(L, c).alias(f"__l_{c}") for c in left.columns],
+                          *[_q(R, c).alias(f"__r_{c}") for c in right.columns])
+    orphans = right_only.select(*[F.lit(None).cast(t).alias(f"__l_{c}") for c, t in left.dtypes],
+                                *[_q(R, c).alias(f"__r_{c}") for c in right.columns])
+    u = both.unionByName(orphans)
+    # expose the two sides as structs named like the aliases, for the shared projection
+    # (Catalyst folds the struct field accesses back into plain columns)
+    sides = u.select(F.struct(*[F.col(f"`__l_{c}`").alias(c) for c in left.columns]).alias(L),
+                     F.struct(*[F.col(f"`__r_{c}`").alias(c) for c in right.columns]).alias(R))
+    return project(sides, "full")
 
 
 def outer_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],

@@ -17,29 +17,37 @@ from pyspark.sql import types as T
 
 
 def consume_once(spark: SparkSession, landing: str, schema: T.StructType, checkpoint: str,
-                 route: Callable[[DataFrame, int], None], fmt: str = "parquet",
-                 options: dict | None = None, max_files_per_trigger: int | None = None) -> None:
-    """Process every not-yet-seen file under ``landing`` once, then stop."""
+                 sink: str | None = None, route: Callable[[DataFrame, int], None] | None = None,
+                 fmt: str = "parquet", sink_format: str = "parquet", options: dict | None = None,
+                 max_files_per_trigger: int | None = None) -> None:
+    """Process every not-yet-seen file under ``landing`` once, then stop.
+
+    With ``sink`` the rows go to Spark's file sink, which is exactly-once: its
+    own commit log under ``sink/_spark_metadata`` ignores files of a batch that
+    was replayed after a failure.  With ``route`` each micro-batch is handed
+    to a function (``foreachBatch``), e.g. a report pipeline.
+    """
+    if (sink is None) == (route is None):
+        raise ValueError("give exactly one of sink= or route=")
     reader = spark.readStream.format(fmt).schema(schema)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(landing)
-    q = (stream.writeStream.foreachBatch(route)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
+    w = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if sink is not None:
+        w = w.format(sink_format).option("path", sink).outputMode("append")
+    else:
+        w = w.foreachBatch(route)
+    q = w.start()
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
 
 
 def append_to(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` route appending each micro-batch to ``path``.
-
-    The batch id is written with the rows so a batch replayed after a failure
-    can be recognised; the file sink of each batch is a separate job commit.
-    """
+    """A ``foreachBatch`` route appending each micro-batch to ``path``."""
     def route(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("append").format(fmt).save(path)
     return route

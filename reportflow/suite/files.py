@@ -21,7 +21,7 @@ from reportflow.sinks.export import write_export
 from reportflow.sinks.snapshot import SnapshotTable
 from reportflow.sources import archive
 from reportflow.sources.reports import FILE, NA_TOKENS, scan_reports
-from reportflow.streaming.inbox import append_to, consume_once
+from reportflow.streaming.inbox import consume_once
 from reportflow.suite import landing
 from reportflow.suite.base import (NOT_WORD, SPACE, WORD, duck, query, recipe, sql_key, sql_trim,
                                    table, with_ctes)
@@ -326,7 +326,7 @@ def q_consume_once(spark, d):
     events = table(spark, d, "events")
     events.repartition(4, "event_type").write.parquet(landing_dir)
     for _ in range(2):   # the second run finds no new file and adds nothing
-        consume_once(spark, landing_dir, events.schema, ckpt, append_to(sink))
+        consume_once(spark, landing_dir, events.schema, ckpt, sink=sink)
     return spark.read.parquet(sink)
 
 

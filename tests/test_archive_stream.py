@@ -42,10 +42,19 @@ def test_consume_once(spark, tmp_path):
     land, sink, ckpt = str(tmp_path / "land"), str(tmp_path / "sink"), str(tmp_path / "ckpt")
     df = spark.range(10).withColumn("v", F.col("id") * 2)
     df.write.parquet(land)
-    consume_once(spark, land, df.schema, ckpt, append_to(sink))
-    consume_once(spark, land, df.schema, ckpt, append_to(sink))       # nothing new
+    consume_once(spark, land, df.schema, ckpt, sink=sink)
+    consume_once(spark, land, df.schema, ckpt, sink=sink)       # nothing new
     assert spark.read.parquet(sink).count() == 10
     spark.range(10, 13).withColumn("v", F.col("id") * 2).write.mode("append").parquet(land)
-    consume_once(spark, land, df.schema, ckpt, append_to(sink))       # only the new file
+    consume_once(spark, land, df.schema, ckpt, sink=sink)       # only the new file
     assert sorted(r.id for r in spark.read.parquet(sink).collect()) == list(range(13))
     assert os.path.isdir(ckpt)
+
+
+def test_consume_once_route(spark, tmp_path):
+    land, out, ckpt = str(tmp_path / "land"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    df = spark.range(5)
+    df.write.parquet(land)
+    consume_once(spark, land, df.schema, ckpt, route=append_to(out))
+    consume_once(spark, land, df.schema, ckpt, route=append_to(out))
+    assert spark.read.parquet(out).count() == 5
