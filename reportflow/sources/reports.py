@@ -41,12 +41,19 @@ class FileHead:
     name: str
     sep: str
     raw_header: tuple[str, ...]
+    size: int = 0
 
 
 def list_files(spark: SparkSession, paths: str | Sequence[str],
                pattern: str = "*") -> list[str]:
     """Expand directories / globs into file paths (driver-side listing only)."""
-    out: list[str] = []
+    return [p for p, _ in list_file_sizes(spark, paths, pattern)]
+
+
+def list_file_sizes(spark: SparkSession, paths: str | Sequence[str],
+                    pattern: str = "*") -> list[tuple[str, int]]:
+    """(path, size) of every file under ``paths`` (directories, globs or files)."""
+    out: list[tuple[str, int]] = []
     for p in [paths] if isinstance(paths, str) else list(paths):
         fs, jp = hadoop_fs(spark, p)
         if fs.exists(jp) and fs.getFileStatus(jp).isDirectory():
@@ -55,7 +62,7 @@ def list_files(spark: SparkSession, paths: str | Sequence[str],
             statuses = fs.globStatus(jp)
         for st in statuses or []:
             if st.isFile() and not st.getPath().getName().startswith(("_", ".")):
-                out.append(st.getPath().toString())
+                out.append((st.getPath().toString(), int(st.getLen())))
     return sorted(out)
 
 
@@ -99,7 +106,7 @@ def sniff_sep(first_lines: str, candidates: str = ",;") -> str:
 
 
 def read_head(spark: SparkSession, path: str, preamble: int, sep: str | None = None,
-              fs=None) -> FileHead:
+              fs=None, size: int = 0) -> FileHead:
     text = _peek(spark, path, fs=fs)
     lines = text.splitlines()
     rest = lines[preamble:]
@@ -111,7 +118,7 @@ def read_head(spark: SparkSession, path: str, preamble: int, sep: str | None = N
         if max(counts.values()) > 0:
             use_sep = max(counts, key=counts.get)
     raw = next(csv.reader(io.StringIO(header_line), delimiter=use_sep), [])
-    return FileHead(path, path.rsplit("/", 1)[-1], use_sep, tuple(raw))
+    return FileHead(path, path.rsplit("/", 1)[-1], use_sep, tuple(raw), size)
 
 
 def decoded_name(c: Column) -> Column:
@@ -142,7 +149,10 @@ def _read_group(spark: SparkSession, heads: list[FileHead], multiline: bool,
           .csv([h.path for h in heads])
           .select("*", F.col("_metadata.file_path").alias(PATH),
                   decoded_name(F.col("_metadata.file_name")).alias(FILE),
-                  F.monotonically_increasing_id().alias(SEQ)))
+                  # order inside a file: the split it came from, then the row's place in
+                  # the task (a split is read in order); valid whether or not files are split
+                  F.struct(F.col("_metadata.file_block_start").alias("block"),
+                           F.monotonically_increasing_id().alias("row")).alias(SEQ)))
     # Per file, in one aggregate (one row per file): the position of the header row,
     # located by its text, and the position of the last row.  Rows up to the
     # header (preamble, header) and the last ``footer`` rows are dropped.
@@ -164,25 +174,39 @@ def _read_group(spark: SparkSession, heads: list[FileHead], multiline: bool,
                        FILE, PATH, SEQ)
 
 
+def _split_threshold(spark: SparkSession) -> int:
+    v = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    v = v.strip().lower().rstrip("b")
+    return int(float(v[:-1]) * units[v[-1]]) if v and v[-1] in units else int(v)
+
+
 def scan_reports(spark: SparkSession, paths: str | Sequence[str], preamble: int = 1,
                  footer: int = 0, sep: str | None = None, pattern: str = "*",
-                 map_null_tokens: bool = True, multiline: bool = True) -> DataFrame:
+                 map_null_tokens: bool = True, multiline: bool | None = None) -> DataFrame:
     """All-text rows of every report file under ``paths``.
 
     Columns: the normalised headers (duplicates as pandas would name them),
-    plus ``_file`` (file name), ``_path`` and ``_seq`` (order inside the file).
-    Files with different header layouts are read separately and unioned by
-    name.  ``footer`` trailing rows are removed from each file.
+    plus ``_file`` (file name), ``_path`` and ``_seq`` (order inside the file,
+    a struct of split start and row id).  Files with different header layouts
+    are read separately and unioned by name.  ``footer`` trailing rows are
+    removed from each file.
+
+    ``multiline=None`` (default) reads a file whole (quoted newlines allowed)
+    when it fits one input split and splits larger files across tasks (one
+    record per line), so a single huge file does not end up in one task.
     """
-    files = list_files(spark, paths, pattern)
+    files = list_file_sizes(spark, paths, pattern)
     if not files:
         raise FileNotFoundError(f"no report files under {paths}")
-    fs, _ = hadoop_fs(spark, files[0])
-    heads = [read_head(spark, p, preamble, sep, fs=fs) for p in files]
+    fs, _ = hadoop_fs(spark, files[0][0])
+    heads = [read_head(spark, p, preamble, sep, fs=fs, size=n) for p, n in files]
+    split_above = _split_threshold(spark) if multiline is None else None
     groups: dict[tuple, list[FileHead]] = {}
     for h in heads:
-        groups.setdefault((h.sep, h.raw_header), []).append(h)
-    parts = [_read_group(spark, g, multiline, footer) for g in groups.values()]
+        ml = multiline if multiline is not None else h.size <= split_above
+        groups.setdefault((h.sep, h.raw_header, ml), []).append(h)
+    parts = [_read_group(spark, g, key[2], footer) for key, g in groups.items()]
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if map_null_tokens:
         df = null_tokens(df, [c for c in df.columns if c not in (FILE, PATH, SEQ)])

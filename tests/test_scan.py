@@ -42,3 +42,19 @@ def test_mixed_layouts_union_by_name(spark, tmp_path):
     got = scan_reports(spark, str(d), preamble=0)
     assert rows(got.select("a", "b", "c")) == [("1", "2", None), ("3", None, "4")]
     assert os.path.exists(str(d / "one.csv"))
+
+
+def test_split_large_file_matches_whole_read(spark, tmp_path):
+    lines = ["Report generated", "x", "a;b;c"] + [f"{i};v{i};{i * 3}" for i in range(400)] + ["Total"]
+    write_report(str(tmp_path / "big" / "BSC9_big.csv"), lines)
+    whole = scan_reports(spark, str(tmp_path / "big"), preamble=2, footer=1, multiline=True)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    try:
+        split = scan_reports(spark, str(tmp_path / "big"), preamble=2, footer=1)   # auto: split
+        assert split.rdd.getNumPartitions() > 1
+        got = rows(split.select("a", "b", "c"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == rows(whole.select("a", "b", "c"))
+    assert len(got) == 400 and ("0", "v0", "0") in got and ("399", "v399", "1197") in got
