@@ -55,6 +55,11 @@ def _ensure(df: DataFrame, cols) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else df
 
 
+def _sources(df: DataFrame, spec: ReportSpec, *extra: str) -> DataFrame:
+    """The report with every source column of ``spec`` (and ``extra``) present."""
+    return _ensure(df, [c.source for c in spec.columns if c.source != "*"] + list(extra))
+
+
 def _order(*parts) -> Column:
     """Within-delivery order: nulls-last struct of the given columns."""
     return nulls_last_key(list(parts))
@@ -106,7 +111,7 @@ def parent(bsc: DataFrame, rnc: DataFrame, oss, report_date, by: tuple[str, ...]
 def site_2g(sites: DataFrame, co_mpt: DataFrame, oss, report_date,
             by: tuple[str, ...] = ()) -> Staged:
     """R2: 2G sites enriched with the 2G CO-MPT list, first row per BTS name."""
-    t = _ensure(sites, ["bts_software_version_1"]).withColumn(
+    t = _sources(sites, S.SITE_2G, "bts_software_version_1").withColumn(
         "unique_id", composite_key("bsc_name", "bts_index"))
     side = _side(co_mpt, ["gbts_function_name", "ne_name", "product_version"], "__rseq", by)
     m = _enrich(t, side, "bts_name", "gbts_function_name", by)
@@ -124,7 +129,8 @@ def site_2g(sites: DataFrame, co_mpt: DataFrame, oss, report_date,
 
 def cell_2g(cells: DataFrame, oss, report_date, by: tuple[str, ...] = ()) -> Staged:
     """2G cells; on equal keys the row with the last routing area wins."""
-    t = cells.withColumn("cgi", composite_key("mcc", "mnc", "cell_lac", "cell_ci"))
+    t = _sources(cells, S.CELL_2G).withColumn("cgi", composite_key("mcc", "mnc", "cell_lac",
+                                                                    "cell_ci"))
     t = t.withColumns({"unique_id": composite_key("bsc_name", "cgi"),
                        "name_numb": digits_only("bts_name")})
     return _finish(S.CELL_2G, t, oss, report_date, _order("routing_area", SEQ), by)
@@ -132,7 +138,8 @@ def cell_2g(cells: DataFrame, oss, report_date, by: tuple[str, ...] = ()) -> Sta
 
 def trx_2g(trx: DataFrame, oss, report_date, by: tuple[str, ...] = ()) -> Staged:
     """2G TRX, first row per four-part key (depends on the duplicate Cell Index)."""
-    t = trx.withColumn("unique_id", composite_key("bsc_name", "cell_name", "cell_index", "trx_id"))
+    t = _sources(trx, S.TRX_2G).withColumn(
+        "unique_id", composite_key("bsc_name", "cell_name", "cell_index", "trx_id"))
     t = keep_first(t, ["unique_id", *by], seq=SEQ)
     return _finish(S.TRX_2G, t, oss, report_date, _order(SEQ), by)
 
@@ -145,7 +152,7 @@ def site_3g(sites: DataFrame, co_mpt: DataFrame, nodeb_info: DataFrame, oss, rep
                  "__rseq", by)
     info = _ensure(nodeb_info, ["nodeb_name", "nodeb_version", "nodeb_type"]).select(
         "nodeb_name", "nodeb_version", "nodeb_type", F.col(SEQ).alias("__iseq"), *by)
-    m = _enrich(sites, side, "nodeb_name", "nodeb_function_name", by)
+    m = _enrich(_sources(sites, S.SITE_3G), side, "nodeb_name", "nodeb_function_name", by)
     m = outer_on_keys(m, info, ["nodeb_name", *by], "full")
     m = m.withColumns({
         "unique_id": composite_key("bsc_name", "nodeb_id"),
@@ -161,8 +168,9 @@ def site_3g(sites: DataFrame, co_mpt: DataFrame, nodeb_info: DataFrame, oss, rep
 
 def cell_3g(cells: DataFrame, oss, report_date, by: tuple[str, ...] = ()) -> Staged:
     """3G cells keyed by BSC and CGI."""
-    t = cells.withColumn("cgi", composite_key("mobile_country_code", "mobile_network_code",
-                                              "location_area_code", "cell_id"))
+    t = _sources(cells, S.CELL_3G).withColumn(
+        "cgi", composite_key("mobile_country_code", "mobile_network_code",
+                             "location_area_code", "cell_id"))
     t = t.withColumn("unique_id", composite_key("bsc_name", "cgi"))
     return _finish(S.CELL_3G, t, oss, report_date, _order(SEQ), by)
 
@@ -180,7 +188,8 @@ def site_4g(sites: DataFrame, co_mpt: DataFrame, oss, report_date,
     co = drop_null_keys(_ensure(co_mpt, ["enodeb_function_name"]), ["enodeb_function_name"])
     co = keep_first(co, ["enodeb_function_name", *by], seq=SEQ)
     co = rename(co, {"ne_name": "sran_name", "enodeb_function_name": "ne_name"})
-    both = append(sites.withColumn("__part", F.lit(0)), co.withColumn("__part", F.lit(1)))
+    both = append(_ensure(sites, ["ne_name"]).withColumn("__part", F.lit(0)),
+                  co.withColumn("__part", F.lit(1)))
     both = _ensure(_site_sw(both), ["cabinet_type", "sran_name"])
     both = both.withColumns({
         "number": strip_leading_zeros(last_chars("ne_name", 5)),
@@ -212,7 +221,7 @@ def cell_4g(cells: DataFrame, co_mpt_cells: DataFrame, oss, report_date,
 
 def site_5g(sites: DataFrame, oss, report_date, by: tuple[str, ...] = ()) -> Staged:
     """5G sites."""
-    t = _site_sw(sites).withColumns({
+    t = _site_sw(_sources(sites, S.SITE_5G)).withColumns({
         "unique_id": composite_key(_v(oss), "ne_name"),
         "number": strip_leading_zeros(last_chars("ne_name", 5)),
     })
@@ -221,7 +230,7 @@ def site_5g(sites: DataFrame, oss, report_date, by: tuple[str, ...] = ()) -> Sta
 
 def cell_5g(cells: DataFrame, oss, report_date, by: tuple[str, ...] = ()) -> Staged:
     """5G cells; NCGI from gNodeB and NR cell."""
-    t = cells.withColumn("ncgi", cell_identity("gnodeb_id", "nr_cell_id"))
+    t = _sources(cells, S.CELL_5G).withColumn("ncgi", cell_identity("gnodeb_id", "nr_cell_id"))
     t = t.withColumn("unique_id", composite_key("gnodeb_function_name", _v(oss), "ncgi"))
     return _finish(S.CELL_5G, t, oss, report_date, _order(SEQ), by)
 
