@@ -98,27 +98,34 @@ def gate_deliveries(subjects: DataFrame, ledger_df: DataFrame | None,
 
 # ---- 2. scan the files of accepted deliveries ------------------------------------------------
 
-def _scan(spark: SparkSession, deliveries: list, file_name: str, preamble: int,
-          **kw) -> DataFrame | None:
-    """One file name across deliveries, tagged with the delivery columns (one plan)."""
-    parts = []
+def _listing(spark: SparkSession, deliveries: list) -> list[tuple[str, str, dict]]:
+    """(path, file name, delivery) for every file of every delivery (one listing per folder)."""
+    out = []
     for d in deliveries:
-        found = list_files(spark, d["folder"], _glob_escape(file_name))
-        if not found:
-            continue
-        parts.append(scan_reports(spark, found, preamble=preamble, **kw).withColumns({
-            DELIVERY: F.lit(d["delivery"]), OSS: F.lit(d["oss"]),
-            DATE: F.lit(d["report_date"].isoformat()), ARRIVAL: F.lit(d["arrival"])}))
-    if not parts:
-        return None
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        for path in list_files(spark, d["folder"]):
+            out.append((path, path.rsplit("/", 1)[-1], d))
+    return out
 
 
-def _glob_escape(name: str) -> str:
-    """A file name as a literal glob; ``*`` alone means every file."""
-    if name == "*":
-        return name
-    return "".join(f"[{c}]" if c in "*?[]{}" else c for c in name)
+def _scan(spark: SparkSession, listing: list, file_name: str, preamble: int,
+          **kw) -> DataFrame | None:
+    """One report file name across all deliveries of a run: a single scan.
+
+    Rows get the delivery columns through a broadcast map keyed by file path
+    (one row per file of the run).  A row whose path is not in the map raises
+    instead of being dropped.
+    """
+    files = [(p, d) for p, n, d in listing if file_name == "*" or n == file_name]
+    if not files:
+        return None
+    rows = scan_reports(spark, [p for p, _ in files], preamble=preamble, **kw)
+    meta = spark.createDataFrame(
+        [(p, d["delivery"], d["oss"], d["report_date"].isoformat(), d["arrival"]) for p, d in files],
+        f"__mpath string, {DELIVERY} string, {OSS} string, {DATE} string, {ARRIVAL} long")
+    key = F.url_decode(F.replace(F.col("_path"), F.lit("+"), F.lit("%2B")))
+    tagged = rows.join(F.broadcast(meta), key == F.col("__mpath"), "left").drop("__mpath")
+    return tagged.withColumn(DELIVERY, F.coalesce(F.col(DELIVERY), F.raise_error(
+        F.concat(F.lit("file not mapped to a delivery: "), F.col("_path"))).cast("string")))
 
 
 # ---- 3. merge and export ---------------------------------------------------------------------
@@ -152,7 +159,11 @@ def _merge_and_export(spark: SparkSession, wh: Warehouse, family: str, staged: P
 # ---- family runners ----------------------------------------------------------------------------
 
 def _run_networks(spark, wh, deliveries, now):
-    f = {name: _scan(spark, deliveries, name, 0 if name == S.NODEB_INFO else 1)
+    listing = _listing(spark, deliveries)
+    with_file: dict[str, set] = {}
+    for _, n, d in listing:
+        with_file.setdefault(n, set()).add(d["delivery"])
+    f = {name: _scan(spark, listing, name, 0 if name == S.NODEB_INFO else 1)
          for name in (*S.NETWORK_FILES, "3G_RNC_List.csv", "CO-MPT 2G.csv", "CO-MPT 3G.csv",
                       "CO-MPT 4G.csv", "CO-MPT 4G_Cell_List.csv")}
     oss, date = F.col(OSS), F.col(DATE)
@@ -179,7 +190,7 @@ def _run_networks(spark, wh, deliveries, now):
     for name, build in builders.items():
         if f[name] is None:
             continue
-        present = [d for d in deliveries if list_files(spark, d["folder"], _glob_escape(name))]
+        present = [d for d in deliveries if d["delivery"] in with_file[name]]
         _merge_and_export(spark, wh, "NETWORKS", build(), present)
     if f[S.NODEB_INFO] is not None:   # exported raw (no table)
         raw = f[S.NODEB_INFO].drop("_file", "_path", "_seq", DELIVERY, ARRIVAL)
@@ -188,25 +199,26 @@ def _run_networks(spark, wh, deliveries, now):
 
 
 def _run_externals(spark, wh, deliveries, now):
+    listing = _listing(spark, deliveries)
     for spec in S.REGISTRY.for_family("EXTERNALS"):
-        df = _scan(spark, deliveries, spec.file_name, 1)
+        df = _scan(spark, listing, spec.file_name, 1)
         if df is None:
             continue
-        present = [d for d in deliveries
-                   if list_files(spark, d["folder"], _glob_escape(spec.file_name))]
+        having = {d["delivery"] for _, n, d in listing if n == spec.file_name}
+        present = [d for d in deliveries if d["delivery"] in having]
         _merge_and_export(spark, wh, "EXTERNALS",
                           P.external(spec, df, F.col(OSS), F.col(DATE), BY), present)
 
 
 def _run_pki(spark, wh, deliveries, now):
-    df = _scan(spark, deliveries, "*", 0)
+    df = _scan(spark, _listing(spark, deliveries), "*", 0)
     if df is None:
         raise FileNotFoundError("PKI delivery without files")
     _merge_and_export(spark, wh, "PKI", P.pki(df, now, BY), deliveries)
 
 
 def _run_logs(spark, wh, deliveries, now):
-    df = _scan(spark, deliveries, "*", 2, footer=1, sep=",")
+    df = _scan(spark, _listing(spark, deliveries), "*", 2, footer=1, sep=",")
     if df is None:
         raise FileNotFoundError("HCMD delivery without files")
     append_table(P.command_log(df, now), wh.append_path(S.COMMAND_LOG.table))
@@ -217,7 +229,7 @@ def _run_generic(spark, wh, deliveries, now):
     for d in deliveries:
         by_name.setdefault(d["report_name"], []).append(d)
     for name, ds in by_name.items():
-        df = _scan(spark, ds, "*", 0)
+        df = _scan(spark, _listing(spark, ds), "*", 0)
         if df is None:
             continue
         parts = [P.generic(df.where(F.col(DELIVERY) == d["delivery"]).drop(DELIVERY, OSS, DATE, ARRIVAL),

@@ -67,11 +67,14 @@ def list_file_sizes(spark: SparkSession, paths: str | Sequence[str],
 
 
 def _local_path(path: str) -> str | None:
-    """The OS path of a local-file URI (``file:``/no scheme), else None."""
-    from urllib.parse import unquote, urlparse
+    """The OS path of a local Hadoop path (``file:``/no scheme), else None.
+
+    Hadoop's ``Path.toString()`` is not percent-encoded, so nothing is decoded.
+    """
+    from urllib.parse import urlparse
     u = urlparse(path)
     if u.scheme in ("", "file"):
-        return unquote(u.path)
+        return u.path
     return None
 
 
