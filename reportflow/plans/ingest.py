@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 
 from reportflow.functions.dates import parse_subject, try_report_date
 from reportflow.operators import gates, ledger
-from reportflow.operators.setops import append
 from reportflow.operators.upsert import merge_snapshot
 from reportflow.plans import pipelines as P
 from reportflow.plans import specs as S
@@ -232,9 +231,8 @@ def _run_generic(spark, wh, deliveries, now):
         df = _scan(spark, _listing(spark, ds), "*", 0)
         if df is None:
             continue
-        parts = [P.generic(df.where(F.col(DELIVERY) == d["delivery"]).drop(DELIVERY, OSS, DATE, ARRIVAL),
-                           d["oss"], now) for d in ds]
-        append_table(append(*parts), wh.append_path(P.generic_table_name(name)))
+        rows = P.generic(df, F.col(OSS), now, meta=(DELIVERY, OSS, DATE, ARRIVAL))
+        append_table(rows, wh.append_path(P.generic_table_name(name)))
 
 
 RUNNERS = {"NETWORKS": _run_networks, "EXTERNALS": _run_externals, "PKI": _run_pki,

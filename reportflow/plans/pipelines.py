@@ -289,16 +289,18 @@ def pki(report: DataFrame, insert_time: dt.datetime, by: tuple[str, ...] = ()) -
     return Staged(spec, rows)
 
 
-def generic(report: DataFrame, oss, insert_time: dt.datetime) -> DataFrame:
+def generic(report: DataFrame, oss, insert_time: dt.datetime,
+            meta: tuple[str, ...] = ()) -> DataFrame:
     """Any report; a file loads only if it has at least one complete row.
 
     Returns text rows plus ``oss`` and ``insert_time``; the target table is the
-    canonical report name (``functions.text.table_name``).
+    canonical report name (``functions.text.table_name``).  ``meta`` names
+    further non-report columns (e.g. delivery columns of a batch).
     """
-    data_cols = [c for c in report.columns if c not in META]
+    data_cols = [c for c in report.columns if c not in META and c not in meta]
     t = complete_row_gate(report, [PATH], data_cols)
-    t = t.select(*[_col(c) for c in data_cols]).withColumns({
-        "oss": _v(oss), "insert_time": F.lit(insert_time.strftime("%Y-%m-%d %H:%M:%S"))})
+    t = t.select(*[_col(c) for c in data_cols], _v(oss).alias("oss"),
+                 F.lit(insert_time.strftime("%Y-%m-%d %H:%M:%S")).alias("insert_time"))
     return all_text(t)
 
 
