@@ -154,25 +154,33 @@ def _read_group(spark: SparkSession, heads: list[FileHead], multiline: bool,
                   decoded_name(F.col("_metadata.file_name")).alias(FILE),
                   # order inside a file: the split it came from, then the row's place in
                   # the task (a split is read in order); valid whether or not files are split
-                  F.struct(F.col("_metadata.file_block_start").alias("block"),
-                           F.monotonically_increasing_id().alias("row")).alias(SEQ)))
-    # Per file, in one aggregate (one row per file): the position of the header row,
-    # located by its text, and the position of the last row.  Rows up to the
-    # header (preamble, header) and the last ``footer`` rows are dropped.
+                  F.col("_metadata.file_block_start").alias("__block"),
+                  F.monotonically_increasing_id().alias("__row")))
+    # Header and last-row positions.  First per (file, split), with fixed-width
+    # longs (hash aggregate, combined map-side), then per file over that small
+    # result.  The header row is located by its text; it sits in the first split.
     is_header = reduce(lambda a, b: a & b,
                        [F.col(f"c{i}").eqNullSafe(F.lit(v if v != "" else None))
                         for i, v in enumerate(raw)])
-    bounds = df.groupBy(PATH).agg(F.min(F.when(is_header, F.col(SEQ))).alias("__hdr"),
-                                  F.max(SEQ).alias("__last"))
-    body = df.join(bounds, on=PATH, how="inner").where(F.col(SEQ) > F.col("__hdr"))
+    per_split = df.groupBy(PATH, "__block").agg(
+        F.min(F.when(is_header, F.col("__row"))).alias("__hdr_row"),
+        F.max("__row").alias("__last_row"))
+    bounds = per_split.groupBy(PATH).agg(
+        F.min(F.when(F.col("__block") == 0, F.col("__hdr_row"))).alias("__hdr"),
+        F.max(F.struct("__block", "__last_row")).alias("__last"))
+    pos = F.struct("__block", "__row")
+    body = (df.join(bounds, on=PATH, how="inner")
+            .where(pos > F.struct(F.lit(0).cast("bigint"), F.col("__hdr"))))
     if footer == 1:
-        body = body.where(F.col(SEQ) < F.col("__last"))
+        body = body.where(pos < F.col("__last"))
     elif footer > 1:
-        # the last ``footer`` rows of each file: rank from the end (files are small groups)
+        # the last ``footer`` rows of each file: rank from the end
         from pyspark.sql import Window
-        w = Window.partitionBy(PATH).orderBy(F.col(SEQ).desc())
+        w = Window.partitionBy(PATH).orderBy(F.col("__block").desc(), F.col("__row").desc())
         body = body.withColumn("__from_end", F.row_number().over(w)).where(
             F.col("__from_end") > footer)
+    body = body.withColumn(SEQ, F.struct(F.col("__block").alias("block"),
+                                         F.col("__row").alias("row")))
     return body.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)],
                        FILE, PATH, SEQ)
 
