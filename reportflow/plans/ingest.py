@@ -81,19 +81,46 @@ def gate_deliveries(subjects: DataFrame, ledger_df: DataFrame | None,
         ledger_df = ok.sparkSession.createDataFrame([], ledger.LEDGER_SCHEMA)
     gated = gates.watermark_gate(ok, ledger.last_success(ledger_df))
     # earlier deliveries of the run raise the watermark for later ones
-    w = (Window.partitionBy("report_name", "oss").orderBy("arrival")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    prior = F.max("report_date").over(w)
+    gated = prior_max(gated, ["report_name", "oss"], "arrival", "report_date", "__prior")
+    prior = F.col("__prior")
     mark = F.greatest(F.col("last_date"), prior)
     inclusive = F.col("report_name").isin(*gates.INCLUSIVE_FAMILIES)
     accepted = (mark.isNull() | F.when(inclusive, F.col("report_date") >= mark)
                 .otherwise(F.col("report_date") > mark))
-    gated = gated.withColumn("accepted", F.coalesce(accepted, F.lit(False)))
+    gated = gated.withColumn("accepted", F.coalesce(accepted, F.lit(False))).drop("__prior")
     rejected = (parsed.where(F.col("status") != "ok")
                 .withColumns({"last_date": F.lit(None).cast("date"), "accepted": F.lit(False)}))
     return gated.unionByName(rejected)
 
 
+def prior_max(df: DataFrame, group: list[str], order: str, value: str, out: str,
+              bucket: int = 1 << 16) -> DataFrame:
+    """``out`` = max of ``value`` over the rows of the same group with a smaller ``order``.
+
+    A distributed prefix maximum: ``order`` is cut into buckets of ``bucket``
+    values; a window runs inside each (group, bucket), so no task holds more
+    than one bucket of a group however large the group is; the maxima of
+    earlier buckets come from a window over the per-bucket maxima (one row per
+    bucket), joined back.
+    """
+    b = F.floor(F.col(order) / F.lit(bucket)).alias("__bucket")
+    df = df.withColumn("__bucket", b)
+    inside = (Window.partitionBy(*group, "__bucket").orderBy(order)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    df = df.withColumn("__in", F.max(value).over(inside))
+    per_bucket = df.groupBy(*group, "__bucket").agg(F.max(value).alias("__bmax"))
+    before = (Window.partitionBy(*group).orderBy("__bucket")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    per_bucket = per_bucket.withColumn("__before", F.max("__bmax").over(before)).drop("__bmax")
+    pb = per_bucket.select(*[F.col(g).alias(f"__pb_{g}") for g in group],
+                           F.col("__bucket").alias("__pb_bucket"), "__before")
+    on = [F.col(g).eqNullSafe(F.col(f"__pb_{g}")) for g in group] + [
+        F.col("__bucket") == F.col("__pb_bucket")]
+    res = df.join(pb, on, "left").drop(*[f"__pb_{g}" for g in group], "__pb_bucket")
+    return (res.withColumn(out, F.greatest(F.col("__before"), F.col("__in")))
+            .drop("__bucket", "__in", "__before"))
+
+
 # ---- 2. scan the files of accepted deliveries ------------------------------------------------
 
 def _listing(spark: SparkSession, deliveries: list) -> list[tuple[str, str, dict]]:
