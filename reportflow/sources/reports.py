@@ -156,29 +156,32 @@ def _read_group(spark: SparkSession, heads: list[FileHead], multiline: bool,
                   # the task (a split is read in order); valid whether or not files are split
                   F.col("_metadata.file_block_start").alias("__block"),
                   F.monotonically_increasing_id().alias("__row")))
-    # Header and last-row positions.  First per (file, split), with fixed-width
-    # longs (hash aggregate, combined map-side), then per file over that small
-    # result.  The header row is located by its text; it sits in the first split.
+    # Positions per (file, split), as fixed-width longs (hash aggregate, combined
+    # map-side): the header row (located by its text; it sits in the first split),
+    # the split's last row id and its row count.  Row ids inside a split are
+    # consecutive, so a row's distance from the end of its file is the number of
+    # rows in later splits plus (last row id of its split - its row id).  The
+    # per-split table is small (one row per split) and joins back.
     is_header = reduce(lambda a, b: a & b,
                        [F.col(f"c{i}").eqNullSafe(F.lit(v if v != "" else None))
                         for i, v in enumerate(raw)])
     per_split = df.groupBy(PATH, "__block").agg(
         F.min(F.when(is_header, F.col("__row"))).alias("__hdr_row"),
-        F.max("__row").alias("__last_row"))
-    bounds = per_split.groupBy(PATH).agg(
-        F.min(F.when(F.col("__block") == 0, F.col("__hdr_row"))).alias("__hdr"),
-        F.max(F.struct("__block", "__last_row")).alias("__last"))
+        F.max("__row").alias("__last_row"), F.count(F.lit(1)).alias("__n"))
+    from pyspark.sql import Window
+    later = (Window.partitionBy(PATH).orderBy(F.col("__block").desc())
+             .rowsBetween(Window.unboundedPreceding, -1))
+    per_split = per_split.select(
+        PATH, "__block", "__last_row",
+        F.min(F.when(F.col("__block") == 0, F.col("__hdr_row")))
+         .over(Window.partitionBy(PATH)).alias("__hdr"),
+        F.coalesce(F.sum("__n").over(later), F.lit(0)).alias("__after"))
     pos = F.struct("__block", "__row")
-    body = (df.join(bounds, on=PATH, how="inner")
+    body = (df.join(per_split, on=[PATH, "__block"], how="inner")
             .where(pos > F.struct(F.lit(0).cast("bigint"), F.col("__hdr"))))
-    if footer == 1:
-        body = body.where(pos < F.col("__last"))
-    elif footer > 1:
-        # the last ``footer`` rows of each file: rank from the end
-        from pyspark.sql import Window
-        w = Window.partitionBy(PATH).orderBy(F.col("__block").desc(), F.col("__row").desc())
-        body = body.withColumn("__from_end", F.row_number().over(w)).where(
-            F.col("__from_end") > footer)
+    if footer > 0:
+        from_end = F.col("__after") + (F.col("__last_row") - F.col("__row"))
+        body = body.where(from_end >= footer)
     body = body.withColumn(SEQ, F.struct(F.col("__block").alias("block"),
                                          F.col("__row").alias("row")))
     return body.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)],

@@ -58,3 +58,17 @@ def test_split_large_file_matches_whole_read(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == rows(whole.select("a", "b", "c"))
     assert len(got) == 400 and ("0", "v0", "0") in got and ("399", "v399", "1197") in got
+
+
+def test_footer_of_several_rows_across_splits(spark, tmp_path):
+    lines = ["pre", "a,b"] + [f"{i},x" for i in range(300)] + ["f1,", "f2,", "f3,"]
+    write_report(str(tmp_path / "ft" / "x.csv"), lines)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        got = scan_reports(spark, str(tmp_path / "ft"), preamble=1, footer=3)
+        assert got.rdd.getNumPartitions() > 1
+        vals = sorted(int(r.a) for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert vals == list(range(300))
