@@ -39,12 +39,12 @@ def leak_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     may_mail = t.contains("@")
     low = F.lower(t)
     may_marker = low.contains("/app/users/") | low.contains("outlook-") | low.contains("webmail-")
-    ip = F.when(may_ip & t.rlike(PRIVATE_IPV4),
-                F.array(F.struct(F.lit(RULE_IP).alias("rule"),
-                                 F.regexp_extract(t, PRIVATE_IPV4, 0).alias("match"))))
-    marker = F.when(may_marker & t.rlike(INTERNAL_MARKER),
-                    F.array(F.struct(F.lit(RULE_MARKER).alias("rule"),
-                                     F.regexp_extract(t, INTERNAL_MARKER, 0).alias("match"))))
+    # one regex pass per rule: a rule's match is never empty, so '' means "no finding"
+    ip_m = F.when(may_ip, F.regexp_extract(t, PRIVATE_IPV4, 0))
+    mark_m = F.when(may_marker, F.regexp_extract(t, INTERNAL_MARKER, 0))
+    ip = F.when(ip_m != "", F.array(F.struct(F.lit(RULE_IP).alias("rule"), ip_m.alias("match"))))
+    marker = F.when(mark_m != "", F.array(F.struct(F.lit(RULE_MARKER).alias("rule"),
+                                                   mark_m.alias("match"))))
     mails = F.when(may_mail, F.transform(
         F.filter(F.regexp_extract_all(t, F.lit(EMAIL), 0),
                  lambda m: ~F.lower(m).endswith(EXAMPLE_SUFFIX)),
