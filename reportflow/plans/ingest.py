@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reportflow.functions.dates import parse_subject, try_report_date
+from reportflow.functions.dates import try_report_date, with_subject
 from reportflow.operators import gates, ledger
 from reportflow.operators.upsert import merge_snapshot
 from reportflow.plans import pipelines as P
@@ -66,8 +66,7 @@ class Warehouse:
 def gate_deliveries(subjects: DataFrame, ledger_df: DataFrame | None,
                     regions: list[str]) -> DataFrame:
     """Parsed and gated deliveries (``subject``, ``folder``, ``arrival`` in)."""
-    parsed = subjects.withColumn("__p", parse_subject(F.col("subject"), regions)).select(
-        "*", "__p.*").drop("__p")
+    parsed = with_subject(subjects, "subject", regions)
     parsed = parsed.withColumn("report_date", try_report_date("report_date_text"))
     parsed = parsed.withColumn("status", F.when(
         (F.col("status") == "ok") & F.col("report_date").isNull(), F.lit("bad_date"))
@@ -76,21 +75,23 @@ def gate_deliveries(subjects: DataFrame, ledger_df: DataFrame | None,
     parsed = parsed.withColumns({
         "family": F.when(name.isin(*S.FAMILIES), name).otherwise(F.lit("GENERIC")),
         "report_name": name, "oss": F.upper("oss")})
-    ok = parsed.where(F.col("status") == "ok")
     if ledger_df is None:
-        ledger_df = ok.sparkSession.createDataFrame([], ledger.LEDGER_SCHEMA)
-    gated = gates.watermark_gate(ok, ledger.last_success(ledger_df))
+        ledger_df = parsed.sparkSession.createDataFrame([], ledger.LEDGER_SCHEMA)
+    # No filter on the parse status: a pushed-down filter would inline (and so
+    # repeat) the subject split.  Rows that are not 'ok' take part with a null
+    # date, so they neither pass the gate nor raise anybody's watermark.
+    ok = F.col("status") == "ok"
+    parsed = parsed.withColumn("__gate_date", F.when(ok, F.col("report_date")))
+    gated = gates.watermark_gate(parsed, ledger.last_success(ledger_df))
+    gated = gated.withColumn("last_date", F.when(ok, F.col("last_date")))
     # earlier deliveries of the run raise the watermark for later ones
-    gated = prior_max(gated, ["report_name", "oss"], "arrival", "report_date", "__prior")
-    prior = F.col("__prior")
-    mark = F.greatest(F.col("last_date"), prior)
+    gated = prior_max(gated, ["report_name", "oss"], "arrival", "__gate_date", "__prior")
+    mark = F.greatest(F.col("last_date"), F.col("__prior"))
     inclusive = F.col("report_name").isin(*gates.INCLUSIVE_FAMILIES)
-    accepted = (mark.isNull() | F.when(inclusive, F.col("report_date") >= mark)
-                .otherwise(F.col("report_date") > mark))
-    gated = gated.withColumn("accepted", F.coalesce(accepted, F.lit(False))).drop("__prior")
-    rejected = (parsed.where(F.col("status") != "ok")
-                .withColumns({"last_date": F.lit(None).cast("date"), "accepted": F.lit(False)}))
-    return gated.unionByName(rejected)
+    accepted = ok & (mark.isNull() | F.when(inclusive, F.col("report_date") >= mark)
+                     .otherwise(F.col("report_date") > mark))
+    return (gated.withColumn("accepted", F.coalesce(accepted, F.lit(False)))
+            .drop("__prior", "__gate_date"))
 
 
 def prior_max(df: DataFrame, group: list[str], order: str, value: str, out: str,

@@ -7,13 +7,9 @@ the ledger and given its ledger row in one set of Spark jobs.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reportflow.functions.dates import parse_subject, try_report_date
-from reportflow.operators import gates, ledger
 from reportflow.plans import specs
 from reportflow.sources.reports import FILE, listing, scan_reports
 
@@ -53,24 +49,14 @@ def dispatch_scan(spark: SparkSession, landing: str, family: str = "NETWORKS",
 
 
 def route_deliveries(subjects: DataFrame, ledger_df: DataFrame, regions: list[str],
-                     now: dt.datetime, subject_col: str = "subject") -> DataFrame:
+                     subject_col: str = "subject") -> DataFrame:
     """Parse subjects, gate them against the ledger and describe each delivery.
 
-    Output columns: the parsed subject, ``report_date``, ``family``, ``status``
-    (``ok`` / quarantine reason), ``last_date`` and ``accepted``.
+    ``subjects`` holds the subject, the delivery folder and the arrival order
+    (``arrival``).  Output: the parsed subject, ``report_date``, ``family``,
+    ``status`` (``ok`` / quarantine reason), ``last_date`` and ``accepted``.
     """
-    parsed = subjects.withColumn("__p", parse_subject(F.col(subject_col), regions)).select(
-        "*", "__p.*").drop("__p")
-    parsed = parsed.withColumn("report_date", try_report_date("report_date_text"))
-    parsed = parsed.withColumn(
-        "status", F.when((F.col("status") == "ok") & F.col("report_date").isNull(),
-                         F.lit("bad_date")).otherwise(F.col("status")))
-    fam = F.upper("report_name")
-    parsed = parsed.withColumn(
-        "family", F.when(fam.isin(*specs.FAMILIES), fam).otherwise(F.lit("GENERIC")))
-    good = parsed.where(F.col("status") == "ok")
-    gated = gates.watermark_gate(good, ledger.last_success(ledger_df))
-    rejected = (parsed.where(F.col("status") != "ok")
-                .withColumns({"last_date": F.lit(None).cast("date"),
-                              "accepted": F.lit(False)}))
-    return gated.unionByName(rejected)
+    from reportflow.plans.ingest import gate_deliveries
+    if subject_col != "subject":
+        subjects = subjects.withColumnRenamed(subject_col, "subject")
+    return gate_deliveries(subjects, ledger_df, regions)

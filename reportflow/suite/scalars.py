@@ -340,10 +340,8 @@ FROM (SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS STRING) AS iso,
 
 def q_subject_parse(spark, d):
     """Subject -> (report id, region, report name, date text, status)."""
-    r = recipe(spark, d, SUBJECTS)
-    return r.select("o_orderkey", "subject",
-                    dates.parse_subject("subject", REGIONS).alias("p")).select(
-        "o_orderkey", "subject", "p.*")
+    r = recipe(spark, d, SUBJECTS).select("o_orderkey", "subject")
+    return dates.with_subject(r, "subject", REGIONS)
 
 
 query("q_subject_parse", with_ctes({"r": SUBJECTS}, """
