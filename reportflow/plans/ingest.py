@@ -247,7 +247,11 @@ def _run_logs(spark, wh, deliveries, now):
     df = _scan(spark, _listing(spark, deliveries), "*", 2, footer=1, sep=",")
     if df is None:
         raise FileNotFoundError("HCMD delivery without files")
-    append_table(P.command_log(df, now), wh.append_path(S.COMMAND_LOG.table))
+    rows = P.command_log(df, now, keep=(OSS, DATE, "_file")).withColumnsRenamed(
+        {OSS: "report_oss", DATE: "report_date", "_file": "source_file"})
+    # a re-sent log file (same region, date and name) replaces its own partition
+    append_table(rows, wh.append_path(S.COMMAND_LOG.table),
+                 partition_by=["report_oss", "report_date", "source_file"], replace_partitions=True)
 
 
 def _run_generic(spark, wh, deliveries, now):

@@ -254,7 +254,7 @@ LOG_RENAMES = {"operation_command": "org_cmd", "operator_name": "operator", "ip_
                "operation_time": "start_time", "operation_end_time": "end_time"}
 
 
-def command_log(logs: DataFrame, insert_time: dt.datetime) -> DataFrame:
+def command_log(logs: DataFrame, insert_time: dt.datetime, keep: tuple[str, ...] = ()) -> DataFrame:
     """Command logs -> table rows (text, prefixed); appended, not merged.
 
     ``logs`` is a scan with two preamble lines and the footer row removed.
@@ -262,8 +262,9 @@ def command_log(logs: DataFrame, insert_time: dt.datetime) -> DataFrame:
     command text, class and operator code are derived; the BSC is the file
     name before its first underscore.
     """
-    data_cols = [c for c in logs.columns if c not in META]
-    t = logs.select(*[trim_unicode(c).alias(c) for c in data_cols], *META)
+    data_cols = [c for c in logs.columns if c not in META and c not in keep]
+    t = logs.select(*[trim_unicode(c).alias(c) for c in data_cols], *META,
+                    *[_col(k) for k in keep if k not in META])
     t = rename(t, LOG_RENAMES)
     t = drop_matching(t, "org_cmd")
     t = t.withColumn("cmd", cmdf.command_text("org_cmd"))
@@ -273,7 +274,8 @@ def command_log(logs: DataFrame, insert_time: dt.datetime) -> DataFrame:
                        "insert_time": F.lit(insert_time.strftime("%Y-%m-%d %H:%M:%S"))})
     spec = S.COMMAND_LOG
     t = _ensure(t, spec.table_columns)
-    return all_text(t.select(*[_col(c).alias(f"{spec.table}_{c}") for c in spec.table_columns]))
+    return all_text(t.select(*[_col(c).alias(f"{spec.table}_{c}") for c in spec.table_columns],
+                             *[_col(k) for k in keep]))
 
 
 def pki(report: DataFrame, insert_time: dt.datetime, by: tuple[str, ...] = ()) -> Staged:

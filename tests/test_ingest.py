@@ -151,3 +151,25 @@ def test_exports_and_ledger(run):
     sent = {(r.report_name, r.report_oss): r.email_sent for r in led}
     assert sent[("NETWORKS", "REGION_A")] == 1 and sent[("NETWORKS", "REGION_B")] == 1
     assert sent[("EXTERNALS", "REGION_A")] == 0
+
+
+def test_rerun_is_idempotent(run):
+    spark, wh, _ = run
+    before = {t: wh.table(spark, t).read().count()
+              for t in ("huawei_2g_site", "huawei_2g_ext_to_2g", "pki_project")}
+    logs_before = spark.read.parquet(wh.append_path("huawei_log")).count()
+    # the same deliveries again: NETWORKS/PKI are rejected (strict gate), EXTERNALS and HCMD
+    # (inclusive) are loaded again and must not duplicate anything
+    root = wh.root.rsplit("/", 1)[0]
+    subjects = spark.createDataFrame([
+        ("[Report][REGION_A][NETWORKS][2024-01-02]", f"{root}/landing/netA", 11),
+        ("[Report][REGION_A][EXTERNALS][2024-01-02]", f"{root}/landing/extA", 12),
+        ("[Report][PKI][2024-01-02]", f"{root}/landing/pki", 13),
+        ("[Report][REGION_A][HCMD][2024-01-02]", f"{root}/landing/logs", 14),
+    ], "subject string, folder string, arrival long")
+    gate = {r.arrival: r.accepted for r in
+            ingest(spark, subjects, wh.root, ["REGION_A", "REGION_B"], NOW).collect()}
+    assert gate == {11: False, 12: True, 13: False, 14: True}
+    after = {t: wh.table(spark, t).read().count() for t in before}
+    assert after == before
+    assert spark.read.parquet(wh.append_path("huawei_log")).count() == logs_before
