@@ -23,6 +23,7 @@ Only delivery metadata (a few rows per run) is brought to the driver.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -164,6 +165,13 @@ def _merge_and_export(spark: SparkSession, wh: Warehouse, family: str, staged: P
                                    d["arrival"]) for d in deliveries],
                                  f"{DELIVERY} string, {OSS} string, {DATE} string, {ARRIVAL} long")
     tagged = rows.join(F.broadcast(meta), on=DELIVERY, how="inner")     # a few rows per run
+    # The staged delivery feeds both the merge and the export: write it once to a
+    # staging table in the shared warehouse and read it back.  The reports are
+    # parsed once, and the lineage is cut (a lost executor later re-reads Parquet,
+    # not the report files).
+    staging = f"{wh.root}/staging/{spec.table}/{uuid.uuid4().hex}"
+    tagged.write.parquet(staging)
+    tagged = spark.read.parquet(staging)
     ordered = tagged.withColumn("__bseq", F.struct(ARRIVAL, P.ORDER))
     payload = [c for c in rows.columns if c not in (P.ORDER, DELIVERY)]
     key = spec.key if spec.table == S.PKI.table else f"{spec.table}_{spec.key}"
