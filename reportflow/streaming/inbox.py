@@ -51,3 +51,29 @@ def append_to(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], Non
     def route(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("append").format(fmt).save(path)
     return route
+
+
+MANIFEST_SCHEMA = T.StructType([
+    T.StructField("subject", T.StringType()),
+    T.StructField("folder", T.StringType()),
+    T.StructField("arrival", T.LongType()),
+])
+
+
+def ingest_stream(spark: SparkSession, manifests: str, warehouse_root: str, regions: list[str],
+                  checkpoint: str, clock: Callable[[], object], today=None) -> None:
+    """Every delivery manifest landing under ``manifests`` is ingested once.
+
+    A manifest is a JSON-lines file of (subject, folder, arrival), one line per
+    delivery (the mail-box loop of the reference becomes a landing folder).
+    Each micro-batch of new manifests runs ``plans.ingest.ingest``; the
+    checkpoint makes a restarted stream skip manifests already handled.
+    """
+    from reportflow.plans.ingest import ingest
+
+    def route(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        ingest(spark, batch, warehouse_root, regions, clock(), today=today)
+
+    consume_once(spark, manifests, MANIFEST_SCHEMA, checkpoint, route=route, fmt="json")

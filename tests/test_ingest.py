@@ -173,3 +173,24 @@ def test_rerun_is_idempotent(run):
     after = {t: wh.table(spark, t).read().count() for t in before}
     assert after == before
     assert spark.read.parquet(wh.append_path("huawei_log")).count() == logs_before
+
+
+def test_ingest_stream_consumes_manifests_once(spark, tmp_path):
+    import json
+
+    from fixtures import write_csv
+    from reportflow.streaming.inbox import ingest_stream
+    land = tmp_path / "land"
+    write_csv(str(land / "g1" / "plan.csv"), ["Week", "Owner"], [["1", "ana"]], preamble=())
+    (tmp_path / "manifests").mkdir()
+    with open(tmp_path / "manifests" / "m1.json", "w") as fh:
+        fh.write(json.dumps({"subject": "[Report][Rota][2024-01-02]", "folder": str(land / "g1"),
+                             "arrival": 1}) + "\n")
+    wh = str(tmp_path / "wh")
+    ckpt = str(tmp_path / "ckpt")
+    for _ in range(2):    # the second run finds no new manifest
+        ingest_stream(spark, str(tmp_path / "manifests"), wh, ["REGION_A"], ckpt, lambda: NOW)
+    rows = spark.read.parquet(Warehouse(wh).append_path("rota")).collect()
+    assert [(r.week, r.owner) for r in rows] == [("1", "ana")]
+    led = Warehouse(wh).ledger(spark).read().collect()
+    assert [(r.report_name, r.error_code) for r in led] == [("ROTA", "200")]
