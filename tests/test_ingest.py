@@ -194,3 +194,35 @@ def test_ingest_stream_consumes_manifests_once(spark, tmp_path):
     assert [(r.week, r.owner) for r in rows] == [("1", "ana")]
     led = Warehouse(wh).ledger(spark).read().collect()
     assert [(r.report_name, r.error_code) for r in led] == [("ROTA", "200")]
+
+
+def test_snapshot_dates_across_runs(spark, tmp_path):
+    """Same date merges regions; a newer date replaces the current snapshot."""
+    def site_delivery(folder, names):
+        write_csv(str(folder / "2G_Site_List.csv"), ["bsc_name", "bts_index", "bts_name"],
+                  [[f"BSC-{folder.name}", str(i), n] for i, n in enumerate(names)])
+        write_csv(str(folder / "CO-MPT 2G.csv"), ["gbts_function_name", "ne_name", "product_version"],
+                  [[names[0], "SR", "V1SP2"]])
+
+    site_delivery(tmp_path / "a1", ["SA1", "SA2"])
+    site_delivery(tmp_path / "b1", ["SB1"])
+    site_delivery(tmp_path / "a2", ["SA9"])
+    wh = str(tmp_path / "wh")
+    runs = [("[Report][REGION_A][NETWORKS][2024-01-02]", "a1"),
+            ("[Report][REGION_B][NETWORKS][2024-01-02]", "b1"),
+            ("[Report][REGION_A][NETWORKS][2024-01-03]", "a2")]
+    seen = []
+    for i, (subject, folder) in enumerate(runs):
+        subj = spark.createDataFrame([(subject, str(tmp_path / folder), i)],
+                                     "subject string, folder string, arrival long")
+        ingest(spark, subj, wh, ["REGION_A", "REGION_B"], NOW)
+        tbl = Warehouse(wh).table(spark, "huawei_2g_site").read()
+        seen.append(sorted((r.huawei_2g_site_bts_name, r.huawei_2g_site_update_date)
+                           for r in tbl.collect()))
+    assert seen == [
+        [("SA1", "2024-01-02"), ("SA2", "2024-01-02")],
+        [("SA1", "2024-01-02"), ("SA2", "2024-01-02"), ("SB1", "2024-01-02")],
+        [("SA9", "2024-01-03")],
+    ]
+    # every run left its own version; the first one is still readable
+    assert len(Warehouse(wh).table(spark, "huawei_2g_site").versions()) == 3
