@@ -55,6 +55,10 @@ def list_file_sizes(spark: SparkSession, paths: str | Sequence[str],
     """(path, size) of every file under ``paths`` (directories, globs or files)."""
     out: list[tuple[str, int]] = []
     for p in [paths] if isinstance(paths, str) else list(paths):
+        local = _local_path(p)
+        if local is not None:               # local folder: plain Python listing
+            out.extend(_list_local(local, pattern))
+            continue
         fs, jp = hadoop_fs(spark, p)
         if fs.exists(jp) and fs.getFileStatus(jp).isDirectory():
             statuses = fs.globStatus(jp.suffix("/" + pattern))
@@ -66,6 +70,15 @@ def list_file_sizes(spark: SparkSession, paths: str | Sequence[str],
     return sorted(out)
 
 
+def _list_local(path: str, pattern: str) -> list[tuple[str, int]]:
+    import glob
+    import os
+    names = glob.glob(os.path.join(glob.escape(path), pattern)) if os.path.isdir(path) \
+        else glob.glob(path)
+    return [("file:" + os.path.abspath(n), os.path.getsize(n)) for n in names
+            if os.path.isfile(n) and not os.path.basename(n).startswith(("_", "."))]
+
+
 def _local_path(path: str) -> str | None:
     """The OS path of a local Hadoop path (``file:``/no scheme), else None.
 
@@ -213,7 +226,7 @@ def scan_reports(spark: SparkSession, paths: str | Sequence[str], preamble: int
     files = list_file_sizes(spark, paths, pattern)
     if not files:
         raise FileNotFoundError(f"no report files under {paths}")
-    fs, _ = hadoop_fs(spark, files[0][0])
+    fs = None if _local_path(files[0][0]) is not None else hadoop_fs(spark, files[0][0])[0]
     heads = [read_head(spark, p, preamble, sep, fs=fs, size=n) for p, n in files]
     split_above = _split_threshold(spark) if multiline is None else None
     groups: dict[tuple, list[FileHead]] = {}
