@@ -28,6 +28,8 @@ LEDGER_SCHEMA = T.StructType([
 SUCCESS = ("200", "SUCCESS", "")
 FAILURE = ("500", "INTERNAL ERROR", "Code Bug")
 READY_THRESHOLD = 2
+# The report families whose dumps are released after enough deliveries.
+RELEASED_REPORTS = ("NETWORKS", "EXTERNALS", "PKI")
 
 
 def last_success(ledger: DataFrame) -> DataFrame:
@@ -72,10 +74,17 @@ def ledger_rows(outcomes: DataFrame, now: dt.datetime, name: str = "report_name"
     )
 
 
-def mark_sent(ledger: DataFrame, today: dt.date, threshold: int = READY_THRESHOLD) -> DataFrame:
-    """The ledger with ``email_sent=1`` on pending rows of ready reports (U4)."""
-    ready = (batch_ready(ledger, today, threshold).where("ready")
-             .select("report_name", F.lit(True).alias("__ready")))
+def mark_sent(ledger: DataFrame, today: dt.date, threshold: int = READY_THRESHOLD,
+              reports: tuple[str, ...] | None = None) -> DataFrame:
+    """The ledger with ``email_sent=1`` on pending rows of ready reports (U4).
+
+    ``reports`` limits the step to the named reports (those whose dumps are
+    released, and only when one of their deliveries was just loaded).
+    """
+    ready = batch_ready(ledger, today, threshold).where("ready")
+    if reports is not None:
+        ready = ready.where(F.col("report_name").isin(*reports))
+    ready = ready.select("report_name", F.lit(True).alias("__ready"))
     out = ledger.join(ready, on="report_name", how="left")
     flag = F.when(_pending(today) & F.coalesce(F.col("__ready"), F.lit(False)), F.lit(1)) \
         .otherwise(F.col("email_sent")).cast("int")

@@ -314,6 +314,8 @@ def ingest(spark: SparkSession, subjects: DataFrame, warehouse_root: str, region
             outcomes, "report_name string, oss string, report_date_text string, ok boolean"), now)
         full = new_rows if current is None else current.unionByName(new_rows)
         if today is not None:
-            full = ledger.mark_sent(full, today, threshold)
+            loaded = tuple(sorted({d["report_name"] for d in accepted
+                                   if d["report_name"] in ledger.RELEASED_REPORTS}))
+            full = ledger.mark_sent(full, today, threshold, reports=loaded)
         ledger_tbl.commit(full)
     return gated.drop(DELIVERY)

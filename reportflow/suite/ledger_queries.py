@@ -98,12 +98,14 @@ FROM o"""))(q_ledger_append)
 
 
 def q_mark_sent(spark, d):
-    """U4: pending rows of reports that reached the threshold are marked sent."""
-    return ledger.mark_sent(recipe(spark, d, LEDGER), TODAY, 2)
+    """U4: pending rows of released reports that reached the threshold are marked sent."""
+    return ledger.mark_sent(recipe(spark, d, LEDGER), TODAY, 2, reports=ledger.RELEASED_REPORTS)
 
 
+_RELEASED = ", ".join(f"'{r}'" for r in ledger.RELEASED_REPORTS)
 query("q_mark_sent", with_ctes({"l": LEDGER}, f"""
-, r AS (SELECT report_name FROM l WHERE {_PENDING} GROUP BY report_name HAVING count(*) >= 2)
+, r AS (SELECT report_name FROM l WHERE {_PENDING} AND report_name IN ({_RELEASED})
+        GROUP BY report_name HAVING count(*) >= 2)
 SELECT l.report_name, report_oss, report_date, error_code, error_type, description, ingest_date,
        CAST(CASE WHEN {_PENDING} AND r.report_name IS NOT NULL THEN 1 ELSE email_sent END AS INTEGER)
          AS email_sent

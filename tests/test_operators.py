@@ -170,3 +170,15 @@ def test_projection_helpers(spark):
     assert project.prefix_columns(df, "t").columns == ["t_a", "t_b", "t_c"]
     u = setops.append(df.select("a"), df.select("c"))
     assert u.columns == ["a", "c"] and u.count() == 2
+
+
+def test_mark_sent_limited_to_released_reports(spark):
+    led = spark.createDataFrame([
+        ("HCMD", "A", dt.date(2024, 1, 2), "200", "SUCCESS", "", None, 0),
+        ("HCMD", "B", dt.date(2024, 1, 2), "200", "SUCCESS", "", None, 0),
+        ("PKI", "", dt.date(2024, 1, 2), "200", "SUCCESS", "", None, 0),
+        ("PKI", "", dt.date(2024, 1, 3), "200", "SUCCESS", "", None, 0),
+    ], ledger.LEDGER_SCHEMA)
+    out = ledger.mark_sent(led, dt.date(2024, 1, 1), reports=ledger.RELEASED_REPORTS)
+    assert sorted((r.report_name, r.email_sent) for r in out.collect()) == [
+        ("HCMD", 0), ("HCMD", 0), ("PKI", 1), ("PKI", 1)]
