@@ -270,8 +270,12 @@ def _run_generic(spark, wh, deliveries, now):
         df = _scan(spark, _listing(spark, ds), "*", 0)
         if df is None:
             continue
-        rows = P.generic(df, F.col(OSS), now, meta=(DELIVERY, OSS, DATE, ARRIVAL))
-        append_table(rows, wh.append_path(P.generic_table_name(name)))
+        rows = P.generic(df, F.col(OSS), now, meta=(DELIVERY, OSS, DATE, ARRIVAL),
+                         keep=(DATE, "_file")).withColumnsRenamed(
+            {DATE: "report_date", "_file": "source_file"})
+        # a re-run of the same delivery replaces its own partition instead of appending again
+        append_table(rows, wh.append_path(P.generic_table_name(name)),
+                     partition_by=["report_date", "source_file"], replace_partitions=True)
 
 
 RUNNERS = {"NETWORKS": _run_networks, "EXTERNALS": _run_externals, "PKI": _run_pki,

@@ -292,7 +292,7 @@ def pki(report: DataFrame, insert_time: dt.datetime, by: tuple[str, ...] = ()) -
 
 
 def generic(report: DataFrame, oss, insert_time: dt.datetime,
-            meta: tuple[str, ...] = ()) -> DataFrame:
+            meta: tuple[str, ...] = (), keep: tuple[str, ...] = ()) -> DataFrame:
     """Any report; a file loads only if it has at least one complete row.
 
     Returns text rows plus ``oss`` and ``insert_time``; the target table is the
@@ -302,7 +302,8 @@ def generic(report: DataFrame, oss, insert_time: dt.datetime,
     data_cols = [c for c in report.columns if c not in META and c not in meta]
     t = complete_row_gate(report, [PATH], data_cols)
     t = t.select(*[_col(c) for c in data_cols], _v(oss).alias("oss"),
-                 F.lit(insert_time.strftime("%Y-%m-%d %H:%M:%S")).alias("insert_time"))
+                 F.lit(insert_time.strftime("%Y-%m-%d %H:%M:%S")).alias("insert_time"),
+                 *[_col(k) for k in keep])
     return all_text(t)
 
 
