@@ -192,6 +192,24 @@ def _merge_and_export(spark: SparkSession, wh: Warehouse, family: str, staged: P
 
 # ---- family runners ----------------------------------------------------------------------------
 
+TABLE_THREADS = 4
+
+
+def _run_all(tasks: list) -> None:
+    """Run independent table jobs concurrently (Spark schedules jobs from several threads).
+
+    Every task runs to its end; the first failure is raised afterwards, so the
+    family is logged as failed while the other tables still commit.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    if not tasks:
+        return
+    with ThreadPoolExecutor(max_workers=min(TABLE_THREADS, len(tasks))) as pool:
+        futures = [pool.submit(t) for t in tasks]
+    errors = [f.exception() for f in futures if f.exception() is not None]
+    if errors:
+        raise errors[0]
+
 def _run_networks(spark, wh, deliveries, now):
     listing = _listing(spark, deliveries)
     with_file: dict[str, set] = {}
@@ -221,11 +239,14 @@ def _run_networks(spark, wh, deliveries, now):
         "5G_Site_List.csv": lambda: P.site_5g(f["5G_Site_List.csv"], oss, date, BY),
         "5G_Cell_List.csv": lambda: P.cell_5g(f["5G_Cell_List.csv"], oss, date, BY),
     }
+    tasks = []
     for name, build in builders.items():
         if f[name] is None:
             continue
         present = [d for d in deliveries if d["delivery"] in with_file[name]]
-        _merge_and_export(spark, wh, "NETWORKS", build(), present)
+        tasks.append(lambda build=build, present=present:
+                     _merge_and_export(spark, wh, "NETWORKS", build(), present))
+    _run_all(tasks)
     if f[S.NODEB_INFO] is not None:   # exported raw (no table)
         raw = f[S.NODEB_INFO].drop("_file", "_path", "_seq", DELIVERY, ARRIVAL)
         write_export(raw.withColumnsRenamed(PARTS), f"{wh.export_path('NETWORKS')}/nodeb_info",
@@ -234,14 +255,17 @@ def _run_networks(spark, wh, deliveries, now):
 
 def _run_externals(spark, wh, deliveries, now):
     listing = _listing(spark, deliveries)
+    tasks = []
     for spec in S.REGISTRY.for_family("EXTERNALS"):
         df = _scan(spark, listing, spec.file_name, 1)
         if df is None:
             continue
         having = {d["delivery"] for _, n, d in listing if n == spec.file_name}
         present = [d for d in deliveries if d["delivery"] in having]
-        _merge_and_export(spark, wh, "EXTERNALS",
-                          P.external(spec, df, F.col(OSS), F.col(DATE), BY), present)
+        staged = P.external(spec, df, F.col(OSS), F.col(DATE), BY)
+        tasks.append(lambda staged=staged, present=present:
+                     _merge_and_export(spark, wh, "EXTERNALS", staged, present))
+    _run_all(tasks)
 
 
 def _run_pki(spark, wh, deliveries, now):
