@@ -375,3 +375,57 @@ WHERE NOT lower(m) LIKE '%.invalid'
 UNION ALL
 SELECT source, doc_id, 'internal_marker' AS rule, regexp_extract(text, '{_MARK}', 0) AS match
 FROM t WHERE regexp_matches(text, '{_MARK}')""")(q_leak_audit)
+
+# ---- a whole run: landing files -> gate -> scan -> pipeline -> snapshot merge ---------------
+
+CELL_REPORT_ROWS = CELLS_2G.replace(
+    "SELECT o_orderkey AS _seq,",
+    "SELECT CASE WHEN o_custkey % 2 = 0 THEN 'REGION_A' ELSE 'REGION_B' END || '/2G_Cell_List.csv' AS file,\n"
+    "  o_orderkey AS line_no, o_orderkey AS _seq,", 1)
+CELL_REPORT_COLS = ["bsc_name", "cell_index", "cell_name", "freq_band", "mcc", "mnc", "cell_lac",
+                    "cell_ci", "ncc", "bcc", "routing_area", "bts_index", "bts_name",
+                    "administrative_state", "active_status", "operator_name", "local_cell_id"]
+
+
+def q_ingest_cells(spark, d):
+    """R21 end to end: two regional 2G cell deliveries are gated, scanned, staged and merged.
+
+    Report files for REGION_A and REGION_B are laid down from orders; both
+    deliveries of 2024-01-02 run through ``plans.ingest.ingest``; the result is
+    the current 2G cell snapshot (a later delivery wins a key shared by both).
+    """
+    from reportflow.plans.ingest import Warehouse, ingest
+    base = scratch_path(spark, "run")
+    rows = recipe(spark, d, CELL_REPORT_ROWS)
+    lines = landing.report_lines(rows, "file", "line_no", CELL_REPORT_COLS, ",",
+                                 ["2G cell export"], ",".join(CELL_REPORT_COLS))
+    landing.write_files(spark, lines, f"{base}/landing")
+    subjects = spark.createDataFrame(
+        [("[Report][REGION_A][NETWORKS][2024-01-02]", f"{base}/landing/REGION_A", 1),
+         ("[Report][REGION_B][NETWORKS][2024-01-02]", f"{base}/landing/REGION_B", 2)],
+        "subject string, folder string, arrival long")
+    ingest(spark, subjects, f"{base}/warehouse", ["REGION_A", "REGION_B"], NOW)
+    return Warehouse(f"{base}/warehouse").table(spark, S.CELL_2G.table).read()
+
+
+def _ingest_cells_oracle() -> str:
+    p = "huawei_2g_cell_"
+    return with_ctes({"c": CELLS_2G}, f"""
+, r AS (SELECT *, CASE WHEN o_custkey % 2 = 0 THEN 'REGION_A' ELSE 'REGION_B' END AS oss,
+               CASE WHEN o_custkey % 2 = 0 THEN 1 ELSE 2 END AS arrival
+        FROM c JOIN (SELECT o_orderkey, o_custkey FROM orders) o ON c._seq = o.o_orderkey)
+, k AS (SELECT *, {sql_key('mcc', 'mnc', 'cell_lac', 'cell_ci')} AS cgi,
+               bsc_name || '-' || ({sql_key('mcc', 'mnc', 'cell_lac', 'cell_ci')}) AS unique_id FROM r)
+SELECT unique_id AS {p}unique_id, cell_index AS {p}index, cgi AS {p}cgi, cell_name AS {p}name,
+       freq_band AS {p}freq, mcc AS {p}mcc, mnc AS {p}mnc, cell_lac AS {p}lac, cell_ci AS {p}ci,
+       ncc AS {p}ncc, bcc AS {p}bcc, routing_area AS {p}rac, bts_index AS {p}bts_index,
+       bts_name AS {p}bts_name, regexp_replace(bts_name, '\\P{{Nd}}', '', 'g') AS {p}name_numb,
+       administrative_state AS {p}state, active_status AS {p}active, operator_name AS {p}operator,
+       bsc_name AS {p}parent, local_cell_id AS {p}local_cell_id, oss AS {p}oss,
+       '2024-01-02' AS {p}update_date
+FROM k WHERE unique_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY unique_id ORDER BY arrival DESC, routing_area IS NULL DESC,
+                                                           routing_area DESC, _seq DESC) = 1""")
+
+
+query("q_ingest_cells", _ingest_cells_oracle())(q_ingest_cells)

@@ -46,7 +46,10 @@ def report_lines(rows: DataFrame, file_col: str, order_col: str, value_cols: Seq
 
 
 def write_files(spark: SparkSession, lines: DataFrame, root: str) -> list[str]:
-    """Write one text file per ``file`` value under ``root``; return the paths."""
+    """Write one text file per ``file`` value under ``root``; return the paths.
+
+    A ``file`` value may contain ``/`` (a sub-folder per delivery).
+    """
     staging = root.rstrip("/") + "/_staging"
     (lines.repartition("file").sortWithinPartitions("file", "n")
      .select("file", "line").write.partitionBy("file").text(staging))
@@ -62,6 +65,7 @@ def write_files(spark: SparkSession, lines: DataFrame, root: str) -> list[str]:
             if len(parts) != 1:
                 raise RuntimeError(f"expected one part file for {target_name}, got {len(parts)}")
             target = os.path.join(os.path.dirname(local), target_name)
+            os.makedirs(os.path.dirname(target), exist_ok=True)
             os.rename(os.path.join(local, name, parts[0]), target)
             out.append("file:" + target)
         return out
@@ -76,6 +80,7 @@ def write_files(spark: SparkSession, lines: DataFrame, root: str) -> list[str]:
         if len(parts) != 1:
             raise RuntimeError(f"expected one part file for {target_name}, got {len(parts)}")
         target = st.getPath().getParent().getParent().suffix("/" + target_name)
+        fs.mkdirs(target.getParent())
         fs.rename(parts[0].getPath(), target)
         out.append(target.toString())
     return sorted(out)
