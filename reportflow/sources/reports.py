@@ -186,8 +186,11 @@ def _read_group(spark: SparkSession, heads: list[FileHead], multiline: bool,
              .rowsBetween(Window.unboundedPreceding, -1))
     per_split = per_split.select(
         PATH, "__block", "__last_row",
-        F.min(F.when(F.col("__block") == 0, F.col("__hdr_row")))
-         .over(Window.partitionBy(PATH)).alias("__hdr"),
+        # a file whose header row cannot be found fails the scan instead of losing its rows
+        F.coalesce(F.min(F.when(F.col("__block") == 0, F.col("__hdr_row")))
+                   .over(Window.partitionBy(PATH)),
+                   F.raise_error(F.concat(F.lit("header row not found in "), F.col(PATH)))
+                   .cast("bigint")).alias("__hdr"),
         F.coalesce(F.sum("__n").over(later), F.lit(0)).alias("__after"))
     pos = F.struct("__block", "__row")
     body = (df.join(per_split, on=[PATH, "__block"], how="inner")

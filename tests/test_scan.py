@@ -72,3 +72,16 @@ def test_footer_of_several_rows_across_splits(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert vals == list(range(300))
+
+
+def test_missing_header_fails_loudly(spark, tmp_path):
+    import pytest
+    d = tmp_path / "bad"
+    write_report(str(d / "a.csv"), ["pre", "h1,h2", "1,2"])
+    write_report(str(d / "b.csv"), ["pre", "h1,h2,h3", "1,2,3"])   # a different layout: own group
+    # tamper: the layout read from b's peek does not occur in a
+    from reportflow.sources import reports
+    heads = [reports.read_head(spark, "file:" + str(d / "a.csv"), 1)]
+    bad = reports.FileHead(heads[0].path, heads[0].name, ",", ("h1", "zz"), heads[0].size)
+    with pytest.raises(Exception, match="header row not found"):
+        reports._read_group(spark, [bad], True, 0).collect()
