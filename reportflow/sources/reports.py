@@ -99,7 +99,7 @@ def _peek(spark: SparkSession, path: str, nbytes: int = PEEK_BYTES, fs=None) ->
     local = _local_path(path)
     if local is not None:
         with open(local, "rb") as fh:
-            return fh.read(nbytes).decode("utf-8", errors="replace")
+            return fh.read(nbytes).decode("utf-8-sig", errors="replace")
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     if fs is None:
@@ -109,7 +109,7 @@ def _peek(spark: SparkSession, path: str, nbytes: int = PEEK_BYTES, fs=None) ->
         data = stream.readNBytes(nbytes)
     finally:
         stream.close()
-    return bytes(data).decode("utf-8", errors="replace")
+    return bytes(data).decode("utf-8-sig", errors="replace")     # a leading BOM is dropped
 
 
 def sniff_sep(first_lines: str, candidates: str = ",;") -> str:
@@ -175,8 +175,10 @@ def _read_group(spark: SparkSession, heads: list[FileHead], multiline: bool,
     # consecutive, so a row's distance from the end of its file is the number of
     # rows in later splits plus (last row id of its split - its row id).  The
     # per-split table is small (one row per split) and joins back.
+    # (the first field may carry a byte-order mark when the header is the file's first line)
+    first = F.regexp_replace(F.col("c0"), "^\ufeff", "")
     is_header = reduce(lambda a, b: a & b,
-                       [F.col(f"c{i}").eqNullSafe(F.lit(v if v != "" else None))
+                       [(first if i == 0 else F.col(f"c{i}")).eqNullSafe(F.lit(v if v != "" else None))
                         for i, v in enumerate(raw)])
     per_split = df.groupBy(PATH, "__block").agg(
         F.min(F.when(is_header, F.col("__row"))).alias("__hdr_row"),

@@ -85,3 +85,15 @@ def test_missing_header_fails_loudly(spark, tmp_path):
     bad = reports.FileHead(heads[0].path, heads[0].name, ",", ("h1", "zz"), heads[0].size)
     with pytest.raises(Exception, match="header row not found"):
         reports._read_group(spark, [bad], True, 0).collect()
+
+
+def test_utf8_bom(spark, tmp_path):
+    d = tmp_path / "bom"
+    d.mkdir()
+    (d / "a.csv").write_bytes("﻿Cell Name,Cell ID\nA,1\nB,2\n".encode("utf-8"))
+    (d / "b.csv").write_bytes("﻿pre\nCell Name,Cell ID\nC,3\n".encode("utf-8"))
+    got0 = scan_reports(spark, str(d / "a.csv"), preamble=0)
+    assert got0.columns[:2] == ["cell_name", "cell_id"]
+    assert rows(got0.select("cell_name", "cell_id")) == [("A", "1"), ("B", "2")]
+    got1 = scan_reports(spark, str(d / "b.csv"), preamble=1)
+    assert rows(got1.select("cell_name", "cell_id")) == [("C", "3")]
