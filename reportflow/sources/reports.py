@@ -206,6 +206,22 @@ def _read_group(spark: SparkSession, heads: list[FileHead], multiline: bool,
                        FILE, PATH, SEQ)
 
 
+PEEK_THREADS = 16
+
+
+def _read_heads(spark: SparkSession, files: list[tuple[str, int]], preamble: int,
+                sep: str | None, fs) -> list[FileHead]:
+    """Header peeks of many files; remote reads are I/O-bound, so they overlap in threads."""
+    def one(item):
+        p, n = item
+        return read_head(spark, p, preamble, sep, fs=fs, size=n)
+    if fs is None or len(files) < 4:
+        return [one(f) for f in files]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(PEEK_THREADS, len(files))) as pool:
+        return list(pool.map(one, files))
+
+
 def _split_threshold(spark: SparkSession) -> int:
     v = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
     units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
@@ -232,7 +248,7 @@ def scan_reports(spark: SparkSession, paths: str | Sequence[str], preamble: int
     if not files:
         raise FileNotFoundError(f"no report files under {paths}")
     fs = None if _local_path(files[0][0]) is not None else hadoop_fs(spark, files[0][0])[0]
-    heads = [read_head(spark, p, preamble, sep, fs=fs, size=n) for p, n in files]
+    heads = _read_heads(spark, files, preamble, sep, fs)
     split_above = _split_threshold(spark) if multiline is None else None
     groups: dict[tuple, list[FileHead]] = {}
     for h in heads:
