@@ -29,6 +29,9 @@ def write_export(df: DataFrame, root: str, partitions: dict[str, str] | None = N
     parts = dict(partitions or {})
     out = df.withColumns({k: F.lit(v) for k, v in parts.items()}) if parts else df
     keys = list(parts) + [p for p in (partition_by or []) if p not in parts]
+    if keys:
+        # few files per partition, and a hot partition still split across tasks (AQE)
+        out = out.hint("rebalance", *keys)
     w = out.write.option("header", True)
     if keys:
         w = w.partitionBy(*keys).option("partitionOverwriteMode", "dynamic").mode("overwrite")

@@ -73,7 +73,8 @@ def append_table(df: DataFrame, root: str, partition_by: list[str] | None = None
     """
     w = df.write
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        # few files per partition, and a hot partition still split across tasks (AQE)
+        w = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
     if replace_partitions:
         if not partition_by:
             raise ValueError("replace_partitions needs partition_by")
