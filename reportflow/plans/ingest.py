@@ -10,9 +10,10 @@ plus its subject.  ``ingest`` takes every delivery of a run at once:
 2. each report table of a family is built from all its accepted deliveries in
    one Spark job (the delivery id scopes side-file joins and de-dup);
 3. snapshot tables are merged once per run.  Handling deliveries one by one
-   leaves, for a table scoped by report date, exactly the rows dated with the
-   last date processed; the batch merge keeps the same rows directly
-   (existing and incoming rows of that date, later arrivals winning ties);
+   leaves, for a table scoped by report date, the rows of the trailing run of
+   deliveries that share the last delivery's date (plus the old rows of that
+   date when no other date came in between); the batch merge keeps exactly
+   those rows (``trailing_run``), later arrivals winning ties;
 4. readable exports are written per (report, region, date) partition, the
    ledger gets one row per delivery and reports that reached the threshold are
    marked as sent.
@@ -157,6 +158,24 @@ def _scan(spark: SparkSession, listing: list, file_name: str, preamble: int,
 
 # ---- 3. merge and export ---------------------------------------------------------------------
 
+def trailing_run(deliveries: list) -> tuple[list, bool]:
+    """Deliveries whose rows survive in a date-scoped snapshot, and whether the old rows do.
+
+    Taking deliveries one by one in arrival order, each merge keeps only rows of
+    its own report date; so the result holds the trailing run of deliveries that
+    share the last delivery's date, plus the existing rows of that date only if
+    no delivery of another date came in between (the run covers them all).
+    """
+    ordered = sorted(deliveries, key=lambda d: d["arrival"])
+    last = ordered[-1]["report_date"]
+    tail = []
+    for d in reversed(ordered):
+        if d["report_date"] != last:
+            break
+        tail.append(d)
+    return tail, len(tail) == len(ordered)
+
+
 def _merge_and_export(spark: SparkSession, wh: Warehouse, family: str, staged: P.Staged,
                       deliveries: list) -> None:
     spec, rows = staged.spec, staged.rows
@@ -180,9 +199,12 @@ def _merge_and_export(spark: SparkSession, wh: Warehouse, family: str, staged: P
         incoming = ordered.select(*payload, "__bseq")
         merged = merge_snapshot(tbl.read(), incoming, key, [sort_col], seq="__bseq", scope="all")
     else:
-        last = max(d["report_date"] for d in deliveries).isoformat()
-        incoming = ordered.where(F.col(DATE) == last).select(*payload, "__bseq")
-        merged = merge_snapshot(tbl.read(), incoming, key, [sort_col], seq="__bseq",
+        tail, keep_existing = trailing_run(deliveries)
+        last = tail[0]["report_date"].isoformat()
+        incoming = ordered.where(F.col(DELIVERY).isin(*[d["delivery"] for d in tail])) \
+            .select(*payload, "__bseq")
+        existing = tbl.read() if keep_existing else None
+        merged = merge_snapshot(existing, incoming, key, [sort_col], seq="__bseq",
                                 scope="report_date", date_col=f"{spec.table}_update_date",
                                 report_date=last)
     tbl.commit(merged)

@@ -226,3 +226,14 @@ def test_snapshot_dates_across_runs(spark, tmp_path):
     ]
     # every run left its own version; the first one is still readable
     assert len(Warehouse(wh).table(spark, "huawei_2g_site").versions()) == 3
+
+
+def test_trailing_run_follows_arrival_order():
+    from reportflow.plans.ingest import trailing_run
+    d = lambda a, day: {"arrival": a, "report_date": dt.date(2024, 1, day), "delivery": a}
+    tail, keep = trailing_run([d(1, 3), d(2, 2)])            # a region sends an older date last
+    assert [x["arrival"] for x in tail] == [2] and not keep
+    tail, keep = trailing_run([d(1, 2), d(2, 2)])
+    assert sorted(x["arrival"] for x in tail) == [1, 2] and keep
+    tail, keep = trailing_run([d(1, 2), d(2, 3), d(3, 3)])
+    assert sorted(x["arrival"] for x in tail) == [2, 3] and not keep
