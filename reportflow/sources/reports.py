@@ -175,11 +175,11 @@ def _read_group(spark: SparkSession, heads: list[FileHead], multiline: bool,
     # consecutive, so a row's distance from the end of its file is the number of
     # rows in later splits plus (last row id of its split - its row id).  The
     # per-split table is small (one row per split) and joins back.
-    # (the first field may carry a byte-order mark when the header is the file's first line)
-    first = F.regexp_replace(F.col("c0"), "^\ufeff", "")
-    is_header = reduce(lambda a, b: a & b,
-                       [(first if i == 0 else F.col(f"c{i}")).eqNullSafe(F.lit(v if v != "" else None))
-                        for i, v in enumerate(raw)])
+    def same(i: int, v: str) -> Column:
+        c = F.col(f"c{i}").eqNullSafe(F.lit(v if v != "" else None))
+        # the first field may carry a byte-order mark when the header is the file's first line
+        return c | (F.col("c0") == F.lit("\ufeff" + v)) if i == 0 else c
+    is_header = reduce(lambda a, b: a & b, [same(i, v) for i, v in enumerate(raw)])
     per_split = df.groupBy(PATH, "__block").agg(
         F.min(F.when(is_header, F.col("__row"))).alias("__hdr_row"),
         F.max("__row").alias("__last_row"), F.count(F.lit(1)).alias("__n"))
