@@ -29,12 +29,20 @@ def duck():
 
 
 def _norm(v):
-    return "\0" if v is None else str(v)
-
-
-@pytest.mark.parametrize("name", ["q_snapshot_upsert", "q_site_reconcile", "q_command_parse",
-                                  "q_natural_outer", "q_watermark_gate", "q_archive_guard",
-                                  "q_subject_parse", "q_software_merge", "q_leak_audit"])
+    import datetime as dt
+    import decimal
+    if v is None:
+        return "\0"
+    if isinstance(v, float):
+        return repr(round(v, 6))
+    if isinstance(v, decimal.Decimal):
+        return str(v.normalize()) if v == v.to_integral() else str(v)
+    if isinstance(v, dt.datetime):
+        return v.isoformat(sep=" ")
+    return str(v)
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = sorted("|".join(_norm(r[c]) for c in sorted(df.columns)) for r in df.collect())
