@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from reportflow.operators import dedup, gates, joins, project, setops
 from reportflow.operators.upsert import merge_snapshot
@@ -354,4 +353,3 @@ def q_append_create(spark, d):
 query("q_append_create", with_ctes({"s": SUPPLIERS, "c": CUSTOMERS}, """
 SELECT key, name, nation FROM s UNION ALL SELECT key, name, nation FROM c"""))(q_append_create)
 
-_ = F

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from reportflow.functions import commands as cmdf
 from reportflow.functions import dates, keys, software, text
@@ -107,7 +106,7 @@ query("q_software_tags", with_ctes({"r": TAGGED}, f"""
 , s2 AS (SELECT c_custkey, sw3, o1, COALESCE({_sql_strip_tags('COALESCE(o1, sw2)')}, 'UNKNOWN') AS o2 FROM s1)
 SELECT c_custkey, o1 AS sw_one,
        COALESCE({_sql_strip_tags('COALESCE(o2, sw3)')}, 'UNKNOWN') AS sw_all FROM s2
-""".replace("\n, s1", ", s1", 1)))(q_software_tags)
+"""))(q_software_tags)
 
 # ---- fills, sentinels, names -------------------------------------------------------------
 
@@ -260,7 +259,7 @@ def q_command_parse(spark, d):
 query("q_command_parse", with_ctes({"r": COMMANDS}, f"""
 , c AS (SELECT event_id, org_cmd, {_CMD} AS cmd FROM r)
 SELECT event_id, org_cmd, cmd, {_sql_cmd_class('cmd')} AS cmd_type, {_OPR} AS opr_code FROM c
-""".replace("\n, c AS", ", c AS", 1)))(q_command_parse)
+"""))(q_command_parse)
 
 
 def q_regex_antifilter(spark, d):
@@ -357,6 +356,5 @@ SELECT o_orderkey, subject, parts[1] AS report_id,
        CASE WHEN status = 'ok' THEN CASE WHEN regional THEN parts[3] ELSE parts[2] END END AS report_name,
        CASE WHEN status = 'ok' THEN CASE WHEN regional THEN parts[4] ELSE parts[3] END END AS report_date_text,
        status
-FROM s""".replace("\n, p AS", ", p AS", 1)))(q_subject_parse)
+FROM s"""))(q_subject_parse)
 
-_ = F  # Column helpers are used through the library modules
