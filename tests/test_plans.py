@@ -53,3 +53,37 @@ def test_prior_max_matches_brute_force_on_a_hot_group(spark):
     for g, o, _ in rows:
         earlier = [v for gg, oo, v in rows if gg == g and oo < o]
         assert got[o] == (max(earlier) if earlier else None)
+
+
+def test_hot_key_is_split_by_aqe_in_outer_joins(spark):
+    """A key with a third of the rows: the left join of the full-outer decomposition is skew-split."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 30000
+        left = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+            F.col("id").alias("x"))
+        right = spark.range(n // 2).select(F.col("id").cast("string").alias("k"),
+                                            F.lit(1).alias("y"))
+        right = right.unionByName(spark.createDataFrame([("hot", 2)], "k string, y int"))
+        out = joins.outer_on_keys(left, right, ["k"])
+        got = out.collect()                 # runs this DataFrame's own (adaptive) plan
+        final = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in final
+        # every left row once (right keys are unique) plus the right keys that never occur left
+        assert len(got) == n + len(range(0, n // 2, 3))
+        assert sum(1 for r in got if r.k == "hot") == n // 3
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
