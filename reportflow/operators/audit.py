@@ -11,14 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reportflow.functions.regex import NET_BOUNDARY
+from reportflow.functions.regex import NET_BOUNDARY, NET_WORD
 
 D = r"\p{Nd}"
 # The three audit rules.
-PRIVATE_IPV4 = (NET_BOUNDARY + rf"(?:10\.(?:{D}{{1,3}}\.){{2}}{D}{{1,3}}"
+# An address starts and ends with a digit (a word character), so the .NET \b
+# around it is a single look-behind / look-ahead; "(?=1)" rejects most start
+# positions with one character compare.  An e-mail ends with a letter, so its
+# closing \b is a look-ahead too.
+PRIVATE_IPV4 = (rf"(?=1)(?<!{NET_WORD})(?:10\.(?:{D}{{1,3}}\.){{2}}{D}{{1,3}}"
                 rf"|192\.168\.{D}{{1,3}}\.{D}{{1,3}}"
-                rf"|172\.(?:1[6-9]|2{D}|3[01])\.{D}{{1,3}}\.{D}{{1,3}})" + NET_BOUNDARY)
-EMAIL = NET_BOUNDARY + r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}" + NET_BOUNDARY
+                rf"|172\.(?:1[6-9]|2{D}|3[01])\.{D}{{1,3}}\.{D}{{1,3}})(?!{NET_WORD})")
+EMAIL = (NET_BOUNDARY + r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+         + rf"(?!{NET_WORD})")
 INTERNAL_MARKER = r"(?i)/app/users/|outlook-[a-z]+\.|webmail-[a-z]+\."
 EXAMPLE_SUFFIX = ".invalid"
 
