@@ -1,9 +1,9 @@
 """Ordering, keep-first / keep-last per key, per-file tail removal (O1-O3).
 
-Keep-first/last is an aggregate (``min_by``/``max_by`` over a struct) rather
-than a window: the aggregate combines map-side, so a key holding a third of all
-rows is reduced to one row per map task before the shuffle, and no task ever
-holds a whole key group.
+Keep-first/last is an aggregate (``min``/``max`` of ``struct(order, row)``)
+rather than a window: the aggregate combines map-side, so a key holding a
+third of all rows is reduced to one row per map task before the shuffle, and
+no task ever holds a whole key group.
 """
 
 from __future__ import annotations
