@@ -3,7 +3,7 @@
 The existing rows in scope and the incoming delivery are unioned; per key the
 last row in (sort columns nulls last, batch, seq) order wins, so an incoming
 row beats an existing one on a tie and a later file row beats an earlier one.
-Rows whose key is null are dropped.  The pick is ``max_by`` over a struct,
+Rows whose key is null are dropped.  The pick is ``max`` of ``struct(order, row)``,
 combined map-side, so hot keys never concentrate in one task.
 """
 
