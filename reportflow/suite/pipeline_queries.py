@@ -101,7 +101,8 @@ FROM {orders}
 
 
 def q_trx_2g(spark, d):
-    """2G TRX; four-part key with the duplicated Cell Index header, first row per key."""
+    """2G TRX; four-part key, first row per key (the second Cell Index column of the
+    report arrives as ``cell_index1``, as the scan names a duplicated header)."""
     return _merged(P.trx_2g(recipe(spark, d, TRX), OSS, DATE))
 
 

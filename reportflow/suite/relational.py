@@ -78,7 +78,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS
 
 
 def q_sorted_export(spark, d):
-    """O1: readable export sorted by (customer, order date) nulls last."""
+    """O1: rows sorted by (customer, order date, order) nulls last, relabelled for export."""
     o = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_orderkey",
                                          "o_orderstatus")
     s = dedup.sort_rows(o, ["o_custkey", "o_orderdate", "o_orderkey"])
