@@ -429,3 +429,37 @@ QUALIFY row_number() OVER (PARTITION BY unique_id ORDER BY arrival DESC, routing
 
 
 query("q_ingest_cells", _ingest_cells_oracle())(q_ingest_cells)
+
+# ---- R11: NodeB Info passes through to a raw export --------------------------------------------
+
+NODEB_ROWS = """
+SELECT CASE WHEN c_custkey % 2 = 0 THEN 'REGION_A' ELSE 'REGION_B' END || '/NodeB Info.csv' AS file,
+       c_custkey AS line_no, c_name AS nodeb_name,
+       CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE 'V' || CAST(c_nationkey AS STRING) || ', R1' END AS nodeb_version,
+       c_mktsegment AS nodeb_type
+FROM {customer}
+"""
+NODEB_COLS = ["nodeb_name", "nodeb_version", "nodeb_type"]
+
+
+def q_raw_export(spark, d):
+    """R11+U5: NodeB Info deliveries of two regions are exported raw, per region and date."""
+    from reportflow.plans.ingest import Warehouse, ingest
+    base = scratch_path(spark, "run")
+    rows = recipe(spark, d, NODEB_ROWS)
+    landing.write_files(spark, landing.report_lines(rows, "file", "line_no", NODEB_COLS, ",", [],
+                                                    ",".join(NODEB_COLS)), f"{base}/landing")
+    subjects = spark.createDataFrame(
+        [("[Report][REGION_A][NETWORKS][2024-01-02]", f"{base}/landing/REGION_A", 1),
+         ("[Report][REGION_B][NETWORKS][2024-01-02]", f"{base}/landing/REGION_B", 2)],
+        "subject string, folder string, arrival long")
+    ingest(spark, subjects, f"{base}/warehouse", ["REGION_A", "REGION_B"], NOW)
+    export = f"{Warehouse(f'{base}/warehouse').export_path('NETWORKS')}/nodeb_info"
+    schema = ", ".join(f"{c} string" for c in [*NODEB_COLS, "report_oss", "report_date"])
+    return spark.read.schema(schema).option("header", True).csv(export)
+
+
+query("q_raw_export", with_ctes({"n": NODEB_ROWS}, """
+SELECT nodeb_name, nodeb_version, nodeb_type, split_part(file, '/', 1) AS report_oss,
+       '2024-01-02' AS report_date
+FROM n"""))(q_raw_export)
