@@ -25,7 +25,7 @@ from reportflow.streaming.inbox import consume_once
 from reportflow.suite import landing
 from reportflow.suite.base import (NOT_WORD, SPACE, WORD, duck, query, recipe, sql_key, sql_trim,
                                    table, with_ctes)
-from reportflow.suite.scalars import COMMANDS
+from reportflow.suite.scalars import ORG_CMD
 
 NOW = dt.datetime(2024, 1, 2, 6, 0, 0)
 
@@ -116,18 +116,19 @@ LOG_HEADER = ["Source", "Operator Name", "DN", "IP Address", "Command Code", "Co
 LOG_COLS = ["source", "operator_name", "dn", "ip_address", "command_code", "command_type",
             "operation_time", "return_code", "result", "operation_end_time", "operation_command"]
 
-LOG_ROWS = """
-SELECT 'BSC' || CAST(e.user_id % 8 AS STRING) || '_' || e.event_type || '.csv' AS file,
-       e.event_id AS line_no, 'NMS' AS f01, ' user' || CAST(e.user_id AS STRING) AS f02,
-       'DN=' || CAST(e.event_id AS STRING) AS f03,
-       '10.0.' || CAST(e.user_id % 256 AS STRING) || '.' || CAST(e.event_id % 256 AS STRING) AS f04,
-       CAST(e.event_id % 1000 AS STRING) AS f05, e.event_type AS f06,
-       'T' || CAST(e.event_id AS STRING) AS f07,
-       CASE WHEN e.event_type = 'error' THEN '1' ELSE '0' END AS f08,
-       CASE WHEN e.event_type = 'error' THEN 'Failed ' ELSE 'Succeeded' END AS f09,
-       'T' || CAST(e.event_id + 1 AS STRING) AS f10, c.org_cmd AS f11
-FROM {events} e JOIN (COMMANDS) c ON e.event_id = c.event_id
-""".replace("COMMANDS", COMMANDS.strip())
+LOG_ROWS = f"""
+SELECT 'BSC' || CAST(user_id % 8 AS STRING) || '_' || event_type || '.csv' AS file,
+       event_id AS line_no, 'NMS' AS f01, ' user' || CAST(user_id AS STRING) AS f02,
+       'DN=' || CAST(event_id AS STRING) AS f03,
+       '10.0.' || CAST(user_id % 256 AS STRING) || '.' || CAST(event_id % 256 AS STRING) AS f04,
+       CAST(event_id % 1000 AS STRING) AS f05, event_type AS f06,
+       'T' || CAST(event_id AS STRING) AS f07,
+       CASE WHEN event_type = 'error' THEN '1' ELSE '0' END AS f08,
+       CASE WHEN event_type = 'error' THEN 'Failed ' ELSE 'Succeeded' END AS f09,
+       'T' || CAST(event_id + 1 AS STRING) AS f10,
+{ORG_CMD.strip()} AS f11
+FROM {{events}}
+"""
 
 
 def _logs_root(spark, d):

@@ -213,8 +213,8 @@ FROM r"""))(q_cell_identity)
 
 # ---- command logs (events) ------------------------------------------------------------------
 
-COMMANDS = """
-SELECT event_id,
+# The command text of an event (shared by the command queries and the log files).
+ORG_CMD = """
   CASE event_type
     WHEN 'view' THEN '/*' || CAST(event_id AS STRING) || '*/DSP CELL:ID=' || CAST(user_id AS STRING) || ';'
     WHEN 'click' THEN CASE WHEN event_id % 3 = 0 THEN 'lst brd:' || CAST(user_id AS STRING)
@@ -228,8 +228,13 @@ SELECT event_id,
                            WHEN 3 THEN 'CmdCode=' || CAST(user_id AS STRING) || ', CmdName=x, CmdContent=' || props
                            WHEN 4 THEN NULL
                            ELSE 'reset' END
-  END AS org_cmd
-FROM {events}
+  END
+"""
+
+COMMANDS = f"""
+SELECT event_id,
+{ORG_CMD.strip()} AS org_cmd
+FROM {{events}}
 """
 
 _CMD = "regexp_replace(org_cmd, '/\\*[^\\n]*\\*/', '', 'g')"
