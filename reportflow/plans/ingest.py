@@ -87,7 +87,9 @@ def gate_deliveries(subjects: DataFrame, ledger_df: DataFrame | None,
     gated = gates.watermark_gate(parsed, ledger.last_success(ledger_df))
     gated = gated.withColumn("last_date", F.when(ok, F.col("last_date")))
     # earlier deliveries of the run raise the watermark for later ones
-    gated = prior_max(gated, ["report_name", "oss"], "arrival", "__gate_date", "__prior")
+    # bucket width from the input's arrival column (a plain scan, not the gate pipeline)
+    gated = prior_max(gated, ["report_name", "oss"], "arrival", "__gate_date", "__prior",
+                      bucket=bucket_width(subjects, "arrival"))
     mark = F.greatest(F.col("last_date"), F.col("__prior"))
     inclusive = F.col("report_name").isin(*gates.INCLUSIVE_FAMILIES)
     accepted = ok & (mark.isNull() | F.when(inclusive, F.col("report_date") >= mark)
@@ -96,16 +98,27 @@ def gate_deliveries(subjects: DataFrame, ledger_df: DataFrame | None,
             .drop("__prior", "__gate_date"))
 
 
+def bucket_width(df: DataFrame, order: str, rows_per_bucket: int = 1 << 16) -> int:
+    """Width of ``order`` buckets holding about ``rows_per_bucket`` rows on average."""
+    lo, hi, n = df.agg(F.min(order), F.max(order), F.count(order)).first()
+    span = 0 if lo is None else int(hi) - int(lo) + 1
+    return max(1, -(-span * rows_per_bucket // max(n, 1)))
+
+
 def prior_max(df: DataFrame, group: list[str], order: str, value: str, out: str,
-              bucket: int = 1 << 16) -> DataFrame:
+              bucket: int | None = None, rows_per_bucket: int = 1 << 16) -> DataFrame:
     """``out`` = max of ``value`` over the rows of the same group with a smaller ``order``.
 
-    A distributed prefix maximum: ``order`` is cut into buckets of ``bucket``
-    values; a window runs inside each (group, bucket), so no task holds more
-    than one bucket of a group however large the group is; the maxima of
-    earlier buckets come from a window over the per-bucket maxima (one row per
-    bucket), joined back.
+    A distributed prefix maximum: ``order`` is cut into buckets; a window runs
+    inside each (group, bucket), so no task holds more than one bucket of a
+    group however large the group is; the maxima of earlier buckets come from a
+    window over the per-bucket maxima (one row per bucket), joined back.  The
+    bucket width comes from one small aggregate (min, max, count of ``order``)
+    so that buckets hold about ``rows_per_bucket`` rows on average, dense or
+    sparse order values alike (pass ``bucket`` to fix the width).
     """
+    if bucket is None:
+        bucket = bucket_width(df, order, rows_per_bucket)
     b = F.floor(F.col(order) / F.lit(bucket)).alias("__bucket")
     df = df.withColumn("__bucket", b)
     inside = (Window.partitionBy(*group, "__bucket").orderBy(order)

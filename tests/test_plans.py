@@ -87,3 +87,12 @@ def test_hot_key_is_split_by_aqe_in_outer_joins(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_prior_max_sparse_order_values(spark):
+    rows = [("g", 10**12 + i * 10**6, i % 7) for i in range(200)]
+    df = spark.createDataFrame(rows, "g string, o long, v int")
+    got = {r.o: r.p for r in prior_max(df, ["g"], "o", "v", "p", rows_per_bucket=16).collect()}
+    for _, o, _ in rows:
+        earlier = [v for _, oo, v in rows if oo < o]
+        assert got[o] == (max(earlier) if earlier else None)
