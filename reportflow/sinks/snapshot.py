@@ -53,6 +53,34 @@ class SnapshotTable:
         df.write.mode("errorifexists").parquet(path)
         return path
 
+    def retain(self, keep: int = 3) -> list[str]:
+        """Delete committed versions older than the newest ``keep`` and failed writes.
+
+        The current version is always kept; a folder without ``_SUCCESS`` that
+        is older than the current version is a failed or abandoned write.
+        Returns the removed version names.
+        """
+        if keep < 1:
+            raise ValueError("keep must be at least 1")
+        fs, jp = hadoop_fs(self.spark, self.root)
+        if not fs.exists(jp):
+            return []
+        committed = self.versions()
+        if not committed:
+            return []
+        current = committed[-1]
+        keep_set = set(committed[-keep:])
+        removed = []
+        for st in fs.listStatus(jp):
+            name = st.getPath().getName()
+            if not (st.isDirectory() and name.startswith(VERSION_PREFIX)):
+                continue
+            if name in keep_set or name >= current:
+                continue           # kept, or possibly a write still in progress
+            fs.delete(st.getPath(), True)
+            removed.append(name)
+        return sorted(removed)
+
     def upsert(self, incoming: DataFrame, key: str, sort_cols, seq: str | None = None,
                scope: str = "report_date", date_col: str | None = None,
                report_date: str | None = None, on_create: str = "clean") -> DataFrame:

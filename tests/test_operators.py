@@ -182,3 +182,13 @@ def test_mark_sent_limited_to_released_reports(spark):
     out = ledger.mark_sent(led, dt.date(2024, 1, 1), reports=ledger.RELEASED_REPORTS)
     assert sorted((r.report_name, r.email_sent) for r in out.collect()) == [
         ("HCMD", 0), ("HCMD", 0), ("PKI", 1), ("PKI", 1)]
+
+
+def test_snapshot_retention(spark, tmp_path):
+    tbl = SnapshotTable(spark, str(tmp_path / "r"))
+    df = spark.createDataFrame([("k", "1", "d")], "k string, v string, update_date string")
+    names = [tbl.commit(df).rsplit("/", 1)[-1] for _ in range(4)]
+    removed = tbl.retain(keep=2)
+    assert removed == sorted(names[:2])
+    assert tbl.versions() == sorted(names[2:])
+    assert tbl.read().count() == 1
