@@ -57,7 +57,8 @@ class SnapshotTable:
         """Delete committed versions older than the newest ``keep`` and failed writes.
 
         The current version is always kept; a folder without ``_SUCCESS`` that
-        is older than the current version is a failed or abandoned write.
+        is older than the current version is a failed or abandoned write.  Run
+        it when no write to the table is in progress (one writer per table).
         Returns the removed version names.
         """
         if keep < 1:
