@@ -128,12 +128,14 @@ def diff_join(df1: DataFrame, df2: DataFrame, on: Sequence[str],
     ``which=None`` keeps rows found on exactly one side; otherwise one of
     ``left_only``, ``right_only``, ``both``.  One-sided requests are planned as
     an anti join (only the other side's keys are shuffled) instead of a full
-    outer join.
+    outer join, and ``None`` as the union of both anti joins.
     """
     keys = list(on)
     if which is None:
-        out = _suffix_join(df1, df2, keys, "full", markers=True)
-        return out.where(F.col(MERGE) != "both")
+        # rows on exactly one side = left-only rows + right-only rows: two anti joins
+        # (each shuffles only the other side's keys), no full join whose matches are discarded
+        return (diff_join(df1, df2, keys, "left_only")
+                .unionByName(diff_join(df1, df2, keys, "right_only")))
     if which == "both":
         return _suffix_join(df1, df2, keys, "inner", markers=True)
     if which not in ("left_only", "right_only"):
