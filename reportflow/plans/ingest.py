@@ -24,6 +24,7 @@ Only delivery metadata (a few rows per run) is brought to the driver.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -40,6 +41,8 @@ from reportflow.sinks.export import write_export
 from reportflow.sinks.snapshot import SnapshotTable, append_table
 from reportflow.sources.reports import list_files, scan_reports
 
+LOG = logging.getLogger(__name__)
+
 DELIVERY, OSS, DATE, ARRIVAL = "__delivery", "__oss", "__date", "__arrival"
 BY = (DELIVERY,)
 PARTS = {OSS: "report_oss", DATE: "report_date"}     # export partition columns
@@ -369,6 +372,7 @@ def ingest(spark: SparkSession, subjects: DataFrame, warehouse_root: str, region
             try:
                 RUNNERS[family](spark, wh, ds, now)
             except Exception:   # noqa: BLE001 - the ledger records the failure
+                LOG.exception("report family %s failed for %d deliveries", family, len(ds))
                 ok = False
         outcomes += [(d["report_name"], d["oss"] or "", d["report_date"].isoformat(), ok)
                      for d in ds]
