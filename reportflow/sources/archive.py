@@ -2,7 +2,10 @@
 
 ``expand_archives`` turns ZIP files into member rows with Spark's
 ``binaryFile`` source and ``mapInPandas`` (one archive per row; the only
-Python in the scan layer).  ``guard`` decides, all-or-nothing per archive,
+Python in the scan layer).  An archive is read whole (``binaryFile`` caps a
+file at 2 GB); the expansion yields one archive's members at a time, and for
+large archives ``spark.sql.execution.arrow.maxRecordsPerBatch`` should be set
+low so that an Arrow batch does not hold many archives at once.  ``guard`` decides, all-or-nothing per archive,
 whether every member stays inside the destination folder once the path is
 resolved; the check is a Column expression (a fold over path segments), so it
 runs in the JVM over any number of members.
@@ -27,15 +30,15 @@ MEMBER_SCHEMA = T.StructType([
 
 def _members(batches):
     import pandas as pd
+    cols = ["archive", "member", "size", "content"]
     for pdf in batches:
-        rows = []
         for path, content in zip(pdf["path"], pdf["content"]):
+            rows = []
             with zipfile.ZipFile(io.BytesIO(content)) as zf:
                 for info in zf.infolist():
-                    if info.is_dir():
-                        continue
-                    rows.append((path, info.filename, info.file_size, zf.read(info)))
-        yield pd.DataFrame(rows, columns=["archive", "member", "size", "content"])
+                    if not info.is_dir():
+                        rows.append((path, info.filename, info.file_size, zf.read(info)))
+            yield pd.DataFrame(rows, columns=cols)     # one archive's members at a time
 
 
 def expand_archives(spark: SparkSession, paths: str | list[str],
