@@ -5,10 +5,12 @@
 Python in the scan layer).  An archive is read whole (``binaryFile`` caps a
 file at 2 GB); the expansion yields one archive's members at a time, and for
 large archives ``spark.sql.execution.arrow.maxRecordsPerBatch`` should be set
-low so that an Arrow batch does not hold many archives at once.  ``guard`` decides, all-or-nothing per archive,
-whether every member stays inside the destination folder once the path is
-resolved; the check is a Column expression (a fold over path segments), so it
-runs in the JVM over any number of members.
+low so that an Arrow batch does not hold many archives at once.
+
+``guard`` decides, all-or-nothing per archive, whether every member stays
+inside the destination folder once the path is resolved; the check is a Column
+expression (a fold over path segments), so it runs in the JVM over any number
+of members.
 """
 
 from __future__ import annotations
