@@ -1,3 +1,5 @@
+"""Shared fixtures: one local Spark session for the whole test run, small helpers."""
+
 import os
 import sys
 
