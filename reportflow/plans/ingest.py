@@ -303,6 +303,16 @@ def _run_externals(spark, wh, deliveries, now):
         staged = P.external(spec, df, F.col(OSS), F.col(DATE), BY)
         tasks.append(lambda staged=staged, present=present:
                      _merge_and_export(spark, wh, "EXTERNALS", staged, present))
+    # files of an EXTERNALS delivery that no spec knows are exported raw, not loaded
+    known = {spec.file_name for spec in S.REGISTRY.for_family("EXTERNALS")}
+    other = [x for x in listing if x[1] not in known]
+    if other:
+        raw = _scan(spark, other, "*", 1)
+        out = raw.withColumnRenamed("_file", "source_file").drop("_path", "_seq", DELIVERY,
+                                                                  ARRIVAL)
+        tasks.append(lambda out=out: write_export(
+            out.withColumnsRenamed(PARTS), f"{wh.export_path('EXTERNALS')}/unrecognised",
+            partition_by=[*PARTS.values(), "source_file"]))
     _run_all(tasks)
 
 

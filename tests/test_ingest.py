@@ -140,6 +140,8 @@ def test_pki_logs_generic(run):
 
 def test_exports_and_ledger(run):
     spark, wh, _ = run
+    raw = spark.read.option("header", True).csv(f"{wh.export_path('EXTERNALS')}/unrecognised")
+    assert [(r.a, r.source_file) for r in raw.collect()] == [("1", "Some other list.csv")]
     exp = spark.read.option("header", True).csv(f"{wh.export_path('NETWORKS')}/huawei_2g_site")
     assert "NE Name" in exp.columns and exp.count() == 2
     assert os.path.isdir(f"{wh.export_path('NETWORKS')}/nodeb_info")
