@@ -283,7 +283,8 @@ def pki(report: DataFrame, insert_time: dt.datetime, by: tuple[str, ...] = ()) -
     t = drop_null_keys(_ensure(report, ["site_name"]), ["site_name"])
     t = t.withColumn("insert_time", F.lit(insert_time.strftime("%Y-%m-%d %H:%M:%S")))
     spec = S.PKI
-    t = t.withColumn(ORDER, _order(SEQ))
+    # several certificate files in one delivery: a later file (by name) beats an earlier one
+    t = _ensure(t, [FILE]).withColumn(ORDER, _order(FILE, SEQ))
     t = rename(t, spec.renames)
     t = _ensure(t, spec.table_columns)
     rows = t.select(*[_col(c).cast("string") for c in spec.table_columns], F.col(ORDER),
