@@ -239,3 +239,13 @@ def test_trailing_run_follows_arrival_order():
     assert sorted(x["arrival"] for x in tail) == [1, 2] and keep
     tail, keep = trailing_run([d(1, 2), d(2, 3), d(3, 3)])
     assert sorted(x["arrival"] for x in tail) == [2, 3] and not keep
+
+
+def test_run_without_accepted_deliveries(spark, tmp_path):
+    subj = spark.createDataFrame([("[Hello][x]", str(tmp_path / "none"), 1),
+                                  ("[Report][REGION_A][NETWORKS][31/12/2024]", str(tmp_path / "n"), 2)],
+                                 "subject string, folder string, arrival long")
+    gate = {r.arrival: (r.status, r.accepted) for r in
+            ingest(spark, subj, str(tmp_path / "wh"), ["REGION_A"], NOW).collect()}
+    assert gate == {1: ("not_a_report", False), 2: ("bad_date", False)}
+    assert Warehouse(str(tmp_path / "wh")).ledger(spark).read() is None
