@@ -1,8 +1,10 @@
-"""Router (R21): subjects -> gate -> dispatch -> ledger, and file dispatch.
+"""Router helpers (R21 gate, S6 file dispatch).
 
-``route_deliveries`` is the batch form of the reference's inbox loop: every
-delivery of a run (many reports, regions and dates) is parsed, gated against
-the ledger and given its ledger row in one set of Spark jobs.
+``route_deliveries`` parses and gates every delivery of a run (many reports,
+regions and dates) against the ledger in one set of Spark jobs;
+``plans.ingest.ingest`` runs the accepted deliveries and writes their ledger
+rows.  ``allowed_files`` / ``dispatch_scan`` read only allow-listed report
+files and tag rows with their target table.
 """
 
 from __future__ import annotations
