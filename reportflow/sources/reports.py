@@ -5,11 +5,13 @@ The only driver-side work is a bounded header peek per file (first bytes, to
 sniff ``,`` or ``;`` and to read the header names); rows are read by Spark.
 
 Preamble lines are removed by locating the header row by its text inside each
-file; the file's own order is the scan order (``multiLine`` keeps a file in one
-task, so a monotonically increasing id orders the rows of a file).  Header
-position and last row come from one per-file aggregate joined back (one row
-per file), so the files are parsed twice, not once per rule.  The many-report case (many files,
-many regions and dates) runs as one job per header layout.
+file, and footers by each row's distance from the end of its file.  Row order
+inside a file is (split start, row id within the split): a small file is read
+whole by one task (quoted newlines allowed), a file larger than one input split
+is read by several tasks.  Both positions come from a per-(file, split)
+aggregate joined back (one row per split), so the files are parsed twice, not
+once per rule.  The many-report case (many files, many regions and dates) runs
+as one job per header layout.
 """
 
 from __future__ import annotations
