@@ -1,11 +1,13 @@
 """Consume-once landing folder.
 
 Deliveries land as files in a folder.  A Structured Streaming file source with
-``trigger(availableNow=True)`` processes every file not seen before, exactly
-once, recording progress in a checkpoint; ``foreachBatch`` hands each
-micro-batch to a routing function (for example: append to a table, or run a
-report pipeline).  Re-running on the same checkpoint processes only new files,
-and a run lost half-way resumes from the last committed batch.
+``trigger(availableNow=True)`` processes every file not seen before, recording
+progress in a checkpoint.  The rows go either to Spark's file sink (exactly
+once: its commit log ignores a replayed batch's files) or, through
+``foreachBatch``, to a routing function (``ingest_stream`` runs each batch of
+delivery manifests through ``plans.ingest.ingest``).  Re-running on the same
+checkpoint processes only new files, and a run lost half-way resumes from the
+last committed batch.
 """
 
 from __future__ import annotations
