@@ -192,3 +192,17 @@ def test_snapshot_retention(spark, tmp_path):
     assert removed == sorted(names[:2])
     assert tbl.versions() == sorted(names[2:])
     assert tbl.read().count() == 1
+
+
+def test_snapshot_retention_removes_failed_writes(spark, tmp_path):
+    import os
+    tbl = SnapshotTable(spark, str(tmp_path / "f"))
+    df = spark.createDataFrame([("k", "1", "d")], "k string, v string, update_date string")
+    first = tbl.commit(df).rsplit("/", 1)[-1]
+    failed = f"snap-{'0' * 19}1-deadbeef"             # older than everything, never committed
+    os.makedirs(tmp_path / "f" / failed)
+    (tmp_path / "f" / failed / "part-0.parquet").write_bytes(b"partial")
+    second = tbl.commit(df).rsplit("/", 1)[-1]
+    assert tbl.versions() == sorted([first, second])  # the failed write is never visible
+    assert tbl.retain(keep=2) == [failed]
+    assert sorted(os.listdir(tmp_path / "f")) == sorted([first, second])
