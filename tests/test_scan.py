@@ -97,3 +97,12 @@ def test_utf8_bom(spark, tmp_path):
     assert rows(got0.select("cell_name", "cell_id")) == [("A", "1"), ("B", "2")]
     got1 = scan_reports(spark, str(d / "b.csv"), preamble=1)
     assert rows(got1.select("cell_name", "cell_id")) == [("C", "3")]
+
+
+def test_dispatch_without_allowed_files(spark, tmp_path):
+    import pytest
+
+    from reportflow.plans.router import dispatch_scan
+    write_report(str(tmp_path / "land" / "notes.csv"), ["pre", "a,b", "1,2"])
+    with pytest.raises(FileNotFoundError):
+        dispatch_scan(spark, str(tmp_path / "land"), "NETWORKS")
