@@ -12,8 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportflow.llm.exact_dedup import exact_duplicates
+from reportflow.llm.language_id import identify
 from reportflow.llm.mixing import mix_sources
 from reportflow.llm.packing import pack_documents
+from reportflow.llm.personal_data import find_personal_data
+from reportflow.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,3 +105,27 @@ FROM n
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of all documents by content-defined chunk recipes."""
     return exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_register("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document: family first, then pairwise SVMs inside it."""
+    return identify(_table(spark, sf_dir, "documents"))
+
+
+@_register("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by an n-gram classifier with naive Bayes scaled features."""
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_register("op10_personal_data")
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base spans and the terms that reveal them."""
+    found = find_personal_data(_table(spark, sf_dir, "documents"))
+    extra = F.transform("terms", lambda x: F.concat_ws(
+        ":", F.lit("term"), x.start.cast("string"), x.end.cast("string")))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"),
+        F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.concat_ws(",", extra).alias("x"))
+        .alias("spans"))
