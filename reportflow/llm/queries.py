@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reportflow.llm.embedding_dedup import near_duplicates
 from reportflow.llm.exact_dedup import exact_duplicates
 from reportflow.llm.language_id import identify
 from reportflow.llm.mixing import mix_sources
@@ -129,3 +130,9 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"),
         F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.concat_ws(",", extra).alias("x"))
         .alias("spans"))
+
+
+@_register("op7_embedding_dedup")
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.93 or more within a label."""
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
