@@ -15,6 +15,7 @@ from reportflow.llm.embedding_dedup import near_duplicates
 from reportflow.llm.exact_dedup import exact_duplicates
 from reportflow.llm.language_id import identify
 from reportflow.llm.mixing import mix_sources
+from reportflow.llm.ngram_join import near_duplicates as near_shingles
 from reportflow.llm.packing import pack_documents
 from reportflow.llm.personal_data import find_personal_data
 from reportflow.llm.toxicity import score_toxicity
@@ -136,3 +137,9 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings at cosine 0.93 or more within a label."""
     return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+@_register("op5_ngram_join")
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents at a Jaccard similarity of 0.75 on five-word shingles."""
+    return near_shingles(_table(spark, sf_dir, "documents"))
