@@ -18,6 +18,7 @@ from reportflow.llm.mixing import mix_sources
 from reportflow.llm.ngram_join import near_duplicates as near_shingles
 from reportflow.llm.packing import pack_documents
 from reportflow.llm.personal_data import find_personal_data
+from reportflow.llm.repeated_passages import repeated_passages
 from reportflow.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +144,11 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents at a Jaccard similarity of 0.75 on five-word shingles."""
     return near_shingles(_table(spark, sf_dir, "documents"))
+
+
+@_register("op4_repeated_passages")
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated passages of 100 bytes and more in all documents; first occurrences stay."""
+    found = repeated_passages(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"),
+                        "kept_sha256")
