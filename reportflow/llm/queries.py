@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from reportflow.llm.embedding_dedup import near_duplicates
 from reportflow.llm.exact_dedup import exact_duplicates
 from reportflow.llm.language_id import identify
+from reportflow.llm.language_model import score_texts
 from reportflow.llm.mixing import mix_sources
 from reportflow.llm.ngram_join import near_duplicates as near_shingles
 from reportflow.llm.packing import pack_documents
@@ -152,3 +153,9 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeated_passages(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"),
                         "kept_sha256")
+
+
+@_register("op9_lm_scoring")
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of all documents from an Elias-Fano n-gram trie."""
+    return score_texts(_table(spark, sf_dir, "documents"))
