@@ -2,27 +2,58 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and
 returns a DataFrame that is written as Parquet and reread as the next one's
-docs.  ``run`` applies all stages to ``documents``.
+docs.  ``run`` applies all stages to ``documents``.  All stages but the last
+return the columns of their input.
+
+Defined cases: see the operators.  Where rows share an id, each row is judged by
+its own text; rows equal in id and text are one document for the dedup stages and
+one of them stays.  A null id is an id like any other.  Empty tables pass through.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reportflow.llm.exact_dedup import exact_duplicates
+from reportflow.llm.language_id import accept
 from reportflow.llm.mixing import mixed_documents
+from reportflow.llm.ngram_join import near_duplicates
 from reportflow.llm.packing import pack_documents
 from reportflow.session import scratch_path
 
 
+def _stay(docs: DataFrame, kept: DataFrame, key) -> DataFrame:
+    """One row of ``docs`` for each (doc_id, _key) of ``kept``; ``key`` gives a row's _key."""
+    kept = kept.select(F.col("doc_id").alias("_kid"), F.col("_key").alias("_kkey")).distinct()
+    rows = docs.withColumn("_key", key)
+    found = rows.join(kept, rows["doc_id"].eqNullSafe(F.col("_kid")) & (rows["_key"] == F.col("_kkey")), "left_semi")
+    return found.dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: documents without a letter, or of no language the model is sure of, go."""
+    return accept(docs)
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exact dedup: of equal texts the document with the smallest id stays."""
-    kept = exact_duplicates(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    kept = exact_duplicates(docs).filter("kept").withColumnRenamed("text_sha256", "_key")
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")
+    return _stay(docs, kept, F.sha2(text, 256))
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Near dedup: of each group linked by n-gram similarity the smallest id stays."""
+    groups = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # Rows of one id: each wordless text is a group, of the others the smallest hash stays.
+    alone = F.when(F.col("n_shingles") == 0, F.col("text_hash"))
+    kept = groups.groupBy("doc_id", alone.alias("_alone")).agg(F.min("text_hash").alias("_key"))
+    return _stay(docs, kept, F.xxhash64("text"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing: documents come as often as the mix takes them."""
+    """Mixing: a document comes as often as the mix takes it, up to twice."""
     return mixed_documents(docs)
 
 
@@ -32,11 +63,14 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
+    ("language ID", language_stage),
     ("exact dedup", exact_stage),
+    ("n-gram Jaccard join", near_stage),
     ("mixing", mixing_stage),
     ("packing", packing_stage),
 ]
 
+# The language model and the packing program can't be written in SQL.
 ORACLE_SQL = None
 
 

@@ -212,6 +212,12 @@ def identify(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "
     source = docs if labelled is None else labelled
     model = train(source.filter(~held_out(F.col(id_col), folds, 0)), id_col, text_col, lang_col,
                   per_language)
+    return apply_model(docs, model, id_col, text_col, folds)
+
+
+def apply_model(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text",
+                folds: int = 5) -> DataFrame:
+    """One row per document: (id, held_out, lang_pred, score)."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,3 +233,22 @@ def identify(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "
     return docs.select(F.col(id_col), held_out(F.col(id_col), folds, 0).alias("held_out"),
                        F.col(text_col).cast("string")).mapInArrow(
         run, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double")
+
+
+def accept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+           least: float = 0.25, per_language: int = 400, folds: int = 5) -> DataFrame:
+    """The documents, all columns, whose language is known with at least the score ``least``.
+
+    The model is that of ``identify``; ``und`` and lower scores are rejected.
+    """
+    model = train(docs.filter(~held_out(F.col(id_col), folds, 0)), id_col, text_col, lang_col, per_language)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = buffers(batch.column(at))
+            for a, b, d, o in chunks(data, off, 2 << 20):
+                names, score = predict(model, d, o)
+                yield batch.slice(a, b - a).filter(pa.array((names != UND) & (score >= least)))
+
+    return docs.mapInArrow(run, docs.schema)

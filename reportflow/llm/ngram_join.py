@@ -310,14 +310,19 @@ def _verify(texts: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                     percent: int = 75) -> DataFrame:
-    """One row per document: (id, n_shingles, component_id)."""
+    """One row per document: (id, n_shingles, component_id, text_hash).
+
+    ``text_hash`` (xxhash64 of the text) tells rows of one id apart.
+    """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     kind = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    first = texts.mapInArrow(_describe(width), f"kind int, _id {kind}, sid bigint, `check` bigint, n bigint, "
-                             "slice int, counts binary").checkpoint()
-    rows = first.filter("kind = 0").select("_id", "sid", "check", "n")
+    texts = docs.select(F.struct(F.col(id_col).alias("i"), F.xxhash64(F.col(text_col)).alias("h")).alias("_id"),
+                        F.col(text_col).cast("string").alias("_text"))
+    first = texts.mapInArrow(_describe(width), f"kind int, _id struct<i: {kind}, h: bigint>, sid bigint, "
+                             "`check` bigint, n bigint, slice int, counts binary").checkpoint()
+    rows = first.filter("kind = 0").select(F.col("_id.i").alias("_id"), F.col("_id.h").alias("text_hash"),
+                                           "sid", "check", "n")
     nodes = (rows.filter("n > 0").groupBy("sid").agg(
         F.min("_id").alias("_first"), F.min("check").alias("_c"), F.max("check").alias("_d"),
         F.max("n").alias("n")).checkpoint())
@@ -364,4 +369,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = named.join(smallest, "part").select("sid", "component_id").withColumnRenamed("sid", "_sid")
     return (rows.join(named, (F.col("n") > 0) & (F.col("sid") == F.col("_sid")), "left")
             .select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "_id").alias("component_id")))
+                    F.coalesce("component_id", "_id").alias("component_id"), "text_hash"))
