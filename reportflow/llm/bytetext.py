@@ -167,7 +167,8 @@ def _sequence(h: np.ndarray) -> int:
 
 def planes(a: np.ndarray) -> bytes:
     """An integer array as bytes of equal weight side by side, which compress well."""
-    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() if len(a) else b""
+    rows = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize)
+    return np.ascontiguousarray(rows.T).tobytes()
 
 
 def from_planes(b: bytes, dtype) -> np.ndarray:

@@ -85,9 +85,14 @@ def _recipes(average: int, size: int, clashes: dict[bytes, list[bytes]]):
 
 
 def identifier(body: bytes, size: int, clashes: dict[bytes, list[bytes]]) -> bytes:
-    """Fingerprint and number of a chunk; the number is 0 for all but clashes."""
+    """Fingerprint and number of a chunk; the number is 0 for all but clashes.
+
+    Bytes that were not compared belong to a document whose fingerprints alone
+    tell it from all others, so they can share the number after the last.
+    """
     print_ = _fingerprint(body, size)
-    number = clashes[print_].index(body) if print_ in clashes else 0
+    known = clashes.get(print_, [body])
+    number = known.index(body) if body in known else len(known)
     return print_ + number.to_bytes(2, "big")
 
 
