@@ -9,7 +9,10 @@ broadcasts.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +35,14 @@ def build(df: DataFrame, column: str) -> np.ndarray:
 def contains(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     place = hashes.view(np.uint64) >> np.uint64(64 - BITS)
     return (bitmap[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+def keep(df: DataFrame, column: str, bitmap: np.ndarray) -> DataFrame:
+    """Rows whose hash may be in the bitmap (all that are, and few others)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch.column(column).to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(contains(bitmap, hashes)))
+
+    return df.mapInArrow(run, df.schema)

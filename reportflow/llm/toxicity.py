@@ -28,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reportflow.llm import bitmap
 from reportflow.llm.bytetext import buffers, chunks, lower
 from reportflow.llm.linear import fit_sigmoid, fit_svm, held_out, sample_bounds, sigmoid
 
 WIDTH_BITS = 20
 WIDTH = 1 << WIDTH_BITS
 ORDERS = (3, 4, 5)
-_SLICES = 16
+_SLICES = 64
 
 
 def ngram_columns(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -111,7 +112,7 @@ def log_count_ratios(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, int,
     """Counts of (clean, toxic) documents per column, and of all documents."""
     schema = "part int, clean binary, toxic binary, n_clean bigint, n_toxic bigint"
     sums = (labelled.select("toxic", "text").mapInArrow(_count, schema)
-            .repartition(_SLICES, "part").mapInArrow(_sum, schema)).collect()    # 16 slices of fixed size
+            .repartition(_SLICES, "part").mapInArrow(_sum, schema)).collect()    # 64 slices of fixed size
     clean, toxic = np.zeros(WIDTH, np.int64), np.zeros(WIDTH, np.int64)
     size, n = WIDTH // _SLICES, (0, 0)
     for r in sums:
@@ -135,20 +136,29 @@ def choose_columns(clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic:
     return kept, ratio[kept]
 
 
-def train(labelled: DataFrame, per_class: int = 3000, features: int = 1 << 14,
+def _labelled(texts: DataFrame, marks: DataFrame) -> DataFrame:
+    """(key, toxic, text) of the marked documents; a bitmap keeps other texts out of the shuffle."""
+    wanted = bitmap.keep(texts, "key", bitmap.build(marks, "key"))
+    return wanted.join(marks.select("_lid", "toxic").hint("shuffle_hash"),
+                       F.col("_id") == F.col("_lid")).select("key", "toxic", "text")
+
+
+def train(texts: DataFrame, marks: DataFrame, per_class: int = 3000, features: int = 1 << 14,
           mean_share: float = 0.25) -> dict:
-    """Model from (id, toxic, text); one task fits the SVM on the bounded sample."""
-    clean, toxic, n_clean, n_toxic = log_count_ratios(labelled)
+    """Model from texts (_id, key, text) and marks (_lid, key, toxic).
+
+    One task fits the SVM on the bounded sample.
+    """
+    clean, toxic, n_clean, n_toxic = log_count_ratios(_labelled(texts, marks))
     if not n_clean or not n_toxic:
         share = n_toxic / (n_clean + n_toxic) if n_clean + n_toxic else 0.0
         return {"kept": np.zeros(0, np.int64), "weights": np.zeros(0), "bias": 0.0, "a": 0.0,
-                "b": 50.0 if share == 1 else -50.0 if share == 0 else 0.0}
+                "b": 50.0 if share == 1 else -50.0}
     kept, ratio = choose_columns(clean, toxic, n_clean, n_toxic, features)
     keep = np.full(WIDTH, -1, np.int32)
     keep[kept] = np.arange(len(kept))
-    bounds = sample_bounds(labelled, "toxic", "key", per_class)
     within = F.lit(False)
-    for label, bound in bounds.items():
+    for label, bound in sample_bounds(marks, "toxic", "key", per_class).items():
         within = within | ((F.col("toxic") == label) & (F.col("key") <= bound))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,12 +183,11 @@ def train(labelled: DataFrame, per_class: int = 3000, features: int = 1 << 14,
         w = mean_share * np.abs(w).mean() * np.sign(w) + (1 - mean_share) * w if len(w) else w
         w = w * ratio
         total = np.concatenate([[0.0], np.cumsum(w[flat])])[offsets]
-        weight = np.where(label, n_toxic / label.sum(), n_clean / (~label).sum())
+        weight = np.where(label, n_toxic / max(label.sum(), 1), n_clean / max((~label).sum(), 1))
         a, b = fit_sigmoid(np.diff(total) + bias, label, weight * len(label) / (n_toxic + n_clean))
         return pd.DataFrame({"weights": [w.tobytes()], "bias": [float(bias)], "a": [a], "b": [b]})
 
-    sample = labelled.filter(within).select("key", "toxic", "text").mapInArrow(
-        rows, "key bigint, toxic int, cols binary")
+    sample = _labelled(texts, marks.filter(within)).mapInArrow(rows, "key bigint, toxic int, cols binary")
     r = sample.groupBy(F.lit(0).alias("all")).applyInPandas(
         fit, "weights binary, bias double, a double, b double").first()
     return {"kept": kept, "weights": np.frombuffer(r["weights"], np.float64), "bias": r["bias"],
@@ -195,12 +204,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """
     marks = (labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_lid"))
              .agg(F.max((F.col(label_col) > 0).cast("int")).alias("toxic"))
-             .filter(~held_out(F.col("_lid"), folds, 0)))
+             .filter(~held_out(F.col("_lid"), folds, 0))
+             .withColumn("key", F.xxhash64(F.col("_lid").cast("string"), F.lit(3))))
     texts = docs.filter(~held_out(F.col(id_col), folds, 0)).select(
-        F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    labelled = texts.join(marks, F.col("_id") == F.col("_lid")).select(
-        F.xxhash64(F.col("_id").cast("string"), F.lit(3)).alias("key"), "toxic", "text")
-    model = train(labelled, per_class, features)
+        F.col(id_col).alias("_id"), F.xxhash64(F.col(id_col).cast("string"), F.lit(3)).alias("key"),
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    model = train(texts, marks, per_class, features)
     keep = np.full(WIDTH, -1, np.int32)
     keep[model["kept"]] = np.arange(len(model["kept"]))
     weights, kind = model["weights"], docs.schema[id_col].dataType.simpleString()
