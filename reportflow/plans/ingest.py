@@ -3,29 +3,34 @@
 A *delivery* is one report sent for one region and date: a folder of files
 plus its subject.  ``ingest`` takes every delivery of a run at once:
 
-1. subjects are parsed and gated against the ledger *and* against earlier
-   deliveries of the same (report, region) in the run (a running maximum over
-   arrival order), which gives the same accept/reject decisions as handling the
-   deliveries one by one;
-2. each report table of a family is built from all its accepted deliveries in
+1. subjects are parsed and gated against the ledger; the files (and ZIP members)
+   of those that pass are scanned and validated: missing contract columns or side
+   files, records longer than their header, cell ids that are no integers and
+   archive members outside the archive make a delivery fail;
+2. deliveries are gated against earlier valid deliveries of the same (report,
+   region) in the run as well (a running maximum over arrival order), which gives
+   the same accept/reject decisions as handling the deliveries one by one;
+3. each report table of a family is built from all its accepted deliveries in
    one Spark job (the delivery id scopes side-file joins and de-dup);
-3. snapshot tables are merged once per run.  Handling deliveries one by one
+4. snapshot tables are merged once per run.  Handling deliveries one by one
    leaves, for a table scoped by report date, the rows of the trailing run of
    deliveries that share the last delivery's date (plus the old rows of that
    date when no other date came in between); the batch merge keeps exactly
    those rows (``trailing_run``), later arrivals winning ties;
-4. readable exports are written per (report, region, date) partition, the
-   ledger gets one row per delivery and reports that reached the threshold are
-   marked as sent.
+5. readable exports are written per (report, region, date, delivery) partition,
+   the ledger gets one row per accepted delivery, failed ones included, and reports
+   that reached the threshold are marked as sent.
 
-Only delivery metadata (a few rows per run) is brought to the driver.
+The driver holds one row per delivery, per listed file and per distinct header.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import logging
 import uuid
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -33,19 +38,25 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reportflow.functions.dates import try_report_date, with_subject
+from reportflow.functions.keys import invalid_identity
 from reportflow.operators import gates, ledger
 from reportflow.operators.upsert import merge_snapshot
 from reportflow.plans import pipelines as P
 from reportflow.plans import specs as S
 from reportflow.sinks.export import write_export
 from reportflow.sinks.snapshot import SnapshotTable, append_table
-from reportflow.sources.reports import list_files, scan_reports
+from reportflow.session import hadoop_fs
+from reportflow.sources.archive import member_is_safe, member_names
+from reportflow.sources.reports import BAD, PATH, list_files, literal, marked_scan
+from reportflow.spec import DERIVED
 
 LOG = logging.getLogger(__name__)
 
-DELIVERY, OSS, DATE, ARRIVAL = "__delivery", "__oss", "__date", "__arrival"
+DELIVERY, OSS, DATE, ARRIVAL, PART = "__delivery", "__oss", "__date", "__arrival", "__part_id"
 BY = (DELIVERY,)
-PARTS = {OSS: "report_oss", DATE: "report_date"}     # export partition columns
+# Export partition columns.  The delivery (its subject and folder) is one of them, so a delivery
+# adds its rows whatever else came before, and handling the same one again replaces them.
+PARTS = {OSS: "report_oss", DATE: "report_date", PART: "delivery_id"}
 
 
 @dataclass
@@ -68,9 +79,13 @@ class Warehouse:
 
 # ---- 1. gate ------------------------------------------------------------------------------
 
-def gate_deliveries(subjects: DataFrame, ledger_df: DataFrame | None,
-                    regions: list[str]) -> DataFrame:
-    """Parsed and gated deliveries (``subject``, ``folder``, ``arrival`` in)."""
+def gate_deliveries(subjects: DataFrame, ledger_df: DataFrame | None, regions: list[str],
+                    failed: list[str] = (), in_run: bool = True) -> DataFrame:
+    """Parsed and gated deliveries (``subject``, ``folder``, ``arrival`` in).
+
+    ``failed`` names deliveries (subject|folder|arrival) that raise nobody's
+    watermark; ``in_run=False`` gates against the ledger alone.
+    """
     parsed = with_subject(subjects, "subject", regions)
     parsed = parsed.withColumn("report_date", try_report_date("report_date_text"))
     parsed = parsed.withColumn("status", F.when(
@@ -91,8 +106,17 @@ def gate_deliveries(subjects: DataFrame, ledger_df: DataFrame | None,
     gated = gated.withColumn("last_date", F.when(ok, F.col("last_date")))
     # earlier deliveries of the run raise the watermark for later ones
     # bucket width from the input's arrival column (a plain scan, not the gate pipeline)
-    gated = prior_max(gated, ["report_name", "oss"], "arrival", "__gate_date", "__prior",
-                      bucket=bucket_width(subjects, "arrival"))
+    if not in_run:
+        gated = gated.withColumn("__prior", F.lit(None).cast("date"))
+    else:
+        if failed:
+            spark = parsed.sparkSession
+            out = spark.createDataFrame([(x, True) for x in failed], "__failed string, __out boolean")
+            name = F.concat_ws("|", "subject", "folder", F.col("arrival").cast("string"))
+            gated = gated.join(out, name == F.col("__failed"), "left").withColumn(
+                "__gate_date", F.when(F.col("__out").isNull(), F.col("__gate_date"))).drop("__failed", "__out")
+        gated = prior_max(gated, ["report_name", "oss"], "arrival", "__gate_date", "__prior",
+                          bucket=bucket_width(subjects, "arrival"))
     mark = F.greatest(F.col("last_date"), F.col("__prior"))
     inclusive = F.col("report_name").isin(*gates.INCLUSIVE_FAMILIES)
     accepted = ok & (mark.isNull() | F.when(inclusive, F.col("report_date") >= mark)
@@ -140,36 +164,207 @@ def prior_max(df: DataFrame, group: list[str], order: str, value: str, out: str,
             .drop("__bucket", "__in", "__before"))
 
 
-# ---- 2. scan the files of accepted deliveries ------------------------------------------------
+# ---- 2. scan the files of candidate deliveries and validate them ------------------------------
+
+@dataclass
+class Found:
+    """A file of a delivery, or a member of one of its ZIP archives."""
+    path: str                 # file path; of a member, its archive's
+    name: str
+    delivery: str
+
+
+@dataclass
+class Scan:
+    rows: DataFrame           # rows tagged with their delivery
+    having: set               # deliveries that hold the file
+    columns: dict             # columns of each delivery's files
 
-def _listing(spark: SparkSession, deliveries: list) -> list[tuple[str, str, dict]]:
-    """(path, file name, delivery) for every file of every delivery (one listing per folder)."""
-    out = []
-    for d in deliveries:
-        for path in list_files(spark, d["folder"]):
-            out.append((path, path.rsplit("/", 1)[-1], d))
-    return out
 
+def _listing(spark: SparkSession, deliveries: list) -> tuple[list[Found], set]:
+    """Files and archive members of the deliveries (one listing per folder), and unsafe deliveries.
 
-def _scan(spark: SparkSession, listing: list, file_name: str, preamble: int,
-          **kw) -> DataFrame | None:
+    An archive with a member that leaves its folder makes its delivery fail.
+    """
+    found, unsafe, archives = [], set(), {}
+    for d in deliveries:
+        try:
+            paths = list_files(spark, d["folder"])
+        except ValueError:
+            LOG.exception("delivery %s holds files that cannot be read", d["delivery"])
+            unsafe.add(d["delivery"])
+            continue
+        for path in paths:
+            if path.lower().endswith(".zip"):
+                archives[path] = d["delivery"]
+            else:
+                found.append(Found(path, path.rsplit("/", 1)[-1], d["delivery"]))
+    if archives:
+        members = member_names(spark, [literal(p) for p in archives])
+        members = members.withColumn("safe", member_is_safe(F.col("member"), "archive"))
+        by_uri = {_uri(p): p for p in archives}
+        for r in members.select(_decoded("archive").alias("archive"), "member", "safe").collect():
+            path = by_uri[_uri(r["archive"])]
+            found.append(Found(path, r["member"].rsplit("/", 1)[-1], archives[path]))
+            if not r["safe"]:
+                unsafe.add(archives[path])
+    return found, unsafe
+
+
+def _decoded(c: str):
+    return F.url_decode(F.replace(F.col(c), F.lit("+"), F.lit("%2B")))
+
+
+def _uri(path: str) -> str:
+    """One spelling for ``file:/x`` and ``file:///x``."""
+    return path.replace(":///", ":/", 1) if path.startswith("file:") else path
+
+
+def _scan(spark: SparkSession, files: list[Found], file_name: str, preamble: int, failed: set,
+          required: tuple[str, ...] = (), integers: tuple[str, ...] = (), **kw) -> Scan | None:
     """One report file name across all deliveries of a run: a single scan.
 
-    Rows get the delivery columns through a broadcast map keyed by file path
-    (one row per file of the run).  A row whose path is not in the map raises
-    instead of being dropped.
+    Deliveries whose file has no header, lacks a required column, has a record
+    longer than its header or a cell id that is no integer are added to ``failed``.
     """
-    files = [(p, d) for p, n, d in listing if file_name == "*" or n == file_name]
-    if not files:
+    mine = [f for f in files if file_name == "*" or f.name == file_name]
+    if file_name == "*":
+        failed.update(f.delivery for f in mine if not f.name.lower().endswith(".csv"))
+        mine = [f for f in mine if f.name.lower().endswith(".csv")]
+    mine = [f for f in mine if f.delivery not in failed]
+    if not mine:
         return None
-    rows = scan_reports(spark, [p for p, _ in files], preamble=preamble, **kw)
-    meta = spark.createDataFrame(
-        [(p, d["delivery"], d["oss"], d["report_date"].isoformat(), d["arrival"]) for p, d in files],
-        f"__mpath string, {DELIVERY} string, {OSS} string, {DATE} string, {ARRIVAL} long")
-    key = F.url_decode(F.replace(F.col("_path"), F.lit("+"), F.lit("%2B")))
-    tagged = rows.join(F.broadcast(meta), key == F.col("__mpath"), "left").drop("__mpath")
-    return tagged.withColumn(DELIVERY, F.coalesce(F.col(DELIVERY), F.raise_error(
-        F.concat(F.lit("file not mapped to a delivery: "), F.col("_path"))).cast("string")))
+    names = None if file_name == "*" else [file_name]
+    rows, heads, layouts = marked_scan(spark, sorted({f.path for f in mine}), preamble, names=names, **kw)
+    meta = spark.createDataFrame(sorted({(_uri(f.path), f.delivery) for f in mine}),
+                                 f"__mpath string, {DELIVERY} string")
+
+    def tag(df: DataFrame) -> DataFrame:
+        # a member's path is its archive's, then "!/" and its name
+        own = F.regexp_replace(F.regexp_replace(_decoded(PATH), r"^file:///", "file:/"), r"(?i)(\.zip)!/.*$", "$1")
+        tagged = df.join(meta, own == F.col("__mpath"), "left").drop("__mpath")
+        return tagged.withColumn(DELIVERY, F.coalesce(F.col(DELIVERY), F.raise_error(
+            F.concat(F.lit("file not mapped to a delivery: "), F.col(PATH))).cast("string")))
+
+    rows, heads = tag(rows), tag(heads)
+    lacking = [k for k, columns in layouts.items() if not set(required) <= set(columns)]
+    bad = F.lit(False)
+    for sep, header in lacking:
+        bad = bad | ((F.col("sep") == sep) & (F.col("header") == header))
+    # one row per delivery; its distinct headers are few
+    states = heads.groupBy(DELIVERY).agg(
+        F.max(bad).alias("bad"), F.count_distinct(PATH).alias("files"),
+        F.collect_set(F.struct("sep", "header")).alias("layouts"))
+    wanted = Counter(f.delivery for f in mine)
+    found = states.collect()
+    got = {r[DELIVERY]: (r["bad"], r["files"]) for r in found}
+    columns = {r[DELIVERY]: {c for x in r["layouts"] for c in layouts[x["sep"], x["header"]]} for r in found}
+    for d, n in wanted.items():
+        bad_header, files_read = got.get(d, (False, 0))
+        if bad_header or files_read < n:
+            LOG.error("delivery %s: %s lacks its header or a contract column", d, file_name)
+            failed.add(d)
+    wrong = F.col(BAD)
+    if integers and set(integers) <= set(rows.columns):
+        wrong = wrong | invalid_identity(*integers)
+    for r in rows.where(wrong).select(DELIVERY).distinct().collect():
+        LOG.error("delivery %s: %s has a record longer than its header or a cell id that is no integer",
+                  r[0], file_name)
+        failed.add(r[0])
+    return Scan(rows.drop(BAD), set(wanted), columns)
+
+
+def _required(spec) -> tuple[str, ...]:
+    """Source columns of a report's contract."""
+    return tuple(dict.fromkeys(c.source for c in spec.columns if c.source != DERIVED))
+
+
+# Columns that the pipelines read beside those of the contracts.
+SIDE_COLUMNS = {
+    "3G_RNC_List.csv": ("bsc_name", "node_id"),
+    "CO-MPT 2G.csv": ("gbts_function_name", "ne_name", "product_version"),
+    "CO-MPT 3G.csv": ("nodeb_function_name", "ne_name", "product_version", "cabinet_type"),
+    "CO-MPT 4G.csv": ("enodeb_function_name", "ne_name", "product_version"),
+    "CO-MPT 4G_Cell_List.csv": ("enodeb_function_name",),
+    S.NODEB_INFO: ("nodeb_name", "nodeb_version", "nodeb_type"),
+}
+CELLS_4G, CO_MPT_CELLS = "4G_Cell_List.csv", "CO-MPT 4G_Cell_List.csv"
+SIDE_FILES = {
+    "2G_BSC_List.csv": ("3G_RNC_List.csv",), "2G_Site_List.csv": ("CO-MPT 2G.csv",),
+    "3G_Site_List.csv": ("CO-MPT 3G.csv", S.NODEB_INFO), "4G_Site_List.csv": ("CO-MPT 4G.csv",),
+    "4G_Cell_List.csv": ("CO-MPT 4G_Cell_List.csv",),
+}
+CELL_IDS = {"4G_Cell_List.csv": ("enodeb_id", "cell_id"), "5G_Cell_List.csv": ("gnodeb_id", "nr_cell_id")}
+
+
+def scan_family(spark: SparkSession, family: str, deliveries: list) -> tuple[dict[str, Scan], set]:
+    """Scans per report file of a family, and the deliveries that fail validation."""
+    files, failed = _listing(spark, deliveries)
+    scans: dict[str, Scan] = {}
+    tasks: list[Callable[[], None]] = []
+
+    def scan(key: str, *args, **kw) -> None:
+        def task() -> None:
+            got = _scan(spark, *args, failed=failed, **kw)
+            if got is not None:
+                scans[key] = got
+        tasks.append(task)
+
+    if family == "NETWORKS":
+        have: dict[str, set] = {}
+        for f in files:
+            have.setdefault(f.delivery, set()).add(f.name)
+        for d, names in have.items():
+            for report, sides in SIDE_FILES.items():
+                if report in names and not set(sides) <= names:
+                    LOG.error("delivery %s: %s needs %s", d, report, sides)
+                    failed.add(d)
+        for name in dict.fromkeys([*S.NETWORK_FILES, *SIDE_COLUMNS]):
+            spec = S.REGISTRY.get(name)
+            required = SIDE_COLUMNS.get(name) or (_required(spec) if spec else ())
+            if name == CELLS_4G:
+                required = ()           # its contract is met together with the CO-MPT list's columns
+            scan(name, files, name, 0 if name == S.NODEB_INFO else 1, required=required,
+                 integers=CELL_IDS.get(name, ()))
+        _run_all(tasks)
+        tasks.clear()
+        if CELLS_4G in scans:
+            own, other = scans[CELLS_4G].columns, scans.get(CO_MPT_CELLS)
+            for d, columns in own.items():
+                both = columns | (other.columns.get(d, set()) if other else set())
+                if not set(_required(S.CELL_4G)) <= both:
+                    LOG.error("delivery %s: %s lacks a contract column", d, CELLS_4G)
+                    failed.add(d)
+    elif family == "EXTERNALS":
+        known = {s.file_name: s for s in S.REGISTRY.for_family("EXTERNALS")}
+        for name, spec in known.items():
+            _, id_parts, key_parts = S.EXTERNAL_KEYS[name]
+            scan(name, files, name, 1, required=(*_required(spec), *id_parts, *key_parts))
+        scan("*", [f for f in files if f.name not in known], "*", 1)
+    else:
+        options = {"PKI": (0, {}), "HCMD": (2, {"footer": 1, "sep": ","})}.get(family, (0, {}))
+        required = {"PKI": _required(S.PKI), "HCMD": P.LOG_COLUMNS}.get(family, ())
+        scan("*", files, "*", options[0], required=required, **options[1])
+    _run_all(tasks)
+    if family in ("PKI", "HCMD"):
+        held = {f.delivery for f in files}
+        failed.update(d["delivery"] for d in deliveries if d["delivery"] not in held)
+    return scans, failed
+
+
+def _deliveries_frame(spark: SparkSession, deliveries: list) -> DataFrame:
+    return spark.createDataFrame(
+        [(d["delivery"], d["oss"], d["report_date"].isoformat(), d["arrival"],
+          hashlib.md5(f"{d['subject']}|{d['folder']}".encode()).hexdigest()) for d in deliveries],
+        f"{DELIVERY} string, {OSS} string, {DATE} string, {ARRIVAL} long, {PART} string")
+
+
+def _rows_of(spark: SparkSession, scan: Scan, deliveries: list, stamp: bool = True) -> DataFrame:
+    """Rows of the given deliveries, with their region, date, arrival and partition name."""
+    meta = _deliveries_frame(spark, deliveries)
+    if not stamp:
+        return scan.rows.join(meta.select(DELIVERY), DELIVERY, "left_semi")
+    return scan.rows.join(meta, DELIVERY)
 
 
 # ---- 3. merge and export ---------------------------------------------------------------------
@@ -196,10 +391,7 @@ def _merge_and_export(spark: SparkSession, wh: Warehouse, family: str, staged: P
                       deliveries: list) -> None:
     spec, rows = staged.spec, staged.rows
     tbl = wh.table(spark, spec.table)
-    meta = spark.createDataFrame([(d["delivery"], d["oss"], d["report_date"].isoformat(),
-                                   d["arrival"]) for d in deliveries],
-                                 f"{DELIVERY} string, {OSS} string, {DATE} string, {ARRIVAL} long")
-    tagged = rows.join(F.broadcast(meta), on=DELIVERY, how="inner")     # a few rows per run
+    tagged = rows.join(_deliveries_frame(spark, deliveries), on=DELIVERY, how="inner")
     # The staged delivery feeds both the merge and the export: write it once to a
     # staging table in the shared warehouse and read it back.  The reports are
     # parsed once, and the lineage is cut (a lost executor later re-reads Parquet,
@@ -217,15 +409,17 @@ def _merge_and_export(spark: SparkSession, wh: Warehouse, family: str, staged: P
     else:
         tail, keep_existing = trailing_run(deliveries)
         last = tail[0]["report_date"].isoformat()
-        incoming = ordered.where(F.col(DELIVERY).isin(*[d["delivery"] for d in tail])) \
+        incoming = ordered.join(_deliveries_frame(spark, tail).select(DELIVERY), DELIVERY, "left_semi") \
             .select(*payload, "__bseq")
         existing = tbl.read() if keep_existing else None
         merged = merge_snapshot(existing, incoming, key, [sort_col], seq="__bseq",
                                 scope="report_date", date_col=f"{spec.table}_update_date",
                                 report_date=last)
     tbl.commit(merged)
-    out = P.export(tagged, spec, keep=(OSS, DATE)).withColumnsRenamed(PARTS)
+    out = P.export(tagged, spec, keep=tuple(PARTS)).withColumnsRenamed(PARTS)
     write_export(out, f"{wh.export_path(family)}/{spec.table}", partition_by=list(PARTS.values()))
+    fs, path = hadoop_fs(spark, staging)
+    fs.delete(path, True)
 
 
 # ---- family runners ----------------------------------------------------------------------------
@@ -248,144 +442,176 @@ def _run_all(tasks: list) -> None:
     if errors:
         raise errors[0]
 
-def _run_networks(spark, wh, deliveries, now):
-    listing = _listing(spark, deliveries)
-    with_file: dict[str, set] = {}
-    for _, n, d in listing:
-        with_file.setdefault(n, set()).add(d["delivery"])
-    f = {name: _scan(spark, listing, name, 0 if name == S.NODEB_INFO else 1)
-         for name in (*S.NETWORK_FILES, "3G_RNC_List.csv", "CO-MPT 2G.csv", "CO-MPT 3G.csv",
-                      "CO-MPT 4G.csv", "CO-MPT 4G_Cell_List.csv")}
-    oss, date = F.col(OSS), F.col(DATE)
-
-    def need(name):
-        if f[name] is None:
-            raise FileNotFoundError(f"side file {name} missing from the delivery")
-        return f[name]
 
+def _run_networks(spark, wh, scans, deliveries, now):
+    f = {name: _rows_of(spark, x, deliveries).drop(ARRIVAL, PART) for name, x in scans.items()}
+    side = {name: df.drop(OSS, DATE) for name, df in f.items()}
+    oss, date = F.col(OSS), F.col(DATE)
     builders: dict[str, Callable[[], P.Staged]] = {
-        "2G_BSC_List.csv": lambda: P.parent(f["2G_BSC_List.csv"], need("3G_RNC_List.csv"), oss, date, BY),
-        "2G_Site_List.csv": lambda: P.site_2g(f["2G_Site_List.csv"], need("CO-MPT 2G.csv"), oss, date, BY),
+        "2G_BSC_List.csv": lambda: P.parent(f["2G_BSC_List.csv"], f["3G_RNC_List.csv"], oss, date, BY),
+        "2G_Site_List.csv": lambda: P.site_2g(f["2G_Site_List.csv"], side["CO-MPT 2G.csv"], oss, date, BY),
         "2G_Cell_List.csv": lambda: P.cell_2g(f["2G_Cell_List.csv"], oss, date, BY),
         "2G_Cell_TRX.csv": lambda: P.trx_2g(f["2G_Cell_TRX.csv"], oss, date, BY),
-        "3G_Site_List.csv": lambda: P.site_3g(f["3G_Site_List.csv"], need("CO-MPT 3G.csv"),
-                                              need(S.NODEB_INFO), oss, date, BY),
+        "3G_Site_List.csv": lambda: P.site_3g(f["3G_Site_List.csv"], side["CO-MPT 3G.csv"],
+                                              side[S.NODEB_INFO], oss, date, BY),
         "3G_Cell_List.csv": lambda: P.cell_3g(f["3G_Cell_List.csv"], oss, date, BY),
-        "4G_Site_List.csv": lambda: P.site_4g(f["4G_Site_List.csv"], need("CO-MPT 4G.csv"), oss, date, BY),
-        "4G_Cell_List.csv": lambda: P.cell_4g(f["4G_Cell_List.csv"], need("CO-MPT 4G_Cell_List.csv"),
+        "4G_Site_List.csv": lambda: P.site_4g(f["4G_Site_List.csv"], f["CO-MPT 4G.csv"], oss, date, BY),
+        "4G_Cell_List.csv": lambda: P.cell_4g(f["4G_Cell_List.csv"], f["CO-MPT 4G_Cell_List.csv"],
                                               oss, date, BY),
         "5G_Site_List.csv": lambda: P.site_5g(f["5G_Site_List.csv"], oss, date, BY),
         "5G_Cell_List.csv": lambda: P.cell_5g(f["5G_Cell_List.csv"], oss, date, BY),
     }
     tasks = []
     for name, build in builders.items():
-        if f[name] is None:
-            continue
-        present = [d for d in deliveries if d["delivery"] in with_file[name]]
-        tasks.append(lambda build=build, present=present:
-                     _merge_and_export(spark, wh, "NETWORKS", build(), present))
+        present = [d for d in deliveries if name in scans and d["delivery"] in scans[name].having]
+        if present:
+            tasks.append(lambda build=build, present=present:
+                         _merge_and_export(spark, wh, "NETWORKS", build(), present))
     _run_all(tasks)
-    if f[S.NODEB_INFO] is not None:   # exported raw (no table)
-        raw = f[S.NODEB_INFO].drop("_file", "_path", "_seq", DELIVERY, ARRIVAL)
+    if S.NODEB_INFO in scans:         # exported raw (no table)
+        raw = _rows_of(spark, scans[S.NODEB_INFO], deliveries).drop("_file", "_path", "_seq", DELIVERY, ARRIVAL)
         write_export(raw.withColumnsRenamed(PARTS), f"{wh.export_path('NETWORKS')}/nodeb_info",
                      partition_by=list(PARTS.values()))
 
 
-def _run_externals(spark, wh, deliveries, now):
-    listing = _listing(spark, deliveries)
+def _run_externals(spark, wh, scans, deliveries, now):
     tasks = []
     for spec in S.REGISTRY.for_family("EXTERNALS"):
-        df = _scan(spark, listing, spec.file_name, 1)
-        if df is None:
+        if spec.file_name not in scans:
             continue
-        having = {d["delivery"] for _, n, d in listing if n == spec.file_name}
-        present = [d for d in deliveries if d["delivery"] in having]
-        staged = P.external(spec, df, F.col(OSS), F.col(DATE), BY)
+        x = scans[spec.file_name]
+        present = [d for d in deliveries if d["delivery"] in x.having]
+        if not present:
+            continue
+        staged = P.external(spec, _rows_of(spark, x, present).drop(ARRIVAL, PART), F.col(OSS), F.col(DATE), BY)
         tasks.append(lambda staged=staged, present=present:
                      _merge_and_export(spark, wh, "EXTERNALS", staged, present))
     # files of an EXTERNALS delivery that no spec knows are exported raw, not loaded
-    known = {spec.file_name for spec in S.REGISTRY.for_family("EXTERNALS")}
-    other = [x for x in listing if x[1] not in known]
-    if other:
-        raw = _scan(spark, other, "*", 1)
-        out = raw.withColumnRenamed("_file", "source_file").drop("_path", "_seq", DELIVERY,
-                                                                  ARRIVAL)
-        tasks.append(lambda out=out: write_export(
+    if "*" in scans:
+        out = _rows_of(spark, scans["*"], deliveries).withColumnRenamed("_file", "source_file").drop(
+            "_path", "_seq", DELIVERY, ARRIVAL)
+        tasks.append(lambda: write_export(
             out.withColumnsRenamed(PARTS), f"{wh.export_path('EXTERNALS')}/unrecognised",
             partition_by=[*PARTS.values(), "source_file"]))
     _run_all(tasks)
 
 
-def _run_pki(spark, wh, deliveries, now):
-    df = _scan(spark, _listing(spark, deliveries), "*", 0)
-    if df is None:
-        raise FileNotFoundError("PKI delivery without files")
-    _merge_and_export(spark, wh, "PKI", P.pki(df, now, BY), deliveries)
+def _run_pki(spark, wh, scans, deliveries, now):
+    rows = _rows_of(spark, scans["*"], deliveries, stamp=False)
+    _merge_and_export(spark, wh, "PKI", P.pki(rows, now, BY), deliveries)
 
 
-def _run_logs(spark, wh, deliveries, now):
-    df = _scan(spark, _listing(spark, deliveries), "*", 2, footer=1, sep=",")
-    if df is None:
-        raise FileNotFoundError("HCMD delivery without files")
-    rows = P.command_log(df, now, keep=(OSS, DATE, "_file")).withColumnsRenamed(
-        {OSS: "report_oss", DATE: "report_date", "_file": "source_file"})
-    # a re-sent log file (same region, date and name) replaces its own partition
+def _run_logs(spark, wh, scans, deliveries, now):
+    df = _rows_of(spark, scans["*"], deliveries).drop(DELIVERY, ARRIVAL)
+    rows = P.command_log(df, now, keep=(*PARTS, "_file")).withColumnsRenamed({**PARTS, "_file": "source_file"})
+    # handling a delivery again replaces its own partitions, other deliveries only add
     append_table(rows, wh.append_path(S.COMMAND_LOG.table),
-                 partition_by=["report_oss", "report_date", "source_file"], replace_partitions=True)
+                 partition_by=[*PARTS.values(), "source_file"], replace_partitions=True)
 
 
-def _run_generic(spark, wh, deliveries, now):
+def _run_generic(spark, wh, scans, deliveries, now):
+    if "*" not in scans:
+        return
     by_name: dict[str, list] = {}
     for d in deliveries:
         by_name.setdefault(d["report_name"], []).append(d)
     for name, ds in by_name.items():
-        df = _scan(spark, _listing(spark, ds), "*", 0)
-        if df is None:
+        mine = [d for d in ds if d["delivery"] in scans["*"].having]
+        if not mine:
             continue
-        rows = P.generic(df, F.col(OSS), now, meta=(DELIVERY, OSS, DATE, ARRIVAL),
-                         keep=(DATE, "_file")).withColumnsRenamed(
-            {DATE: "report_date", "_file": "source_file"})
-        # a re-run of the same delivery replaces its own partition instead of appending again
+        df = _own_columns(spark, scans["*"], mine)
+        rows = P.generic(df, F.col(OSS), now, meta=(DELIVERY, OSS, DATE, ARRIVAL, PART),
+                         keep=(*PARTS, "_file")).withColumnsRenamed({**PARTS, "_file": "source_file"})
         append_table(rows, wh.append_path(P.generic_table_name(name)),
-                     partition_by=["report_date", "source_file"], replace_partitions=True)
+                     partition_by=[*PARTS.values(), "source_file"], replace_partitions=True)
+
+
+def _own_columns(spark: SparkSession, scan: Scan, deliveries: list) -> DataFrame:
+    """Rows of some deliveries without the columns that only other reports' files have."""
+    rows = _rows_of(spark, scan, deliveries)
+    wanted = {d["delivery"] for d in deliveries}
+    names = {c for d, columns in scan.columns.items() if d in wanted for c in columns}
+    fixed = {DELIVERY, OSS, DATE, ARRIVAL, PART, "_file", "_path", "_seq"}
+    return rows.select(*[f"`{c}`" for c in rows.columns if c in names or c in fixed])
 
 
 RUNNERS = {"NETWORKS": _run_networks, "EXTERNALS": _run_externals, "PKI": _run_pki,
            "HCMD": _run_logs, "GENERIC": _run_generic}
 
 
+def _run_family(spark, wh, family: str, scans: dict[str, Scan], deliveries: list, now) -> set:
+    """Run a family's deliveries; returns those that failed.
+
+    All run as one set of jobs.  If that fails, each delivery runs alone in
+    arrival order, so that one bad delivery fails alone.
+    """
+    if not deliveries:
+        return set()
+    try:
+        RUNNERS[family](spark, wh, scans, deliveries, now)
+        return set()
+    except Exception:   # noqa: BLE001 - the ledger records the failure
+        LOG.exception("report family %s failed for %d deliveries", family, len(deliveries))
+    if len(deliveries) == 1:
+        return {deliveries[0]["delivery"]}
+    return {x for d in deliveries for x in _run_family(spark, wh, family, scans, [d], now)}
+
+
 # ---- 4. ledger -------------------------------------------------------------------------------------
 
 def ingest(spark: SparkSession, subjects: DataFrame, warehouse_root: str, regions: list[str],
-           now: dt.datetime, today: dt.date | None = None, threshold: int = 2) -> DataFrame:
+           now: dt.datetime, today: dt.date | None = None, threshold: int = 2,
+           batch: str | None = None) -> DataFrame:
     """Run every delivery of ``subjects`` (subject, folder, arrival); return the gate table.
 
-    WEEKPLAN deliveries are gated and logged but their hand-off copy is not
-    part of this engine.
+    Deliveries that the ledger alone would accept are scanned and validated first.
+    Those that fail validation do not raise the watermark for later deliveries of
+    the run; if the gate then accepts them, they are logged as failed.  ``batch``
+    names the ledger version that this run commits.  WEEKPLAN deliveries are gated
+    and logged but their hand-off copy is not part of this engine.
     """
     wh = Warehouse(warehouse_root.rstrip("/"))
     ledger_tbl = wh.ledger(spark)
     current = ledger_tbl.read()
-    gated = gate_deliveries(subjects, current, regions).withColumn(
-        DELIVERY, F.concat_ws("|", "subject", "folder", F.col("arrival").cast("string")))
-    gated = gated.cache()     # a few rows; read twice below
-    accepted = [r.asDict() for r in gated.where("accepted").orderBy("arrival").collect()]
-    for d in accepted:
-        d["delivery"] = d[DELIVERY]
-    outcomes = []
+
+    def named(df: DataFrame) -> DataFrame:
+        return df.withColumn(DELIVERY, F.concat_ws("|", "subject", "folder", F.col("arrival").cast("string")))
+
+    def rows_of(df: DataFrame) -> list[dict]:
+        return [{**r.asDict(), "delivery": r[DELIVERY]}
+                for r in df.where("accepted").orderBy("arrival", DELIVERY).collect()]
+
     by_family: dict[str, list] = {}
-    for d in accepted:
+    for d in rows_of(named(gate_deliveries(subjects, current, regions, in_run=False))):
         by_family.setdefault(d["family"], []).append(d)
+    scans, failed = {}, set()
     for family, ds in by_family.items():
-        ok = True
-        if family in RUNNERS:
-            try:
-                RUNNERS[family](spark, wh, ds, now)
-            except Exception:   # noqa: BLE001 - the ledger records the failure
-                LOG.exception("report family %s failed for %d deliveries", family, len(ds))
-                ok = False
-        outcomes += [(d["report_name"], d["oss"] or "", d["report_date"].isoformat(), ok)
-                     for d in ds]
+        if family not in RUNNERS:
+            continue
+        try:
+            scans[family], bad = scan_family(spark, family, ds)
+            failed |= bad
+        except Exception:   # noqa: BLE001 - found out one by one, so that the others still run
+            LOG.exception("scanning family %s failed; deliveries are tried one by one", family)
+            scans[family] = {}
+            good = []
+            for d in ds:
+                try:
+                    failed |= scan_family(spark, family, [d])[1]
+                    good.append(d)
+                except Exception:   # noqa: BLE001
+                    LOG.exception("delivery %s cannot be scanned", d["delivery"])
+                    failed.add(d["delivery"])
+            good = [d for d in good if d["delivery"] not in failed]
+            if good:
+                scans[family] = scan_family(spark, family, good)[0]
+    gated = named(gate_deliveries(subjects, current, regions, failed=sorted(failed)))
+    accepted = rows_of(gated)
+    for family in {d["family"] for d in accepted} & set(RUNNERS):
+        good = [d for d in accepted if d["family"] == family and d["delivery"] not in failed]
+        failed |= _run_family(spark, wh, family, scans[family], good, now)
+    outcomes = [(d["report_name"], d["oss"] or "", d["report_date"].isoformat(), d["delivery"] not in failed)
+                for d in accepted]
     if outcomes:
         new_rows = ledger.ledger_rows(spark.createDataFrame(
             outcomes, "report_name string, oss string, report_date_text string, ok boolean"), now)
@@ -394,5 +620,5 @@ def ingest(spark: SparkSession, subjects: DataFrame, warehouse_root: str, region
             loaded = tuple(sorted({d["report_name"] for d in accepted
                                    if d["report_name"] in ledger.RELEASED_REPORTS}))
             full = ledger.mark_sent(full, today, threshold, reports=loaded)
-        ledger_tbl.commit(full)
+        ledger_tbl.commit(full, tag=batch)
     return gated.drop(DELIVERY)

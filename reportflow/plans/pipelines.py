@@ -152,8 +152,24 @@ def site_3g(sites: DataFrame, co_mpt: DataFrame, nodeb_info: DataFrame, oss, rep
                  "__rseq", by)
     info = _ensure(nodeb_info, ["nodeb_name", "nodeb_version", "nodeb_type"]).select(
         "nodeb_name", "nodeb_version", "nodeb_type", F.col(SEQ).alias("__iseq"), *by)
-    m = _enrich(_sources(sites, S.SITE_3G), side, "nodeb_name", "nodeb_function_name", by)
-    m = outer_on_keys(m, info, ["nodeb_name", *by], "full")
+    sites = _sources(sites, S.SITE_3G)
+    # The table's rows come from the sites.  Sites without a name match NodeB Info rows without
+    # one; of those only the last can win a key, so only that one takes part.
+    null_name = F.col("nodeb_name").isNull()
+    nameless = info.where(null_name).groupBy(*by).agg(
+        F.max_by(F.struct("nodeb_version", "nodeb_type"), "__iseq").alias("x"), F.max("__iseq").alias("__iseq"))
+    nameless = nameless.select(F.lit(None).cast("string").alias("nodeb_name"), "x.nodeb_version", "x.nodeb_type",
+                               "__iseq", *by)
+    named = info.where(~null_name)
+    left, right = ["nodeb_name", *by], ["nodeb_function_name", *[f"{b}_r" for b in by]]
+    m = enrich(sites, side, left, right, "left").drop(*[f"{b}_r" for b in by])
+    m = outer_on_keys(m, named.unionByName(nameless), left, "left")
+    # For the export only: rows without a site stay alone; null names are not paired.
+    keys = sites.select(*left)
+    apart = side.join(keys, [side[r] == keys[k] for k, r in zip(left, right, strict=True)], "left_anti")
+    apart = apart.withColumnsRenamed({f"{b}_r": b for b in by})
+    alone = named.join(keys, left, "left_anti")
+    m = m.unionByName(apart, allowMissingColumns=True).unionByName(alone, allowMissingColumns=True)
     m = m.withColumns({
         "unique_id": composite_key("bsc_name", "nodeb_id"),
         "cabinet": sentinel_coalesce("nodeb_type", "cabinet_type", "UMTS", "UNKNOWN"),
@@ -254,6 +270,9 @@ LOG_RENAMES = {"operation_command": "org_cmd", "operator_name": "operator", "ip_
                "operation_time": "start_time", "operation_end_time": "end_time"}
 
 
+LOG_COLUMNS = (*LOG_RENAMES, "source", "dn", "return_code", "result")
+
+
 def command_log(logs: DataFrame, insert_time: dt.datetime, keep: tuple[str, ...] = ()) -> DataFrame:
     """Command logs -> table rows (text, prefixed); appended, not merged.
 

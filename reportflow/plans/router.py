@@ -9,11 +9,13 @@ files and tag rows with their target table.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportflow.plans import specs
-from reportflow.sources.reports import FILE, listing, scan_reports
+from reportflow.sources.reports import FILE, list_files, listing, scan_reports
 
 
 def spec_table(spark: SparkSession, family: str | None = None) -> DataFrame:
@@ -38,14 +40,26 @@ def allowed_files(spark: SparkSession, landing: str, family: str = "NETWORKS") -
         .select("path", "name", "family", "target_table")
 
 
-def dispatch_scan(spark: SparkSession, landing: str, family: str = "NETWORKS",
-                  preamble: int = 1) -> DataFrame:
-    """Scan only allow-listed files and tag each row with its target table."""
-    allowed = allowed_files(spark, landing, family)
-    paths = [r["path"] for r in allowed.select("path").collect()]   # bounded: one per file
-    if not paths:
+def preambles(family: str) -> dict[str, int]:
+    """Allow-listed file names of a family with the preamble lines of each."""
+    known = {s.file_name: s.preamble for s in specs.REGISTRY.for_family(family)}
+    if family == "NETWORKS":
+        known = {n: known.get(n, 0) for n in specs.NETWORK_FILES}
+    return known
+
+
+def dispatch_scan(spark: SparkSession, landing: str, family: str = "NETWORKS") -> DataFrame:
+    """Scan only allow-listed files, each after its own preamble, and tag rows with their table."""
+    lines = preambles(family)
+    by_preamble: dict[int, list[str]] = {}
+    for path in list_files(spark, landing):
+        name = path.rsplit("/", 1)[-1]
+        if name in lines:
+            by_preamble.setdefault(lines[name], []).append(path)
+    if not by_preamble:
         raise FileNotFoundError(f"no allow-listed files under {landing}")
-    rows = scan_reports(spark, paths, preamble=preamble)
+    parts = [scan_reports(spark, paths, preamble=n) for n, paths in sorted(by_preamble.items())]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     known = spec_table(spark, family).select(F.col("file_name").alias(FILE), "target_table")
     return rows.join(F.broadcast(known), on=FILE, how="left")
 

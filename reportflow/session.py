@@ -8,7 +8,6 @@ absent, which happens in ad-hoc local sessions.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -47,8 +46,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:                      # Spark Connect: no SparkContext on the client
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
-            configured = tempfile.mkdtemp(prefix="reportflow-ckpt-")
-            spark.conf.set("spark.checkpoint.dir", configured)
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share") from None
         return configured
     current = sc.getCheckpointDir()
     if current:
@@ -56,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="reportflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -73,10 +73,3 @@ def hadoop_fs(spark: SparkSession, path: str):
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs, jpath
-
-
-def local_or_uri(path: str) -> str:
-    """Turn a plain local path into a ``file:`` URI; leave URIs alone."""
-    if "://" in path or path.startswith("file:"):
-        return path
-    return "file:" + os.path.abspath(path)

@@ -47,8 +47,13 @@ class SnapshotTable:
         p = self.current_path()
         return self.spark.read.parquet(p) if p else None
 
-    def commit(self, df: DataFrame) -> str:
-        name = f"{VERSION_PREFIX}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    def has(self, tag: str) -> bool:
+        """Whether a committed version carries the tag (see ``commit``)."""
+        return any(v.endswith(f"-{tag}") for v in self.versions())
+
+    def commit(self, df: DataFrame, tag: str | None = None) -> str:
+        """Write a new version; ``tag`` becomes part of its name, and so is committed with it."""
+        name = f"{VERSION_PREFIX}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}" + (f"-{tag}" if tag else "")
         path = f"{self.root}/{name}"
         df.write.mode("errorifexists").parquet(path)
         return path

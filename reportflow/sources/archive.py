@@ -51,6 +51,55 @@ def expand_archives(spark: SparkSession, paths: str | list[str],
     return raw.mapInPandas(_members, MEMBER_SCHEMA)
 
 
+LINES_PER_BATCH = 20_000
+
+
+def _member_lines(batches):
+    """Lines of every member of safe names, a few thousand at a time."""
+    import pandas as pd
+    cols = ["archive", "member", "number", "line"]
+    for pdf in batches:
+        for path, content in zip(pdf["path"], pdf["content"], strict=True):
+            with zipfile.ZipFile(io.BytesIO(content)) as zf:
+                for info in zf.infolist():
+                    if info.is_dir():
+                        continue
+                    rows = []
+                    with io.TextIOWrapper(zf.open(info), encoding="utf-8", errors="replace") as fh:
+                        for i, line in enumerate(fh):
+                            rows.append((path, info.filename, i, line.rstrip("\n")))
+                            if len(rows) >= LINES_PER_BATCH:
+                                yield pd.DataFrame(rows, columns=cols)
+                                rows = []
+                    if rows:
+                        yield pd.DataFrame(rows, columns=cols)
+
+
+def member_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(archive, member, number, line): the text lines of all members of ZIP files.
+
+    An archive is one row of ``binaryFile`` (2 GB at most, larger ones fail the
+    job); its members are decompressed as streams and leave in batches.
+    """
+    raw = (spark.read.format("binaryFile").load(paths)
+           .select(F.col("_metadata.file_path").alias("path"), "content"))
+    return raw.mapInPandas(_member_lines, "archive string, member string, number bigint, line string")
+
+
+def member_names(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(archive, member) of all members of ZIP files, without reading their contents."""
+    def names(batches):
+        import pandas as pd
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                with zipfile.ZipFile(io.BytesIO(content)) as zf:
+                    found = [i.filename for i in zf.infolist() if not i.is_dir()]
+                yield pd.DataFrame({"archive": [path] * len(found), "member": found})
+    raw = (spark.read.format("binaryFile").load(paths)
+           .select(F.col("_metadata.file_path").alias("path"), "content"))
+    return raw.mapInPandas(names, "archive string, member string")
+
+
 def _segments(path: Column) -> Column:
     return F.split(path, "/")
 

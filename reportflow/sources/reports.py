@@ -1,117 +1,72 @@
 """Report scans (S1-S6): delimited reports with preambles and footers.
 
-All values are read as text (explicit all-string schema, never inferred).
-The only driver-side work is a bounded header peek per file (first bytes, to
-sniff ``,`` or ``;`` and to read the header names); rows are read by Spark.
-
-Preamble lines are removed by locating the header row by its text inside each
-file, and footers by each row's distance from the end of its file.  Row order
-inside a file is (split start, row id within the split): a small file is read
-whole by one task (quoted newlines allowed), a file larger than one input split
-is read by several tasks.  Both positions come from a per-(file, split)
-aggregate joined back (one row per split), so the files are parsed twice, not
-once per rule.  The many-report case (many files, many regions and dates) runs
-as one job per header layout.
+All values are read as text.  A scan has these steps, all of them Spark jobs:
+
+1. The files (and the members of ZIP archives) are read once as physical lines
+   and written to the checkpoint folder with their place: file, input split, line.
+   All later steps read these lines, so positions can't differ between passes.
+2. Per file, the delimiter is sniffed from its first lines, and the header is the
+   first non-blank record after ``preamble`` lines, whatever its length.
+3. A record is one line, or several if a quoted field holds line breaks.  Where a
+   file has a line that leaves a quote open, each line is a function from "inside
+   quotes" to "inside quotes"; these are composed inside each split and then over
+   the splits of the file, so a file of any size is cut into records by many tasks
+   and the result does not depend on how it was split.
+4. Records are parsed per header layout.  A record with more fields than its header
+   is an error; with fewer, the missing fields are null.
+
+The driver lists folders and gets one row per distinct header layout.
 """
 
 from __future__ import annotations
 
 import csv
+import fnmatch
 import io
+import re
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from reportflow.functions.text import normalise_headers
-from reportflow.session import hadoop_fs
+from reportflow.session import ensure_checkpoint_dir, hadoop_fs
+from reportflow.sources.archive import member_lines
 
 # The text tokens a pandas-1.x CSV read turns into nulls.
 NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
              "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "n/a", "nan", "null")
 
 FILE, PATH, SEQ = "_file", "_path", "_seq"
-PEEK_BYTES = 1 << 14
-
-
-@dataclass(frozen=True)
-class FileHead:
-    path: str
-    name: str
-    sep: str
-    raw_header: tuple[str, ...]
-    size: int = 0
+BLOCK, ROW, LINE, TEXT = "__block", "__row", "__line", "__text"
+_GLOB = re.compile(r"([\\*?\[\]{}])")
 
 
 def list_files(spark: SparkSession, paths: str | Sequence[str],
                pattern: str = "*") -> list[str]:
-    """Expand directories / globs into file paths (driver-side listing only)."""
-    return [p for p, _ in list_file_sizes(spark, paths, pattern)]
-
-
-def list_file_sizes(spark: SparkSession, paths: str | Sequence[str],
-                    pattern: str = "*") -> list[tuple[str, int]]:
-    """(path, size) of every file under ``paths`` (directories, globs or files)."""
-    out: list[tuple[str, int]] = []
+    """File paths under directories, globs or files (driver-side listing only)."""
+    out: list[str] = []
     for p in [paths] if isinstance(paths, str) else list(paths):
-        local = _local_path(p)
-        if local is not None:               # local folder: plain Python listing
-            out.extend(_list_local(local, pattern))
-            continue
         fs, jp = hadoop_fs(spark, p)
-        if fs.exists(jp) and fs.getFileStatus(jp).isDirectory():
-            statuses = fs.globStatus(jp.suffix("/" + pattern))
+        if fs.exists(jp):                    # a path that exists is meant literally
+            found = fs.listStatus(jp)
         else:
-            statuses = fs.globStatus(jp)
-        for st in statuses or []:
-            if st.isFile() and not st.getPath().getName().startswith(("_", ".")):
-                out.append((st.getPath().toString(), int(st.getLen())))
-    return sorted(out)
-
-
-def _list_local(path: str, pattern: str) -> list[tuple[str, int]]:
-    import glob
-    import os
-    names = glob.glob(os.path.join(glob.escape(path), pattern)) if os.path.isdir(path) \
-        else glob.glob(path)
-    return [("file:" + os.path.abspath(n), os.path.getsize(n)) for n in names
-            if os.path.isfile(n) and not os.path.basename(n).startswith(("_", "."))]
-
+            found = fs.globStatus(jp)
+        for st in found or []:
+            name = st.getPath().getName()
+            if st.isFile() and fnmatch.fnmatchcase(name, pattern):
+                out.append(st.getPath().toString())
+    hidden = [p for p in out if p.rsplit("/", 1)[-1].startswith(("_", "."))]
+    if hidden:
+        raise ValueError(f"Spark does not read files whose names start with _ or .: {sorted(hidden)[:5]}")
+    return sorted(set(out))
 
-def _local_path(path: str) -> str | None:
-    """The OS path of a local Hadoop path (``file:``/no scheme), else None.
 
-    Hadoop's ``Path.toString()`` is not percent-encoded, so nothing is decoded.
-    """
-    from urllib.parse import urlparse
-    u = urlparse(path)
-    if u.scheme in ("", "file"):
-        return u.path
-    return None
-
-
-def _peek(spark: SparkSession, path: str, nbytes: int = PEEK_BYTES, fs=None) -> str:
-    """The first ``nbytes`` of a file (header peek; bounded, one small read per file).
-
-    Local files are read directly; other file systems through Hadoop's API.
-    """
-    local = _local_path(path)
-    if local is not None:
-        with open(local, "rb") as fh:
-            return fh.read(nbytes).decode("utf-8-sig", errors="replace")
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    if fs is None:
-        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    stream = fs.open(jpath)
-    try:
-        data = stream.readNBytes(nbytes)
-    finally:
-        stream.close()
-    return bytes(data).decode("utf-8-sig", errors="replace")     # a leading BOM is dropped
+def literal(path: str) -> str:
+    """A path for Spark's readers with its glob characters escaped."""
+    return _GLOB.sub(r"\\\1", path)
 
 
 def sniff_sep(first_lines: str, candidates: str = ",;") -> str:
@@ -123,20 +78,19 @@ def sniff_sep(first_lines: str, candidates: str = ",;") -> str:
         return max(counts, key=counts.get)
 
 
-def read_head(spark: SparkSession, path: str, preamble: int, sep: str | None = None,
-              fs=None, size: int = 0) -> FileHead:
-    text = _peek(spark, path, fs=fs)
-    lines = text.splitlines()
-    rest = lines[preamble:]
-    header_line = next((ln for ln in rest if ln.strip() != ""), "")
-    use_sep = sep or sniff_sep("\n".join(lines[:2]) if len(lines) > 1 else (lines[0] if lines else ","))
-    if sep is None and use_sep not in header_line:
-        # the first two lines were all preamble: let the header line decide
-        counts = {c: header_line.count(c) for c in ",;"}
-        if max(counts.values()) > 0:
-            use_sep = max(counts, key=counts.get)
-    raw = next(csv.reader(io.StringIO(header_line), delimiter=use_sep), [])
-    return FileHead(path, path.rsplit("/", 1)[-1], use_sep, tuple(raw), size)
+def report_sep(line0: str | None, line1: str | None, header: str | None) -> str:
+    """Delimiter of a report from its first two lines, or its header if they are preamble."""
+    header = header or ""
+    sep = sniff_sep("\n".join(x for x in (line0, line1) if x is not None) or ",")
+    if sep not in header and max(header.count(c) for c in ",;") > 0:
+        sep = max(",;", key=header.count)
+    return sep
+
+
+def _sniff(batches):
+    for pdf in batches:
+        seps = [report_sep(a, b, h) for a, b, h in zip(pdf["l0"], pdf["l1"], pdf["head"], strict=True)]
+        yield pdf[[PATH]].assign(sep=seps)
 
 
 def decoded_name(c: Column) -> Column:
@@ -154,115 +108,212 @@ def null_tokens(df: DataFrame, columns: Iterable[str] | None = None,
         for c in df.columns])
 
 
-def _read_group(spark: SparkSession, heads: list[FileHead], multiline: bool,
-                footer: int) -> DataFrame:
-    raw = list(heads[0].raw_header)
-    names = normalise_headers(raw)
-    width = len(raw)
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-    df = (spark.read.schema(schema)
-          .option("header", False).option("sep", heads[0].sep)
-          .option("quote", '"').option("escape", '"')
-          .option("multiLine", multiline).option("mode", "PERMISSIVE")
-          .csv([h.path for h in heads])
-          .select("*", F.col("_metadata.file_path").alias(PATH),
-                  decoded_name(F.col("_metadata.file_name")).alias(FILE),
-                  # order inside a file: the split it came from, then the row's place in
-                  # the task (a split is read in order); valid whether or not files are split
-                  F.col("_metadata.file_block_start").alias("__block"),
-                  F.monotonically_increasing_id().alias("__row")))
-    # Positions per (file, split), as fixed-width longs (hash aggregate, combined
-    # map-side): the header row (located by its text; it sits in the first split),
-    # the split's last row id and its row count.  Row ids inside a split are
-    # consecutive, so a row's distance from the end of its file is the number of
-    # rows in later splits plus (last row id of its split - its row id).  The
-    # per-split table is small (one row per split) and joins back.
-    def same(i: int, v: str) -> Column:
-        c = F.col(f"c{i}").eqNullSafe(F.lit(v if v != "" else None))
-        # the first field may carry a byte-order mark when the header is the file's first line
-        return c | (F.col("c0") == F.lit("\ufeff" + v)) if i == 0 else c
-    is_header = reduce(lambda a, b: a & b, [same(i, v) for i, v in enumerate(raw)])
-    per_split = df.groupBy(PATH, "__block").agg(
-        F.min(F.when(is_header, F.col("__row"))).alias("__hdr_row"),
-        F.max("__row").alias("__last_row"), F.count(F.lit(1)).alias("__n"))
-    from pyspark.sql import Window
-    later = (Window.partitionBy(PATH).orderBy(F.col("__block").desc())
-             .rowsBetween(Window.unboundedPreceding, -1))
-    per_split = per_split.select(
-        PATH, "__block", "__last_row",
-        # a file whose header row cannot be found fails the scan instead of losing its rows
-        F.coalesce(F.min(F.when(F.col("__block") == 0, F.col("__hdr_row")))
-                   .over(Window.partitionBy(PATH)),
-                   F.raise_error(F.concat(F.lit("header row not found in "), F.col(PATH)))
-                   .cast("bigint")).alias("__hdr"),
-        F.coalesce(F.sum("__n").over(later), F.lit(0)).alias("__after"))
-    pos = F.struct("__block", "__row")
-    body = (df.join(per_split, on=[PATH, "__block"], how="inner")
-            .where(pos > F.struct(F.lit(0).cast("bigint"), F.col("__hdr"))))
+def _lines(spark: SparkSession, paths: list[str], names: Sequence[str] | None) -> DataFrame:
+    """Physical lines of files and archive members with (file, split, place in the split)."""
+    plain = [p for p in paths if not p.lower().endswith(".zip")]
+    zipped = [p for p in paths if p.lower().endswith(".zip")]
+    parts = []
+    if plain:
+        parts.append(spark.read.text([literal(p) for p in plain]).select(
+            F.col("_metadata.file_path").alias(PATH), decoded_name(F.col("_metadata.file_name")).alias(FILE),
+            F.col("_metadata.file_block_start").alias(BLOCK), F.monotonically_increasing_id().alias(ROW),
+            F.col("value").alias(TEXT)))
+    if zipped:
+        parts.append(member_lines(spark, [literal(p) for p in zipped]).select(
+            F.concat("archive", F.lit("!/"), "member").alias(PATH),
+            F.element_at(F.split("member", "/"), -1).alias(FILE), F.lit(0).cast("bigint").alias(BLOCK),
+            F.col("number").alias(ROW), F.col("line").alias(TEXT)))
+    lines = reduce(DataFrame.unionByName, parts)
+    if names is not None:
+        lines = lines.where(F.col(FILE).isin(*names))
+    return lines.checkpoint()
+
+
+def _quoted(sep: str) -> str:
+    return rf"(^|{re.escape(sep)})\"[^\"]*+(?:\"\"[^\"]*+)*+\""
+
+
+def _by_sep(seps: Sequence[str], make) -> Column:
+    out = None
+    for s in seps:
+        out = F.when(F.col("sep") == s, make(s)) if out is None else out.when(F.col("sep") == s, make(s))
+    return out
+
+
+def _without_quoted(text: Column, sep: str) -> Column:
+    """The text with each complete quoted field replaced by ``x``."""
+    return F.when(text.contains('"'), F.regexp_replace(text, _quoted(sep), "$1x")).otherwise(text)
+
+
+def _leaves_open(text: Column, sep: str) -> Column:
+    """1 if a line that starts outside quotes ends inside them."""
+    return _without_quoted(text, sep).rlike(rf"(^|{re.escape(sep)})\"").cast("int")
+
+
+def _stays_open(text: Column, sep: str) -> Column:
+    """1 if a line that starts inside quotes ends inside them."""
+    close = r"^[^\"]*+(?:\"\"[^\"]*+)*+\""
+    rest = F.concat(F.lit("x"), F.regexp_replace(text, close, ""))
+    return F.when(~text.rlike(close), 1).otherwise(_leaves_open(rest, sep))
+
+
+def _records(lines: DataFrame, seps: Sequence[str]) -> DataFrame:
+    """Lines of files with open quotes joined to records: (path, file, sep, line, text)."""
+    text = F.col(TEXT)
+    x = lines.withColumns({"f0": _by_sep(seps, lambda s: _leaves_open(text, s)),
+                           "f1": _by_sep(seps, lambda s: _stays_open(text, s))})
+    # Lines of the preamble stand outside; a constant line sets the state, the others keep or flip it.
+    fixed = F.col("f0") == F.col("f1")
+    x = x.withColumn("flip", F.when(~fixed & (F.col("f0") == 1), 1).otherwise(0))
+    inside = W.partitionBy(PATH, BLOCK).orderBy(LINE).rowsBetween(W.unboundedPreceding, -1)
+    x = x.withColumn("flips", F.coalesce(F.sum("flip").over(inside), F.lit(0)).cast("int"))
+    x = x.withColumn("set", F.when(fixed, (F.col("f0") + F.col("flips")) % 2))
+    x = x.withColumn("last_set", F.last("set", ignorenulls=True).over(inside))
+    # The same once more for the splits of a file: what each does to the state it starts in.
+    whole = x.groupBy(PATH, BLOCK).agg(F.sum("flip").alias("b_flips"),
+                                       F.max_by("set", F.when(F.col("set").isNotNull(), F.col(LINE))).alias("b_set"))
+    before = W.partitionBy(PATH).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
+    whole = whole.withColumn("n", F.coalesce(F.sum("b_flips").over(before), F.lit(0)))
+    key = F.when(F.col("b_set").isNotNull(), (F.col("b_set") + F.col("n")) % 2)
+    whole = whole.withColumn("k", key).withColumn(
+        "start", (F.coalesce(F.last("k", ignorenulls=True).over(before), F.lit(0)) + F.col("n")) % 2)
+    # b_set already holds the flips after it in its own split, up to the split's end
+    whole = whole.select(PATH, BLOCK, F.col("start").cast("int").alias("start"))
+    x = x.join(whole, [PATH, BLOCK])
+    x = x.withColumn("state", (F.coalesce("last_set", "start") + F.col("flips")) % 2)
+    x = x.withColumn("begins", F.when(F.col("state") == 0, F.col(LINE)))
+    upto = W.partitionBy(PATH, BLOCK).orderBy(LINE).rowsBetween(W.unboundedPreceding, 0)
+    x = x.withColumn("in_block", F.max("begins").over(upto))
+    starts = x.groupBy(PATH, BLOCK).agg(F.max("begins").alias("b_begin"))
+    starts = starts.withColumn("carry", F.max("b_begin").over(before)).drop("b_begin")
+    x = x.join(starts, [PATH, BLOCK]).withColumn("record", F.coalesce("in_block", "carry"))
+    # A quote that the file never closes would swallow its rest: an error, as in the reference's reader.
+    ends = x.groupBy(PATH).agg(F.max_by(F.when(F.col("state") == 0, F.col("f0")).otherwise(F.col("f1")), LINE)
+                               .alias("open")).where("open = 1").select(PATH).limit(1).collect()
+    if ends:
+        raise ValueError(f"quoted field without an end in {ends[0][0]}")
+    joined = x.groupBy(PATH, FILE, "sep", "record").agg(F.concat_ws("\n", F.transform(
+        F.sort_array(F.collect_list(F.struct(LINE, TEXT))), lambda r: r[TEXT])).alias(TEXT))
+    return joined.select(PATH, FILE, "sep", F.col("record").alias(LINE), TEXT)
+
+
+def report_records(spark: SparkSession, paths: str | Sequence[str], preamble: int = 1, footer: int = 0,
+                   sep: str | None = None, pattern: str = "*", multiline: bool = True,
+                   names: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Data records (path, file, sep, header, line, text), and (path, file, sep, header) of all files.
+
+    Blank records, headers and the last ``footer`` records of each file are left out.
+    """
+    ensure_checkpoint_dir(spark)
+    files = list_files(spark, paths, pattern)
+    if not files:
+        raise FileNotFoundError(f"no report files under {paths}")
+    lines = _lines(spark, files, names)
+    blocks = lines.groupBy(PATH, BLOCK).agg(F.min(ROW).alias("lo"), F.count(F.lit(1)).alias("n"))
+    before = W.partitionBy(PATH).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
+    blocks = blocks.select(PATH, BLOCK, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("lo")).alias("shift"))
+    lines = lines.join(blocks, [PATH, BLOCK]).withColumn(LINE, F.col(ROW) + F.col("shift")).drop(ROW, "shift")
+    lines = lines.withColumn(TEXT, F.when(F.col(LINE) == 0, F.regexp_replace(TEXT, "^\ufeff", ""))
+                             .otherwise(F.col(TEXT)))
+    filled = F.trim(F.translate(TEXT, "\t", " ")) != ""
+    if sep is None:
+        heads = lines.groupBy(PATH).agg(
+            F.max(F.when(F.col(LINE) == 0, F.col(TEXT))).alias("l0"),
+            F.max(F.when(F.col(LINE) == 1, F.col(TEXT))).alias("l1"),
+            F.min_by(TEXT, F.when((F.col(LINE) >= preamble) & filled, F.col(LINE))).alias("head"))
+        seps = heads.mapInPandas(_sniff, f"{PATH} string, sep string")
+        kinds = [",", ";"]
+    else:
+        seps, kinds = lines.select(PATH).distinct().withColumn("sep", F.lit(sep)), [sep]
+    lines = lines.where(F.col(LINE) >= preamble)
+    lines = lines.join(seps, PATH)
+    if multiline:
+        opens = lines.groupBy(PATH).agg(F.max(_by_sep(kinds, lambda s: _leaves_open(F.col(TEXT), s))).alias("o"))
+        opens = opens.where("o = 1").select(PATH).checkpoint()
+        records = lines.join(opens, PATH, "left_anti").select(PATH, FILE, "sep", LINE, TEXT)
+        if not opens.isEmpty():
+            records = records.unionByName(_records(lines.join(opens, PATH, "left_semi"), kinds))
+    else:
+        records = lines.select(PATH, FILE, "sep", LINE, TEXT)
+    records = records.where(filled)
+    cut = records.groupBy(PATH).agg(F.min_by(TEXT, LINE).alias("header"), F.min(LINE).alias("h_line"),
+                                    F.first(FILE).alias(FILE), F.first("sep").alias("sep"))
+    heads = cut.select(PATH, FILE, "sep", "header")
+    out = records.join(cut.select(PATH, "header", "h_line"), PATH).where(F.col(LINE) > F.col("h_line")).drop("h_line")
     if footer > 0:
-        from_end = F.col("__after") + (F.col("__last_row") - F.col("__row"))
-        body = body.where(from_end >= footer)
-    body = body.withColumn(SEQ, F.struct(F.col("__block").alias("block"),
-                                         F.col("__row").alias("row")))
-    return body.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)],
-                       FILE, PATH, SEQ)
+        nth = F.row_number().over(W.partitionBy(PATH).orderBy(F.col(LINE).desc()))
+        last = (records.select(PATH, LINE).withColumn("__n", nth).where(F.col("__n") <= footer)
+                .groupBy(PATH).agg(F.min(LINE).alias("f_line")))
+        out = out.join(last, PATH).where(F.col(LINE) < F.col("f_line")).drop("f_line")
+    return out, heads
+
 
+def header_names(header: str, sep: str) -> list[str]:
+    """Normalised column names of a header record."""
+    return normalise_headers(next(csv.reader(io.StringIO(header), delimiter=sep), []))
 
-PEEK_THREADS = 16
 
+BAD = "_bad"
 
-def _read_heads(spark: SparkSession, files: list[tuple[str, int]], preamble: int,
-                sep: str | None, fs) -> list[FileHead]:
-    """Header peeks of many files; remote reads are I/O-bound, so they overlap in threads."""
-    def one(item):
-        p, n = item
-        return read_head(spark, p, preamble, sep, fs=fs, size=n)
-    if fs is None or len(files) < 4:
-        return [one(f) for f in files]
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=min(PEEK_THREADS, len(files))) as pool:
-        return list(pool.map(one, files))
 
+def marked_scan(spark: SparkSession, paths: Sequence[str], preamble: int = 1, footer: int = 0,
+                sep: str | None = None, names: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame, dict]:
+    """A scan that flags what ``scan_reports`` fails on.
 
-def _split_threshold(spark: SparkSession) -> int:
-    v = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    v = v.strip().lower().rstrip("b")
-    return int(float(v[:-1]) * units[v[-1]]) if v and v[-1] in units else int(v)
+    Returns the rows with a flag ``_bad`` (more fields than the header), the headers
+    (path, file, sep, header) of all files, and the columns of each (sep, header).
+    """
+    records, heads = report_records(spark, list(paths), preamble, footer, sep, names=names)
+    layouts = {(r[0], r[1]): header_names(r[1], r[0]) for r in heads.select("sep", "header").distinct().collect()}
+    parts = [_parse(records, *k, mark=True) for k in sorted(layouts)]
+    if not parts:
+        raise ValueError("no header found in any file")
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return null_tokens(df, [c for c in df.columns if c not in (FILE, PATH, SEQ, BAD)]), heads, layouts
 
 
 def scan_reports(spark: SparkSession, paths: str | Sequence[str], preamble: int = 1,
                  footer: int = 0, sep: str | None = None, pattern: str = "*",
-                 map_null_tokens: bool = True, multiline: bool | None = None) -> DataFrame:
+                 map_null_tokens: bool = True, multiline: bool = True,
+                 names: Sequence[str] | None = None) -> DataFrame:
     """All-text rows of every report file under ``paths``.
 
     Columns: the normalised headers (duplicates as pandas would name them),
-    plus ``_file`` (file name), ``_path`` and ``_seq`` (order inside the file,
-    a struct of split start and row id).  Files with different header layouts
-    are read separately and unioned by name.  ``footer`` trailing rows are
-    removed from each file.
-
-    ``multiline=None`` (default) reads a file whole (quoted newlines allowed)
-    when it fits one input split and splits larger files across tasks (one
-    record per line), so a single huge file does not end up in one task.
+    plus ``_file`` (file name), ``_path`` and ``_seq`` (order inside the file).
+    Files with different headers are parsed separately and unioned by name.
+    ``footer`` trailing rows are removed from each file.  ``multiline`` (default)
+    takes line breaks inside quotes as part of a field; without it every line is a
+    record.  Either holds for files of any size.  ZIP archives are read member by
+    member; ``names`` keeps the files and members of these names.
     """
-    files = list_file_sizes(spark, paths, pattern)
-    if not files:
-        raise FileNotFoundError(f"no report files under {paths}")
-    fs = None if _local_path(files[0][0]) is not None else hadoop_fs(spark, files[0][0])[0]
-    heads = _read_heads(spark, files, preamble, sep, fs)
-    split_above = _split_threshold(spark) if multiline is None else None
-    groups: dict[tuple, list[FileHead]] = {}
-    for h in heads:
-        ml = multiline if multiline is not None else h.size <= split_above
-        groups.setdefault((h.sep, h.raw_header, ml), []).append(h)
-    parts = [_read_group(spark, g, key[2], footer) for key, g in groups.items()]
+    records, heads = report_records(spark, paths, preamble, footer, sep, pattern, multiline, names)
+    layouts = heads.select("sep", "header").distinct().collect()       # one row per header layout
+    parts = [_parse(records, s, h) for s, h in sorted((r[0], r[1]) for r in layouts)]
+    if not parts:
+        raise ValueError(f"no header found in the files under {paths}")
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if map_null_tokens:
         df = null_tokens(df, [c for c in df.columns if c not in (FILE, PATH, SEQ)])
     return df
 
 
+def _parse(records: DataFrame, sep: str, header: str, mark: bool = False) -> DataFrame:
+    names = header_names(header, sep)
+    mine = records.where((F.col("sep") == sep) & (F.col("header") == header))
+    fields = F.size(F.split(_without_quoted(F.col(TEXT), sep), re.escape(sep)))
+    fits = F.when(fields <= len(names), True).otherwise(F.raise_error(F.concat(
+        F.lit("record with more fields than its header in "), F.col(PATH), F.lit(", line "),
+        (F.col(LINE) + 1).cast("string"))).cast("boolean"))
+    row = F.from_csv(F.col(TEXT), ", ".join(f"c{i} string" for i in range(len(names))),
+                     {"sep": sep, "quote": '"', "escape": '"', "maxCharsPerColumn": "-1",
+                      "maxColumns": str(len(names) + 1)})
+    mine = mine if mark else mine.where(fits)
+    flag = [(fields > len(names)).alias(BAD)] if mark else []
+    return (mine.withColumn("__r", row)
+            .select(*[F.col(f"__r.c{i}").alias(n) for i, n in enumerate(names)], FILE, PATH,
+                    F.struct(F.col(LINE).alias("line")).alias(SEQ), *flag))
+
+
 def file_prefix(c: str | Column = FILE, sep: str = "_") -> Column:
     """The file name before its first ``sep`` (e.g. the BSC of a log file)."""
     col = F.col(c) if isinstance(c, str) else c

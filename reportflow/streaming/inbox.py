@@ -12,6 +12,7 @@ last committed batch.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,8 @@ def consume_once(spark: SparkSession, landing: str, schema: T.StructType, checkp
     """
     if (sink is None) == (route is None):
         raise ValueError("give exactly one of sink= or route=")
-    reader = spark.readStream.format(fmt).schema(schema)
+    # a file counts as new however old it is: without this, files a week older than the newest are skipped
+    reader = spark.readStream.format(fmt).schema(schema).option("maxFileAge", "36500d")
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     if max_files_per_trigger:
@@ -48,13 +50,6 @@ def consume_once(spark: SparkSession, landing: str, schema: T.StructType, checkp
         raise q.exception()
 
 
-def append_to(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` route appending each micro-batch to ``path``."""
-    def route(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append").format(fmt).save(path)
-    return route
-
-
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("subject", T.StringType()),
     T.StructField("folder", T.StringType()),
@@ -69,13 +64,18 @@ def ingest_stream(spark: SparkSession, manifests: str, warehouse_root: str, regi
     A manifest is a JSON-lines file of (subject, folder, arrival), one line per
     delivery (the mail-box loop of the reference becomes a landing folder).
     Each micro-batch of new manifests runs ``plans.ingest.ingest``; the
-    checkpoint makes a restarted stream skip manifests already handled.
+    checkpoint makes a restarted stream skip manifests already handled.  The
+    ledger version that a batch commits carries the batch's number, so a batch
+    replayed after its commit is skipped.
     """
-    from reportflow.plans.ingest import ingest
+    from reportflow.plans.ingest import Warehouse, ingest
+
+    stream = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:8]
 
     def route(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        tag = f"{stream}-{batch_id}"
+        if batch.isEmpty() or Warehouse(warehouse_root.rstrip("/")).ledger(spark).has(tag):
             return
-        ingest(spark, batch, warehouse_root, regions, clock(), today=today)
+        ingest(spark, batch, warehouse_root, regions, clock(), today=today, batch=tag)
 
     consume_once(spark, manifests, MANIFEST_SCHEMA, checkpoint, route=route, fmt="json")

@@ -1,6 +1,6 @@
 """Registered queries (one per operator of the survey) and their DuckDB oracles."""
 
-from reportflow.suite import (files, ledger_queries, pipeline_queries, relational,  # noqa: F401
+from reportflow.suite import (files, ledger_queries, pipeline_queries, relational, run_queries,  # noqa: F401
                               scalars)
 from reportflow.suite.base import DOCS, ORACLES, QUERIES
 

@@ -200,7 +200,7 @@ FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_re
 def q_file_dispatch(spark, d):
     """Only allow-listed report files are read; each row tagged with its target table."""
     root = _land(spark, d, DISPATCH_ROWS, CUSTOMER_HEADER, ",", ["Network export"])
-    rows = router.dispatch_scan(spark, root, "NETWORKS", preamble=1)
+    rows = router.dispatch_scan(spark, root, "NETWORKS")
     return rows.select(*CUSTOMER_COLS, F.col(FILE).alias("file_name"), "target_table")
 
 
@@ -456,8 +456,8 @@ def q_raw_export(spark, d):
         "subject string, folder string, arrival long")
     ingest(spark, subjects, f"{base}/warehouse", ["REGION_A", "REGION_B"], NOW)
     export = f"{Warehouse(f'{base}/warehouse').export_path('NETWORKS')}/nodeb_info"
-    schema = ", ".join(f"{c} string" for c in [*NODEB_COLS, "report_oss", "report_date"])
-    return spark.read.schema(schema).option("header", True).csv(export)
+    schema = ", ".join(f"{c} string" for c in [*NODEB_COLS, "report_oss", "report_date", "delivery_id"])
+    return spark.read.schema(schema).option("header", True).csv(export).drop("delivery_id")
 
 
 query("q_raw_export", with_ctes({"n": NODEB_ROWS}, """

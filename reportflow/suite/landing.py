@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportflow.session import hadoop_fs
-from reportflow.sources.reports import _local_path
 
 CSV_OPTS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
             "quote": '"', "escape": '"'}
@@ -53,22 +52,6 @@ def write_files(spark: SparkSession, lines: DataFrame, root: str) -> list[str]:
     staging = root.rstrip("/") + "/_staging"
     (lines.repartition("file").sortWithinPartitions("file", "n")
      .select("file", "line").write.partitionBy("file").text(staging))
-    local = _local_path(staging)
-    if local is not None:          # local folder: plain file-system calls
-        import os
-        out = []
-        for name in sorted(os.listdir(local)):
-            if not name.startswith("file="):
-                continue
-            target_name = unquote(name.split("=", 1)[1])
-            parts = [p for p in os.listdir(os.path.join(local, name)) if p.startswith("part-")]
-            if len(parts) != 1:
-                raise RuntimeError(f"expected one part file for {target_name}, got {len(parts)}")
-            target = os.path.join(os.path.dirname(local), target_name)
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            os.rename(os.path.join(local, name, parts[0]), target)
-            out.append("file:" + target)
-        return out
     fs, jstaging = hadoop_fs(spark, staging)
     out = []
     for st in fs.listStatus(jstaging):

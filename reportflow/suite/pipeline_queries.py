@@ -124,17 +124,18 @@ FROM {customer}
 """
 CO_MPT_3G = """
 SELECT o_orderkey AS _seq,
-       CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE 'Customer#' || lpad(CAST(o_custkey AS STRING), 9, '0') END AS nodeb_function_name,
+       CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderstatus <> 'F' THEN 'X' ELSE '' END || 'Customer#' || lpad(CAST(o_custkey AS STRING), 9, '0') AS nodeb_function_name,
        CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'SRAN-' || CAST(o_orderkey % 97 AS STRING) END AS ne_name,
        'BTS3900 V200R0' || CAST(o_orderkey % 9 AS STRING) || 'SP' || CAST(o_orderkey % 5 AS STRING) AS product_version,
        CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'APM' || CAST(o_orderkey % 4 AS STRING) END AS cabinet_type
-FROM {orders} WHERE o_orderstatus = 'F'
+FROM {orders}
 """
 NODEB_INFO_3G = """
-SELECT o_orderkey AS _seq, 'Customer#' || lpad(CAST(o_custkey AS STRING), 9, '0') AS nodeb_name,
+SELECT o_orderkey AS _seq, CASE WHEN o_orderkey % 37 = 0 THEN NULL WHEN o_orderstatus <> 'O' THEN 'X' ELSE '' END
+         || 'Customer#' || lpad(CAST(o_custkey AS STRING), 9, '0') AS nodeb_name,
        CASE WHEN o_orderkey % 5 = 0 THEN 'UNKNOWN' ELSE 'V300R' || CAST(o_orderkey % 8 AS STRING) || 'SP1' END AS nodeb_version,
        CASE WHEN o_orderkey % 2 = 0 THEN 'UMTS' ELSE 'DBS' || CAST(o_orderkey % 3 AS STRING) END AS nodeb_type
-FROM {orders} WHERE o_orderstatus = 'O' AND o_orderpriority IN ('1-URGENT', '2-HIGH')
+FROM {orders}
 """
 
 

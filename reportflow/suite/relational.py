@@ -130,10 +130,11 @@ FROM {customer}
 
 CO_MPT_2G = """
 SELECT o_orderkey AS _seq,
-  'Customer#' || lpad(CAST(o_custkey AS STRING), 9, '0') AS gbts_function_name,
+  CASE WHEN o_orderstatus = 'F' THEN '' ELSE 'X' END || 'Customer#' || lpad(CAST(o_custkey AS STRING), 9, '0')
+    AS gbts_function_name,
   CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'SRAN-' || CAST(o_custkey AS STRING) END AS ne_name,
   'BTS3900 V100R0' || CAST(o_custkey % 10 AS STRING) || 'SP' || CAST(o_orderkey % 1000 AS STRING) AS product_version
-FROM {orders} WHERE o_orderstatus = 'F'
+FROM {orders}
 """
 
 
@@ -164,10 +165,11 @@ SELECT CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_name END AS nodeb_name,
 FROM {customer}
 """
 NODEB_INFO = """
-SELECT 'Customer#' || lpad(CAST(o_custkey AS STRING), 9, '0') AS nodeb_name,
+SELECT CASE WHEN o_orderstatus = 'O' THEN '' ELSE 'X' END || 'Customer#' || lpad(CAST(o_custkey AS STRING), 9, '0')
+         AS nodeb_name,
        'V' || CAST(o_orderkey % 50 AS STRING) AS nodeb_version, o_orderpriority AS nodeb_type,
        CAST(o_orderkey AS STRING) AS bsc_name
-FROM {orders} WHERE o_orderstatus = 'O'
+FROM {orders}
 """
 
 
@@ -190,12 +192,12 @@ FROM l FULL JOIN r ON l.nodeb_name IS NOT DISTINCT FROM r.nodeb_name"""))(q_oute
 CELLS_A = """
 SELECT o_orderkey, CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE o_custkey END AS o_custkey,
        o_orderstatus
-FROM {orders} WHERE year(o_orderdate) <= 1998
+FROM {orders} WHERE o_orderdate < CAST('1999-01-01' AS TIMESTAMP)
 """
 CELLS_B = """
 SELECT CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE o_custkey END AS o_custkey, o_orderkey,
        o_orderpriority
-FROM {orders} WHERE year(o_orderdate) >= 1997
+FROM {orders} WHERE o_orderdate >= CAST('1997-01-01' AS TIMESTAMP)
 """
 
 
@@ -211,10 +213,10 @@ FROM a FULL JOIN b ON a.o_orderkey IS NOT DISTINCT FROM b.o_orderkey
                   AND a.o_custkey IS NOT DISTINCT FROM b.o_custkey"""))(q_natural_outer)
 
 SNAP_A = """
-SELECT o_orderkey, o_custkey, o_orderstatus FROM {orders} WHERE year(o_orderdate) <= 1998
+SELECT o_orderkey, o_custkey, o_orderstatus FROM {orders} WHERE o_orderdate < CAST('1999-01-01' AS TIMESTAMP)
 """
 SNAP_B = """
-SELECT o_orderkey, o_custkey, o_orderpriority FROM {orders} WHERE year(o_orderdate) >= 1997
+SELECT o_orderkey, o_custkey, o_orderpriority FROM {orders} WHERE o_orderdate >= CAST('1997-01-01' AS TIMESTAMP)
 """
 _DIFF_SELECT = """
 SELECT COALESCE(a.o_orderkey, b.o_orderkey) AS o_orderkey, a.o_custkey AS o_custkey_x,

@@ -48,6 +48,12 @@ def write_spec(folder, spec, n, tag, overrides=None, extra_cols=(), preamble=("E
               [[r.get(h) for h in heads] for r in rows], preamble=preamble)
 
 
+def write_full(folder, spec, header, rows, but=()):
+    """Rows with some columns given; the contract's other columns are there, but empty."""
+    more = [h for h in source_headers(spec) if h not in header and h not in but]
+    write_csv(os.path.join(folder, spec.file_name), header + more, [r + [None] * len(more) for r in rows])
+
+
 def networks_delivery(folder, tag):
     """A full NETWORKS delivery: every report file and side file, 2-3 rows each."""
     write_spec(folder, S.PARENT, 2, tag, {1: {"bsc_name": None}})
@@ -78,22 +84,19 @@ def networks_delivery(folder, tag):
     write_csv(os.path.join(folder, "NodeB Info.csv"), ["nodeb_name", "nodeb_version", "nodeb_type"],
               [["NB00042", "UNKNOWN", "UMTS"], ["NB7", "BTS V300R1SP4", "DBS3900"]], preamble=())
     write_spec(folder, S.CELL_3G, 2, tag)
-    write_csv(os.path.join(folder, "4G_Site_List.csv"),
-              ["ne_name", "cabinet_type", "enodeb_id", "software_version"],
+    write_full(folder, S.SITE_4G, ["ne_name", "cabinet_type", "enodeb_id", "software_version"],
               [["ENB00123", "APM", "123", "V100R015SP1"], ["ENB00123", None, "123", "V1"]])
     write_csv(os.path.join(folder, "CO-MPT 4G.csv"),
               ["enodeb_function_name", "ne_name", "product_version"],
               [["ENB00999", "SRAN-4", "BTS5900 V500SP3"], ["ENB00999", "dup", "x"], [None, "n", "p"]])
-    write_csv(os.path.join(folder, "4G_Cell_List.csv"),
-              ["ne_name", "local_cell_id", "cell_name", "cell_id", "mobile_country_code",
-               "mobile_network_code", "enodeb_id", "enodeb_function_name"],
-              [["ENB00123", "0", "L1", "3", "268", "01", "123", "ENB00123"]])
+    write_full(folder, S.CELL_4G,
+               ["ne_name", "local_cell_id", "cell_name", "cell_id", "mobile_country_code",
+                "mobile_network_code", "enodeb_id", "enodeb_function_name"],
+               [["ENB00123", "0", "L1", "3", "268", "01", "123", "ENB00123"]], but=("root_sequence_index",))
     write_csv(os.path.join(folder, "CO-MPT 4G_Cell_List.csv"),
               ["enodeb_function_name", "cell_name", "root_sequence_index"],
               [["ENB00123", "L1", "600"], ["ENB00777", "L9", "700"]])
-    write_csv(os.path.join(folder, "5G_Site_List.csv"),
-              ["ne_name", "cabinet_type", "gnodeb_id", "hot_patch_version"],
+    write_full(folder, S.SITE_5G, ["ne_name", "cabinet_type", "gnodeb_id", "hot_patch_version"],
               [["GNB00055", "BBU", "55", "UNKNOWN"]])
-    write_csv(os.path.join(folder, "5G_Cell_List.csv"),
-              ["ne_name", "nr_cell_id", "cell_name", "gnodeb_id", "gnodeb_function_name"],
+    write_full(folder, S.CELL_5G, ["ne_name", "nr_cell_id", "cell_name", "gnodeb_id", "gnodeb_function_name"],
               [["GNB00055", "1", "N1", "55", "GNB-F"]])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from reportflow.sources import archive
-from reportflow.streaming.inbox import append_to, consume_once
+from reportflow.streaming.inbox import consume_once
 
 
 def test_zip_members_and_guard(spark, tmp_path):
@@ -55,6 +55,6 @@ def test_consume_once_route(spark, tmp_path):
     land, out, ckpt = str(tmp_path / "land"), str(tmp_path / "out"), str(tmp_path / "ckpt")
     df = spark.range(5)
     df.write.parquet(land)
-    consume_once(spark, land, df.schema, ckpt, route=append_to(out))
-    consume_once(spark, land, df.schema, ckpt, route=append_to(out))
+    consume_once(spark, land, df.schema, ckpt, route=lambda b, _: b.write.mode("append").parquet(out))
+    consume_once(spark, land, df.schema, ckpt, route=lambda b, _: b.write.mode("append").parquet(out))
     assert spark.read.parquet(out).count() == 5

@@ -5,10 +5,13 @@ import os
 
 import pytest
 
-from fixtures import networks_delivery, write_csv, write_spec
+from fixtures import networks_delivery, source_headers, write_csv, write_full, write_spec
 from reportflow.plans import specs as S
 from reportflow.plans.ingest import Warehouse, ingest
 
+# rows may end early: missing fields are null
+PKI_HEADER = ["Site Name", "CA Name", "OSS", "Type", "Certificate Date", *[
+    h for h in source_headers(S.PKI) if h not in ("site_name", "ca_name", "oss", "type", "certificate_date")]]
 NOW = dt.datetime(2024, 1, 2, 6, 0, 0)
 
 
@@ -22,7 +25,7 @@ def run(spark, tmp_path_factory):
     write_spec(str(land / "extA"), S.EXT_2G_2G, 2, "E", {1: {"bsc_name": None}})
     write_csv(str(land / "extA" / "Some other list.csv"), ["a"], [["1"]])
     write_csv(str(land / "pki" / "certs.csv"),
-              ["Site Name", "CA Name", "OSS", "Type", "Certificate Date"],
+              PKI_HEADER,
               [["S1", "CA", "REGION_A", "macro", "2024"], [None, "CA", "REGION_A", "x", "y"]],
               preamble=())
     write_csv(str(land / "logs" / "BSC7_ops.csv"),
@@ -201,8 +204,8 @@ def test_ingest_stream_consumes_manifests_once(spark, tmp_path):
 def test_snapshot_dates_across_runs(spark, tmp_path):
     """Same date merges regions; a newer date replaces the current snapshot."""
     def site_delivery(folder, names):
-        write_csv(str(folder / "2G_Site_List.csv"), ["bsc_name", "bts_index", "bts_name"],
-                  [[f"BSC-{folder.name}", str(i), n] for i, n in enumerate(names)])
+        write_full(str(folder), S.SITE_2G, ["bsc_name", "bts_index", "bts_name"],
+                   [[f"BSC-{folder.name}", str(i), n] for i, n in enumerate(names)])
         write_csv(str(folder / "CO-MPT 2G.csv"), ["gbts_function_name", "ne_name", "product_version"],
                   [[names[0], "SR", "V1SP2"]])
 

@@ -3,7 +3,7 @@
 import os
 
 from conftest import rows, write_report
-from reportflow.sources.reports import read_head, scan_reports
+from reportflow.sources.reports import report_sep, scan_reports
 
 
 def test_preamble_duplicates_tokens_and_footer(spark, tmp_path):
@@ -20,11 +20,10 @@ def test_preamble_duplicates_tokens_and_footer(spark, tmp_path):
         ("3", "d", "30", None, "BSC1_a.csv"), ("4", "é", "40", "ok", "BSC2_b.csv")]
 
 
-def test_delimiter_sniffing(spark, tmp_path):
-    p = write_report(str(tmp_path / "x.csv"), ["pre", "a,b", "1,2"])
-    assert read_head(spark, "file:" + p, 1).sep == ","
-    p2 = write_report(str(tmp_path / "y.csv"), ["pre;x", "a;b", "1;2"])
-    assert read_head(spark, "file:" + p2, 1).sep == ";"
+def test_delimiter_sniffing():
+    assert report_sep("pre", "a,b", "a,b") == ","
+    assert report_sep("pre;x", "a;b", "a;b") == ";"
+    assert report_sep("one, two", "three", "a;b") == ";"
 
 
 def test_quoted_newline_and_encoded_names(spark, tmp_path):
@@ -47,12 +46,11 @@ def test_mixed_layouts_union_by_name(spark, tmp_path):
 def test_split_large_file_matches_whole_read(spark, tmp_path):
     lines = ["Report generated", "x", "a;b;c"] + [f"{i};v{i};{i * 3}" for i in range(400)] + ["Total"]
     write_report(str(tmp_path / "big" / "BSC9_big.csv"), lines)
-    whole = scan_reports(spark, str(tmp_path / "big"), preamble=2, footer=1, multiline=True)
+    whole = scan_reports(spark, str(tmp_path / "big"), preamble=2, footer=1)
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
     try:
-        split = scan_reports(spark, str(tmp_path / "big"), preamble=2, footer=1)   # auto: split
-        assert split.rdd.getNumPartitions() > 1
+        split = scan_reports(spark, str(tmp_path / "big"), preamble=2, footer=1)
         got = rows(split.select("a", "b", "c"))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
@@ -67,24 +65,83 @@ def test_footer_of_several_rows_across_splits(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
     try:
         got = scan_reports(spark, str(tmp_path / "ft"), preamble=1, footer=3)
-        assert got.rdd.getNumPartitions() > 1
         vals = sorted(int(r.a) for r in got.collect())
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert vals == list(range(300))
 
 
-def test_missing_header_fails_loudly(spark, tmp_path):
+def _scan_split(spark, path, size, **kw):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        got = scan_reports(spark, path, **kw)
+        return rows(got.drop("_path")), got.columns
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_split_size_never_changes_a_scan(spark, tmp_path):
+    """Quoted line breaks, a header of over 16 KiB, a bracketed folder: alike at any split size."""
+    d = tmp_path / "[Report][REGION_A] x{1}"
+    header = ",".join(f"a_rather_long_column_name_number_{i:05d}" for i in range(440))
+    body = [f'"line\n\nstill {i}\ntwo ""quoted"", end",{i}' if i % 3 == 0 else f'{i},"x, ""{i}"""'
+            for i in range(20)]
+    write_report(str(d / "wide.csv"), ["pre", header, *body, "Total"])
+    assert len(header) > 1 << 14
+    whole, columns = _scan_split(spark, str(d), "128m", preamble=1, footer=1)
+    tiny, _ = _scan_split(spark, str(d), "64", preamble=1, footer=1)
+    assert len(columns) == 443 and len(whole) == 20
+    assert whole == tiny
+    assert any(r[:2] == ('line\n\nstill 0\ntwo "quoted", end', "0") for r in whole)
+    assert any(r[:2] == ("1", 'x, "1"') for r in whole)
+
+
+def test_long_rows_and_open_quotes_fail(spark, tmp_path):
+    import pytest
+    write_report(str(tmp_path / "long" / "a.csv"), ["a,b", "1,2", "3,4,5"])
+    with pytest.raises(Exception, match="more fields"):
+        scan_reports(spark, str(tmp_path / "long"), preamble=0).collect()
+    write_report(str(tmp_path / "short" / "a.csv"), ["a,b", "1", "3,4"])
+    assert rows(scan_reports(spark, str(tmp_path / "short"), preamble=0).select("a", "b")) == [
+        ("1", None), ("3", "4")]
+    write_report(str(tmp_path / "open" / "a.csv"), ["a,b", '1,"2', "3,4"])
+    with pytest.raises(ValueError, match="without an end"):
+        scan_reports(spark, str(tmp_path / "open"), preamble=0)
+
+
+def test_hidden_files_are_not_skipped(spark, tmp_path):
     import pytest
-    d = tmp_path / "bad"
-    write_report(str(d / "a.csv"), ["pre", "h1,h2", "1,2"])
-    write_report(str(d / "b.csv"), ["pre", "h1,h2,h3", "1,2,3"])   # a different layout: own group
-    # tamper: the layout read from b's peek does not occur in a
-    from reportflow.sources import reports
-    heads = [reports.read_head(spark, "file:" + str(d / "a.csv"), 1)]
-    bad = reports.FileHead(heads[0].path, heads[0].name, ",", ("h1", "zz"), heads[0].size)
-    with pytest.raises(Exception, match="header row not found"):
-        reports._read_group(spark, [bad], True, 0).collect()
+    write_report(str(tmp_path / "h" / "a.csv"), ["a,b", "1,2"])
+    write_report(str(tmp_path / "h" / "_b.csv"), ["a,b", "3,4"])
+    with pytest.raises(ValueError, match="_b.csv"):
+        scan_reports(spark, str(tmp_path / "h"), preamble=0)
+
+
+def test_listed_files_are_literal(spark, tmp_path):
+    a = write_report(str(tmp_path / "x[1]" / "a.csv"), ["a,b", "1,2"])
+    b = write_report(str(tmp_path / "x1" / "b.csv"), ["a,b", "3,4"])
+    assert rows(scan_reports(spark, [a, b], preamble=0).select("a", "b")) == [("1", "2"), ("3", "4")]
+
+
+def test_header_only_report(spark, tmp_path):
+    write_report(str(tmp_path / "e" / "a.csv"), ["pre", "a,b"])
+    got = scan_reports(spark, str(tmp_path / "e"), preamble=1)
+    assert got.columns[:2] == ["a", "b"] and got.count() == 0
+
+
+def test_zip_members_scan_like_files(spark, tmp_path):
+    import zipfile
+    lines = "pre\nCell Name,Cell ID\nA,1\n\"B\nb\",2\nTotal\n"
+    (tmp_path / "z").mkdir()
+    with zipfile.ZipFile(tmp_path / "z" / "d.zip", "w") as zf:
+        zf.writestr("sub/one.csv", lines)
+        zf.writestr("two.csv", lines.replace("A,1", "C,3"))
+    got = scan_reports(spark, str(tmp_path / "z"), preamble=1, footer=1)
+    assert rows(got.select("cell_name", "cell_id", "_file")) == [
+        ("A", "1", "one.csv"), ("B\nb", "2", "one.csv"), ("B\nb", "2", "two.csv"), ("C", "3", "two.csv")]
+    one = scan_reports(spark, str(tmp_path / "z"), preamble=1, footer=1, names=["two.csv"])
+    assert {r._file for r in one.collect()} == {"two.csv"}
 
 
 def test_utf8_bom(spark, tmp_path):
