@@ -47,8 +47,8 @@ from reportflow.llm.eliasfano import Trie, mapped
 from reportflow.llm.linear import held_out
 from reportflow.session import ensure_checkpoint_dir
 
-BATCH_BYTES = 12 << 20
-BUCKET_BYTES = 15_000_000
+BATCH_BYTES = 4 << 20
+BUCKET_BYTES = 5_000_000
 END, BEGIN = np.uint64(0x2D3A0E4C5B6F7181), np.uint64(0x71C3B5A6978DEF01)
 STEP = 1000
 
