@@ -90,7 +90,8 @@ def report_sep(line0: str | None, line1: str | None, header: str | None) -> str:
 def _sniff(batches):
     for pdf in batches:
         seps = [report_sep(a, b, h) for a, b, h in zip(pdf["l0"], pdf["l1"], pdf["head"], strict=True)]
-        yield pdf[[PATH]].assign(sep=seps)
+        opens = [a if s == "," else b for s, a, b in zip(seps, pdf["open0"], pdf["open1"], strict=True)]
+        yield pdf[[PATH]].assign(sep=seps, open=[int(x == 1) for x in opens])
 
 
 def decoded_name(c: Column) -> Column:
@@ -212,32 +213,34 @@ def report_records(spark: SparkSession, paths: str | Sequence[str], preamble: in
     blocks = lines.groupBy(PATH, BLOCK).agg(F.min(ROW).alias("lo"), F.count(F.lit(1)).alias("n"))
     before = W.partitionBy(PATH).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
     blocks = blocks.select(PATH, BLOCK, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("lo")).alias("shift"))
+    blocks = blocks.checkpoint()             # small: one row per split, as the next ones per file
     lines = lines.join(blocks, [PATH, BLOCK]).withColumn(LINE, F.col(ROW) + F.col("shift")).drop(ROW, "shift")
     lines = lines.withColumn(TEXT, F.when(F.col(LINE) == 0, F.regexp_replace(TEXT, "^\ufeff", ""))
                              .otherwise(F.col(TEXT)))
     filled = F.trim(F.translate(TEXT, "\t", " ")) != ""
+    kinds = [",", ";"] if sep is None else [sep]
+    body = F.col(LINE) >= preamble
+    facts = lines.groupBy(PATH).agg(
+        F.max(F.when(F.col(LINE) == 0, F.col(TEXT))).alias("l0"),
+        F.max(F.when(F.col(LINE) == 1, F.col(TEXT))).alias("l1"),
+        F.min_by(TEXT, F.when(body & filled, F.col(LINE))).alias("head"),
+        *[F.max(F.when(body, _leaves_open(F.col(TEXT), k))).alias(f"open{i}") for i, k in enumerate(kinds)])
     if sep is None:
-        heads = lines.groupBy(PATH).agg(
-            F.max(F.when(F.col(LINE) == 0, F.col(TEXT))).alias("l0"),
-            F.max(F.when(F.col(LINE) == 1, F.col(TEXT))).alias("l1"),
-            F.min_by(TEXT, F.when((F.col(LINE) >= preamble) & filled, F.col(LINE))).alias("head"))
-        seps = heads.mapInPandas(_sniff, f"{PATH} string, sep string")
-        kinds = [",", ";"]
+        facts = facts.mapInPandas(_sniff, f"{PATH} string, sep string, open int")
     else:
-        seps, kinds = lines.select(PATH).distinct().withColumn("sep", F.lit(sep)), [sep]
-    lines = lines.where(F.col(LINE) >= preamble)
-    lines = lines.join(seps, PATH)
-    if multiline:
-        opens = lines.groupBy(PATH).agg(F.max(_by_sep(kinds, lambda s: _leaves_open(F.col(TEXT), s))).alias("o"))
-        opens = opens.where("o = 1").select(PATH).checkpoint()
-        records = lines.join(opens, PATH, "left_anti").select(PATH, FILE, "sep", LINE, TEXT)
-        if not opens.isEmpty():
-            records = records.unionByName(_records(lines.join(opens, PATH, "left_semi"), kinds))
+        facts = facts.select(PATH, F.lit(sep).alias("sep"), F.col("open0").alias("open"))
+    facts = facts.checkpoint()
+    lines = lines.where(body).join(facts, PATH)
+    columns = [PATH, FILE, "sep", LINE, TEXT]
+    if multiline and not facts.where("open = 1").isEmpty():
+        records = lines.where("open = 0").select(*columns).unionByName(
+            _records(lines.where("open = 1").drop("open"), kinds))
     else:
-        records = lines.select(PATH, FILE, "sep", LINE, TEXT)
+        records = lines.select(*columns)
     records = records.where(filled)
     cut = records.groupBy(PATH).agg(F.min_by(TEXT, LINE).alias("header"), F.min(LINE).alias("h_line"),
                                     F.first(FILE).alias(FILE), F.first("sep").alias("sep"))
+    cut = cut.checkpoint()
     heads = cut.select(PATH, FILE, "sep", "header")
     out = records.join(cut.select(PATH, "header", "h_line"), PATH).where(F.col(LINE) > F.col("h_line")).drop("h_line")
     if footer > 0:

@@ -9,6 +9,7 @@ the report file names (metadata operations only).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from urllib.parse import unquote
 
@@ -49,7 +50,7 @@ def write_files(spark: SparkSession, lines: DataFrame, root: str) -> list[str]:
 
     A ``file`` value may contain ``/`` (a sub-folder per delivery).
     """
-    staging = root.rstrip("/") + "/_staging"
+    staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex}"
     (lines.repartition("file").sortWithinPartitions("file", "n")
      .select("file", "line").write.partitionBy("file").text(staging))
     fs, jstaging = hadoop_fs(spark, staging)
