@@ -7,6 +7,7 @@ are written to the checkpoint folder after every round, so lineage stays short.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,3 +42,24 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
 def _state(e: DataFrame) -> tuple:
     row = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return row[0], row[1]
+
+
+def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Smallest index reachable from each of n nodes."""
+    root = np.arange(n)
+    while len(a):
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        while True:
+            jump = new[new]
+            if np.array_equal(jump, new):
+                break
+            new = jump
+        root = new[root]
+        apart = root[a] != root[b]
+        if not apart.any():
+            break
+        a, b = a[apart], b[apart]
+    return root

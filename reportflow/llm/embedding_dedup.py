@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reportflow.llm.components import components
+from reportflow.llm.components import components, forest
 from reportflow.session import ensure_checkpoint_dir
 
 BLOCK = 2048
@@ -63,27 +63,6 @@ def likely_pairs(codes: np.ndarray, factor: np.ndarray, queries: np.ndarray, thr
     return np.nonzero(estimate >= (threshold - sigmas * error - 1e-5).astype(np.float32)[:, None])
 
 
-def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Smallest index reachable from each of n nodes."""
-    root = np.arange(n)
-    while len(a):
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, root[a], low)
-        np.minimum.at(new, root[b], low)
-        while True:
-            jump = new[new]
-            if np.array_equal(jump, new):
-                break
-            new = jump
-        root = new[root]
-        apart = root[a] != root[b]
-        if not apart.any():
-            break
-        a, b = a[apart], b[apart]
-    return root
-
-
 def _compare(threshold: float, sigmas: float):
     """One block of home vectors against one block of searching vectors."""
 
@@ -118,7 +97,7 @@ def _compare(threshold: float, sigmas: float):
                                                bool, len(a))
         a, b = a[once], b[once]
         links = np.bincount(a, copies[b], len(pdf)) + np.bincount(b, copies[a], len(pdf))
-        root = _forest(a, b, len(pdf))                    # rows are sorted by rep
+        root = forest(a, b, len(pdf))                    # rows are sorted by rep
         some = np.flatnonzero(links > 0)
         return pd.DataFrame({"rep": rep[some], "links": links[some].astype(np.int64), "root": rep[root[some]]})
     return run

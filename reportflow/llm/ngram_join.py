@@ -14,11 +14,14 @@ component of the link graph.
   first s - c + 1 shingles: linked sets meet in a list.  The boundary between
   light and heavy is the size with the least estimated cost: subsets enumerated
   against list entries written and scanned.
-* Pairs of similar size that meet are verified on the whole sets.  In a list of
-  over ``LONG`` sets only pairs with its first set are verified at first; then all
-  pairs of such a list that are still in different components are, so no link is
-  lost.  A list that is long within one chunk of documents already shrinks to its
-  first set before the shuffle.
+* Pairs of similar size that meet are pruned by histograms of their shingles (256
+  cells; the sum of the smaller counts bounds the intersection from above), and
+  what is left is verified on the whole sets.
+* In a list of over ``LONG`` sets only pairs with the smallest set of each size
+  range are verified at first.  Where such a list still holds several components,
+  its sets are compared block against block, each task returning a spanning
+  forest, so no link is lost and no pairs are listed.  A list that is long within
+  one chunk of documents already shrinks to its first set before the shuffle.
 
 Shingles are compared by 64-bit hashes.  Node ids are 64-bit set hashes, checked
 by a second hash; a clash raises an error.
@@ -37,18 +40,21 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reportflow.llm import bitmap
 from reportflow.llm.bytetext import buffers, chunks, from_planes, mix, planes, shingle_sets
-from reportflow.llm.components import components
+from reportflow.llm.components import components, forest
 from reportflow.session import ensure_checkpoint_dir
 
 SKETCH_BITS = 22
 SLICES = 16
 LONG = 64
+CELLS = 256
+BLOCK = 1024
 MOST_LIGHT = 64
 ENTRIES_PER_BUCKET = 400_000
 
@@ -59,6 +65,28 @@ def set_hashes(sets: np.ndarray, off: np.ndarray, seed: int) -> np.ndarray:
     return mix(total[off[1:]] - total[off[:-1]] + np.diff(off).astype(np.uint64))
 
 
+def histograms(sets: np.ndarray, off: np.ndarray) -> list[bytes]:
+    """Shingles per cell of each set (cells by the low bits)."""
+    n = len(off) - 1
+    doc = np.repeat(np.arange(n), np.diff(off))
+    counts = np.bincount(doc * CELLS + (sets & np.uint64(CELLS - 1)).astype(np.int64), minlength=n * CELLS)
+    return [x.tobytes() for x in np.minimum(counts, 65535).astype(np.uint16).reshape(n, CELLS)]
+
+
+def _prune(percent: int):
+    """Map pass: pairs whose histograms allow the similarity; full cells allow everything."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, CELLS)
+                    for c in ("ca", "cb"))
+            most = np.minimum(a, b).sum(1, dtype=np.int64)
+            total = a.sum(1, dtype=np.int64) + b.sum(1, dtype=np.int64)
+            keep = (100 * most >= percent * (total - most)) | (np.maximum(a, b).max(1, initial=0) == 65535)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+    return run
+
+
 def _counter(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
@@ -67,7 +95,7 @@ def _describe(width: int):
     """Map pass: size and hashes of every set (kind 0), and the task's sketch in slices (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "_id", "sid", "check", "n", "slice", "counts"]
+        names = ["kind", "_id", "sid", "check", "n", "cells", "slice", "counts"]
         sketch, any_rows, id_type = np.zeros(1 << SKETCH_BITS, np.uint32), False, None
         for batch in batches:
             any_rows, id_type = True, batch.column(0).type
@@ -80,13 +108,14 @@ def _describe(width: int):
                     [pa.array(np.zeros(n, np.int32)), batch.column(0).slice(a, n),
                      pa.array(set_hashes(sets, so, 0).view(np.int64)),
                      pa.array(set_hashes(sets, so, 77).view(np.int64)), pa.array(np.diff(so)),
-                     pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+                     pa.array(histograms(sets, so), pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
         if any_rows:
             # Counts only order shingles: more than 65,535 in one task counts as 65,535.
             parts = np.minimum(sketch, 65535).astype(np.uint16).reshape(SLICES, -1)
             none = pa.nulls(SLICES, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.ones(SLICES, np.int32)), pa.nulls(SLICES, id_type), none, none, none,
+                 pa.nulls(SLICES, pa.binary()),
                  pa.array(np.arange(SLICES, dtype=np.int32)),
                  pa.array([zlib.compress(planes(x), 1) for x in parts], pa.binary())], names)
     return run
@@ -188,8 +217,12 @@ def _pairs(key: np.ndarray, sid: np.ndarray, size: np.ndarray, subset: np.ndarra
         for k in range(0, len(at), step):
             add((at[k:k + step, None] + i).ravel(), (at[k:k + step, None] + j).ravel())
     for a, count in zip(start[length > LONG], length[length > LONG], strict=True):
-        in_long[a:a + count] = True
-        add(np.full(count - 1, a), np.arange(a + 1, a + count))
+        end = a + count
+        in_long[a:end] = True
+        while a < end:                      # the smallest set of each size range against the range
+            stop = a + int(np.searchsorted(size[a:end], size[a] * 100 // percent, side="right"))
+            add(np.full(stop - a - 1, a), np.arange(a + 1, stop))
+            a = stop
     return left, right, in_long
 
 
@@ -308,6 +341,74 @@ def _verify(texts: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
     return both.filter(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
 
 
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Intersection sizes of two lists of sets: products of incidence matrices, some shingles at a time."""
+    shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    out = np.zeros((len(left), len(right)), np.float32)
+
+    def places(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        flat = np.concatenate(sets)
+        at = np.searchsorted(shared, flat)
+        at[at == len(shared)] = 0
+        hit = shared[at] == flat
+        order = np.argsort(at[hit], kind="stable")
+        return row[hit][order], at[hit][order]
+
+    if len(shared):
+        (lr, lc), (rr, rc) = places(left), places(right)
+        for k in range(0, len(shared), 2048):
+            x, y = np.zeros((len(left), 2048), np.float32), np.zeros((len(right), 2048), np.float32)
+            i, j = np.searchsorted(lc, [k, k + 2048])
+            x[lr[i:j], lc[i:j] - k] = 1
+            i, j = np.searchsorted(rc, [k, k + 2048])
+            y[rr[i:j], rc[i:j] - k] = 1
+            out += x @ y.T
+    return out
+
+
+def _compare_blocks(percent: int):
+    """One block of sets against another (or itself): a spanning forest of the links found."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("sid", ignore_index=True)
+        first, second = pdf[pdf["block"] == pdf["bi"]], pdf[pdf["block"] == pdf["bj"]]
+        if first.empty or second.empty:
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        both = _overlaps(list(first["shingles"]), list(second["shingles"])).astype(np.int64)
+        n, m = first["n"].to_numpy()[:, None], second["n"].to_numpy()[None, :]
+        part = first["part"].to_numpy()[:, None] != second["part"].to_numpy()[None, :]
+        i, j = np.nonzero((100 * both >= percent * (n + m - both)) & part)
+        a, b = first["sid"].to_numpy()[i], second["sid"].to_numpy()[j]
+        nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        root = forest(at[:len(a)], at[len(a):], len(nodes))
+        return pd.DataFrame({"a": nodes, "b": nodes[root]})
+    return run
+
+
+def _within_clusters(texts: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between the parts that long lists still hold: (a, b) of spanning forests.
+
+    ``members`` (key, sid, n, part): lists that share a set form a cluster, whose
+    blocks are compared with each other.
+    """
+    least = members.groupBy("key").agg(F.min("sid").alias("lead"))
+    spokes = members.join(least, "key").select("sid", "lead").distinct()
+    of = components(spokes, "sid", "lead").withColumnsRenamed({"node": "sid", "component": "cluster"})
+    nodes = (members.groupBy("sid").agg(F.first("n").alias("n"), F.first("part").alias("part"))
+             .join(of, "sid", "left").withColumn("cluster", F.coalesce("cluster", "sid")))
+    sizes = nodes.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    nodes = nodes.join(sizes, "cluster").withColumn(
+        "block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")).checkpoint()
+    wanted = bitmap.build(nodes, "sid")
+    sets = (texts.select("_text").mapInArrow(_wanted_sets(width, wanted), "sid bigint, shingles array<bigint>")
+            .dropDuplicates(["sid"]))
+    # A set meets every block of its cluster once, itself included; the smaller block number comes first.
+    dealt = (nodes.join(sets, "sid").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .withColumns({"bi": F.least("block", "other"), "bj": F.greatest("block", "other")}))
+    return dealt.groupBy("cluster", "bi", "bj").applyInPandas(_compare_blocks(percent), "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                     percent: int = 75) -> DataFrame:
     """One row per document: (id, n_shingles, component_id, text_hash).
@@ -320,7 +421,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.struct(F.col(id_col).alias("i"), F.xxhash64(F.col(text_col)).alias("h")).alias("_id"),
                         F.col(text_col).cast("string").alias("_text"))
     first = texts.mapInArrow(_describe(width), f"kind int, _id struct<i: {kind}, h: bigint>, sid bigint, "
-                             "`check` bigint, n bigint, slice int, counts binary").checkpoint()
+                             "`check` bigint, n bigint, cells binary, slice int, counts binary").checkpoint()
     rows = first.filter("kind = 0").select(F.col("_id.i").alias("_id"), F.col("_id.h").alias("text_hash"),
                                            "sid", "check", "n")
     nodes = (rows.filter("n > 0").groupBy("sid").agg(
@@ -344,25 +445,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .repartition(buckets, "bucket").mapInArrow(
             _meet(light, percent), "kind int, a bigint, b bigint, n bigint, subset boolean").checkpoint())
     pairs = met.filter("kind = 0").select("a", "b").distinct().checkpoint()
-    links = _verify(texts, pairs, width, percent).checkpoint()
+    wanted = bitmap.build(pairs.select(F.explode(F.array("a", "b")).alias("sid")), "sid")
+    cells = bitmap.keep(first.filter("kind = 0 and n > 0").select("sid", "cells"), "sid", wanted).dropDuplicates(["sid"])
+    likely = (pairs.join(cells.select(F.col("sid").alias("a"), F.col("cells").alias("ca")), "a")
+              .join(cells.select(F.col("sid").alias("b"), F.col("cells").alias("cb")), "b")
+              .mapInArrow(_prune(percent), "a bigint, b bigint").checkpoint())
+    links = _verify(texts, likely, width, percent).checkpoint()
     parts = components(links, "a", "b")
 
-    # Long lists: whatever is still apart is compared pair by pair.
-    members = (met.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("sid"), "n", "subset")
+    # Long lists that still hold several components.
+    members = (met.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("sid"), "n")
                .distinct().join(parts.withColumnRenamed("node", "sid"), "sid", "left")
-               .withColumn("part", F.coalesce("component", "sid")))
+               .select("key", "sid", "n", F.coalesce("component", "sid").alias("part")))
     split = members.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi")
     members = members.join(split.select("key"), "key", "left_semi").checkpoint()
     if not members.isEmpty():
-        x = members.select("key", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa"), "subset")
-        y = members.select("key", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("part").alias("pb"))
-        apart = (x.join(y, "key").filter(
-            (F.col("pa") != F.col("pb")) & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))))
-            & (100 * F.col("na") >= percent * F.col("nb")) & (F.col("subset") | (F.col("nb") > light)))
-            .select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti").checkpoint())
-        if not apart.isEmpty():
-            links = links.unionByName(_verify(texts, apart, width, percent)).checkpoint()
-            parts = components(links, "a", "b")
+        links = links.unionByName(_within_clusters(texts, members, width, percent)).checkpoint()
+        parts = components(links, "a", "b")
     named = nodes.join(parts.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
         "part", F.coalesce("component", "sid"))
     smallest = named.groupBy("part").agg(F.min("_first").alias("component_id"))
