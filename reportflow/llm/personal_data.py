@@ -176,6 +176,7 @@ def _count_terms(wanted: np.ndarray, least: int):
     """Map pass: in how many documents of the task each wanted term occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, seen = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             data, off = buffers(batch.column(0))
             for _, _, d, o in chunks(data, off):
@@ -187,7 +188,9 @@ def _count_terms(wanted: np.ndarray, least: int):
                 fresh = np.ones(len(h), bool)
                 fresh[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
                 t, n = np.unique(h[fresh], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(n, pa.int64())], ["t", "n"])
+                found, at = np.unique(np.concatenate([found, t]), return_inverse=True)
+                seen = np.bincount(at, np.concatenate([seen, n]), len(found)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(seen)], ["t", "n"])
     return run
 
 
