@@ -6,13 +6,13 @@ earlier: in a document with a smaller id, or earlier in the same document.
 The text of a 100 TB corpus has one suffix per byte, so the suffix order is built
 only where it can matter, and in pieces that fit a task:
 
-1. Every string of ``length`` bytes has an anchor, its 32-byte substring of
+1. Every string of ``length`` bytes has an anchor, its 48-byte substring of
    smallest hash.  Neighbouring strings mostly share an anchor; such a run (about
-   100 + 35 bytes) is the unit of the first pass.  Runs meet by anchor.  Equal runs
+   100 + 27 bytes) is the unit of the first pass.  Runs meet by anchor.  Equal runs
    are decided at once (all but the first are repeats) and an anchor with one kind
    of run needs nothing more.
-2. Anchors with different runs are contested.  Their runs go, as text, to buckets
-   by anchor, and each bucket builds the suffix order of its strings, their common
+2. Anchors with different runs are contested.  The first occurrence of each of their
+   runs goes, as text, to buckets by anchor, and each bucket builds the suffix order of its strings, their common
    prefixes and from them the longest-previous-factor array: a suffix's longest
    earlier match is shared with the nearest suffix, before or after it in suffix
    order, that starts earlier in the corpus (previous and next smaller positions).
@@ -47,8 +47,8 @@ from reportflow.llm.bytetext import (
 )
 from reportflow.session import ensure_checkpoint_dir
 
-ANCHOR = 32
-PIECE = 4 << 20
+ANCHOR = 48
+PIECE = 2 << 20
 MANY_LOCAL = 4             # kinds of run of an anchor in one chunk that make it common
 MANY = 256                 # and in the whole corpus
 ENTRIES_PER_BUCKET = 400_000
@@ -72,16 +72,28 @@ def pieces(data: np.ndarray, off: np.ndarray, length: int):
                 yield part, np.array([0, len(part)]), np.array([i]), np.array([start])
 
 
+def _rolling(d: np.ndarray) -> np.ndarray:
+    """Polynomial hash of the ``ANCHOR`` bytes from each place on, by doubling widths."""
+    part, base, width = _LETTER[d], 0x9E3779B97F4A7C15, 1
+    whole, done = None, 0
+    while True:
+        if ANCHOR & width:
+            whole = part if whole is None else part[:len(part) - done] * np.uint64(
+                pow(0x9E3779B97F4A7C15, done, 1 << 64)) + whole[width:]
+            n = len(d) - done - width + 1
+            whole, done = whole[:n], done + width
+        if 2 * width > ANCHOR:
+            return whole
+        part = part[:-width] * np.uint64(base) + part[width:]
+        base, width = base * base % (1 << 64), 2 * width
+
+
 def runs(d: np.ndarray, o: np.ndarray, length: int):
     """Runs of strings that share an anchor: (anchor hashes, first starts, numbers of strings)."""
     none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     if len(d) < length:
         return none
-    h, base, width = _LETTER[d], 0x9E3779B97F4A7C15, 1
-    while width < ANCHOR:
-        h = h[:-width] * np.uint64(base) + h[width:]
-        base, width = base * base % (1 << 64), 2 * width
-    h = mix(h)
+    h = mix(_rolling(d))
     low = np.uint64((1 << 24) - 1)
     best = (h & ~low) | np.arange(len(h), dtype=np.uint64)
     span, reach = length - ANCHOR + 1, 1
@@ -200,7 +212,7 @@ def _gather(batches: Iterator[pa.RecordBatch], types: dict[int, tuple]) -> Itera
 
 
 def _decide_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Reduce pass: ranges that repeat (kind 0), contested anchors (1), common ones among them (2)."""
+    """Reduce pass: ranges that repeat (kind 0), first runs of contested anchors (1), common anchors (2)."""
     parts: dict[int, dict[int, list]] = {}
     types = {0: (np.uint64, np.uint64, np.int64, np.int32, np.int32, np.int32),
              1: (np.int64, np.int32, np.int32, np.int32), 2: (np.uint64,)}
@@ -212,7 +224,6 @@ def _decide_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for bucket in sorted(parts):
         got = parts.pop(bucket)
         marked = np.unique(np.concatenate([x[0] for x in got[2]])) if got[2] else np.zeros(0, np.uint64)
-        contested = marked
         if got[0]:
             anchor, hash_, doc, tie, start, n = [np.concatenate(x) for x in zip(*got[0], strict=True)]
             order = np.lexsort((start, tie, doc, hash_, anchor))
@@ -220,18 +231,32 @@ def _decide_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             same = _groups(anchor, hash_)
             gone = _later(same, len(anchor), doc, tie, start)
             yield _ranges(0, doc[gone], tie[gone], start[gone], n[gone])
-            kinds = anchor[same]
-            by = _groups(kinds)
-            many = np.diff(np.append(by, len(kinds)))
-            contested = np.union1d(contested, kinds[by[many > 1]])
-            marked = np.union1d(marked, kinds[by[many > MANY]])
-        hot = np.isin(contested, marked)
-        zero = np.zeros(len(contested), np.int64)
-        yield _ranges(1, contested.view(np.int64), hot, zero, zero)
-
-
-def _second_pass(length: int, buckets: int, contested: np.ndarray, common: np.ndarray):
-    """Map pass: runs of contested anchors as text (kind 0), strings of common ones by hash (2)."""
+            anchor, hash_, doc, tie, start = [x[same] for x in (anchor, hash_, doc, tie, start)]
+            by = _groups(anchor)
+            kinds = np.diff(np.append(by, len(anchor)))
+            marked = np.union1d(marked, anchor[by[kinds > MANY]])
+            calm = np.repeat(kinds > 1, kinds) & ~np.isin(anchor, marked)
+            first = _occurrence(*[x[calm] for x in (anchor, hash_, doc, tie, start)])
+            zero = np.zeros(len(first), np.int64)
+            yield _ranges(1, first.view(np.int64), zero, zero, zero)
+        zero = np.zeros(len(marked), np.int64)
+        yield _ranges(2, marked.view(np.int64), zero, zero, zero)
+
+
+def _occurrence(anchor, run, doc, tie, start) -> np.ndarray:
+    """A hash for one occurrence of a run."""
+    h = mix(anchor ^ mix(run))
+    for x in (doc, tie, start):
+        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + x.astype(np.int64).view(np.uint64))
+    return h
+
+
+def _second_pass(length: int, buckets: int, firsts: np.ndarray, common: np.ndarray):
+    """Map pass: first runs of contested anchors as text (kind 0), strings of common ones by hash (2).
+
+    The bitmaps let a few other runs through, which changes nothing: all that is
+    sent is compared.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,11 +264,14 @@ def _second_pass(length: int, buckets: int, contested: np.ndarray, common: np.nd
             data, off = buffers(batch.column(2))
             for piece in pieces(data, off, length):
                 anchor, hash_, doc, tie, start, n, at = _local(*piece, ids, ties, length)
-                hit = bitmap.contains(contested, anchor)
-                anchor, hash_, doc, tie, start, n, at = [x[hit] for x in (anchor, hash_, doc, tie, start, n, at)]
-                first = _groups(anchor, hash_) if len(anchor) else np.zeros(0, np.int64)
-                anchor, doc, tie, start, n, at = [x[first] for x in (anchor, doc, tie, start, n, at)]
-                hot = bitmap.contains(common, anchor) if len(anchor) else np.zeros(0, bool)
+                if not len(anchor):
+                    continue
+                first = _groups(anchor, hash_)
+                anchor, hash_, doc, tie, start, n, at = [
+                    x[first] for x in (anchor, hash_, doc, tie, start, n, at)]
+                hot = bitmap.contains(common, anchor)
+                hit = hot | bitmap.contains(firsts, _occurrence(anchor, hash_, doc, tie, start))
+                anchor, doc, tie, start, n, at, hot = [x[hit] for x in (anchor, doc, tie, start, n, at, hot)]
                 raw, rows = piece[0].tobytes(), []
                 calm = np.flatnonzero(~hot)
                 spot = (anchor[calm] % np.uint64(buckets)).astype(np.int64)
@@ -428,16 +456,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     keyed = texts.select("_doc", "_tie", "_text")
     size = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(least, math.ceil(size / 35 / ENTRIES_PER_BUCKET))
+    buckets = max(least, math.ceil(size / 27 / ENTRIES_PER_BUCKET))
     first = (keyed.mapInArrow(_first_pass(length, buckets), _BLOBS).repartition(buckets, "bucket")
              .mapInArrow(_decide_runs, _RANGES).checkpoint())
-    anchors = first.filter("kind = 1").select(F.col("doc").alias("anchor"), "tie").checkpoint()
-    contested = bitmap.build(anchors, "anchor")
-    common = bitmap.build(anchors.filter("tie = 1"), "anchor")
-    count = anchors.count()
-    # A contested anchor has some four runs of about 35 strings each.
-    again = max(least, math.ceil(count * 140 / STRINGS_PER_BUCKET))
-    second = (keyed.mapInArrow(_second_pass(length, again, contested, common), _BLOBS)
+    runs_left = first.filter("kind = 1").select("doc")
+    firsts = bitmap.build(runs_left, "doc")
+    common = bitmap.build(first.filter("kind = 2").select("doc"), "doc")
+    again = max(least, math.ceil(runs_left.count() * 27 / STRINGS_PER_BUCKET))
+    second = (keyed.mapInArrow(_second_pass(length, again, firsts, common), _BLOBS)
               .repartition(again, "bucket").mapInArrow(_decide_strings(length), _RANGES))
     ranges = (first.filter("kind = 0").unionByName(second).groupBy("doc", "tie")
               .agg(F.collect_list(F.struct("start", "n")).alias("ranges")))
