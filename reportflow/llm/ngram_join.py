@@ -54,7 +54,7 @@ SKETCH_BITS = 22
 SLICES = 16
 LONG = 64
 CELLS = 256
-BLOCK = 1024
+BLOCK = 2048
 MOST_LIGHT = 64
 ENTRIES_PER_BUCKET = 400_000
 
