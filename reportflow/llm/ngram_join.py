@@ -21,7 +21,9 @@ component of the link graph.
   range are verified at first.  Where such a list still holds several components,
   its sets are compared block against block, each task returning a spanning
   forest, so no link is lost and no pairs are listed.  A list that is long within
-  one chunk of documents already shrinks to its first set before the shuffle.
+  one chunk of documents already shrinks to its first set before the pairs are
+  formed; it counts as long everywhere, so sets of other chunks are compared with
+  all of its sets, not with the first alone.
 
 Shingles are compared by 64-bit hashes.  Node ids are 64-bit set hashes, checked
 by a second hash; a clash raises an error.
@@ -276,6 +278,7 @@ def _meet(light: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[int, list] = {}
+        locally_long: dict[int, list] = {}              # keys of lists that chunks have shrunk
         for batch in batches:
             for kind, bucket, a, b, c, d in zip(*[x.to_pylist() for x in batch.columns], strict=True):
                 a, b = from_planes(a, np.uint64), from_planes(b, np.uint64)
@@ -284,6 +287,7 @@ def _meet(light: int, percent: int):
                     continue
                 c, d = from_planes(c, np.uint32).astype(np.int64), np.frombuffer(d, np.uint8) > 0
                 if kind == 2:
+                    locally_long.setdefault(bucket, []).append(np.unique(a))
                     yield _out(1, a, b, c, d)
                 else:
                     parts.setdefault(bucket, []).append((a, b, c, d))
@@ -295,6 +299,8 @@ def _meet(light: int, percent: int):
             again[1:] = (key[1:] == key[:-1]) & (sid[1:] == sid[:-1])
             key, sid, n, subset = key[~again], sid[~again], n[~again], subset[~again]
             left, right, in_long = _pairs(key, sid, n, subset, light, percent)
+            if bucket in locally_long:                  # however short the list that is left of them
+                in_long |= np.isin(key, np.concatenate(locally_long.pop(bucket)))
             if left:
                 pair = np.unique(np.stack([np.concatenate(left), np.concatenate(right)]), axis=1)
                 yield _out(0, pair[0], pair[1], np.zeros(pair.shape[1], np.int64), np.zeros(pair.shape[1], bool))

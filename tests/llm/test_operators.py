@@ -104,6 +104,24 @@ def test_near_duplicates_long_lists_and_light_sets(spark, monkeypatch, limit):
     assert got == brute.near_components([(i, t) for i, t, *_ in rows])
 
 
+def test_near_duplicates_list_long_in_one_chunk_only(spark):
+    """Every key that the two parts share is long in the first, where its smallest set links with none of them."""
+    shared = [f"w{k}" for k in range(99)]
+
+    def own(name):
+        return [f"{name}x{k}" for k in range(5)]
+
+    many = [(i, " ".join(shared + own(f"a{i}")), "en", "s") for i in range(100)]
+    for i in range(20):                 # the middle of the shared words is less rare than both ends
+        many += [(200 + i, " ".join(shared[:74] + own(f"d{i}")), "en", "s"),
+                 (250 + i, " ".join(shared[25:] + own(f"e{i}")), "en", "s")]
+    few = [(300 + i, " ".join(shared + own(f"b{i}")), "en", "s") for i in range(3)]
+    docs = frame(spark, many).coalesce(1).union(frame(spark, few))
+    got = by_id(ngram_join.near_duplicates(docs), "n_shingles", "component_id")
+    assert got == brute.near_components([(i, t) for i, t, *_ in many + few])
+    assert got[300][1] == 0 and got[200][1] == 200
+
+
 def test_light_boundary_prefers_subsets_when_lists_are_long():
     histogram = {s: 10 for s in range(1, 65)}
     short = ngram_join.light_boundary(histogram, np.full(1000, 6, np.uint8), 75)
