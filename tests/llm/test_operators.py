@@ -1,5 +1,6 @@
 """Operators against brute force, with nulls, empty and long texts, ties, repeats and odd columns."""
 
+import math
 import random
 
 import numpy as np
@@ -397,6 +398,21 @@ def test_personal_data_terms_disclose(spark):
     assert not any(out[i]["terms"] for i in range(80))
 
 
+def test_personal_data_terms_far_from_the_entity(spark):
+    rng = random.Random(10)
+    rows = [(i, words(rng, 30), "en", "s") for i in range(80)]
+    rows += [(100 + i, f"Farquharson {words(rng, 40)} é write to far@example.org. {words(rng, 25)} Farquharson", "en", "s")
+             for i in range(10)]
+    rows.append((200, f"{words(rng, 20)} FARQUHARSON was here", "en", "s"))
+    out = {r["doc_id"]: r for r in personal_data.find_personal_data(frame(spark, rows)).collect()}
+    for i, text, *_ in rows[80:]:
+        named = [t for t in out[i]["terms"] if text[t["start"]:t["end"]].lower() == "farquharson"]
+        assert len(named) == (1 if i == 200 else 2) and all(t["action"] == "remove" for t in named)
+        want = 1 + math.log2(10 / 11) / -math.log2(10 / 91)
+        assert all(abs(t["disclosure"] - want) < 1e-9 for t in named)
+        assert "farq" not in personal_data.sanitise(text, out[i]["base"], out[i]["terms"]).lower()
+
+
 OPERATORS = [
     lambda d: exact_dedup.exact_duplicates(d), lambda d: ngram_join.near_duplicates(d),
     lambda d: repeated_passages.repeated_passages(d), lambda d: mixing.mix_sources(d),
