@@ -6,6 +6,13 @@ linear SVM per family, against the rest, chooses the family; inside it one linea
 SVM for each pair of languages votes.  A prediction is a table look-up per byte,
 summed per document.
 
+``accept`` also asks whether a text looks like its language at all, which SVMs
+that only tell the given languages apart cannot say: its evidence is the mean log
+of how much more often its trigrams occur in the language than in even bytes.  A
+text goes where that is below two fifths of the median of the language's training texts,
+each judged by the others; some texts half in another language, and some short ones
+that are mostly addresses or keys, go too.  The number of languages sets no floor to it.
+
 Training sees at most ``per_language`` whole texts of each language (those with
 the smallest hashed ids); this bound is the only sampling.  Every SVM is fitted
 in a Spark task of its own, from rows bounded by ``per_language`` as well.
@@ -45,6 +52,7 @@ FAMILIES = {
 UND = "und"
 ONE, TWO, THREE = 256, 1 << 13, 1 << 14
 WIDTH = ONE + TWO + THREE
+ENOUGH = 0.4
 
 _KEEP = np.full(256, 32, np.uint8)
 _KEEP[97:123] = np.arange(97, 123)
@@ -85,7 +93,7 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         data, off = buffers(batch.column(1))
         languages = batch.column(0).to_pylist()
-        out: list[list] = [[], [], []]
+        out: list[list] = [[], [], [], []]
         for a, _, d, o in chunks(data, off):
             columns, letters = ngram_columns(d, o), has_letter(d, o)
             for i in np.flatnonzero(letters):
@@ -95,9 +103,10 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 out[0].append(languages[a + i])
                 out[1].append(at.astype(np.int32).tobytes())
                 out[2].append(share.tobytes())
+                out[3].append(int(o[i + 1] - o[i]))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(out[0], pa.string()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())],
-            ["lang", "cols", "vals"])
+            [pa.array(out[0], pa.string()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary()),
+             pa.array(out[3], pa.int64())], ["lang", "cols", "vals", "size"])
 
 
 def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -116,9 +125,51 @@ def _fit(pdf: pd.DataFrame) -> pd.DataFrame:
                          "weights": [(w * scale / norm).astype(np.float32).tobytes()], "bias": [float(b)]})
 
 
+_BLANK = int(ngram_columns(np.array([32], np.uint8), np.array([0, 1]))[2, 0]) - ONE - TWO
+
+
+def _profile(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Log ratios of a language's trigrams, and the limit from texts left out one by one."""
+    texts = []
+    for cols, vals, size in zip(pdf["cols"], pdf["vals"], pdf["size"], strict=True):
+        at = np.frombuffer(cols, np.int32) - ONE - TWO
+        n = np.round(np.frombuffer(vals, np.float32).astype(np.float64) * size)
+        mine = (at >= 0) & (at != _BLANK)
+        texts.append((at[mine], n[mine]))
+    counts = np.zeros(THREE)
+    for at, n in texts:
+        counts[at] += n
+    total = counts.sum()
+    ratios = np.log((counts + 0.5) / (total + 0.5 * THREE) * THREE)
+    ratios[_BLANK] = 0
+    left_out = [(n * np.log((counts[at] - n + 0.5) / (total - n.sum() + 0.5 * THREE) * THREE)).sum() / n.sum()
+                for at, n in texts if len(at)]
+    return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "ratios": [ratios.astype(np.float32).tobytes()],
+                         "least": [ENOUGH * float(np.median(left_out)) if left_out else 0.0]})
+
+
+def is_language(model: dict, names: np.ndarray, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Whether each document has the evidence that its predicted language asks for."""
+    known = sorted(model["profiles"])
+    out = np.zeros(len(off) - 1, bool)
+    of = np.array([known.index(x) if x in model["profiles"] else -1 for x in names], np.int64)
+    size = np.diff(off)
+    some = np.flatnonzero((size > 0) & (of >= 0))
+    if not len(some):
+        return out
+    table = np.stack([model["profiles"][x][0] for x in known])
+    least = np.array([model["profiles"][x][1] for x in known])
+    columns = ngram_columns(data, off)[2] - ONE - TWO
+    filled = np.flatnonzero(size > 0)
+    total = np.add.reduceat(table[np.repeat(of, size), columns], off[:-1][filled], dtype=np.float64)
+    letters = np.add.reduceat((columns != _BLANK).astype(np.int64), off[:-1][filled])
+    out[filled] = (of[filled] >= 0) & (total / np.maximum(letters, 1) >= least[of[filled]])
+    return out
+
+
 def train(labelled: DataFrame, id_col: str, text_col: str, lang_col: str,
-          per_language: int = 400) -> dict:
-    """Model of the languages in ``labelled`` (rows with a language and a text)."""
+          per_language: int = 400, profiles: bool = False) -> dict:
+    """Model of the languages in ``labelled`` (rows with a language and a text); ``profiles`` for ``is_language``."""
     rows = (labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
             .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
                     F.xxhash64(F.col(id_col).cast("string"), F.lit(3)).alias("key")))
@@ -127,13 +178,19 @@ def train(labelled: DataFrame, id_col: str, text_col: str, lang_col: str,
     model: dict = {"languages": languages, "families": {}, "tasks": {}}
     for x in languages:
         model["families"].setdefault(family_of(x), []).append(x)
-    if len(languages) < 2:
+    if len(languages) < 2 and not (languages and profiles):
         return model
     within = F.lit(False)
     for x, bound in bounds.items():
         within = within | ((F.col("lang") == x) & (F.col("key") <= bound))
     sample = rows.filter(within).select("lang", "text").mapInArrow(
-        _training_rows, "lang string, cols binary, vals binary")
+        _training_rows, "lang string, cols binary, vals binary, size bigint")
+    if profiles:
+        fitted = sample.groupBy("lang").applyInPandas(_profile, "lang string, ratios binary, least double")
+        model["profiles"] = {r["lang"]: (np.frombuffer(r["ratios"], np.float32), r["least"])
+                             for r in fitted.collect()}    # one row per language
+        if len(languages) < 2:
+            return model
     tasks = []                                             # (task, positive, negative languages)
     families = model["families"]
     if len(families) > 1:
@@ -239,9 +296,13 @@ def accept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
            least: float = 0.25, per_language: int = 400, folds: int = 5) -> DataFrame:
     """The documents, all columns, whose language is known with at least the score ``least``.
 
-    The model is that of ``identify``; ``und`` and lower scores are rejected.
+    The model is that of ``identify``; ``und``, lower scores and texts that do not
+    look like the predicted language (``is_language``) are rejected.
     """
-    model = train(docs.filter(~held_out(F.col(id_col), folds, 0)), id_col, text_col, lang_col, per_language)
+    model = train(docs.filter(~held_out(F.col(id_col), folds, 0)), id_col, text_col, lang_col, per_language,
+                  profiles=True)
+    if not model["languages"]:
+        model["profiles"] = {}
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,6 +310,7 @@ def accept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
             data, off = buffers(batch.column(at))
             for a, b, d, o in chunks(data, off, 2 << 20):
                 names, score = predict(model, d, o)
-                yield batch.slice(a, b - a).filter(pa.array((names != UND) & (score >= least)))
+                yield batch.slice(a, b - a).filter(
+                    pa.array((names != UND) & (score >= least) & is_language(model, names, d, o)))
 
     return docs.mapInArrow(run, docs.schema)

@@ -327,6 +327,19 @@ def test_language_id(spark):
     assert not kept & {900, 901, 902} and len(kept) >= 0.98 * 400
 
 
+def test_accept_rejects_foreign_texts_and_noise(spark):
+    rng = random.Random(13)
+    clean = language_rows()
+    planted = ["Dzisiaj rano poszliśmy na targ kupić świeże owoce a potem zjedliśmy razem obiad",
+               "Tänä aamuna menimme torille ostamaan tuoreita hedelmiä ja sitten söimme yhdessä",
+               "Сегодня утром мы пошли на рынок купить свежие фрукты", "今天早上我们去市场买新鲜水果",
+               "for (int i = 0; i < n; ++i) { buf[i] ^= key[i % klen]; return ptr->next; }"]
+    planted += ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(200)) for _ in range(20)]
+    rows = clean + [(1000 + i, t, None, "s") for i, t in enumerate(planted)]
+    kept = {r["doc_id"] for r in language_id.accept(frame(spark, rows)).collect()}
+    assert kept == {i for i, *_ in clean}
+
+
 def test_language_id_with_few_languages(spark):
     one = language_id.identify(frame(spark, [(1, "the", "en", "s"), (2, "und", None, "s"), (3, "", "en", "s")]))
     assert {r["doc_id"]: r["lang_pred"] for r in one.collect()} in (
