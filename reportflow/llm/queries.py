@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reportflow.llm.conversation_repair import repair_conversations
 from reportflow.llm.embedding_dedup import near_duplicates
 from reportflow.llm.exact_dedup import exact_duplicates
 from reportflow.llm.language_id import identify
@@ -20,6 +21,8 @@ from reportflow.llm.ngram_join import near_duplicates as near_shingles
 from reportflow.llm.packing import pack_documents
 from reportflow.llm.personal_data import find_personal_data
 from reportflow.llm.repeated_passages import repeated_passages
+from reportflow.llm.secret_scan import KINDS, UNOPENED, find_secrets
+from reportflow.llm.spelling import spelling_variants
 from reportflow.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +162,104 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language-model scores of all documents from an Elias-Fano n-gram trie."""
     return score_texts(_table(spark, sf_dir, "documents"))
+
+
+def _spans(spans) -> Column:
+    return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(
+        ":", x.kind, x.start.cast("string"), x.end.cast("string"))))
+
+
+def _kind(kind: str) -> Column:
+    return F.size(F.filter("base", lambda x: x.kind == kind)).cast("bigint")
+
+
+@_register("op11_secret_scan")
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base spans and those in layers unwrapped from its text."""
+    found = find_secrets(_table(spark, sf_dir, "documents"))
+    rank = lambda x: F.array_position(F.array(*map(F.lit, (*KINDS, UNOPENED))), x.kind)     # noqa: E731
+    order = lambda x: F.struct(x.start.alias("start"), rank(x).alias("rank"),               # noqa: E731
+                               x.end.alias("end"), x.kind.alias("kind"))
+    every = F.array_sort(F.transform(F.concat("base", "hidden"), order))
+    return found.select(
+        "doc_id", _kind("assign").alias("n_assign"), _kind("access").alias("n_access"), _kind("hex").alias("n_hex"),
+        F.sha2(_spans(F.col("base")), 256).alias("base_sha256"), _spans(every).alias("spans"))
+
+
+# crc32 by its rule, a byte at a time; a letter is one byte, or U+00C3's lead byte and one more.
+SPELLING_SQL = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
+      CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM (SELECT unnest(range(0, 256))::BIGINT AS i))),
+runs AS (
+  SELECT doc_id, run, count(*) AS k FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+  GROUP BY ALL),
+hashed AS (
+  SELECT run, k, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+      string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+      lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c)::BIGINT - 64] END))),
+    lambda c, x: xor(t[1 + (xor(c, x) & 255)], c >> 8))) AS h
+  FROM runs, crc),
+words AS (
+  SELECT word, sum(k)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run) + 2)::INT)
+                ELSE run END AS word, k FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+places AS (SELECT word, n, unnest(range(0, length(word)))::INT AS i FROM words),
+cuts AS (SELECT word, n, i, left(word, i) AS head, substr(word, i + 2) AS tail FROM places),
+pairs AS (
+  SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS m FROM cuts a JOIN cuts b
+    ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION SELECT c.word, c.n, w.word, w.n FROM cuts c JOIN words w ON w.word = c.head || c.tail
+  UNION SELECT w.word, w.n, c.word, c.n FROM cuts c JOIN words w ON w.word = c.head || c.tail),
+best AS (
+  SELECT word, any_value(n) AS n, count(*) AS n_near, min(struct_pack(m := -m, other := other)) AS b
+  FROM pairs GROUP BY word),
+formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near,
+         CASE WHEN -b.b.m >= 5 * w.n THEN b.b.other END AS form,
+         CASE WHEN -b.b.m >= 5 * w.n THEN -b.b.m END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word),
+chain AS (
+  SELECT word, word AS at FROM formed
+  UNION SELECT c.word, f.form FROM chain c JOIN formed f ON c.at = f.word WHERE f.form IS NOT NULL),
+roots AS (
+  SELECT c.word, c.at AS root FROM chain c JOIN formed f ON c.at = f.word WHERE f.form IS NULL)
+SELECT f.word, f.form, r.root, f.n::BIGINT AS n, f.n_near, f.form_n::BIGINT AS form_n
+FROM formed f JOIN roots r ON f.word = r.word
+"""
+
+
+@_register("op12_spelling_variants", SPELLING_SQL)
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their more frequent neighbours a single edit away."""
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with every twentieth turn each dropped, emptied, cut, repeated or given to the user."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))       # noqa: E731
+    code = F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn")).cast("binary")) % 20
+    copies = F.explode(F.array_repeat(F.lit(1), F.when(F.col("code") == 3, 2).otherwise(1)))
+    text = F.when(F.col("code") == 1, "").when(
+        F.col("code") == 2, F.regexp_replace(space("text"), "[.!?]", "")).otherwise(space("text"))
+    x = rows.select("conv_id", "turn", "role", "text", code.alias("code")).filter("code <> 0")
+    return x.select("conv_id", "turn", F.when(F.col("code") == 4, "user").otherwise(space("role")).alias("role"),
+                    text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+@_register("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of all damaged conversations and their cheapest repair."""
+    rows = _table(spark, sf_dir, "conversations")
+    every = rows.select(F.col("conv_id").alias("_conv")).distinct()
+    found = repair_conversations(damaged(rows))
+    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in
+              ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.join(found, F.col("_conv").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("_conv").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
