@@ -9,8 +9,6 @@ files and tag rows with their target table.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,17 +47,12 @@ def preambles(family: str) -> dict[str, int]:
 
 
 def dispatch_scan(spark: SparkSession, landing: str, family: str = "NETWORKS") -> DataFrame:
-    """Scan only allow-listed files, each after its own preamble, and tag rows with their table."""
+    """Only allow-listed files, in one scan, each after its own preamble; rows tagged with their table."""
     lines = preambles(family)
-    by_preamble: dict[int, list[str]] = {}
-    for path in list_files(spark, landing):
-        name = path.rsplit("/", 1)[-1]
-        if name in lines:
-            by_preamble.setdefault(lines[name], []).append(path)
-    if not by_preamble:
+    paths = [p for p in list_files(spark, landing) if p.rsplit("/", 1)[-1] in lines]
+    if not paths:
         raise FileNotFoundError(f"no allow-listed files under {landing}")
-    parts = [scan_reports(spark, paths, preamble=n) for n, paths in sorted(by_preamble.items())]
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    rows = scan_reports(spark, paths, preamble=lines)
     known = spec_table(spark, family).select(F.col("file_name").alias(FILE), "target_table")
     return rows.join(F.broadcast(known), on=FILE, how="left")
 

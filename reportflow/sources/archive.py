@@ -1,11 +1,12 @@
 """Archive members (S7): expand ZIP deliveries and guard against path escapes.
 
-``expand_archives`` turns ZIP files into member rows with Spark's
-``binaryFile`` source and ``mapInPandas`` (one archive per row; the only
-Python in the scan layer).  An archive is read whole (``binaryFile`` caps a
-file at 2 GB); the expansion yields one archive's members at a time, and for
-large archives ``spark.sql.execution.arrow.maxRecordsPerBatch`` should be set
-low so that an Arrow batch does not hold many archives at once.
+``stage_members`` reads each archive once (one row of Spark's ``binaryFile``, 2 GB
+at most): its directory is parsed and its members leave as compressed slices, one
+row each, which are dealt over tasks and written to the scratch folder.  From there
+names are listed without touching contents, and ``member_lines`` inflates only the
+members that are wanted, each in a task of its own choosing, so that one large
+archive is inflated by many tasks.  These two steps run in Python, a slice or a
+piece of a member at a time.
 
 ``guard`` decides, all-or-nothing per archive, whether every member stays
 inside the destination folder once the path is resolved; the check is a Column
@@ -15,13 +16,19 @@ of members.
 
 from __future__ import annotations
 
+import bz2
+import codecs
 import io
 import zipfile
+import zlib
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reportflow.session import scratch_path
+
 MEMBER_SCHEMA = T.StructType([
     T.StructField("archive", T.StringType()),
     T.StructField("member", T.StringType()),
@@ -51,53 +58,95 @@ def expand_archives(spark: SparkSession, paths: str | list[str],
     return raw.mapInPandas(_members, MEMBER_SCHEMA)
 
 
-LINES_PER_BATCH = 20_000
+STORED, DEFLATED, BZIPPED = zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2
+PIECE = 1 << 22
 
 
-def _member_lines(batches):
-    """Lines of every member of safe names, a few thousand at a time."""
-    import pandas as pd
-    cols = ["archive", "member", "number", "line"]
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"], strict=True):
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
+def _slices(batches):
+    """(archive, member, method, crc, data) of every member, its data as they lie in the archive."""
+    for batch in batches:
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+            raw = memoryview(content.as_buffer())
+            with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as zf:
                 for info in zf.infolist():
                     if info.is_dir():
                         continue
-                    rows = []
-                    with io.TextIOWrapper(zf.open(info), encoding="utf-8", errors="replace") as fh:
-                        for i, line in enumerate(fh):
-                            rows.append((path, info.filename, i, line.rstrip("\n")))
-                            if len(rows) >= LINES_PER_BATCH:
-                                yield pd.DataFrame(rows, columns=cols)
-                                rows = []
-                    if rows:
-                        yield pd.DataFrame(rows, columns=cols)
-
-
-def member_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(archive, member, number, line): the text lines of all members of ZIP files.
-
-    An archive is one row of ``binaryFile`` (2 GB at most, larger ones fail the
-    job); its members are decompressed as streams and leave in batches.
-    """
-    raw = (spark.read.format("binaryFile").load(paths)
-           .select(F.col("_metadata.file_path").alias("path"), "content"))
-    return raw.mapInPandas(_member_lines, "archive string, member string, number bigint, line string")
-
-
-def member_names(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(archive, member) of all members of ZIP files, without reading their contents."""
-    def names(batches):
-        import pandas as pd
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    found = [i.filename for i in zf.infolist() if not i.is_dir()]
-                yield pd.DataFrame({"archive": [path] * len(found), "member": found})
+                    method, at = info.compress_type, info.header_offset
+                    if method in (STORED, DEFLATED, BZIPPED) and not info.flag_bits & 1:
+                        # a local header is 30 bytes, with the lengths of its name and extra field at 26
+                        at += 30 + int.from_bytes(raw[at + 26:at + 28], "little") + \
+                            int.from_bytes(raw[at + 28:at + 30], "little")
+                        data = raw[at:at + info.compress_size]
+                    else:
+                        method, data = STORED, zf.read(info)       # another method; encrypted ones raise
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([path]), pa.array([info.filename]), pa.array([method], pa.int32()),
+                         pa.array([info.CRC], pa.int64()), pa.array([bytes(data)], pa.binary())],
+                        ["archive", "member", "method", "crc", "data"])
+
+
+def stage_members(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(archive, member, method, crc, data): compressed members of ZIP files, read once and dealt."""
     raw = (spark.read.format("binaryFile").load(paths)
            .select(F.col("_metadata.file_path").alias("path"), "content"))
-    return raw.mapInPandas(names, "archive string, member string")
+    found = raw.mapInArrow(_slices, "archive string, member string, method int, crc bigint, data binary")
+    staged = scratch_path(spark, "members")
+    found.repartition("archive", "member").write.parquet(staged)
+    return spark.read.schema(found.schema).parquet(staged)
+
+
+def _inflated(method: int, data: memoryview):
+    """Pieces of a member's contents."""
+    if method == DEFLATED:
+        z = zlib.decompressobj(-15)
+        yield z.decompress(data, PIECE)
+        while z.unconsumed_tail:
+            yield z.decompress(z.unconsumed_tail, PIECE)
+        yield z.flush()
+    elif method == BZIPPED:
+        z = bz2.BZ2Decompressor()
+        yield z.decompress(data, PIECE)
+        while not z.eof and not z.needs_input:
+            yield z.decompress(b"", PIECE)
+    else:
+        for i in range(0, len(data), PIECE):
+            yield bytes(data[i:i + PIECE])
+
+
+def _line_batches(batches):
+    """Numbered lines of members, a piece of a few megabytes at a time."""
+    columns = ["archive", "member", "number", "line"]
+    for batch in batches:
+        for i in range(batch.num_rows):
+            archive, member, method, crc = (batch.column(c)[i].as_py() for c in ("archive", "member", "method", "crc"))
+            decoder = codecs.getincrementaldecoder("utf-8")("replace")
+            newlines = io.IncrementalNewlineDecoder(decoder, translate=True)
+            rest, number, check = "", 0, 0
+
+            def rows(lines, number, archive=archive, member=member):
+                return pa.RecordBatch.from_arrays(
+                    [pa.array([archive] * len(lines), pa.string()), pa.array([member] * len(lines), pa.string()),
+                     pa.array(range(number, number + len(lines)), pa.int64()), pa.array(lines, pa.string())], columns)
+
+            for piece in _inflated(method, memoryview(batch.column("data")[i].as_buffer())):
+                check = zlib.crc32(piece, check)
+                lines = (rest + newlines.decode(piece)).split("\n")
+                rest = lines.pop()
+                if lines:
+                    yield rows(lines, number)
+                    number += len(lines)
+            if check != crc:
+                raise ValueError(f"{archive}: member {member} is damaged")
+            rest += newlines.decode(b"", final=True)
+            if rest:
+                lines = rest.split("\n")
+                yield rows(lines if lines[-1] else lines[:-1], number)
+
+
+def member_lines(members: DataFrame) -> DataFrame:
+    """(archive, member, number, line): the text lines of staged members."""
+    return members.select("archive", "member", "method", "crc", "data").mapInArrow(
+        _line_batches, "archive string, member string, number bigint, line string")
 
 
 def _segments(path: Column) -> Column:

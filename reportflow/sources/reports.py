@@ -1,21 +1,30 @@
 """Report scans (S1-S6): delimited reports with preambles and footers.
 
-All values are read as text.  A scan has these steps, all of them Spark jobs:
-
-1. The files (and the members of ZIP archives) are read once as physical lines
-   and written to the checkpoint folder with their place: file, input split, line.
-   All later steps read these lines, so positions can't differ between passes.
-2. Per file, the delimiter is sniffed from its first lines, and the header is the
-   first non-blank record after ``preamble`` lines, whatever its length.
-3. A record is one line, or several if a quoted field holds line breaks.  Where a
-   file has a line that leaves a quote open, each line is a function from "inside
-   quotes" to "inside quotes"; these are composed inside each split and then over
-   the splits of the file, so a file of any size is cut into records by many tasks
-   and the result does not depend on how it was split.
-4. Records are parsed per header layout.  A record with more fields than its header
-   is an error; with fewer, the missing fields are null.
-
-The driver lists folders and gets one row per distinct header layout.
+All values are read as text, and the input is read where it lies, never copied.
+The place of a line is its split's start (``_metadata.file_block_start``) and its
+order in the split.  A scan has these steps, all of them Spark jobs:
+
+1. Lines per split are counted.  Of these counts (one row per split) running sums
+   give every line of a file its number, however the file was split.
+2. Per file: the line of the header (the first non-blank one after the file's
+   preamble, whatever its length), the last non-blank lines (footer) and whether a
+   line leaves a quote open; then the text of the first lines and the header, from
+   which the delimiter is sniffed.  Only these facts are kept, as small tables in
+   the scratch folder, so that Spark knows their size.
+3. The rows: one scan over all files, joined to the facts of each split, parsed once
+   per line; columns are chosen by the file's header layout.  A record with more
+   fields than its header is an error; with fewer, the missing fields are null.
+
+A record is one line, or several if a quoted field holds line breaks.  In files
+with a line that leaves a quote open, each line is a function from "inside quotes"
+to "inside quotes"; these are composed inside each split and then over the splits
+of the file, so a file of any size is cut into records by many tasks.
+
+Files have their own preamble each: ``preamble`` is a number or a mapping from file
+names to numbers.  The driver lists folders and gets one row per distinct header
+layout.  Lines of a split are numbered by ``monotonically_increasing_id``; should a
+later read of a split number them differently (another split size set in between),
+the scan fails rather than give other rows.
 """
 
 from __future__ import annotations
@@ -24,7 +33,7 @@ import csv
 import fnmatch
 import io
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,8 +41,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reportflow.functions.text import normalise_headers
-from reportflow.session import ensure_checkpoint_dir, hadoop_fs
-from reportflow.sources.archive import member_lines
+from reportflow.session import hadoop_fs, scratch_path
+from reportflow.sources.archive import member_lines, stage_members
 
 # The text tokens a pandas-1.x CSV read turns into nulls.
 NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -91,7 +100,7 @@ def _sniff(batches):
     for pdf in batches:
         seps = [report_sep(a, b, h) for a, b, h in zip(pdf["l0"], pdf["l1"], pdf["head"], strict=True)]
         opens = [a if s == "," else b for s, a, b in zip(seps, pdf["open0"], pdf["open1"], strict=True)]
-        yield pdf[[PATH]].assign(sep=seps, open=[int(x == 1) for x in opens])
+        yield pdf[[PATH, FILE]].assign(sep=seps, open=[int(x == 1) for x in opens], head=pdf["head"])
 
 
 def decoded_name(c: Column) -> Column:
@@ -109,10 +118,12 @@ def null_tokens(df: DataFrame, columns: Iterable[str] | None = None,
         for c in df.columns])
 
 
-def _lines(spark: SparkSession, paths: list[str], names: Sequence[str] | None) -> DataFrame:
+def _lines(spark: SparkSession, paths: list[str], names: Sequence[str] | None,
+           members: DataFrame | None = None) -> DataFrame:
     """Physical lines of files and archive members with (file, split, place in the split)."""
-    plain = [p for p in paths if not p.lower().endswith(".zip")]
     zipped = [p for p in paths if p.lower().endswith(".zip")]
+    plain = [p for p in paths if not p.lower().endswith(".zip")
+             and (names is None or p.rsplit("/", 1)[-1] in names)]
     parts = []
     if plain:
         parts.append(spark.read.text([literal(p) for p in plain]).select(
@@ -120,14 +131,24 @@ def _lines(spark: SparkSession, paths: list[str], names: Sequence[str] | None) -
             F.col("_metadata.file_block_start").alias(BLOCK), F.monotonically_increasing_id().alias(ROW),
             F.col("value").alias(TEXT)))
     if zipped:
-        parts.append(member_lines(spark, [literal(p) for p in zipped]).select(
+        if members is None:
+            members = stage_members(spark, [literal(p) for p in zipped])
+        if names is not None:                       # before anything is inflated
+            members = members.where(F.element_at(F.split("member", "/"), -1).isin(*names))
+        parts.append(member_lines(members).select(
             F.concat("archive", F.lit("!/"), "member").alias(PATH),
             F.element_at(F.split("member", "/"), -1).alias(FILE), F.lit(0).cast("bigint").alias(BLOCK),
             F.col("number").alias(ROW), F.col("line").alias(TEXT)))
-    lines = reduce(DataFrame.unionByName, parts)
-    if names is not None:
-        lines = lines.where(F.col(FILE).isin(*names))
-    return lines.checkpoint()
+    if not parts:
+        raise FileNotFoundError(f"no files of the wanted names: {sorted(names or [])[:5]}")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """A small table written to the scratch folder, so that Spark knows its size."""
+    path = scratch_path(df.sparkSession, "scan")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _quoted(sep: str) -> str:
@@ -198,57 +219,116 @@ def _records(lines: DataFrame, seps: Sequence[str]) -> DataFrame:
     return joined.select(PATH, FILE, "sep", F.col("record").alias(LINE), TEXT)
 
 
-def report_records(spark: SparkSession, paths: str | Sequence[str], preamble: int = 1, footer: int = 0,
-                   sep: str | None = None, pattern: str = "*", multiline: bool = True,
-                   names: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Data records (path, file, sep, header, line, text), and (path, file, sep, header) of all files.
+SPLITS = ("lo", "n", "before")
+
+
+def _numbered(lines: DataFrame, splits: DataFrame, *facts: str) -> DataFrame:
+    """Lines with their number in the file and the facts of their split."""
+    place = F.col(ROW) - F.col("lo")
+    number = F.when(place.between(0, F.col("n") - 1), place + F.col("before")).otherwise(F.raise_error(F.concat(
+        F.lit("lines were numbered differently before, read with the same settings: "), F.col(PATH))).cast("bigint"))
+    x = lines.join(splits.select(PATH, BLOCK, *SPLITS, *facts), [PATH, BLOCK])
+    x = x.withColumn(LINE, number).drop(ROW, *SPLITS)
+    first = (F.col(LINE) == 0) & F.startswith(F.col(TEXT), F.lit("\ufeff"))
+    return x.withColumn(TEXT, F.when(first, F.substring(TEXT, 2, 1 << 30)).otherwise(F.col(TEXT)))
+
+
+def _filled(text: str) -> Column:
+    return F.trim(F.translate(text, "\t", " ")) != ""
+
+
+def _tail(records: DataFrame, footer: int) -> DataFrame:
+    """(path, tail): the line at which the last ``footer`` records of a file begin."""
+    if footer == 1:
+        return records.groupBy(PATH).agg(F.max(LINE).alias("tail"))
+    nth = F.row_number().over(W.partitionBy(PATH).orderBy(F.col(LINE).desc()))
+    return (records.select(PATH, LINE).withColumn("nth", nth).where(F.col("nth") <= footer)
+            .groupBy(PATH).agg(F.min(LINE).alias("tail")))
+
 
-    Blank records, headers and the last ``footer`` records of each file are left out.
+def _preambles(spark: SparkSession, preamble: int | Mapping[str, int]) -> tuple[Column, DataFrame | None]:
+    """The preamble column, and the file table (name, lines) it comes from."""
+    if isinstance(preamble, int):
+        return F.lit(preamble), None
+    return F.col("lines"), spark.createDataFrame(sorted(preamble.items()), f"{FILE} string, lines int")
+
+
+def report_records(spark: SparkSession, paths: str | Sequence[str], preamble: int | Mapping[str, int] = 1,
+                   footer: int = 0, sep: str | None = None, pattern: str = "*", multiline: bool = True,
+                   names: Sequence[str] | None = None,
+                   members: DataFrame | None = None) -> tuple[DataFrame, DataFrame, list]:
+    """Data records (path, file, layout, line, text), the headers of all files, and the layouts.
+
+    Headers are rows (path, file, sep, header); a record's ``layout`` is the index
+    of its file's (sep, header) in the layouts.  Blank records, headers and the last
+    ``footer`` records of each file are left out.
     """
-    ensure_checkpoint_dir(spark)
     files = list_files(spark, paths, pattern)
     if not files:
         raise FileNotFoundError(f"no report files under {paths}")
-    lines = _lines(spark, files, names)
-    blocks = lines.groupBy(PATH, BLOCK).agg(F.min(ROW).alias("lo"), F.count(F.lit(1)).alias("n"))
+    if names is None and not isinstance(preamble, int):
+        names = sorted(preamble)
+    lines = _lines(spark, files, names, members)
+    splits = lines.groupBy(PATH, FILE, BLOCK).agg(F.min(ROW).alias("lo"), F.count(F.lit(1)).alias("n"))
     before = W.partitionBy(PATH).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
-    blocks = blocks.select(PATH, BLOCK, (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("lo")).alias("shift"))
-    blocks = blocks.checkpoint()             # small: one row per split, as the next ones per file
-    lines = lines.join(blocks, [PATH, BLOCK]).withColumn(LINE, F.col(ROW) + F.col("shift")).drop(ROW, "shift")
-    lines = lines.withColumn(TEXT, F.when(F.col(LINE) == 0, F.regexp_replace(TEXT, "^\ufeff", ""))
-                             .otherwise(F.col(TEXT)))
-    filled = F.trim(F.translate(TEXT, "\t", " ")) != ""
+    own, file_table = _preambles(spark, preamble)
+    if file_table is not None:
+        splits = splits.join(file_table, FILE)
+    splits = _kept(splits.select(PATH, FILE, BLOCK, "lo", "n", own.alias("preamble"),
+                                 F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
+
     kinds = [",", ";"] if sep is None else [sep]
-    body = F.col(LINE) >= preamble
-    facts = lines.groupBy(PATH).agg(
+    body = (F.col(LINE) >= F.col("preamble")) & _filled(TEXT)
+    x = _numbered(lines, splits, "preamble")
+    facts = x.groupBy(PATH).agg(
+        F.min(F.when(body, F.col(LINE))).alias("top"),
+        *([F.max(F.when(body, F.col(LINE))).alias("tail")] if footer == 1 else []),
+        *[F.max(F.when(body, _leaves_open(F.col(TEXT), k)).otherwise(0)).alias(f"open{i}")
+          for i, k in enumerate(kinds)])
+    if footer > 1:
+        facts = facts.join(_tail(x.where(body), footer), PATH, "left")
+    elif footer == 0:
+        facts = facts.withColumn("tail", F.lit(None).cast("bigint"))
+    facts = _kept(facts)
+    tops = _kept(splits.join(facts, PATH))
+    first = _numbered(lines, tops, "top", *[f"open{i}" for i in range(len(kinds))]).where(
+        (F.col(LINE) <= 1) | (F.col(LINE) == F.col("top")))
+    first = first.groupBy(PATH, FILE).agg(
         F.max(F.when(F.col(LINE) == 0, F.col(TEXT))).alias("l0"),
         F.max(F.when(F.col(LINE) == 1, F.col(TEXT))).alias("l1"),
-        F.min_by(TEXT, F.when(body & filled, F.col(LINE))).alias("head"),
-        *[F.max(F.when(body, _leaves_open(F.col(TEXT), k))).alias(f"open{i}") for i, k in enumerate(kinds)])
+        F.max(F.when(F.col(LINE) == F.col("top"), F.col(TEXT))).alias("head"),
+        *[F.max(f"open{i}").alias(f"open{i}") for i in range(len(kinds))])
     if sep is None:
-        facts = facts.mapInPandas(_sniff, f"{PATH} string, sep string, open int")
-    else:
-        facts = facts.select(PATH, F.lit(sep).alias("sep"), F.col("open0").alias("open"))
-    facts = facts.checkpoint()
-    lines = lines.where(body).join(facts, PATH)
-    columns = [PATH, FILE, "sep", LINE, TEXT]
-    if multiline and not facts.where("open = 1").isEmpty():
-        records = lines.where("open = 0").select(*columns).unionByName(
-            _records(lines.where("open = 1").drop("open"), kinds))
+        first = first.mapInPandas(_sniff, f"{PATH} string, {FILE} string, sep string, open int, head string")
     else:
-        records = lines.select(*columns)
-    records = records.where(filled)
-    cut = records.groupBy(PATH).agg(F.min_by(TEXT, LINE).alias("header"), F.min(LINE).alias("h_line"),
-                                    F.first(FILE).alias(FILE), F.first("sep").alias("sep"))
-    cut = cut.checkpoint()
-    heads = cut.select(PATH, FILE, "sep", "header")
-    out = records.join(cut.select(PATH, "header", "h_line"), PATH).where(F.col(LINE) > F.col("h_line")).drop("h_line")
-    if footer > 0:
-        nth = F.row_number().over(W.partitionBy(PATH).orderBy(F.col(LINE).desc()))
-        last = (records.select(PATH, LINE).withColumn("__n", nth).where(F.col("__n") <= footer)
-                .groupBy(PATH).agg(F.min(LINE).alias("f_line")))
-        out = out.join(last, PATH).where(F.col(LINE) < F.col("f_line")).drop("f_line")
-    return out, heads
+        first = first.select(PATH, FILE, F.lit(sep).alias("sep"), F.col("open0").alias("open"), "head")
+    first = _kept(first)
+
+    opened = multiline and not first.where("open = 1").isEmpty()
+    heads = first.where(F.col("head").isNotNull()).select(PATH, FILE, "sep", F.col("head").alias("header"))
+    if opened:                              # there the header and the footer are records
+        of_split = splits.join(first.where("open = 1").select(PATH, "sep"), PATH)
+        wide = _records(_numbered(lines, of_split, "preamble", "sep").where(F.col(LINE) >= F.col("preamble")),
+                        kinds).where(_filled(TEXT))
+        cut = wide.groupBy(PATH, FILE, "sep").agg(F.min_by(TEXT, LINE).alias("header"), F.min(LINE).alias("top"))
+        cut = _kept(cut.join(_tail(wide, footer), PATH, "left") if footer else
+                    cut.withColumn("tail", F.lit(None).cast("bigint")))
+        heads = heads.join(cut.select(PATH), PATH, "left_anti").unionByName(cut.select(*heads.columns))
+    layouts = sorted((r[0], r[1]) for r in heads.select("sep", "header").distinct().collect())
+    if not layouts:
+        raise ValueError(f"no header found in the files under {paths}")
+    table = spark.createDataFrame([(s, h, i) for i, (s, h) in enumerate(layouts)],
+                                  "sep string, header string, layout int")
+    of_file = heads.join(table, ["sep", "header"]).select(PATH, "layout")
+    inside = (F.col(LINE) > F.col("top")) & (F.col("tail").isNull() | (F.col(LINE) < F.col("tail")))
+    columns = [PATH, FILE, "layout", LINE, TEXT]
+    plain = tops if not opened else tops.join(cut.select(PATH), PATH, "left_anti")
+    plain = _kept(plain.join(of_file, PATH))
+    out = _numbered(lines, plain, "top", "tail", "layout").where(inside & _filled(TEXT)).select(*columns)
+    if opened:
+        more = wide.drop("sep").join(cut.select(PATH, "top", "tail").join(of_file, PATH), PATH)
+        out = out.unionByName(more.where(inside).select(*columns))
+    return out, heads, layouts
 
 
 def header_names(header: str, sep: str) -> list[str]:
@@ -259,23 +339,21 @@ def header_names(header: str, sep: str) -> list[str]:
 BAD = "_bad"
 
 
-def marked_scan(spark: SparkSession, paths: Sequence[str], preamble: int = 1, footer: int = 0,
-                sep: str | None = None, names: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame, dict]:
+def marked_scan(spark: SparkSession, paths: Sequence[str], preamble: int | Mapping[str, int] = 1, footer: int = 0,
+                sep: str | None = None, names: Sequence[str] | None = None,
+                members: DataFrame | None = None) -> tuple[DataFrame, DataFrame, dict]:
     """A scan that flags what ``scan_reports`` fails on.
 
     Returns the rows with a flag ``_bad`` (more fields than the header), the headers
     (path, file, sep, header) of all files, and the columns of each (sep, header).
     """
-    records, heads = report_records(spark, list(paths), preamble, footer, sep, names=names)
-    layouts = {(r[0], r[1]): header_names(r[1], r[0]) for r in heads.select("sep", "header").distinct().collect()}
-    parts = [_parse(records, *k, mark=True) for k in sorted(layouts)]
-    if not parts:
-        raise ValueError("no header found in any file")
-    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return null_tokens(df, [c for c in df.columns if c not in (FILE, PATH, SEQ, BAD)]), heads, layouts
+    records, heads, layouts = report_records(spark, list(paths), preamble, footer, sep, names=names, members=members)
+    df = _parse(records, layouts, mark=True)
+    return (null_tokens(df, [c for c in df.columns if c not in (FILE, PATH, SEQ, BAD)]), heads,
+            {(s, h): header_names(h, s) for s, h in layouts})
 
 
-def scan_reports(spark: SparkSession, paths: str | Sequence[str], preamble: int = 1,
+def scan_reports(spark: SparkSession, paths: str | Sequence[str], preamble: int | Mapping[str, int] = 1,
                  footer: int = 0, sep: str | None = None, pattern: str = "*",
                  map_null_tokens: bool = True, multiline: bool = True,
                  names: Sequence[str] | None = None) -> DataFrame:
@@ -283,38 +361,69 @@ def scan_reports(spark: SparkSession, paths: str | Sequence[str], preamble: int
 
     Columns: the normalised headers (duplicates as pandas would name them),
     plus ``_file`` (file name), ``_path`` and ``_seq`` (order inside the file).
-    Files with different headers are parsed separately and unioned by name.
+    Files with different headers get the columns of all, null where they lack one.
+    ``preamble`` lines before the header are skipped, a number for all files or one
+    for each name (then only files of these names are read).
     ``footer`` trailing rows are removed from each file.  ``multiline`` (default)
     takes line breaks inside quotes as part of a field; without it every line is a
     record.  Either holds for files of any size.  ZIP archives are read member by
     member; ``names`` keeps the files and members of these names.
     """
-    records, heads = report_records(spark, paths, preamble, footer, sep, pattern, multiline, names)
-    layouts = heads.select("sep", "header").distinct().collect()       # one row per header layout
-    parts = [_parse(records, s, h) for s, h in sorted((r[0], r[1]) for r in layouts)]
-    if not parts:
-        raise ValueError(f"no header found in the files under {paths}")
-    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    records, _, layouts = report_records(spark, paths, preamble, footer, sep, pattern, multiline, names)
+    df = _parse(records, layouts)
     if map_null_tokens:
         df = null_tokens(df, [c for c in df.columns if c not in (FILE, PATH, SEQ)])
     return df
 
 
-def _parse(records: DataFrame, sep: str, header: str, mark: bool = False) -> DataFrame:
-    names = header_names(header, sep)
-    mine = records.where((F.col("sep") == sep) & (F.col("header") == header))
-    fields = F.size(F.split(_without_quoted(F.col(TEXT), sep), re.escape(sep)))
-    fits = F.when(fields <= len(names), True).otherwise(F.raise_error(F.concat(
+def _parse(records: DataFrame, layouts: list[tuple[str, str]], mark: bool = False) -> DataFrame:
+    """Records of all layouts parsed in one pass, their fields put in the columns of their layout."""
+    names = [header_names(h, s) for s, h in layouts]
+    layout, text = F.col("layout"), F.col(TEXT)
+    seps = sorted({s for s, _ in layouts})
+    of_sep = {s: [i for i, (t, _) in enumerate(layouts) if t == s] for s in seps}
+    width = {s: max(len(names[i]) for i in of_sep[s]) for s in seps}
+
+    def by_sep(make) -> Column:
+        out = None
+        for s in seps[:-1]:
+            mine = layout.isin(*of_sep[s])
+            out = F.when(mine, make(s)) if out is None else out.when(mine, make(s))
+        return make(seps[-1]) if out is None else out.otherwise(make(seps[-1]))
+
+    def fields_of(s: str) -> Column:
+        return F.size(F.split(_without_quoted(text, s), re.escape(s)))
+
+    def row_of(s: str) -> Column:
+        return F.from_csv(text, ", ".join(f"c{i} string" for i in range(width[s])),
+                          {"sep": s, "quote": '"', "escape": '"', "maxCharsPerColumn": "-1",
+                           "maxColumns": str(width[s] + 1)})
+
+    widths = F.element_at(F.array(*[F.lit(len(n)) for n in names]), layout + 1)
+    long = by_sep(fields_of) > widths
+    fits = F.when(~long, True).otherwise(F.raise_error(F.concat(
         F.lit("record with more fields than its header in "), F.col(PATH), F.lit(", line "),
         (F.col(LINE) + 1).cast("string"))).cast("boolean"))
-    row = F.from_csv(F.col(TEXT), ", ".join(f"c{i} string" for i in range(len(names))),
-                     {"sep": sep, "quote": '"', "escape": '"', "maxCharsPerColumn": "-1",
-                      "maxColumns": str(len(names) + 1)})
-    mine = mine if mark else mine.where(fits)
-    flag = [(fields > len(names)).alias(BAD)] if mark else []
-    return (mine.withColumn("__r", row)
-            .select(*[F.col(f"__r.c{i}").alias(n) for i, n in enumerate(names)], FILE, PATH,
-                    F.struct(F.col(LINE).alias("line")).alias(SEQ), *flag))
+    x = records if mark else records.where(fits)
+    rows = {s: f"__r{k}" for k, s in enumerate(seps)}
+    x = x.withColumns({rows[s]: row_of(s) if len(seps) == 1 else F.when(layout.isin(*of_sep[s]), row_of(s))
+                       for s in seps} | ({BAD: long} if mark else {}))
+
+    def column(name: str) -> Column:
+        at: dict[tuple[str, int], list[int]] = {}
+        for i, (s, _) in enumerate(layouts):
+            if name in names[i]:
+                at.setdefault((s, names[i].index(name)), []).append(i)
+        out = None
+        for (s, k), mine in at.items():
+            value = F.col(f"{rows[s]}.c{k}")
+            if len(mine) == len(layouts):
+                return value.alias(name)
+            out = F.when(layout.isin(*mine), value) if out is None else out.when(layout.isin(*mine), value)
+        return out.alias(name)
+
+    return x.select(*[column(n) for n in dict.fromkeys(n for x in names for n in x)], FILE, PATH,
+                    F.struct(F.col(LINE).alias("line")).alias(SEQ), *([BAD] if mark else []))
 
 
 def file_prefix(c: str | Column = FILE, sep: str = "_") -> Column:

@@ -47,12 +47,12 @@ CUSTOMER_HEADER = ["Cust Key", "Customer Name", "Nation.Key", "Acct Bal", "Mkt S
 CUSTOMER_COLS = ["cust_key", "customer_name", "nationkey", "acct_bal", "mkt_segment"]
 
 
-def _land(spark, d, rows_sql, header, sep, preamble, footer=None, value_cols=None):
+def _land(spark, d, rows_sql, header, sep, preamble, footer=None, value_cols=None, bare=()):
     root = scratch_path(spark, "landing")
     rows = recipe(spark, d, rows_sql)
     cols = value_cols or [c for c in rows.columns if c != "file" and c.startswith("f")]
     lines = landing.report_lines(rows, "file", "line_no", cols, sep, preamble,
-                                 sep.join(header), footer)
+                                 sep.join(header), footer, bare)
     landing.write_files(spark, lines, root)
     return root
 
@@ -199,7 +199,7 @@ FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_re
 
 def q_file_dispatch(spark, d):
     """Only allow-listed report files are read; each row tagged with its target table."""
-    root = _land(spark, d, DISPATCH_ROWS, CUSTOMER_HEADER, ",", ["Network export"])
+    root = _land(spark, d, DISPATCH_ROWS, CUSTOMER_HEADER, ",", ["Network export"], bare=[S.NODEB_INFO])
     rows = router.dispatch_scan(spark, root, "NETWORKS")
     return rows.select(*CUSTOMER_COLS, F.col(FILE).alias("file_name"), "target_table")
 

@@ -24,8 +24,8 @@ CSV_OPTS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "fal
 
 def report_lines(rows: DataFrame, file_col: str, order_col: str, value_cols: Sequence[str],
                  sep: str, preamble: Sequence[str], header: str,
-                 footer: str | None = None) -> DataFrame:
-    """(file, line_no, line) for every line of every report file.
+                 footer: str | None = None, bare: Sequence[str] = ()) -> DataFrame:
+    """(file, line_no, line) for every line of every report file; ``bare`` ones have no preamble.
 
     Data lines are CSV-encoded with Spark's ``to_csv`` (quoting as needed);
     preamble, header and footer lines are generated once per file from a
@@ -42,6 +42,8 @@ def report_lines(rows: DataFrame, file_col: str, order_col: str, value_cols: Seq
                               F.concat(F.lit(footer), F.col("cnt").cast("string")).alias("line")))
     extra = per_file.select("file", F.explode(F.array(*fixed)).alias("x")).select(
         "file", "x.n", "x.line")
+    if bare:
+        extra = extra.where(~F.col("file").isin(*bare) | (F.col("n") >= -1000 + len(preamble)))
     return data.unionByName(extra)
 
 
