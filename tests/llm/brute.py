@@ -136,3 +136,121 @@ def cosine_links(rows, threshold=0.93):
 
 def normalised(text):
     return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+ASSIGN = re.compile("(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
+                    re.ASCII)
+
+
+def secrets(text):
+    """Base spans of secrets, by start and then kind, as text."""
+    text = text or ""
+    out = [(m.start(), 0, f"assign:{m.start()}:{m.end()}") for m in ASSIGN.finditer(text) if len(m.group(2)) >= 8]
+    out += [(m.start(), 1, f"access:{m.start()}:{m.end()}") for m in re.finditer("AKIA[A-Z0-9]+", text)
+            if len(m.group()) >= 16]
+    out += [(m.start(), 2, f"hex:{m.start()}:{m.end()}") for m in re.finditer("[0-9a-f]+", text)
+            if len(m.group()) >= 32]
+    return ",".join(x for *_, x in sorted(out))
+
+
+def one_edit(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def spelling(docs, every=199, least_length=6, least_count=5, ratio=5):
+    """{word: (form, root, n, n_near, form_n)} by comparing all pairs."""
+    n = Counter()
+    for i, t in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = low(run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if every and h % every == 0:
+                k = h % len(run)
+                run = run[:k] + run[k + 1:]
+            n[run] += 1
+    words = [w for w in n if len(w) >= least_length and n[w] >= least_count]
+    form, out = {}, {}
+    for w in words:
+        near = [x for x in words if one_edit(w, x)]
+        best = min(near, key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best is not None and n[best] >= ratio * n[w] else None
+        out[w] = len(near)
+    for w in words:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out[w] = form[w], root, n[w], out[w], n[form[w]] if form[w] else None
+    return out
+
+
+SPACE = " \t\n\x0b\x0c\r"
+GRAMMAR = re.compile("(s?(ua)+)?")
+
+
+def damage(rows):
+    """The damaged (conv, turn, role, text) rows of the contract."""
+    out = []
+    for conv, turn, role, text in rows:
+        text = " " if text is None else text
+        code = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if code == 1:
+            text = ""
+        elif code == 2:
+            text = re.sub("[.!?]", "", text)
+        role = "user" if code == 4 else " " if role is None else role
+        out += [(conv, turn, role, text)] * {0: 0, 3: 2}.get(code, 1)
+    return out
+
+
+def repaired(rows):
+    """The contract's facts of one conversation, by all edit sequences (merged by the roles they give)."""
+    def spot(r):
+        key = f"{len(r[2])}:{r[2]}{r[3]}"
+        return r[1] is not None, r[1] or 0, hashlib.sha256(key.encode()).digest()
+    rows = sorted(rows, key=spot)
+    facts, seen = Counter(), set()
+    ways = {"": (0, "", ())}
+    for k, (_, _, role, text) in enumerate(rows):
+        bare = text.strip(SPACE)
+        fault = ("blank" if not bare else "duplicate" if (role, text) in seen
+                 else "truncated" if bare[-1] not in ".!?" else None)
+        seen.add((role, text))
+        facts[fault] += 1
+        if k:
+            facts["illegal"] += rows[k - 1][2][:1] + role[:1] not in ("su", "ua", "au")
+        new = {}
+
+        def offer(roles, way, new=new):
+            if re.fullmatch("s?(ua)*u?", roles) and (roles not in new or way[:2] < new[roles][:2]):
+                new[roles] = way
+        for roles, (cost, audit, lines) in inserted(ways).items():
+            offer(roles, (cost + 4, audit + "D", lines))
+            if fault in ("blank", "duplicate"):
+                continue
+            more = cost + 3 * (fault == "truncated")
+            offer(roles + (role[:1] if role[:1] in ("s", "u", "a") else "x"), (more, audit + "K", (*lines, (role, text))))
+            for name in ("user", "assistant"):
+                offer(roles + name[0], (more + 3, audit + "R", (*lines, (name, text))))
+        ways = new
+    cost, audit, lines = min(w for roles, w in inserted(ways).items() if GRAMMAR.fullmatch(roles))
+    turns = [r[1] for r in rows if r[1] is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in lines).encode()).hexdigest()
+    return (gaps, facts["blank"], facts["duplicate"], facts["truncated"], facts["illegal"], cost, audit, digest)
+
+
+def inserted(ways):
+    out = dict(ways)
+    for _ in range(2):
+        for roles, (cost, audit, lines) in list(out.items()):
+            for name in ("user", "assistant"):
+                way = cost + 3, audit + "I", (*lines, (name, ""))
+                grown = roles + name[0]
+                if re.fullmatch("s?(ua)*u?", grown) and (grown not in out or way[:2] < out[grown][:2]):
+                    out[grown] = way
+    return out

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def con():
     con = duckdb.connect()
-    for t in ("documents", "labels", "embeddings"):
+    for t in ("documents", "labels", "embeddings", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     return con
 
@@ -30,7 +30,7 @@ def result(spark, name, key="doc_id"):
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) <= set(names) and "pipeline" in names
     assert set(ORACLES) <= set(entry.oracle_sql())
 
