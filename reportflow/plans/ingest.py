@@ -6,7 +6,9 @@ plus its subject.  ``ingest`` takes every delivery of a run at once:
 1. subjects are parsed and gated against the ledger; the files (and ZIP members)
    of those that pass are scanned and validated: missing contract columns or side
    files, records longer than their header, cell ids that are no integers and
-   archive members outside the archive make a delivery fail;
+   archive members outside the archive make a delivery fail.  Each report file is
+   parsed once: its rows go to a staging table, and the deliveries with rejected
+   records are observed while it is written;
 2. deliveries are gated against earlier valid deliveries of the same (report,
    region) in the run as well (a running maximum over arrival order), which gives
    the same accept/reject decisions as handling the deliveries one by one;
@@ -21,7 +23,8 @@ plus its subject.  ``ingest`` takes every delivery of a run at once:
    the ledger gets one row per accepted delivery, failed ones included, and reports
    that reached the threshold are marked as sent.
 
-The driver holds one row per delivery, per listed file and per distinct header.
+The driver holds one row per delivery, per listed file and archive, and per
+distinct header.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reportflow.functions.dates import try_report_date, with_subject
@@ -46,7 +49,7 @@ from reportflow.plans import specs as S
 from reportflow.sinks.export import write_export
 from reportflow.sinks.snapshot import SnapshotTable, append_table
 from reportflow.session import hadoop_fs
-from reportflow.sources.archive import member_is_safe, member_names
+from reportflow.sources.archive import member_is_safe, stage_members
 from reportflow.sources.reports import BAD, PATH, list_files, literal, marked_scan
 from reportflow.spec import DERIVED
 
@@ -168,25 +171,34 @@ def prior_max(df: DataFrame, group: list[str], order: str, value: str, out: str,
 
 @dataclass
 class Found:
-    """A file of a delivery, or a member of one of its ZIP archives."""
+    """A file of a delivery, or the members of one name in one of its ZIP archives."""
     path: str                 # file path; of a member, its archive's
     name: str
     delivery: str
+    count: int = 1
 
 
 @dataclass
 class Scan:
-    rows: DataFrame           # rows tagged with their delivery
+    rows: DataFrame           # staged rows tagged with their delivery
     having: set               # deliveries that hold the file
     columns: dict             # columns of each delivery's files
 
 
-def _listing(spark: SparkSession, deliveries: list) -> tuple[list[Found], set]:
-    """Files and archive members of the deliveries (one listing per folder), and unsafe deliveries.
+@dataclass
+class Landed:
+    """What the deliveries of a run hold."""
+    files: list[Found]
+    members: DataFrame | None   # staged members of their archives
+    unsafe: set                 # deliveries that cannot be taken
+
+
+def _listing(spark: SparkSession, deliveries: list) -> Landed:
+    """Files and archive members of the deliveries (one listing per folder, one row per archive).
 
     An archive with a member that leaves its folder makes its delivery fail.
     """
-    found, unsafe, archives = [], set(), {}
+    found, unsafe, archives, members = [], set(), {}, None
     for d in deliveries:
         try:
             paths = list_files(spark, d["folder"])
@@ -200,15 +212,19 @@ def _listing(spark: SparkSession, deliveries: list) -> tuple[list[Found], set]:
             else:
                 found.append(Found(path, path.rsplit("/", 1)[-1], d["delivery"]))
     if archives:
-        members = member_names(spark, [literal(p) for p in archives])
-        members = members.withColumn("safe", member_is_safe(F.col("member"), "archive"))
+        members = stage_members(spark, [literal(p) for p in archives])
+        name = F.element_at(F.split("member", "/"), -1).alias("name")
+        per_name = members.groupBy("archive", name).agg(
+            F.count(F.lit(1)).alias("n"), F.min(member_is_safe(F.col("member"), "archive")).alias("safe"))
+        per_archive = per_name.groupBy(_decoded("archive").alias("archive")).agg(
+            F.min("safe").alias("safe"), F.collect_list(F.struct("name", "n")).alias("names"))
         by_uri = {_uri(p): p for p in archives}
-        for r in members.select(_decoded("archive").alias("archive"), "member", "safe").collect():
+        for r in per_archive.collect():
             path = by_uri[_uri(r["archive"])]
-            found.append(Found(path, r["member"].rsplit("/", 1)[-1], archives[path]))
+            found += [Found(path, x["name"], archives[path], x["n"]) for x in r["names"]]
             if not r["safe"]:
                 unsafe.add(archives[path])
-    return found, unsafe
+    return Landed(found, members, unsafe)
 
 
 def _decoded(c: str):
@@ -220,22 +236,24 @@ def _uri(path: str) -> str:
     return path.replace(":///", ":/", 1) if path.startswith("file:") else path
 
 
-def _scan(spark: SparkSession, files: list[Found], file_name: str, preamble: int, failed: set,
-          required: tuple[str, ...] = (), integers: tuple[str, ...] = (), **kw) -> Scan | None:
-    """One report file name across all deliveries of a run: a single scan.
+def _scan(spark: SparkSession, landed: Landed, file_name: str, preamble: int, failed: set, staging: str,
+          required: tuple[str, ...] = (), integers: tuple[str, ...] = (), without: tuple[str, ...] = (),
+          **kw) -> Scan | None:
+    """One report file name across all deliveries of a run: a single scan, parsed once.
 
     Deliveries whose file has no header, lacks a required column, has a record
     longer than its header or a cell id that is no integer are added to ``failed``.
     """
-    mine = [f for f in files if file_name == "*" or f.name == file_name]
+    mine = [f for f in landed.files if (f.name not in without if file_name == "*" else f.name == file_name)]
     if file_name == "*":
         failed.update(f.delivery for f in mine if not f.name.lower().endswith(".csv"))
         mine = [f for f in mine if f.name.lower().endswith(".csv")]
     mine = [f for f in mine if f.delivery not in failed]
     if not mine:
         return None
-    names = None if file_name == "*" else [file_name]
-    rows, heads, layouts = marked_scan(spark, sorted({f.path for f in mine}), preamble, names=names, **kw)
+    names = sorted({f.name for f in mine})
+    rows, heads, layouts = marked_scan(spark, sorted({f.path for f in mine}), preamble, names=names,
+                                       members=landed.members, **kw)
     meta = spark.createDataFrame(sorted({(_uri(f.path), f.delivery) for f in mine}),
                                  f"__mpath string, {DELIVERY} string")
 
@@ -255,7 +273,9 @@ def _scan(spark: SparkSession, files: list[Found], file_name: str, preamble: int
     states = heads.groupBy(DELIVERY).agg(
         F.max(bad).alias("bad"), F.count_distinct(PATH).alias("files"),
         F.collect_set(F.struct("sep", "header")).alias("layouts"))
-    wanted = Counter(f.delivery for f in mine)
+    wanted = Counter()
+    for f in mine:
+        wanted[f.delivery] += f.count
     found = states.collect()
     got = {r[DELIVERY]: (r["bad"], r["files"]) for r in found}
     columns = {r[DELIVERY]: {c for x in r["layouts"] for c in layouts[x["sep"], x["header"]]} for r in found}
@@ -267,11 +287,16 @@ def _scan(spark: SparkSession, files: list[Found], file_name: str, preamble: int
     wrong = F.col(BAD)
     if integers and set(integers) <= set(rows.columns):
         wrong = wrong | invalid_identity(*integers)
-    for r in rows.where(wrong).select(DELIVERY).distinct().collect():
+    rejects = Observation()
+    path = f"{staging}/{uuid.uuid4().hex}"
+    # one file of rows per task; the set of rejected deliveries comes with the same pass
+    rows.observe(rejects, F.collect_set(F.when(wrong, F.col(DELIVERY))).alias("deliveries")).drop(BAD) \
+        .write.parquet(path)
+    for d in rejects.get["deliveries"]:
         LOG.error("delivery %s: %s has a record longer than its header or a cell id that is no integer",
-                  r[0], file_name)
-        failed.add(r[0])
-    return Scan(rows.drop(BAD), set(wanted), columns)
+                  d, file_name)
+        failed.add(d)
+    return Scan(spark.read.schema(rows.drop(BAD).schema).parquet(path), set(wanted), columns)
 
 
 def _required(spec) -> tuple[str, ...]:
@@ -297,15 +322,17 @@ SIDE_FILES = {
 CELL_IDS = {"4G_Cell_List.csv": ("enodeb_id", "cell_id"), "5G_Cell_List.csv": ("gnodeb_id", "nr_cell_id")}
 
 
-def scan_family(spark: SparkSession, family: str, deliveries: list) -> tuple[dict[str, Scan], set]:
+def scan_family(spark: SparkSession, family: str, deliveries: list,
+                staging: str) -> tuple[dict[str, Scan], set]:
     """Scans per report file of a family, and the deliveries that fail validation."""
-    files, failed = _listing(spark, deliveries)
+    landed = _listing(spark, deliveries)
+    files, failed = landed.files, landed.unsafe
     scans: dict[str, Scan] = {}
     tasks: list[Callable[[], None]] = []
 
     def scan(key: str, *args, **kw) -> None:
         def task() -> None:
-            got = _scan(spark, *args, failed=failed, **kw)
+            got = _scan(spark, landed, *args, failed=failed, staging=staging, **kw)
             if got is not None:
                 scans[key] = got
         tasks.append(task)
@@ -324,7 +351,7 @@ def scan_family(spark: SparkSession, family: str, deliveries: list) -> tuple[dic
             required = SIDE_COLUMNS.get(name) or (_required(spec) if spec else ())
             if name == CELLS_4G:
                 required = ()           # its contract is met together with the CO-MPT list's columns
-            scan(name, files, name, 0 if name == S.NODEB_INFO else 1, required=required,
+            scan(name, name, 0 if name == S.NODEB_INFO else 1, required=required,
                  integers=CELL_IDS.get(name, ()))
         _run_all(tasks)
         tasks.clear()
@@ -339,12 +366,12 @@ def scan_family(spark: SparkSession, family: str, deliveries: list) -> tuple[dic
         known = {s.file_name: s for s in S.REGISTRY.for_family("EXTERNALS")}
         for name, spec in known.items():
             _, id_parts, key_parts = S.EXTERNAL_KEYS[name]
-            scan(name, files, name, 1, required=(*_required(spec), *id_parts, *key_parts))
-        scan("*", [f for f in files if f.name not in known], "*", 1)
+            scan(name, name, 1, required=(*_required(spec), *id_parts, *key_parts))
+        scan("*", "*", 1, without=tuple(known))
     else:
         options = {"PKI": (0, {}), "HCMD": (2, {"footer": 1, "sep": ","})}.get(family, (0, {}))
         required = {"PKI": _required(S.PKI), "HCMD": P.LOG_COLUMNS}.get(family, ())
-        scan("*", files, "*", options[0], required=required, **options[1])
+        scan("*", "*", options[0], required=required, **options[1])
     _run_all(tasks)
     if family in ("PKI", "HCMD"):
         held = {f.delivery for f in files}
@@ -585,11 +612,12 @@ def ingest(spark: SparkSession, subjects: DataFrame, warehouse_root: str, region
     for d in rows_of(named(gate_deliveries(subjects, current, regions, in_run=False))):
         by_family.setdefault(d["family"], []).append(d)
     scans, failed = {}, set()
+    staging = f"{wh.root}/staging/scan-{uuid.uuid4().hex}"
     for family, ds in by_family.items():
         if family not in RUNNERS:
             continue
         try:
-            scans[family], bad = scan_family(spark, family, ds)
+            scans[family], bad = scan_family(spark, family, ds, staging)
             failed |= bad
         except Exception:   # noqa: BLE001 - found out one by one, so that the others still run
             LOG.exception("scanning family %s failed; deliveries are tried one by one", family)
@@ -597,14 +625,14 @@ def ingest(spark: SparkSession, subjects: DataFrame, warehouse_root: str, region
             good = []
             for d in ds:
                 try:
-                    failed |= scan_family(spark, family, [d])[1]
+                    failed |= scan_family(spark, family, [d], staging)[1]
                     good.append(d)
                 except Exception:   # noqa: BLE001
                     LOG.exception("delivery %s cannot be scanned", d["delivery"])
                     failed.add(d["delivery"])
             good = [d for d in good if d["delivery"] not in failed]
             if good:
-                scans[family] = scan_family(spark, family, good)[0]
+                scans[family] = scan_family(spark, family, good, staging)[0]
     gated = named(gate_deliveries(subjects, current, regions, failed=sorted(failed)))
     accepted = rows_of(gated)
     for family in {d["family"] for d in accepted} & set(RUNNERS):
@@ -621,4 +649,6 @@ def ingest(spark: SparkSession, subjects: DataFrame, warehouse_root: str, region
                                    if d["report_name"] in ledger.RELEASED_REPORTS}))
             full = ledger.mark_sent(full, today, threshold, reports=loaded)
         ledger_tbl.commit(full, tag=batch)
+    fs, path = hadoop_fs(spark, staging)
+    fs.delete(path, True)
     return gated.drop(DELIVERY)
