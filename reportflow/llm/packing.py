@@ -7,11 +7,9 @@ bucket, documents in a reproducible random order fill batches of ``budget``
 padded tokens.
 
 Lengths count words ([^\\x20\\x09-\\x0D]+).  The driver holds one number per
-histogram cell: lengths up to 4,096 are cells of their own, longer ones share a
-cell with lengths less than 1/1024 apart, so there are at most 60,000 cells
-whatever the input; a cell's boundary is its longest document.  The choice is
-optimal over these cells, exactly optimal where no document has over 4,096
-words.
+distinct length, of which there are at most the longest document's length, and
+fewer than the square root of twice all words, whatever the number of documents.
+The choice is optimal.
 
 Defined cases: null and empty texts have length 0 and pad to their bucket like
 any other; a document longer than the budget is a batch of its own; equal rows
@@ -29,26 +27,14 @@ from reportflow.llm.mixing import word_count
 from reportflow.llm.ordered import key_range, range_count, running_total, shuffle_key
 from reportflow.session import ensure_checkpoint_dir
 
-EXACT_LENGTHS = 4096
-RELATIVE = 1024
-
-
-def length_cell(length):
-    """Cell of a length: itself, or above 4,096 the length cut to ten leading bits."""
-    shift = F.greatest(F.floor(F.log2(F.greatest(length, F.lit(1)).cast("double"))).cast("int")
-                       - F.lit(10), F.lit(0))
-    unit = F.pow(F.lit(2.0), shift).cast("bigint")
-    return F.when(length <= EXACT_LENGTHS, length).otherwise(
-        F.floor(length / unit).cast("bigint") * unit)
-
 
 def choose_boundaries(edges: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
-    """Upper edges of at most ``buckets`` runs of cells with the least padded total.
+    """Upper edges of at most ``buckets`` runs of lengths with the least padded total.
 
-    ``edges`` ascend.  cost(i, j) = edges[j] * documents in cells i..j; the total
+    ``edges`` ascend.  cost(i, j) = edges[j] * documents of lengths i..j; the total
     length is fixed, so the least padded total is the least padding.  The cost
     obeys the quadrangle inequality, so the best split point never falls as j
-    grows, and each level is filled by halving in O(cells * log cells).
+    grows, and each level is filled by halving in O(lengths * log lengths).
     """
     n = len(edges)
     if n == 0:
@@ -101,9 +87,8 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ensure_checkpoint_dir(docs.sparkSession)
     sized = (docs.select(F.col(id_col).alias("_id"), word_count(F.col(text_col)).alias("n_tokens"))
              .withColumn("_key", shuffle_key(F.lit(seed), F.col("_id"))).checkpoint())
-    cells = (sized.groupBy(length_cell(F.col("n_tokens")).alias("cell"))
-             .agg(F.max("n_tokens").alias("edge"), F.count(F.lit(1)).alias("n"))
-             .orderBy("cell").toPandas())
+    cells = (sized.groupBy(F.col("n_tokens").alias("edge")).agg(F.count(F.lit(1)).alias("n"))
+             .orderBy("edge").toPandas())
     edges = choose_boundaries(cells["edge"].to_numpy(np.int64), cells["n"].to_numpy(np.int64),
                               buckets)
     bucket, length = F.lit(None).cast("int"), F.lit(None).cast("bigint")
