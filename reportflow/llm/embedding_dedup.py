@@ -11,9 +11,11 @@ and in double precision.
 Equal vectors are one node with a count.  Groups above ``cell_rows`` nodes are
 cut into cells around centroids, fitted on a bounded sample (32 vectors per
 cell).  A vector is at home in the nearest cell and also looks into every cell
-whose border with its home is nearer than ``reach`` standard deviations of a
-random step of the threshold's length; every vector is in the index.  Large cells are compared block
-against block.  A block returns link counts and a spanning forest, not pairs.
+whose border with its home is no farther than half the chord of the threshold: of
+two vectors within a chord on either side of a border, one is that near to it, so
+no linked pair is cut, whatever the width.  Every vector is in the index.  Large
+cells are compared block against block.  A block returns link counts and a spanning
+forest, not pairs.
 
 Defined cases: a null label, or a vector that is null, empty, zero or holds null
 or non-finite components, links with nothing; vectors of different lengths never
@@ -122,7 +124,7 @@ def _units(column: pa.Array, width: int) -> np.ndarray:
     return v / np.sqrt((v * v).sum(1, keepdims=True))
 
 
-def _assign(centroids: dict, step: float):
+def _assign(centroids: dict, chord: float):
     """Map pass: home cell, and all cells to look into."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +141,7 @@ def _assign(centroids: dict, step: float):
                 best = near.argmax(1)
                 gap = near[np.arange(len(at)), best][:, None] - near
                 border = np.sqrt(np.maximum(2 - 2 * (c @ c.T), 1e-12))[best]
-                inside = gap / border <= step / math.sqrt(key[1])
+                inside = gap / border <= chord / 2 + 1e-9
                 home[at] = best
                 for i, k in enumerate(at):
                     looks[k] = sorted({int(best[i]), *np.flatnonzero(inside[i]).tolist()})
@@ -151,7 +153,7 @@ def _assign(centroids: dict, step: float):
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                     label_col: str = "label", threshold: float = 0.93, sigmas: float = 4.0,
-                    cell_rows: int = 1024, reach: float = 4.0) -> DataFrame:
+                    cell_rows: int = 1024) -> DataFrame:
     """One row per vector: (id, n_links, component_id, kept)."""
     ensure_checkpoint_dir(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).alias("_id"), F.col(vector_col).alias("embedding"),
@@ -165,7 +167,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     nodes = (rows.filter("_sound").groupBy("label", "embedding")
              .agg(F.min("_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
              .withColumn("width", F.size("embedding")).checkpoint())
-    found = _links(nodes, threshold, sigmas, cell_rows, reach).checkpoint()
+    found = _links(nodes, threshold, sigmas, cell_rows).checkpoint()
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     parts = components(found, "rep", "root").withColumnsRenamed({"node": "rep", "component": "root"})
     named = (nodes.join(counts, "rep", "left").join(parts, "rep", "left")
@@ -180,7 +182,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                       component.alias("component_id"), F.col("_id").eqNullSafe(component).alias("kept"))
 
 
-def _links(nodes: DataFrame, threshold: float, sigmas: float, cell_rows: int, reach: float) -> DataFrame:
+def _links(nodes: DataFrame, threshold: float, sigmas: float, cell_rows: int) -> DataFrame:
     """(rep, links, root) parts, one set per compared pair of blocks."""
     groups = nodes.groupBy("label", "width").agg(F.count(F.lit(1)).alias("n"))
     large = groups.filter(F.col("n") > cell_rows).orderBy(F.desc("n"), "label", "width").limit(
@@ -203,10 +205,10 @@ def _links(nodes: DataFrame, threshold: float, sigmas: float, cell_rows: int, re
             at = [i for i, x in enumerate(names) if x == key]
             if len(at) >= k:
                 centroids[key] = fit_centroids(_units(sample["embedding"].take(at).combine_chunks(), key[1]), k)
-    step = reach * math.sqrt(max(2 - 2 * threshold, 0))
+    chord = math.sqrt(max(2 - 2 * threshold, 0))
     kinds = {f.name: f.dataType.simpleString() for f in nodes.schema}
     schema = ", ".join(f"{c} {kinds[c]}" for c in nodes.columns) + ", home int, looks array<int>"
-    placed = nodes.mapInArrow(_assign(centroids, step), schema)
+    placed = nodes.mapInArrow(_assign(centroids, chord), schema)
     spread = placed.withColumn("cell", F.explode("looks")).withColumn("is_home", F.col("cell") == F.col("home"))
     blocks = spread.groupBy("label", "width", "cell").agg(
         F.ceil(F.count_if("is_home") / BLOCK).cast("int").alias("home_blocks"),
