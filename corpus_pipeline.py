@@ -7,7 +7,8 @@ return the columns of their input.
 
 Defined cases: see the operators.  Where rows share an id, each row is judged by
 its own text; rows equal in id and text are one document for the dedup stages and
-one of them stays.  A null id is an id like any other.  Empty tables pass through.
+one of them stays.  A null id is an id like any other.  Empty tables pass through,
+and columns beside those of ``documents`` come back as they were, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,11 +25,16 @@ from reportflow.session import scratch_path
 
 
 def _stay(docs: DataFrame, kept: DataFrame, key) -> DataFrame:
-    """One row of ``docs`` for each (doc_id, _key) of ``kept``; ``key`` gives a row's _key."""
-    kept = kept.select(F.col("doc_id").alias("_kid"), F.col("_key").alias("_kkey")).distinct()
-    rows = docs.withColumn("_key", key)
-    found = rows.join(kept, rows["doc_id"].eqNullSafe(F.col("_kid")) & (rows["_key"] == F.col("_kkey")), "left_semi")
-    return found.dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+    """One row of ``docs`` for each (id, key) of ``kept``; ``key`` gives a row's key.
+
+    Rows travel as one struct column, so that no name of theirs can clash.
+    """
+    kept = kept.toDF("kept_id", "kept_key").distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col("doc_id").alias("id"), key.alias("key"))
+    found = rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key")),
+                      "left_semi")
+    return found.dropDuplicates(["id", "key"]).select("row.*")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +44,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exact dedup: of equal texts the document with the smallest id stays."""
-    kept = exact_duplicates(docs).filter("kept").withColumnRenamed("text_sha256", "_key")
+    kept = exact_duplicates(docs).filter("kept").select("doc_id", "text_sha256")
     text = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")
     return _stay(docs, kept, F.sha2(text, 256))
 
@@ -48,8 +54,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     # Rows of one id: each wordless text is a group, of the others the smallest hash stays.
     alone = F.when(F.col("n_shingles") == 0, F.col("text_hash"))
-    kept = groups.groupBy("doc_id", alone.alias("_alone")).agg(F.min("text_hash").alias("_key"))
-    return _stay(docs, kept, F.xxhash64("text"))
+    kept = groups.groupBy("doc_id", alone.alias("_alone")).agg(F.min("text_hash").alias("least"))
+    return _stay(docs, kept.select("doc_id", "least"), F.xxhash64("text"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

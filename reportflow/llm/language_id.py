@@ -293,11 +293,11 @@ def apply_model(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col:
 
 
 def accept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-           least: float = 0.25, per_language: int = 400, folds: int = 5) -> DataFrame:
-    """The documents, all columns, whose language is known with at least the score ``least``.
+           per_language: int = 400, folds: int = 5) -> DataFrame:
+    """The documents, all columns, whose language is known.
 
-    The model is that of ``identify``; ``und``, lower scores and texts that do not
-    look like the predicted language (``is_language``) are rejected.
+    The model is that of ``identify``; ``und`` and texts that do not look like the
+    predicted language (``is_language``) are rejected.
     """
     model = train(docs.filter(~held_out(F.col(id_col), folds, 0)), id_col, text_col, lang_col, per_language,
                   profiles=True)
@@ -309,8 +309,9 @@ def accept(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
         for batch in batches:
             data, off = buffers(batch.column(at))
             for a, b, d, o in chunks(data, off, 2 << 20):
-                names, score = predict(model, d, o)
+                names, _ = predict(model, d, o)
                 yield batch.slice(a, b - a).filter(
-                    pa.array((names != UND) & (score >= least) & is_language(model, names, d, o)))
+                    pa.array((names != UND) & is_language(model, names, d, o)))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])       # whatever the columns are called
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

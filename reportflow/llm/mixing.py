@@ -137,12 +137,11 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     source_col = options.get("source_col", "source")
     plan = mix_sources(docs, **options).filter(F.col("copies") > 0)
-    plan = plan.groupBy(F.col(id_col).alias("_pid"), F.col("source").alias("_psource"),
-                        F.col("size").alias("_psize")).agg(F.max("copies").alias("_pcopies"))
-    sized = docs.withColumn("_psize0", word_count(F.col(text_col)))
-    hit = sized.join(plan, sized[id_col].eqNullSafe(F.col("_pid"))
-                     & sized[source_col].eqNullSafe(F.col("_psource"))
-                     & (sized["_psize0"] == F.col("_psize")), "inner")
-    return (hit.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"),
-                                                         F.col("_pcopies"))))
-            .select(*docs.columns))
+    plan = plan.groupBy(F.col(id_col).alias("plan_id"), F.col("source").alias("plan_source"),
+                        F.col("size").alias("plan_size")).agg(F.max("copies").alias("copies"))
+    # Rows travel as one struct column, so that no name of theirs can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"),
+                       F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
+    hit = rows.join(plan, F.col("id").eqNullSafe(F.col("plan_id"))
+                    & rows["source"].eqNullSafe(F.col("plan_source")) & (rows["size"] == F.col("plan_size")), "inner")
+    return hit.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select("row.*")
