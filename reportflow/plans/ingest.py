@@ -47,6 +47,7 @@ from reportflow.operators.upsert import merge_snapshot
 from reportflow.plans import pipelines as P
 from reportflow.plans import specs as S
 from reportflow.sinks.export import write_export
+from reportflow.sinks.ledger import LedgerTable
 from reportflow.sinks.snapshot import SnapshotTable, append_table
 from reportflow.session import hadoop_fs
 from reportflow.sources.archive import member_is_safe, stage_members
@@ -76,8 +77,8 @@ class Warehouse:
     def export_path(self, family: str) -> str:
         return f"{self.root}/exports/{family}"
 
-    def ledger(self, spark: SparkSession) -> SnapshotTable:
-        return SnapshotTable(spark, f"{self.root}/ledger")
+    def ledger(self, spark: SparkSession) -> LedgerTable:
+        return LedgerTable(spark, f"{self.root}/ledger")
 
 
 # ---- 1. gate ------------------------------------------------------------------------------
@@ -442,9 +443,12 @@ def _merge_and_export(spark: SparkSession, wh: Warehouse, family: str, staged: P
         merged = merge_snapshot(existing, incoming, key, [sort_col], seq="__bseq",
                                 scope="report_date", date_col=f"{spec.table}_update_date",
                                 report_date=last)
-    tbl.commit(merged)
-    out = P.export(tagged, spec, keep=tuple(PARTS)).withColumnsRenamed(PARTS)
-    write_export(out, f"{wh.export_path(family)}/{spec.table}", partition_by=list(PARTS.values()))
+    tbl.commit(merged, report_date=last if spec.scope == "report_date" else None)
+    order = P.export_order(spec)
+    tagged = tagged.withColumns({f"__by{i}": F.col(f"`{c}`") for i, c in enumerate(order)})
+    order = [*[f"__by{i}" for i in range(len(order))], P.ORDER]
+    out = P.export(tagged, spec, keep=(*PARTS, *order)).withColumnsRenamed(PARTS)
+    write_export(out, f"{wh.export_path(family)}/{spec.table}", partition_by=list(PARTS.values()), order_by=order)
     fs, path = hadoop_fs(spark, staging)
     fs.delete(path, True)
 
@@ -496,9 +500,10 @@ def _run_networks(spark, wh, scans, deliveries, now):
                          _merge_and_export(spark, wh, "NETWORKS", build(), present))
     _run_all(tasks)
     if S.NODEB_INFO in scans:         # exported raw (no table)
-        raw = _rows_of(spark, scans[S.NODEB_INFO], deliveries).drop("_file", "_path", "_seq", DELIVERY, ARRIVAL)
+        raw = _rows_of(spark, scans[S.NODEB_INFO], deliveries).withColumnRenamed("_seq", "__seq").drop(
+            "_file", "_path", DELIVERY, ARRIVAL)
         write_export(raw.withColumnsRenamed(PARTS), f"{wh.export_path('NETWORKS')}/nodeb_info",
-                     partition_by=list(PARTS.values()))
+                     partition_by=list(PARTS.values()), order_by=["__seq"])
 
 
 def _run_externals(spark, wh, scans, deliveries, now):
@@ -515,11 +520,11 @@ def _run_externals(spark, wh, scans, deliveries, now):
                      _merge_and_export(spark, wh, "EXTERNALS", staged, present))
     # files of an EXTERNALS delivery that no spec knows are exported raw, not loaded
     if "*" in scans:
-        out = _rows_of(spark, scans["*"], deliveries).withColumnRenamed("_file", "source_file").drop(
-            "_path", "_seq", DELIVERY, ARRIVAL)
+        out = _rows_of(spark, scans["*"], deliveries).withColumnsRenamed(
+            {"_file": "source_file", "_seq": "__seq"}).drop("_path", DELIVERY, ARRIVAL)
         tasks.append(lambda: write_export(
             out.withColumnsRenamed(PARTS), f"{wh.export_path('EXTERNALS')}/unrecognised",
-            partition_by=[*PARTS.values(), "source_file"]))
+            partition_by=[*PARTS.values(), "source_file"], order_by=["__seq"]))
     _run_all(tasks)
 
 
@@ -594,7 +599,7 @@ def ingest(spark: SparkSession, subjects: DataFrame, warehouse_root: str, region
     Deliveries that the ledger alone would accept are scanned and validated first.
     Those that fail validation do not raise the watermark for later deliveries of
     the run; if the gate then accepts them, they are logged as failed.  ``batch``
-    names the ledger version that this run commits.  WEEKPLAN deliveries are gated
+    names the ledger segment that this run commits.  WEEKPLAN deliveries are gated
     and logged but their hand-off copy is not part of this engine.
     """
     wh = Warehouse(warehouse_root.rstrip("/"))
@@ -643,12 +648,9 @@ def ingest(spark: SparkSession, subjects: DataFrame, warehouse_root: str, region
     if outcomes:
         new_rows = ledger.ledger_rows(spark.createDataFrame(
             outcomes, "report_name string, oss string, report_date_text string, ok boolean"), now)
-        full = new_rows if current is None else current.unionByName(new_rows)
-        if today is not None:
-            loaded = tuple(sorted({d["report_name"] for d in accepted
-                                   if d["report_name"] in ledger.RELEASED_REPORTS}))
-            full = ledger.mark_sent(full, today, threshold, reports=loaded)
-        ledger_tbl.commit(full, tag=batch)
+        loaded = tuple(sorted({d["report_name"] for d in accepted
+                               if d["report_name"] in ledger.RELEASED_REPORTS}))
+        ledger_tbl.append(new_rows, today, threshold, loaded, tag=batch)
     fs, path = hadoop_fs(spark, staging)
     fs.delete(path, True)
     return gated.drop(DELIVERY)

@@ -346,6 +346,16 @@ def load(staged: Staged, table: SnapshotTable, report_date: str | None = None,
                         on_create=on_create)
 
 
+# The columns by which the readable exports are sorted, before a row's own order (which is the
+# file's; for 3G sites the enriching name and then the file's).
+EXPORT_ORDER = {
+    "huawei_2g_cell": ("unique_id", "rac"),
+    "huawei_2g_trx": ("unique_id",),
+    "huawei_3g_cell": ("unique_id",),
+    "huawei_4g_site": ("unique_id", "type"),
+    "huawei_5g_cell": ("unique_id",),
+}
+
 # Readable-export extras: the computed "NE Name" of the site exports.
 _NE_NAME = {
     "huawei_2g_site": ("SRAN", "BTS Name"),
@@ -354,6 +364,11 @@ _NE_NAME = {
 }
 
 
+def export_order(spec: ReportSpec) -> list[str]:
+    """Table columns that a report's readable export is sorted by, before the rows' own order."""
+    return [f"{spec.table}_{c}" for c in EXPORT_ORDER.get(spec.table, ())]
+
+
 def export(rows: DataFrame, spec: ReportSpec, keep: tuple[str, ...] = ()) -> DataFrame:
     """Table rows -> readable export rows (labels, export order, NE Name) + ``keep``."""
     extra = [F.col(f"`{c}`") for c in keep]

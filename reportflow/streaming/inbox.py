@@ -65,7 +65,7 @@ def ingest_stream(spark: SparkSession, manifests: str, warehouse_root: str, regi
     delivery (the mail-box loop of the reference becomes a landing folder).
     Each micro-batch of new manifests runs ``plans.ingest.ingest``; the
     checkpoint makes a restarted stream skip manifests already handled.  The
-    ledger version that a batch commits carries the batch's number, so a batch
+    ledger segment that a batch commits carries the batch's number, so a batch
     replayed after its commit is skipped.
     """
     from reportflow.plans.ingest import Warehouse, ingest
