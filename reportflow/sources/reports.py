@@ -6,11 +6,11 @@ order in the split.  A scan has these steps, all of them Spark jobs:
 
 1. Lines per split are counted.  Of these counts (one row per split) running sums
    give every line of a file its number, however the file was split.
-2. Per file: the line of the header (the first non-blank one after the file's
-   preamble, whatever its length), the last non-blank lines (footer) and whether a
-   line leaves a quote open; then the text of the first lines and the header, from
-   which the delimiter is sniffed.  Only these facts are kept, as small tables in
-   the scratch folder, so that Spark knows their size.
+2. Per file: the header (the first non-blank line after the file's preamble,
+   whatever its length), the place of the last non-blank lines (footer), whether a
+   line leaves a quote open, and the first lines, from which the delimiter is
+   sniffed.  Only these facts are kept, as small tables in the scratch folder, so
+   that Spark knows their size.
 3. The rows: one scan over all files, joined to the facts of each split, parsed once
    per line; columns are chosen by the file's header layout.  A record with more
    fields than its header is an error; with fewer, the missing fields are null.
@@ -96,11 +96,14 @@ def report_sep(line0: str | None, line1: str | None, header: str | None) -> str:
     return sep
 
 
+_FACTS = f"{PATH} string, {FILE} string, top bigint, tail bigint, head string, sep string, open int"
+
+
 def _sniff(batches):
     for pdf in batches:
         seps = [report_sep(a, b, h) for a, b, h in zip(pdf["l0"], pdf["l1"], pdf["head"], strict=True)]
         opens = [a if s == "," else b for s, a, b in zip(seps, pdf["open0"], pdf["open1"], strict=True)]
-        yield pdf[[PATH, FILE]].assign(sep=seps, open=[int(x == 1) for x in opens], head=pdf["head"])
+        yield pdf[[PATH, FILE, "top", "tail", "head"]].assign(sep=seps, open=[int(x == 1) for x in opens])
 
 
 def decoded_name(c: Column) -> Column:
@@ -112,10 +115,13 @@ def null_tokens(df: DataFrame, columns: Iterable[str] | None = None,
                 tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
     """Map pandas' default null tokens to null on the given (default: all) columns."""
     cols = set(columns) if columns is not None else set(df.columns)
-    return df.select(*[
-        (F.when(F.col(f"`{c}`").isin(*tokens), F.lit(None).cast("string"))
-         .otherwise(F.col(f"`{c}`")).alias(c)) if c in cols else F.col(f"`{c}`")
-        for c in df.columns])
+    known = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in tokens)
+
+    def spelt(name: str) -> str:
+        c = "`" + name.replace("`", "``") + "`"
+        return f"CASE WHEN {c} NOT IN ({known}) THEN {c} END AS {c}" if name in cols else c
+
+    return df.selectExpr(*[spelt(c) for c in df.columns])
 
 
 def _lines(spark: SparkSession, paths: list[str], names: Sequence[str] | None,
@@ -280,41 +286,36 @@ def report_records(spark: SparkSession, paths: str | Sequence[str], preamble: in
     kinds = [",", ";"] if sep is None else [sep]
     body = (F.col(LINE) >= F.col("preamble")) & _filled(TEXT)
     x = _numbered(lines, splits, "preamble")
-    facts = x.groupBy(PATH).agg(
-        F.min(F.when(body, F.col(LINE))).alias("top"),
-        *([F.max(F.when(body, F.col(LINE))).alias("tail")] if footer == 1 else []),
+    # The list makes this a hash aggregate; strings alone would sort all lines by file first.
+    facts = x.groupBy(PATH, FILE).agg(
+        F.collect_list(F.when(F.col(LINE) <= 1, F.struct(LINE, TEXT))).alias("first"),
+        F.min(F.when(body, F.col(LINE))).alias("top"), F.min_by(TEXT, F.when(body, F.col(LINE))).alias("head"),
+        F.max(F.when(body, F.col(LINE)) if footer == 1 else F.lit(None).cast("bigint")).alias("tail"),
         *[F.max(F.when(body, _leaves_open(F.col(TEXT), k)).otherwise(0)).alias(f"open{i}")
           for i, k in enumerate(kinds)])
     if footer > 1:
-        facts = facts.join(_tail(x.where(body), footer), PATH, "left")
-    elif footer == 0:
-        facts = facts.withColumn("tail", F.lit(None).cast("bigint"))
-    facts = _kept(facts)
-    tops = _kept(splits.join(facts, PATH))
-    first = _numbered(lines, tops, "top", *[f"open{i}" for i in range(len(kinds))]).where(
-        (F.col(LINE) <= 1) | (F.col(LINE) == F.col("top")))
-    first = first.groupBy(PATH, FILE).agg(
-        F.max(F.when(F.col(LINE) == 0, F.col(TEXT))).alias("l0"),
-        F.max(F.when(F.col(LINE) == 1, F.col(TEXT))).alias("l1"),
-        F.max(F.when(F.col(LINE) == F.col("top"), F.col(TEXT))).alias("head"),
-        *[F.max(f"open{i}").alias(f"open{i}") for i in range(len(kinds))])
+        facts = facts.drop("tail").join(_tail(x.where(body), footer), PATH, "left")
     if sep is None:
-        first = first.mapInPandas(_sniff, f"{PATH} string, {FILE} string, sep string, open int, head string")
+        facts = facts.select("*", F.get(F.filter("first", lambda r: r[LINE] == 0), 0)[TEXT].alias("l0"),
+                             F.get(F.filter("first", lambda r: r[LINE] == 1), 0)[TEXT].alias("l1"))
+        facts = facts.drop("first").mapInPandas(_sniff, _FACTS)
     else:
-        first = first.select(PATH, FILE, F.lit(sep).alias("sep"), F.col("open0").alias("open"), "head")
-    first = _kept(first)
+        facts = facts.select(PATH, FILE, "top", "tail", "head", F.lit(sep).alias("sep"), F.col("open0").alias("open"))
+    facts = _kept(facts)
 
-    opened = multiline and not first.where("open = 1").isEmpty()
-    heads = first.where(F.col("head").isNotNull()).select(PATH, FILE, "sep", F.col("head").alias("header"))
+    heads = facts.where(F.col("head").isNotNull()).select(PATH, FILE, "sep", F.col("head").alias("header"))
+    kinds_found = facts.select("sep", "head", "open").distinct().collect()
+    opened = multiline and any(r["open"] == 1 for r in kinds_found)
+    layouts = sorted({(r["sep"], r["head"]) for r in kinds_found if r["head"] is not None})
     if opened:                              # there the header and the footer are records
-        of_split = splits.join(first.where("open = 1").select(PATH, "sep"), PATH)
+        of_split = splits.join(facts.where("open = 1").select(PATH, "sep"), PATH)
         wide = _records(_numbered(lines, of_split, "preamble", "sep").where(F.col(LINE) >= F.col("preamble")),
                         kinds).where(_filled(TEXT))
         cut = wide.groupBy(PATH, FILE, "sep").agg(F.min_by(TEXT, LINE).alias("header"), F.min(LINE).alias("top"))
         cut = _kept(cut.join(_tail(wide, footer), PATH, "left") if footer else
                     cut.withColumn("tail", F.lit(None).cast("bigint")))
         heads = heads.join(cut.select(PATH), PATH, "left_anti").unionByName(cut.select(*heads.columns))
-    layouts = sorted((r[0], r[1]) for r in heads.select("sep", "header").distinct().collect())
+        layouts = sorted((r[0], r[1]) for r in heads.select("sep", "header").distinct().collect())
     if not layouts:
         raise ValueError(f"no header found in the files under {paths}")
     table = spark.createDataFrame([(s, h, i) for i, (s, h) in enumerate(layouts)],
@@ -322,8 +323,8 @@ def report_records(spark: SparkSession, paths: str | Sequence[str], preamble: in
     of_file = heads.join(table, ["sep", "header"]).select(PATH, "layout")
     inside = (F.col(LINE) > F.col("top")) & (F.col("tail").isNull() | (F.col(LINE) < F.col("tail")))
     columns = [PATH, FILE, "layout", LINE, TEXT]
-    plain = tops if not opened else tops.join(cut.select(PATH), PATH, "left_anti")
-    plain = _kept(plain.join(of_file, PATH))
+    tops = facts if not opened else facts.join(cut.select(PATH), PATH, "left_anti")
+    plain = _kept(splits.join(tops.select(PATH, "top", "tail").join(of_file, PATH), PATH))
     out = _numbered(lines, plain, "top", "tail", "layout").where(inside & _filled(TEXT)).select(*columns)
     if opened:
         more = wide.drop("sep").join(cut.select(PATH, "top", "tail").join(of_file, PATH), PATH)
