@@ -1,7 +1,7 @@
 """Registered queries (one per operator of the survey) and their DuckDB oracles."""
 
 from reportflow.suite import (files, ledger_queries, pipeline_queries, relational, run_queries,  # noqa: F401
-                              scalars)
+                              scalars, table_queries)
 from reportflow.suite.base import DOCS, ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES", "DOCS"]

@@ -70,3 +70,26 @@ def write_files(spark: SparkSession, lines: DataFrame, root: str) -> list[str]:
         fs.rename(parts[0].getPath(), target)
         out.append(target.toString())
     return sorted(out)
+
+
+def write_archives(spark: SparkSession, lines: DataFrame, root: str) -> list[str]:
+    """Lay report lines (``archive/member`` as file) down as ZIP archives, one per task.
+
+    The text writer ends a file with a line break; it is the archive's comment.
+    """
+    def pack(key, pdf):
+        import io
+        import zipfile
+
+        import pandas as pd
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+            for member, part in pdf.sort_values(["member", "n"]).groupby("member"):
+                zf.writestr(member, "\n".join(part["line"]) + "\n")
+            zf.comment = b"\n"
+        return pd.DataFrame({"file": [key[0]], "n": [0], "bytes": [out.getvalue()[:-1]]})
+
+    parts = lines.select(F.regexp_extract("file", r"^(.*\.zip)/", 1).alias("archive"),
+                         F.regexp_replace("file", r"^.*\.zip/", "").alias("member"), "n", "line")
+    packed = parts.groupBy("archive").applyInPandas(pack, "file string, n bigint, bytes binary")
+    return write_files(spark, packed.select("file", "n", F.col("bytes").cast("string").alias("line")), root)
