@@ -3,8 +3,11 @@
 The existing rows in scope and the incoming delivery are unioned; per key the
 last row in (sort columns nulls last, batch, seq) order wins, so an incoming
 row beats an existing one on a tie and a later file row beats an earlier one.
-Rows whose key is null are dropped.  The pick is ``max`` of ``struct(order, row)``,
-combined map-side, so hot keys never concentrate in one task.
+Rows whose key is null are dropped.  The pick keeps one row per key and task before
+the shuffle, so hot keys never concentrate in one task.
+
+``merge_keyed`` gives the same for a table that is stored in buckets of its key: the
+two sides are joined, so that only the delivery is shuffled, to the table's buckets.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reportflow.operators.dedup import keep_last
+from reportflow.operators.dedup import keep_last, nulls_last_key
 from reportflow.operators.gates import date_prefix_predicate
 
 BATCH, SEQ = "__batch", "__seq"
@@ -55,3 +58,24 @@ def merge_snapshot(existing: DataFrame | None, incoming: DataFrame, key: str,
     parts = parts.where(F.col(f"`{key}`").isNotNull())
     merged = keep_last(parts, [key], order_by=[*sort_cols, BATCH], seq=SEQ)
     return merged.select(*[F.col(f"`{c}`") for c in cols])
+
+
+def merge_keyed(existing: DataFrame, incoming: DataFrame, key: str, sort_cols: Sequence[str],
+                seq: str | None = None) -> DataFrame:
+    """The content of ``merge_snapshot(..., scope='all')`` as a join on the key.
+
+    Of each side the last row per key takes part; where both have one, the incoming
+    row wins unless the existing one is later by the sort columns (nulls last).
+    """
+    cols = [c for c in incoming.columns if c != seq]
+    old = keep_last(existing.select(*[F.col(f"`{c}`") for c in cols]).where(F.col(f"`{key}`").isNotNull()),
+                    [key], order_by=sort_cols)
+    new = keep_last(incoming.where(F.col(f"`{key}`").isNotNull()), [key], order_by=sort_cols, seq=seq)
+    old = old.select(*[F.col(f"`{c}`").alias(f"__old{i}") for i, c in enumerate(cols)], F.lit(True).alias("__had"))
+    new = new.select(*[F.col(f"`{c}`").alias(f"__new{i}") for i, c in enumerate(cols)], F.lit(True).alias("__has"))
+    k = cols.index(key)
+    both = old.join(new, F.col(f"__old{k}") == F.col(f"__new{k}"), "full")
+    of = lambda side: nulls_last_key([F.col(f"__{side}{cols.index(c)}") for c in sort_cols])     # noqa: E731
+    wins = F.col("__had").isNull() | (F.col("__has").isNotNull() & (of("new") >= of("old")))
+    return both.select(*[F.when(wins, F.col(f"__new{i}")).otherwise(F.col(f"__old{i}")).alias(c)
+                         for i, c in enumerate(cols)])

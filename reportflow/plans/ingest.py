@@ -48,7 +48,7 @@ from reportflow.plans import pipelines as P
 from reportflow.plans import specs as S
 from reportflow.sinks.export import write_export
 from reportflow.sinks.ledger import LedgerTable
-from reportflow.sinks.snapshot import SnapshotTable, append_table
+from reportflow.sinks.snapshot import KeyedTable, SnapshotTable, append_table
 from reportflow.session import hadoop_fs
 from reportflow.sources.archive import member_is_safe, stage_members
 from reportflow.sources.reports import BAD, PATH, list_files, literal, marked_scan
@@ -71,6 +71,9 @@ class Warehouse:
     def table(self, spark: SparkSession, name: str) -> SnapshotTable:
         return SnapshotTable(spark, f"{self.root}/tables/{name}")
 
+    def keyed(self, spark: SparkSession, name: str, key: str) -> KeyedTable:
+        return KeyedTable(spark, f"{self.root}/tables/{name}", key)
+
     def append_path(self, name: str) -> str:
         return f"{self.root}/append/{name}"
 
@@ -418,7 +421,6 @@ def trailing_run(deliveries: list) -> tuple[list, bool]:
 def _merge_and_export(spark: SparkSession, wh: Warehouse, family: str, staged: P.Staged,
                       deliveries: list) -> None:
     spec, rows = staged.spec, staged.rows
-    tbl = wh.table(spark, spec.table)
     tagged = rows.join(_deliveries_frame(spark, deliveries), on=DELIVERY, how="inner")
     # The staged delivery feeds both the merge and the export: write it once to a
     # staging table in the shared warehouse and read it back.  The reports are
@@ -432,9 +434,9 @@ def _merge_and_export(spark: SparkSession, wh: Warehouse, family: str, staged: P
     key = spec.key if spec.table == S.PKI.table else f"{spec.table}_{spec.key}"
     sort_col = spec.sort_col if spec.table == S.PKI.table else f"{spec.table}_{spec.sort_col}"
     if spec.scope == "all":
-        incoming = ordered.select(*payload, "__bseq")
-        merged = merge_snapshot(tbl.read(), incoming, key, [sort_col], seq="__bseq", scope="all")
+        wh.keyed(spark, spec.table, key).merge(ordered.select(*payload, "__bseq"), [sort_col], seq="__bseq")
     else:
+        tbl = wh.table(spark, spec.table)
         tail, keep_existing = trailing_run(deliveries)
         last = tail[0]["report_date"].isoformat()
         incoming = ordered.join(_deliveries_frame(spark, tail).select(DELIVERY), DELIVERY, "left_semi") \
@@ -443,7 +445,7 @@ def _merge_and_export(spark: SparkSession, wh: Warehouse, family: str, staged: P
         merged = merge_snapshot(existing, incoming, key, [sort_col], seq="__bseq",
                                 scope="report_date", date_col=f"{spec.table}_update_date",
                                 report_date=last)
-    tbl.commit(merged, report_date=last if spec.scope == "report_date" else None)
+        tbl.commit(merged, report_date=last)
     order = P.export_order(spec)
     tagged = tagged.withColumns({f"__by{i}": F.col(f"`{c}`") for i, c in enumerate(order)})
     order = [*[f"__by{i}" for i in range(len(order))], P.ORDER]

@@ -11,6 +11,9 @@ table at a time: a second one that commits the same number fails.
 Tables scoped by report date keep a partition per date, ``report_date=<date>``, with
 the versions of that date inside.  "Current" is the version committed last, of
 whatever date; ``read_dates`` reads any dates with partition pruning.
+
+Tables merged over all dates are kept in buckets of their key (``KeyedTable``), so
+that a merge shuffles the delivery only and not the table.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reportflow.operators.upsert import merge_snapshot
+from reportflow.operators.upsert import merge_keyed, merge_snapshot
 from reportflow.session import hadoop_fs
 
 VERSION_PREFIX = "snap-"
@@ -111,13 +114,16 @@ class SnapshotTable:
         number = before[-1].number + 1 if before else 1
         name = f"{VERSION_PREFIX}{number:020d}-{uuid.uuid4().hex[:8]}" + (f"-{tag}" if tag else "")
         path = f"{self.root}/{DATE}={report_date}/{name}" if report_date else f"{self.root}/{name}"
-        df.write.mode("errorifexists").parquet(path)
+        self._write(df, path)
         if any(v.number == number and v.name != name for v in self._committed()):
             fs, jp = hadoop_fs(self.spark, path)
             fs.delete(jp, True)             # the content of the other one is not in ours
             raise RuntimeError(f"another writer committed version {number} of {self.root}; merge again")
         return path
 
+    def _write(self, df: DataFrame, path: str) -> None:
+        df.write.mode("errorifexists").parquet(path)
+
     def retain(self, keep: int = 3) -> list[str]:
         """Delete committed versions older than the newest ``keep`` and failed writes.
 
@@ -155,6 +161,66 @@ class SnapshotTable:
         return self.spark.read.parquet(path)
 
 
+class KeyedTable(SnapshotTable):
+    """A snapshot table whose versions are stored in buckets of their key.
+
+    The number of buckets is part of a version's name.  Spark knows buckets from a
+    catalog only, so a version is named there for the moment in which it is written
+    or opened, as an external table, and dropped again.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, key: str, buckets: int | None = None):
+        super().__init__(spark, root)
+        self.key = key
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def _named(self, make) -> DataFrame | None:
+        name = f"keyed_{uuid.uuid4().hex}"
+        try:
+            return make(name)
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def _write(self, df: DataFrame, path: str) -> None:
+        self._named(lambda name: df.write.format("parquet").bucketBy(self.buckets, self.key).sortBy(self.key)
+                    .option("path", path).mode("errorifexists").saveAsTable(name))
+
+    def commit(self, df: DataFrame, tag: str | None = None, report_date: str | None = None) -> str:
+        if report_date is not None:
+            raise ValueError("a keyed table holds all dates")
+        return super().commit(df, f"{tag}-b{self.buckets}" if tag else f"b{self.buckets}")
+
+    def has(self, tag: str) -> bool:
+        return any(v.rsplit("-b", 1)[0].endswith(f"-{tag}") for v in self.versions())
+
+    def read(self) -> DataFrame | None:
+        """The current version; Spark knows that it is partitioned by its key."""
+        found = self._committed()
+        if not found:
+            return None
+        path, mark = found[-1].path, found[-1].name.rsplit("-", 1)[-1]
+        plain = self.spark.read.parquet(path)
+        if not (mark.startswith("b") and mark[1:].isdigit()):
+            return plain                    # written as a plain snapshot
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
+
+        def opened(name: str) -> DataFrame:
+            self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{self.key}`) "
+                           f"SORTED BY (`{self.key}`) INTO {mark[1:]} BUCKETS LOCATION '{path}'")
+            return self.spark.table(name)
+
+        return self._named(opened)
+
+    def merge(self, incoming: DataFrame, sort_cols, seq: str | None = None) -> str:
+        """Merge a delivery over all dates and commit; the existing rows are not shuffled."""
+        existing = self.read()
+        if existing is None:
+            merged = merge_snapshot(None, incoming, self.key, sort_cols, seq=seq, scope="all")
+        else:
+            merged = merge_keyed(existing, incoming, self.key, sort_cols, seq=seq)
+        return self.commit(merged)
+
+
 # ---- append tables -----------------------------------------------------------------------------
 
 COLUMNS = "_columns"            # hidden from Spark's readers, as it starts with an underscore

@@ -15,12 +15,13 @@ from reportflow.plans.ingest import Warehouse, ingest
 from reportflow.session import scratch_path
 from reportflow.sinks.export import write_export
 from reportflow.sinks.ledger import LedgerTable
-from reportflow.sinks.snapshot import SnapshotTable, read_append
+from reportflow.sinks.snapshot import KeyedTable, SnapshotTable, read_append
 from reportflow.sources.reports import scan_reports
 from reportflow.suite import landing
-from reportflow.suite.base import query, recipe, sql_key, with_ctes
+from reportflow.suite.base import ORACLES, query, recipe, sql_key, with_ctes
 from reportflow.suite.files import CELL_REPORT_COLS, CELLS_2G
 from reportflow.suite.ledger_queries import LEDGER, TODAY
+from reportflow.suite.relational import EXISTING, INCOMING
 from reportflow.suite.run_queries import REGION_CELLS, REGIONS
 
 NOW = dt.datetime(2024, 1, 2, 6, 0, 0)
@@ -55,6 +56,19 @@ FROM k WHERE unique_id IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY unique_id, report_date
                            ORDER BY routing_area IS NULL DESC, routing_area DESC, _seq DESC) = 1"""))(q_dated_slices)
 
+# ---- a table in buckets of its key -----------------------------------------------------------------
+
+
+def q_keyed_merge(spark, d):
+    """U1 (scope all): a delivery merged into a table kept in buckets, which is not shuffled for it."""
+    tbl = KeyedTable(spark, scratch_path(spark, "tables", "keyed"), "cust", buckets=8)
+    tbl.merge(recipe(spark, d, EXISTING), ["update_date"])
+    tbl.merge(recipe(spark, d, INCOMING), ["update_date"], seq="file_seq")
+    return tbl.read()
+
+
+query("q_keyed_merge", ORACLES["q_snapshot_upsert_all_dates"])(q_keyed_merge)
+
 # ---- a report whose columns change ---------------------------------------------------------------
 
 SHIFT_ROWS = """
