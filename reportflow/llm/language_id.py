@@ -21,7 +21,7 @@ Defined cases: a text that is null, empty or without a letter is ``und`` with
 score 0; languages without a training text are never predicted; with one
 language only, all other texts get it with score 1; without any training text,
 all get ``und``; repeated rows get equal predictions; an empty table gives an
-empty result.  Only the named columns are read, so other columns may have any name.
+empty result; a text of any length is taken whole, a megabyte at a time.  Only the named columns are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -78,13 +78,35 @@ def ngram_columns(data: np.ndarray, off: np.ndarray) -> np.ndarray:
                      (ONE + TWO + (three >> np.uint32(18))).astype(np.int64)])
 
 
+PIECE = 1 << 20
+
+
+def pieces(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(documents, their starts, columns) of a megabyte of the bytes after the other.
+
+    Every n-gram comes once, whatever document it lies in, so that features can be
+    added up per document in bounded memory, however long a document is.
+    """
+    for s in range(0, len(data), PIECE):
+        e, lo = min(s + PIECE, len(data)), max(s - 2, 0)        # an n-gram reaches two bytes back
+        columns = ngram_columns(data[lo:e], np.unique(np.clip(off, lo, e)) - lo)[:, s - lo:]
+        last = int(np.searchsorted(off, e, side="left"))
+        docs = np.arange(int(np.searchsorted(off, s, side="right")) - 1, last)
+        docs = docs[np.minimum(off[docs + 1], e) > np.maximum(off[docs], s)]
+        yield docs, np.maximum(off[docs], s) - s, columns
+
+
 def has_letter(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Whether each document has a letter in the sense of Unicode."""
-    low = lower(data)
-    ascii_letters = np.concatenate([[0], np.cumsum((low >= 97) & (low <= 122))])[off]
-    wide = np.concatenate([[0], np.cumsum(data >= 128)])[off]
-    out = np.diff(ascii_letters) > 0
-    for i in np.flatnonzero(~out & (np.diff(wide) > 0)):
+    out = np.zeros(len(off) - 1, bool)
+    some = np.flatnonzero(np.diff(off) > 0)
+    if not len(some):
+        return out
+    low = data | np.uint8(32)
+    out[some] = np.maximum.reduceat(((low >= 97) & (low <= 122)).view(np.uint8), off[:-1][some]) > 0
+    wide = np.zeros(len(out), bool)
+    wide[some] = np.maximum.reduceat((data >= 128).view(np.uint8), off[:-1][some]) > 0
+    for i in np.flatnonzero(~out & wide):
         out[i] = any(c.isalpha() for c in data[off[i]:off[i + 1]].tobytes().decode("utf-8", "ignore"))
     return out
 
@@ -95,15 +117,29 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         languages = batch.column(0).to_pylist()
         out: list[list] = [[], [], [], []]
         for a, _, d, o in chunks(data, off):
-            columns, letters = ngram_columns(d, o), has_letter(d, o)
-            for i in np.flatnonzero(letters):
-                counts = np.bincount(columns[:, o[i]:o[i + 1]].ravel(), minlength=WIDTH)
+            letters = has_letter(d, o)
+            open_doc, counts = -1, np.zeros(WIDTH, np.int64)
+
+            def close(i: int, counts: np.ndarray, a=a, o=o) -> None:
                 at = np.flatnonzero(counts)
                 share = (counts[at] / (o[i + 1] - o[i])).astype(np.float32)
                 out[0].append(languages[a + i])
                 out[1].append(at.astype(np.int32).tobytes())
                 out[2].append(share.tobytes())
                 out[3].append(int(o[i + 1] - o[i]))
+
+            for docs, starts, columns in pieces(d, o):
+                ends = np.append(starts[1:], columns.shape[1])
+                for i, s, e in zip(docs.tolist(), starts.tolist(), ends.tolist(), strict=True):
+                    if not letters[i]:
+                        continue
+                    if i != open_doc:
+                        if open_doc >= 0:
+                            close(open_doc, counts)
+                        open_doc, counts = i, np.zeros(WIDTH, np.int64)
+                    counts += np.bincount(columns[:, s:e].ravel(), minlength=WIDTH)
+            if open_doc >= 0:
+                close(open_doc, counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(out[0], pa.string()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary()),
              pa.array(out[3], pa.int64())], ["lang", "cols", "vals", "size"])
@@ -159,11 +195,13 @@ def is_language(model: dict, names: np.ndarray, data: np.ndarray, off: np.ndarra
         return out
     table = np.stack([model["profiles"][x][0] for x in known])
     least = np.array([model["profiles"][x][1] for x in known])
-    columns = ngram_columns(data, off)[2] - ONE - TWO
-    filled = np.flatnonzero(size > 0)
-    total = np.add.reduceat(table[np.repeat(of, size), columns], off[:-1][filled], dtype=np.float64)
-    letters = np.add.reduceat((columns != _BLANK).astype(np.int64), off[:-1][filled])
-    out[filled] = (of[filled] >= 0) & (total / np.maximum(letters, 1) >= least[of[filled]])
+    total, letters = np.zeros(len(size)), np.zeros(len(size), np.int64)
+    for docs, starts, columns in pieces(data, off):
+        columns = columns[2] - ONE - TWO
+        lengths = np.diff(np.append(starts, len(columns)))
+        total[docs] += np.add.reduceat(table[np.repeat(of[docs], lengths), columns], starts, dtype=np.float64)
+        letters[docs] += np.add.reduceat((columns != _BLANK).astype(np.int64), starts)
+    out[some] = total[some] / np.maximum(letters[some], 1) >= least[of[some]]
     return out
 
 
@@ -223,12 +261,9 @@ def predict(model: dict, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray,
     bias = np.array([model["tasks"][t][1] for t in names])
     margin = np.zeros((n, len(names)))
     size = np.diff(off)
-    some = np.flatnonzero(size > 0)
-    if len(some):
-        total = np.zeros((len(data), len(names)), np.float32)
-        for columns in ngram_columns(data, off):
-            total += table[columns]
-        margin[some] = np.add.reduceat(total, off[:-1][some], axis=0, dtype=np.float64)
+    for docs, starts, columns in pieces(data, off):
+        total = table[columns[0]] + table[columns[1]] + table[columns[2]]
+        margin[docs] += np.add.reduceat(total, starts, axis=0, dtype=np.float64)
     margin = margin / np.maximum(size, 1)[:, None] + bias
     at = {t: margin[:, i] for i, t in enumerate(names)}
     families = sorted(model["families"])

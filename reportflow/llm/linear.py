@@ -15,10 +15,28 @@ def held_out(id_col: Column, folds: int, fold: int) -> Column:
 
 
 def sample_bounds(rows: DataFrame, label: str, key: str, size: int) -> dict:
-    """For each label the ``size``-th smallest ``key``: a bound for a repeatable sample."""
-    nth = F.row_number().over(W.partitionBy(label).orderBy(key))
-    top = rows.select(label, key).withColumn("_n", nth).filter(F.col("_n") <= size)
-    return {r[0]: r[1] for r in top.groupBy(label).agg(F.max(key)).collect()}
+    """For each label the ``size``-th smallest ``key``: a bound for a repeatable sample.
+
+    Keys are 64-bit hashes, so the share of them below a threshold is known: of each
+    label only rows below one for about four times ``size`` are ranked, whatever its
+    number of rows; where fewer turn up (equal keys), the threshold is widened.
+    """
+    counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}        # one row per label
+    share = {x: min(1.0, 4.0 * size / n) for x, n in counts.items()}
+    out: dict = {}
+    while share:
+        below = F.lit(False)
+        for x, part in share.items():
+            top = int(part * (1 << 64)) - (1 << 63)
+            mine = F.col(label).eqNullSafe(F.lit(x))
+            below = below | (mine if part >= 1 else mine & (F.col(key) < F.lit(top)))
+        nth = F.row_number().over(W.partitionBy(label).orderBy(key))
+        top_rows = rows.select(label, key).filter(below).withColumn("_n", nth).filter(F.col("_n") <= size)
+        for r in top_rows.groupBy(label).agg(F.max(key).alias("k"), F.count(F.lit(1)).alias("n")).collect():
+            if r["n"] >= min(size, counts[r[0]]):
+                out[r[0]] = r["k"]
+        share = {x: min(1.0, 4 * part) for x, part in share.items() if x not in out}
+    return out
 
 
 def fit_svm(values: np.ndarray, columns: np.ndarray, offsets: np.ndarray, signs: np.ndarray,

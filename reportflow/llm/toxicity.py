@@ -3,9 +3,11 @@
 Features are the distinct 3- to 5-byte n-grams of the lower-cased text, hashed
 into 2**20 columns.  Spark counts, over all labelled training rows, in how many
 toxic and other documents each column occurs; the log of the ratio of the two
-smoothed shares scales the column (Wang and Manning's NB-SVM).  The columns whose
-ratio is best supported are kept, a linear SVM is fitted on them, its weights are
-interpolated with their mean, and a sigmoid turns margins into probabilities.
+smoothed shares scales the column (Wang and Manning's NB-SVM).  Columns whose shares
+differ by at least ``errors`` standard errors over five documents or more are kept,
+as many as there are; the others tell the labels no better than chance and have
+weight 0.  A linear SVM is fitted on the kept ones, its weights are interpolated with
+their mean, and a sigmoid turns margins into probabilities.
 
 Only the fit of the SVM and the sigmoid sees a sample: at most ``per_class``
 texts of either label, those with the smallest hashed ids; the sigmoid weighs
@@ -15,7 +17,7 @@ Defined cases: a null text counts as empty; an empty text scores like a text
 without any kept n-gram; with labels of one kind only, or none, every text gets
 the share of toxic labels (0 without labels); a document labelled more than once
 is toxic if any label says so; null labels are ignored; an empty table gives an
-empty result.  Only the named columns are read, so other columns may have any name.
+empty result; a text of any length is taken whole, a megabyte at a time.  Only the named columns are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ WIDTH_BITS = 20
 WIDTH = 1 << WIDTH_BITS
 ORDERS = (3, 4, 5)
 _SLICES = 64
+PIECE = 2 << 20
 
 
 def ngram_columns(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -54,6 +57,17 @@ def ngram_columns(data: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarra
 
 def _distinct(data: np.ndarray, off: np.ndarray, keep: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (document, column) pairs; ``keep`` maps columns to kept ones or -1."""
+    if len(off) == 2 and len(data) > PIECE:             # a long text: the columns of one piece after the other
+        found = np.zeros(WIDTH, bool)
+        for s in range(0, len(data), PIECE):
+            part = data[s:s + PIECE + max(ORDERS) - 1]
+            for at, col in ngram_columns(part, np.array([0, len(part)])):
+                found[col[at < PIECE]] = True
+        col = np.flatnonzero(found)
+        if keep is not None:
+            col = np.unique(keep[col])
+            col = col[col >= 0].astype(np.int64)
+        return np.zeros(len(col), np.int64), col
     docs, cols = [], []
     for at, col in ngram_columns(data, off):
         if keep is not None:
@@ -123,16 +137,13 @@ def log_count_ratios(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, int,
 
 
 def choose_columns(clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic: int,
-                   features: int) -> tuple[np.ndarray, np.ndarray]:
-    """Kept columns and their log-count ratios: the largest ratio in standard errors."""
+                   errors: float) -> tuple[np.ndarray, np.ndarray]:
+    """Kept columns and their log-count ratios."""
     ratio = (np.log((toxic + 1) / (toxic.sum() + WIDTH)) - np.log((clean + 1) / (clean.sum() + WIDTH)))
     p, q = toxic / n_toxic, clean / n_clean
     both = (toxic + clean) / (n_toxic + n_clean)
     error = np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / n_toxic + 1 / n_clean))
-    z = np.where(toxic + clean >= 5, np.abs(p - q) / error, 0)
-    kept = np.flatnonzero(z >= 4)
-    if len(kept) > features:
-        kept = np.sort(kept[np.argsort(-z[kept], kind="stable")[:features]])
+    kept = np.flatnonzero((toxic + clean >= 5) & (np.abs(p - q) / error >= errors))
     return kept, ratio[kept]
 
 
@@ -143,7 +154,7 @@ def _labelled(texts: DataFrame, marks: DataFrame) -> DataFrame:
                        F.col("_id") == F.col("_lid")).select("key", "toxic", "text")
 
 
-def train(texts: DataFrame, marks: DataFrame, per_class: int = 3000, features: int = 1 << 14,
+def train(texts: DataFrame, marks: DataFrame, per_class: int = 3000, errors: float = 4.0,
           mean_share: float = 0.25) -> dict:
     """Model from texts (_id, key, text) and marks (_lid, key, toxic).
 
@@ -154,7 +165,7 @@ def train(texts: DataFrame, marks: DataFrame, per_class: int = 3000, features: i
         share = n_toxic / (n_clean + n_toxic) if n_clean + n_toxic else 0.0
         return {"kept": np.zeros(0, np.int64), "weights": np.zeros(0), "bias": 0.0, "a": 0.0,
                 "b": 50.0 if share == 1 else -50.0}
-    kept, ratio = choose_columns(clean, toxic, n_clean, n_toxic, features)
+    kept, ratio = choose_columns(clean, toxic, n_clean, n_toxic, errors)
     keep = np.full(WIDTH, -1, np.int32)
     keep[kept] = np.arange(len(kept))
     within = F.lit(False)
@@ -196,7 +207,7 @@ def train(texts: DataFrame, marks: DataFrame, per_class: int = 3000, features: i
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    label_col: str = "toxic", folds: int = 5, per_class: int = 3000,
-                   features: int = 1 << 14) -> DataFrame:
+                   errors: float = 4.0) -> DataFrame:
     """One row per document: (id, held_out, score, predicted).
 
     Learns from documents labelled in ``labels`` whose crc32 of the id modulo
@@ -209,7 +220,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     texts = docs.filter(~held_out(F.col(id_col), folds, 0)).select(
         F.col(id_col).alias("_id"), F.xxhash64(F.col(id_col).cast("string"), F.lit(3)).alias("key"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    model = train(texts, marks, per_class, features)
+    model = train(texts, marks, per_class, errors)
     keep = np.full(WIDTH, -1, np.int32)
     keep[model["kept"]] = np.arange(len(model["kept"]))
     weights, kind = model["weights"], docs.schema[id_col].dataType.simpleString()
