@@ -1,5 +1,6 @@
 """Training-data operators: language ID, toxicity, mixing, deduplication,
-packing, language-model scoring and personal data.
+packing, language-model scoring, personal data, secrets, spelling variants and
+conversation repair.
 
 Every module holds one operator with a general interface; ``queries`` holds the
 thin registered queries over the test tables and their SQL.

@@ -18,6 +18,7 @@ from reportflow.llm.language_id import identify
 from reportflow.llm.language_model import score_texts
 from reportflow.llm.mixing import mix_sources
 from reportflow.llm.ngram_join import near_duplicates as near_shingles
+from reportflow.llm.oracles import EMBEDDING_SQL, NGRAM_SQL, REPAIR_SQL, SPELLING_SQL
 from reportflow.llm.packing import pack_documents
 from reportflow.llm.personal_data import find_personal_data
 from reportflow.llm.repeated_passages import repeated_passages
@@ -138,13 +139,13 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("spans"))
 
 
-@_register("op7_embedding_dedup")
+@_register("op7_embedding_dedup", EMBEDDING_SQL)
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings at cosine 0.93 or more within a label."""
     return near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
-@_register("op5_ngram_join")
+@_register("op5_ngram_join", NGRAM_SQL)
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents at a Jaccard similarity of 0.75 on five-word shingles."""
     return near_shingles(_table(spark, sf_dir, "documents"))
@@ -186,54 +187,6 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(_spans(F.col("base")), 256).alias("base_sha256"), _spans(every).alias("spans"))
 
 
-# crc32 by its rule, a byte at a time; a letter is one byte, or U+00C3's lead byte and one more.
-SPELLING_SQL = r"""
-WITH RECURSIVE crc AS (
-  SELECT list(v ORDER BY i) AS t FROM (
-    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
-      CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
-    FROM (SELECT unnest(range(0, 256))::BIGINT AS i))),
-runs AS (
-  SELECT doc_id, run, count(*) AS k FROM (
-    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')),
-      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
-  GROUP BY ALL),
-hashed AS (
-  SELECT run, k, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
-      string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
-      lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c)::BIGINT - 64] END))),
-    lambda c, x: xor(t[1 + (xor(c, x) & 255)], c >> 8))) AS h
-  FROM runs, crc),
-words AS (
-  SELECT word, sum(k)::BIGINT AS n FROM (
-    SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run) + 2)::INT)
-                ELSE run END AS word, k FROM hashed)
-  WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
-places AS (SELECT word, n, unnest(range(0, length(word)))::INT AS i FROM words),
-cuts AS (SELECT word, n, i, left(word, i) AS head, substr(word, i + 2) AS tail FROM places),
-pairs AS (
-  SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS m FROM cuts a JOIN cuts b
-    ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
-  UNION SELECT c.word, c.n, w.word, w.n FROM cuts c JOIN words w ON w.word = c.head || c.tail
-  UNION SELECT w.word, w.n, c.word, c.n FROM cuts c JOIN words w ON w.word = c.head || c.tail),
-best AS (
-  SELECT word, any_value(n) AS n, count(*) AS n_near, min(struct_pack(m := -m, other := other)) AS b
-  FROM pairs GROUP BY word),
-formed AS (
-  SELECT w.word, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near,
-         CASE WHEN -b.b.m >= 5 * w.n THEN b.b.other END AS form,
-         CASE WHEN -b.b.m >= 5 * w.n THEN -b.b.m END AS form_n
-  FROM words w LEFT JOIN best b ON w.word = b.word),
-chain AS (
-  SELECT word, word AS at FROM formed
-  UNION SELECT c.word, f.form FROM chain c JOIN formed f ON c.at = f.word WHERE f.form IS NOT NULL),
-roots AS (
-  SELECT c.word, c.at AS root FROM chain c JOIN formed f ON c.at = f.word WHERE f.form IS NULL)
-SELECT f.word, f.form, r.root, f.n::BIGINT AS n, f.n_near, f.form_n::BIGINT AS form_n
-FROM formed f JOIN roots r ON f.word = r.word
-"""
-
-
 @_register("op12_spelling_variants", SPELLING_SQL)
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents with their more frequent neighbours a single edit away."""
@@ -252,7 +205,7 @@ def damaged(rows: DataFrame) -> DataFrame:
                     text.alias("text"), copies.alias("copy")).drop("copy")
 
 
-@_register("op13_conversation_repair")
+@_register("op13_conversation_repair", REPAIR_SQL)
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults of all damaged conversations and their cheapest repair."""
     rows = _table(spark, sf_dir, "conversations")
