@@ -1,6 +1,7 @@
 """The registered queries on whole small tables, against their SQL or brute force."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -40,8 +41,13 @@ def test_sql(spark, con, name):
     want = con.sql(ORACLES[name]).df()
     got = QUERIES[name](spark, SF).toPandas()[list(want.columns)]
     keys = list(want.columns)
-    got, want = (x.sort_values(keys, ignore_index=True) for x in (got, want))
-    assert got.astype(str).equals(want.astype(str))
+    def plain(v):           # pandas has several nulls, and makes longs with nulls doubles
+        if pd.isna(v):
+            return ""
+        return str(int(v)) if isinstance(v, float) and v.is_integer() else str(v)
+
+    got, want = (x.map(plain).sort_values(keys, ignore_index=True) for x in (got, want))
+    assert got.equals(want)
 
 
 def test_language_id_and_toxicity(spark, con, docs):
