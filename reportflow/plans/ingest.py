@@ -52,7 +52,6 @@ from reportflow.sinks.snapshot import KeyedTable, SnapshotTable, append_table
 from reportflow.session import hadoop_fs
 from reportflow.sources.archive import member_is_safe, stage_members
 from reportflow.sources.reports import BAD, PATH, list_files, literal, marked_scan
-from reportflow.spec import DERIVED
 
 LOG = logging.getLogger(__name__)
 
@@ -303,11 +302,6 @@ def _scan(spark: SparkSession, landed: Landed, file_name: str, preamble: int, fa
     return Scan(spark.read.schema(rows.drop(BAD).schema).parquet(path), set(wanted), columns)
 
 
-def _required(spec) -> tuple[str, ...]:
-    """Source columns of a report's contract."""
-    return tuple(dict.fromkeys(c.source for c in spec.columns if c.source != DERIVED))
-
-
 # Columns that the pipelines read beside those of the contracts.
 SIDE_COLUMNS = {
     "3G_RNC_List.csv": ("bsc_name", "node_id"),
@@ -352,7 +346,7 @@ def scan_family(spark: SparkSession, family: str, deliveries: list,
                     failed.add(d)
         for name in dict.fromkeys([*S.NETWORK_FILES, *SIDE_COLUMNS]):
             spec = S.REGISTRY.get(name)
-            required = SIDE_COLUMNS.get(name) or (_required(spec) if spec else ())
+            required = SIDE_COLUMNS.get(name) or (tuple(P.contract_columns(spec)) if spec else ())
             if name == CELLS_4G:
                 required = ()           # its contract is met together with the CO-MPT list's columns
             scan(name, name, 0 if name == S.NODEB_INFO else 1, required=required,
@@ -363,18 +357,18 @@ def scan_family(spark: SparkSession, family: str, deliveries: list,
             own, other = scans[CELLS_4G].columns, scans.get(CO_MPT_CELLS)
             for d, columns in own.items():
                 both = columns | (other.columns.get(d, set()) if other else set())
-                if not set(_required(S.CELL_4G)) <= both:
+                if not set(P.contract_columns(S.CELL_4G)) <= both:
                     LOG.error("delivery %s: %s lacks a contract column", d, CELLS_4G)
                     failed.add(d)
     elif family == "EXTERNALS":
         known = {s.file_name: s for s in S.REGISTRY.for_family("EXTERNALS")}
         for name, spec in known.items():
             _, id_parts, key_parts = S.EXTERNAL_KEYS[name]
-            scan(name, name, 1, required=(*_required(spec), *id_parts, *key_parts))
+            scan(name, name, 1, required=(*P.contract_columns(spec), *id_parts, *key_parts))
         scan("*", "*", 1, without=tuple(known))
     else:
         options = {"PKI": (0, {}), "HCMD": (2, {"footer": 1, "sep": ","})}.get(family, (0, {}))
-        required = {"PKI": _required(S.PKI), "HCMD": P.LOG_COLUMNS}.get(family, ())
+        required = {"PKI": P.contract_columns(S.PKI), "HCMD": P.LOG_COLUMNS}.get(family, ())
         scan("*", "*", options[0], required=required, **options[1])
     _run_all(tasks)
     if family in ("PKI", "HCMD"):

@@ -28,7 +28,7 @@ from reportflow.operators.setops import append
 from reportflow.plans import specs as S
 from reportflow.sinks.snapshot import SnapshotTable
 from reportflow.sources.reports import FILE, PATH, SEQ, file_prefix
-from reportflow.spec import ReportSpec
+from reportflow.spec import DERIVED, ReportSpec
 
 ORDER = "__seq"
 META = (FILE, PATH, SEQ)
@@ -50,14 +50,26 @@ def _v(value) -> Column:
 
 
 def _ensure(df: DataFrame, cols) -> DataFrame:
-    """Add absent columns as null text (a report may omit optional columns)."""
+    """Add absent columns as null text (those that no contract asks for)."""
     missing = [c for c in cols if c not in df.columns]
     return df.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else df
 
 
-def _sources(df: DataFrame, spec: ReportSpec, *extra: str) -> DataFrame:
-    """The report with every source column of ``spec`` (and ``extra``) present."""
-    return _ensure(df, [c.source for c in spec.columns if c.source != "*"] + list(extra))
+class MissingColumns(ValueError):
+    """A report lacks columns of its contract."""
+
+
+def contract_columns(spec: ReportSpec) -> list[str]:
+    """Source columns that a report must have."""
+    return list(dict.fromkeys(c.source for c in spec.columns if c.source != DERIVED))
+
+
+def _sources(df: DataFrame, spec: ReportSpec, *optional: str) -> DataFrame:
+    """The report, which must have every source column of ``spec``; absent ``optional`` ones are null."""
+    missing = [c for c in contract_columns(spec) if c not in df.columns]
+    if missing:
+        raise MissingColumns(f"{spec.file_name} lacks {missing}")
+    return _ensure(df, optional)
 
 
 def _order(*parts) -> Column:
@@ -67,6 +79,7 @@ def _order(*parts) -> Column:
 
 def _finish(spec: ReportSpec, df: DataFrame, oss, report_date, order: Column,
             by: tuple[str, ...] = ()) -> Staged:
+    df = _sources(df, spec)
     stamped = {}
     if oss is not None and "oss" in spec.table_columns:
         stamped["oss"] = _v(oss)
@@ -257,7 +270,10 @@ def external(spec: ReportSpec, df: DataFrame, oss, report_date,
              by: tuple[str, ...] = ()) -> Staged:
     """CGI/ECGI and key from the raw headers, null keys dropped."""
     id_name, id_parts, key_parts = S.EXTERNAL_KEYS[spec.file_name]
-    t = _ensure(df, [*id_parts, *key_parts])
+    t = _sources(df, spec)
+    lacking = [c for c in (*id_parts, *key_parts) if c not in t.columns]
+    if lacking:
+        raise MissingColumns(f"{spec.file_name} lacks {lacking}")
     t = t.withColumns({id_name: composite_key(*id_parts), "unique_id": composite_key(*key_parts)})
     t = drop_null_keys(t, ["unique_id"])
     return _finish(spec, t, oss, report_date, _order(SEQ), by)
@@ -299,7 +315,7 @@ def command_log(logs: DataFrame, insert_time: dt.datetime, keep: tuple[str, ...]
 
 def pki(report: DataFrame, insert_time: dt.datetime, by: tuple[str, ...] = ()) -> Staged:
     """Certificate inventory, null site dropped, merged over all dates."""
-    t = drop_null_keys(_ensure(report, ["site_name"]), ["site_name"])
+    t = drop_null_keys(_sources(report, S.PKI), ["site_name"])
     t = t.withColumn("insert_time", F.lit(insert_time.strftime("%Y-%m-%d %H:%M:%S")))
     spec = S.PKI
     # several certificate files in one delivery: a later file (by name) beats an earlier one

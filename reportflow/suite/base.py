@@ -15,6 +15,9 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from reportflow.spec import DERIVED, ReportSpec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,6 +47,13 @@ def recipe(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(sql, **{n: table(spark, sf_dir, n) for n in names})
 
 
+def reported(df: DataFrame, spec: ReportSpec, *others: DataFrame) -> DataFrame:
+    """Recipe rows as a whole report: contract columns that the recipe leaves out (and ``others`` lack) are null."""
+    have = {c for x in (df, *others) for c in x.columns}
+    absent = [c.source for c in spec.columns if c.source != DERIVED and c.source not in have]
+    return df.withColumns({c: F.lit(None).cast("string") for c in dict.fromkeys(absent)}) if absent else df
+
+
 def duck(sql: str) -> str:
     """The recipe text for DuckDB (placeholders become the registered views)."""
     return _PLACEHOLDER.sub(r"\1", sql)

@@ -23,7 +23,7 @@ from reportflow.sources import archive
 from reportflow.sources.reports import FILE, NA_TOKENS, scan_reports
 from reportflow.streaming.inbox import consume_once
 from reportflow.suite import landing
-from reportflow.suite.base import (NOT_WORD, SPACE, WORD, duck, query, recipe, sql_key, sql_trim,
+from reportflow.suite.base import (NOT_WORD, SPACE, WORD, duck, query, recipe, reported, sql_key, sql_trim,
                                    table, with_ctes)
 from reportflow.suite.scalars import ORG_CMD
 
@@ -266,7 +266,7 @@ FROM (SELECT *, o_orderkey - o_orderkey % 2 AS pair FROM {orders}) o
 
 
 def _cells_2g_table(spark, d):
-    staged = pipelines.cell_2g(recipe(spark, d, CELLS_2G), "REGION_A", "2024-01-02")
+    staged = pipelines.cell_2g(reported(recipe(spark, d, CELLS_2G), S.CELL_2G), "REGION_A", "2024-01-02")
     spec = staged.spec
     return merge_snapshot(None, staged.rows, key=f"{spec.table}_unique_id",
                           sort_cols=[f"{spec.table}_update_date"], seq=pipelines.ORDER)
@@ -301,7 +301,7 @@ query("q_cells_2g", _cells_oracle(
 
 def q_readable_export(spark, d):
     """U1+P7+U5: cells merged into a snapshot table, relabelled, written as headed CSV."""
-    staged = pipelines.cell_2g(recipe(spark, d, CELLS_2G), "REGION_A", "2024-01-02")
+    staged = pipelines.cell_2g(reported(recipe(spark, d, CELLS_2G), S.CELL_2G), "REGION_A", "2024-01-02")
     tbl = SnapshotTable(spark, scratch_path(spark, "tables", staged.spec.table))
     current = pipelines.load(staged, tbl, report_date="2024-01-02")
     readable = pipelines.export(current, staged.spec)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from reportflow.operators.upsert import merge_snapshot
 from reportflow.plans import ingest, pipelines as P, specs as S
 from reportflow.spec import DERIVED
-from reportflow.suite.base import (query, recipe, sql_digits, sql_key, sql_strip_zeros,
+from reportflow.suite.base import (query, recipe, reported, sql_digits, sql_key, sql_strip_zeros,
                                    sql_sw_merge, with_ctes)
 from reportflow.suite.ledger_queries import LEDGER
 
@@ -75,7 +75,7 @@ FROM {nation}
 def q_parent(spark, d):
     """BSC list with the RNC list appended (node id as OSP code), last row per name."""
     bsc = recipe(spark, d, BSC).withColumnRenamed("osp_code", "osp_code[whole_number]")
-    return _merged(P.parent(bsc, recipe(spark, d, RNC), OSS, DATE))
+    return _merged(P.parent(reported(bsc, S.PARENT), recipe(spark, d, RNC), OSS, DATE))
 
 
 query("q_parent", with_ctes({"b": BSC, "r": RNC}, f"""
@@ -103,7 +103,7 @@ FROM {orders}
 def q_trx_2g(spark, d):
     """2G TRX; four-part key, first row per key (the second Cell Index column of the
     report arrives as ``cell_index1``, as the scan names a duplicated header)."""
-    return _merged(P.trx_2g(recipe(spark, d, TRX), OSS, DATE))
+    return _merged(P.trx_2g(reported(recipe(spark, d, TRX), S.TRX_2G), OSS, DATE))
 
 
 _TRX_COLS = {"bsc_name", "bts_name", "cell_name", "cell_index", "cell_index1", "is_main_bcch_trx",
@@ -141,7 +141,7 @@ FROM {orders}
 
 def q_sites_3g(spark, d):
     """3G sites with CO-MPT 3G (different key names) and NodeB Info (shared key)."""
-    return _merged(P.site_3g(recipe(spark, d, SITES_3G), recipe(spark, d, CO_MPT_3G),
+    return _merged(P.site_3g(reported(recipe(spark, d, SITES_3G), S.SITE_3G), recipe(spark, d, CO_MPT_3G),
                              recipe(spark, d, NODEB_INFO_3G), OSS, DATE))
 
 
@@ -178,7 +178,7 @@ FROM {orders}
 
 def q_cells_3g(spark, d):
     """3G cells keyed by RNC and CGI; last row per key."""
-    return _merged(P.cell_3g(recipe(spark, d, CELLS_3G), OSS, DATE))
+    return _merged(P.cell_3g(reported(recipe(spark, d, CELLS_3G), S.CELL_3G), OSS, DATE))
 
 
 query("q_cells_3g", with_ctes({"c": CELLS_3G}, f"""
@@ -211,7 +211,7 @@ FROM {supplier}
 
 def q_sites_4g(spark, d):
     """4G sites plus the CO-MPT list appended; first row per (oss, NE name)."""
-    return _merged(P.site_4g(recipe(spark, d, SITES_4G), recipe(spark, d, CO_MPT_4G), OSS, DATE))
+    return _merged(P.site_4g(reported(recipe(spark, d, SITES_4G), S.SITE_4G), recipe(spark, d, CO_MPT_4G), OSS, DATE))
 
 
 query("q_sites_4g", with_ctes({"s": SITES_4G, "c": CO_MPT_4G}, f"""
@@ -252,8 +252,8 @@ FROM {customer}
 
 def q_cells_4g(spark, d):
     """4G cells naturally joined with the CO-MPT cell list; ECGI = mcc-mnc-(eNB*256+cell)."""
-    return _merged(P.cell_4g(recipe(spark, d, CELLS_4G), recipe(spark, d, CO_MPT_CELLS_4G),
-                             OSS, DATE))
+    co = recipe(spark, d, CO_MPT_CELLS_4G)
+    return _merged(P.cell_4g(reported(recipe(spark, d, CELLS_4G), S.CELL_4G, co), co, OSS, DATE))
 
 
 query("q_cells_4g", with_ctes({"l": CELLS_4G, "r": CO_MPT_CELLS_4G}, f"""
@@ -287,7 +287,7 @@ FROM {supplier}
 
 def q_sites_5g(spark, d):
     """5G sites; software merge, key oss-NE name, site number from the last five characters."""
-    return _merged(P.site_5g(recipe(spark, d, SITES_5G), OSS, DATE))
+    return _merged(P.site_5g(reported(recipe(spark, d, SITES_5G), S.SITE_5G), OSS, DATE))
 
 
 query("q_sites_5g", with_ctes({"s": SITES_5G}, f"""
@@ -310,7 +310,7 @@ FROM {orders}
 
 def q_cells_5g(spark, d):
     """5G cells; NCGI = gNB*256 + NR cell, key gNB function-oss-NCGI."""
-    return _merged(P.cell_5g(recipe(spark, d, CELLS_5G), OSS, DATE))
+    return _merged(P.cell_5g(reported(recipe(spark, d, CELLS_5G), S.CELL_5G), OSS, DATE))
 
 
 query("q_cells_5g", with_ctes({"c": CELLS_5G}, f"""
@@ -351,10 +351,10 @@ def q_externals(spark, d):
     rows = recipe(spark, d, EXTERNAL_ROWS)
     out = None
     for spec in _EXT_SPECS:
-        id_name = S.EXTERNAL_KEYS[spec.file_name][0]
-        own = {c.source for c in spec.columns}        # a report file carries its own headers only
+        id_name, id_parts, key_parts = S.EXTERNAL_KEYS[spec.file_name]
+        own = {c.source for c in spec.columns} | {*id_parts, *key_parts}    # a report carries its own headers only
         report = rows.select("_seq", *[c for c in rows.columns if c in own])
-        m = _merged(P.external(spec, report, OSS, DATE)).select(
+        m = _merged(P.external(spec, reported(report, spec), OSS, DATE)).select(
             F.lit(spec.table).alias("report_table"),
             F.col(f"{spec.table}_unique_id").alias("unique_id"),
             F.col(f"{spec.table}_{id_name}").alias("cell_global_id"),
@@ -399,7 +399,7 @@ FROM {supplier}
 def q_pki(spark, d):
     """Certificates merged over all dates by site; latest insert time wins."""
     spec = S.PKI
-    staged = P.pki(recipe(spark, d, PKI_INCOMING), NOW)
+    staged = P.pki(reported(recipe(spark, d, PKI_INCOMING), S.PKI), NOW)
     existing = recipe(spark, d, PKI_EXISTING)
     for c in spec.table_columns:
         if c not in existing.columns:

@@ -6,9 +6,10 @@ from __future__ import annotations
 from reportflow.operators import dedup, gates, joins, project, setops
 from reportflow.operators.upsert import merge_snapshot
 from reportflow.plans import pipelines
+from reportflow.plans import specs as S
 from reportflow.sinks.snapshot import append_table
 from reportflow.session import scratch_path
-from reportflow.suite.base import (query, recipe, sql_digits, sql_key, sql_sw_merge, table,
+from reportflow.suite.base import (query, recipe, reported, sql_digits, sql_key, sql_sw_merge, table,
                                    with_ctes)
 
 # ---- slices and projection (orders) -------------------------------------------------------
@@ -140,7 +141,7 @@ FROM {orders}
 
 def q_site_reconcile(spark, d):
     """J1+P6+F1+O2 (2G sites): enrichment by differently named keys, first row per BTS."""
-    staged = pipelines.site_2g(recipe(spark, d, SITES_2G), recipe(spark, d, CO_MPT_2G),
+    staged = pipelines.site_2g(reported(recipe(spark, d, SITES_2G), S.SITE_2G), recipe(spark, d, CO_MPT_2G),
                                "REGION_A", "2024-01-02")
     return staged.rows.drop(pipelines.ORDER)
 

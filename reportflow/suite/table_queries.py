@@ -18,7 +18,7 @@ from reportflow.sinks.ledger import LedgerTable
 from reportflow.sinks.snapshot import KeyedTable, SnapshotTable, read_append
 from reportflow.sources.reports import scan_reports
 from reportflow.suite import landing
-from reportflow.suite.base import ORACLES, query, recipe, sql_key, with_ctes
+from reportflow.suite.base import ORACLES, query, recipe, reported, sql_key, with_ctes
 from reportflow.suite.files import CELL_REPORT_COLS, CELLS_2G
 from reportflow.suite.ledger_queries import LEDGER, TODAY
 from reportflow.suite.relational import EXISTING, INCOMING
@@ -37,7 +37,7 @@ DAYS = ("2024-01-02", "2024-01-03", "2024-02-01")
 def q_dated_slices(spark, d):
     """S9+F5+D4: cells of three report dates in one table; two of the dates read by partition."""
     tbl = SnapshotTable(spark, scratch_path(spark, "tables", "dated"))
-    cells = recipe(spark, d, DATED_CELLS)
+    cells = reported(recipe(spark, d, DATED_CELLS), S.CELL_2G)
     for i, day in enumerate(DAYS):
         staged = pipelines.cell_2g(cells.where(F.col("day") == i).drop("day"), "REGION_A", day)
         pipelines.load(staged, tbl, report_date=day)
@@ -140,7 +140,7 @@ FROM l"""))(q_ledger_runs)
 
 def q_ordered_export(spark, d):
     """O1+U5: the cell export read back file by file in the order of the names; place of every row."""
-    staged = pipelines.cell_2g(recipe(spark, d, CELLS_2G), "REGION_A", "2024-01-02")
+    staged = pipelines.cell_2g(reported(recipe(spark, d, CELLS_2G), S.CELL_2G), "REGION_A", "2024-01-02")
     rows = staged.rows.withColumn("__key", F.col(f"{CELL}unique_id")).withColumn("__rac", F.col(f"{CELL}rac"))
     out = pipelines.export(rows, staged.spec, keep=("__key", "__rac", pipelines.ORDER))
     root = scratch_path(spark, "exports")

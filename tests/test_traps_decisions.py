@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows, write_report
@@ -41,11 +42,13 @@ def test_t4_python_regex_meaning(spark):
 
 
 def test_t5_empty_report_is_a_noop(spark, tmp_path):
-    write_report(str(tmp_path / "r" / "e.csv"), ["Report", "mcc,mnc,cell_lac,cell_ci,bsc_name"])
+    write_report(str(tmp_path / "r" / "e.csv"), ["Report", ",".join(P.contract_columns(S.CELL_2G))])
     got = scan_reports(spark, str(tmp_path / "r"), preamble=1)
     assert got.count() == 0
     staged = P.cell_2g(got, "REGION_A", "2024-01-02")
     assert staged.rows.count() == 0
+    with pytest.raises(P.MissingColumns, match="mnc"):          # a report without a contract column is an error
+        P.cell_2g(got.drop("mnc"), "REGION_A", "2024-01-02")
 
 
 def test_t6_new_snapshot_never_overwrites_the_one_read(spark, tmp_path):
