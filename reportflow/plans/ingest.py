@@ -196,7 +196,7 @@ class Landed:
     unsafe: set                 # deliveries that cannot be taken
 
 
-def _listing(spark: SparkSession, deliveries: list) -> Landed:
+def _listing(spark: SparkSession, deliveries: list, staging: str) -> Landed:
     """Files and archive members of the deliveries (one listing per folder, one row per archive).
 
     An archive with a member that leaves its folder makes its delivery fail.
@@ -215,7 +215,7 @@ def _listing(spark: SparkSession, deliveries: list) -> Landed:
             else:
                 found.append(Found(path, path.rsplit("/", 1)[-1], d["delivery"]))
     if archives:
-        members = stage_members(spark, [literal(p) for p in archives])
+        members = stage_members(spark, [literal(p) for p in archives], f"{staging}/members-{uuid.uuid4().hex}")
         name = F.element_at(F.split("member", "/"), -1).alias("name")
         per_name = members.groupBy("archive", name).agg(
             F.count(F.lit(1)).alias("n"), F.min(member_is_safe(F.col("member"), "archive")).alias("safe"))
@@ -323,7 +323,7 @@ CELL_IDS = {"4G_Cell_List.csv": ("enodeb_id", "cell_id"), "5G_Cell_List.csv": ("
 def scan_family(spark: SparkSession, family: str, deliveries: list,
                 staging: str) -> tuple[dict[str, Scan], set]:
     """Scans per report file of a family, and the deliveries that fail validation."""
-    landed = _listing(spark, deliveries)
+    landed = _listing(spark, deliveries, staging)
     files, failed = landed.files, landed.unsafe
     scans: dict[str, Scan] = {}
     tasks: list[Callable[[], None]] = []

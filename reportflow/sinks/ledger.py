@@ -7,7 +7,8 @@ what a run writes does not grow with the ledger's history.  Reading applies each
 mark to the pending rows of its own and earlier segments, which is what rewriting
 their ``email_sent`` would give.  ``compact`` folds segments into one.
 
-There is one writer at a time, as for snapshot tables.
+There is one writer at a time, as for snapshot tables.  A ledger that was kept as a
+snapshot table before stands for what came before the first segment.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 
 from reportflow.operators import ledger
 from reportflow.session import hadoop_fs
+from reportflow.sinks.snapshot import SnapshotTable
 
 PREFIX = "seg-"
 SEGMENT = "segment"
@@ -51,10 +53,13 @@ class LedgerTable:
 
     def read(self) -> DataFrame | None:
         """All rows, with ``email_sent`` as the marks leave it."""
-        names = self.segments()
-        if not names:
+        names, old = self.segments(), self._before_segments()
+        if not names and old is None:
             return None
-        rows = self.spark.read.schema(_ROWS).parquet(*[f"{self.root}/{n}/rows" for n in names])
+        rows = old
+        if names:
+            rows = self.spark.read.schema(_ROWS).parquet(*[f"{self.root}/{n}/rows" for n in names])
+            rows = rows if old is None else rows.unionByName(old)
         fs, _ = hadoop_fs(self.spark, self.root)
         marked = [p for p in (f"{self.root}/{n}/marks" for n in names) if fs.exists(hadoop_fs(self.spark, p)[1])]
         if marked:
@@ -67,6 +72,12 @@ class LedgerTable:
             rows = rows.withColumn("email_sent", F.when(sent, F.lit(1)).otherwise(F.col("email_sent")).cast("int"))
         return rows.select(*ledger.LEDGER_SCHEMA.names)
 
+    def _before_segments(self) -> DataFrame | None:
+        if any(n.endswith("-base") for n in self.segments()):
+            return None                     # folded in
+        old = SnapshotTable(self.spark, self.root).read()
+        return None if old is None else old.select(*ledger.LEDGER_SCHEMA.names, F.lit(0).cast("bigint").alias(SEGMENT))
+
     def append(self, rows: DataFrame, today: dt.date | None = None, threshold: int = ledger.READY_THRESHOLD,
                reports: tuple[str, ...] | None = None, tag: str | None = None) -> None:
         """Commit a run's rows; with ``today``, also mark the reports that reached the threshold."""

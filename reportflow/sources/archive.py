@@ -85,12 +85,15 @@ def _slices(batches):
                         ["archive", "member", "method", "crc", "data"])
 
 
-def stage_members(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(archive, member, method, crc, data): compressed members of ZIP files, read once and dealt."""
+def stage_members(spark: SparkSession, paths: list[str], staged: str | None = None) -> DataFrame:
+    """(archive, member, method, crc, data): compressed members of ZIP files, read once and dealt.
+
+    They are written to ``staged``, or else to a folder of their own in the scratch folder.
+    """
     raw = (spark.read.format("binaryFile").load(paths)
            .select(F.col("_metadata.file_path").alias("path"), "content"))
     found = raw.mapInArrow(_slices, "archive string, member string, method int, crc bigint, data binary")
-    staged = scratch_path(spark, "members")
+    staged = staged or scratch_path(spark, "members")
     found.repartition("archive", "member").write.parquet(staged)
     return spark.read.schema(found.schema).parquet(staged)
 

@@ -163,6 +163,17 @@ def test_ledger_writes_do_not_grow_with_history(spark, tmp_path):
     assert abs(third - second) < 1000 and second < first / 3      # a mark more
 
 
+def test_a_ledger_kept_as_snapshots_goes_on(spark, tmp_path):
+    SnapshotTable(spark, str(tmp_path / "l")).commit(run_rows(spark, ("PKI", "A", True)))
+    led = LedgerTable(spark, str(tmp_path / "l"))
+    assert led.read().count() == 1
+    led.append(run_rows(spark, ("PKI", "B", True)), TODAY, 2, ("PKI",))
+    assert [r.email_sent for r in led.read().collect()] == [1, 1]
+    led.append(run_rows(spark, ("PKI", "C", True)))
+    led.compact()
+    assert sorted((r.report_oss, r.email_sent) for r in led.read().collect()) == [("A", 1), ("B", 1), ("C", 0)]
+
+
 def test_an_unfinished_segment_is_not_read(spark, tmp_path):
     led = LedgerTable(spark, str(tmp_path / "l"))
     led.append(run_rows(spark, ("PKI", "A", True)))
