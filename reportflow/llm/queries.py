@@ -148,7 +148,7 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register("op5_ngram_join", NGRAM_SQL)
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents at a Jaccard similarity of 0.75 on five-word shingles."""
-    return near_shingles(_table(spark, sf_dir, "documents"))
+    return near_shingles(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 @_register("op4_repeated_passages")
