@@ -68,19 +68,24 @@ def _distinct(data: np.ndarray, off: np.ndarray, keep: np.ndarray | None) -> tup
             col = np.unique(keep[col])
             col = col[col >= 0].astype(np.int64)
         return np.zeros(len(col), np.int64), col
-    docs, cols = [], []
+    owner = np.repeat(np.arange(len(off) - 1, dtype=np.uint32), np.diff(off))       # the document of each byte
+    many = WIDTH if keep is None else int(keep.max(initial=-1)) + 1
+    wide = np.uint32 if (len(off) - 1) * many < 1 << 32 else np.uint64              # the narrower sorts faster
+    pairs = []
     for at, col in ngram_columns(data, off):
         if keep is not None:
             col = keep[col]
             hit = np.flatnonzero(col >= 0)
             at, col = at[hit], col[hit]
-        docs.append(at)
-        cols.append(col)
-    if not docs:
+        pairs.append(owner[at].astype(wide) * wide(many) + col.astype(wide))
+    if not pairs:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    doc = np.searchsorted(off, np.concatenate(docs), side="right") - 1
-    pair = np.unique(doc.astype(np.int64) << 32 | np.concatenate(cols).astype(np.int64))
-    return pair >> 32, pair & 0xFFFFFFFF
+    pair = np.concatenate(pairs)
+    pair.sort()
+    fresh = np.ones(len(pair), bool)
+    fresh[1:] = pair[1:] != pair[:-1]
+    pair = pair[fresh].astype(np.int64)
+    return pair // max(many, 1), pair % max(many, 1)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
