@@ -263,7 +263,7 @@ def _scan(spark: SparkSession, landed: Landed, file_name: str, preamble: int, fa
     def tag(df: DataFrame) -> DataFrame:
         # a member's path is its archive's, then "!/" and its name
         own = F.regexp_replace(F.regexp_replace(_decoded(PATH), r"^file:///", "file:/"), r"(?i)(\.zip)!/.*$", "$1")
-        tagged = df.join(meta, own == F.col("__mpath"), "left").drop("__mpath")
+        tagged = df.join(F.broadcast(meta), own == F.col("__mpath"), "left").drop("__mpath")
         return tagged.withColumn(DELIVERY, F.coalesce(F.col(DELIVERY), F.raise_error(
             F.concat(F.lit("file not mapped to a delivery: "), F.col(PATH))).cast("string")))
 
@@ -378,22 +378,26 @@ def scan_family(spark: SparkSession, family: str, deliveries: list,
 
 
 def _deliveries_frame(spark: SparkSession, deliveries: list) -> DataFrame:
-    return spark.createDataFrame(
+    """One row per delivery, to be joined where the rows lie: dealt by delivery, one task would get a whole one."""
+    return F.broadcast(spark.createDataFrame(
         [(d["delivery"], d["oss"], d["report_date"].isoformat(), d["arrival"],
           hashlib.md5(f"{d['subject']}|{d['folder']}".encode()).hexdigest()) for d in deliveries],
-        f"{DELIVERY} string, {OSS} string, {DATE} string, {ARRIVAL} long, {PART} string")
+        f"{DELIVERY} string, {OSS} string, {DATE} string, {ARRIVAL} long, {PART} string"))
 
 
 def _rows_of(spark: SparkSession, scan: Scan, deliveries: list, stamp: bool = True) -> DataFrame:
     """Rows of the given deliveries, with their region, date, arrival and partition name."""
     meta = _deliveries_frame(spark, deliveries)
     if not stamp:
-        return scan.rows.join(meta.select(DELIVERY), DELIVERY, "left_semi")
+        return scan.rows.join(F.broadcast(meta.select(DELIVERY)), DELIVERY, "left_semi")
     return scan.rows.join(meta, DELIVERY)
 
 
 # ---- 3. merge and export ---------------------------------------------------------------------
 
+ROWS_PER_TASK = 400_000
+
+
 def trailing_run(deliveries: list) -> tuple[list, bool]:
     """Deliveries whose rows survive in a date-scoped snapshot, and whether the old rows do.
 
@@ -423,7 +427,10 @@ def _merge_and_export(spark: SparkSession, wh: Warehouse, family: str, staged: P
     staging = f"{wh.root}/staging/{spec.table}/{uuid.uuid4().hex}"
     tagged.write.parquet(staging)
     tagged = spark.read.parquet(staging)
-    ordered = tagged.withColumn("__bseq", F.struct(ARRIVAL, P.ORDER))
+    dealt, n = tagged, tagged.count()
+    if n > ROWS_PER_TASK:           # the merge sorts what a task reads, and packed files hold many rows
+        dealt = tagged.repartition(-(-n // ROWS_PER_TASK), DELIVERY, P.ORDER)
+    ordered = dealt.withColumn("__bseq", F.struct(ARRIVAL, P.ORDER))
     payload = [c for c in rows.columns if c not in (P.ORDER, DELIVERY)]
     key = spec.key if spec.table == S.PKI.table else f"{spec.table}_{spec.key}"
     sort_col = spec.sort_col if spec.table == S.PKI.table else f"{spec.table}_{spec.sort_col}"
@@ -433,7 +440,7 @@ def _merge_and_export(spark: SparkSession, wh: Warehouse, family: str, staged: P
         tbl = wh.table(spark, spec.table)
         tail, keep_existing = trailing_run(deliveries)
         last = tail[0]["report_date"].isoformat()
-        incoming = ordered.join(_deliveries_frame(spark, tail).select(DELIVERY), DELIVERY, "left_semi") \
+        incoming = ordered.join(F.broadcast(_deliveries_frame(spark, tail).select(DELIVERY)), DELIVERY, "left_semi") \
             .select(*payload, "__bseq")
         existing = tbl.read() if keep_existing else None
         merged = merge_snapshot(existing, incoming, key, [sort_col], seq="__bseq",

@@ -336,7 +336,7 @@ def generic(report: DataFrame, oss, insert_time: dt.datetime,
     further non-report columns (e.g. delivery columns of a batch).
     """
     data_cols = [c for c in report.columns if c not in META and c not in meta]
-    t = complete_row_gate(report, [PATH], data_cols)
+    t = complete_row_gate(report, [PATH], data_cols, few=True)
     t = t.select(*[_col(c) for c in data_cols], _v(oss).alias("oss"),
                  F.lit(insert_time.strftime("%Y-%m-%d %H:%M:%S")).alias("insert_time"),
                  *[_col(k) for k in keep])

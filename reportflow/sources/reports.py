@@ -20,6 +20,9 @@ with a line that leaves a quote open, each line is a function from "inside quote
 to "inside quotes"; these are composed inside each split and then over the splits
 of the file, so a file of any size is cut into records by many tasks.
 
+A report may be delivered in parts: a folder with its file name that holds the marker
+``_PARTS`` and Spark's part files.  It is one file, whose lines run on from part to part.
+
 Files have their own preamble each: ``preamble`` is a number or a mapping from file
 names to numbers.  The driver lists folders and gets one row per distinct header
 layout.  Lines of a split are numbered by ``monotonically_increasing_id``; should a
@@ -50,27 +53,35 @@ NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 
 FILE, PATH, SEQ = "_file", "_path", "_seq"
 BLOCK, ROW, LINE, TEXT = "__block", "__row", "__line", "__text"
+PARTS = "_PARTS"                # hidden from Spark's readers, as it starts with an underscore
+PART_SPAN = 1 << 40             # more than the bytes of any part
 _GLOB = re.compile(r"([\\*?\[\]{}])")
 
 
 def list_files(spark: SparkSession, paths: str | Sequence[str],
                pattern: str = "*") -> list[str]:
     """File paths under directories, globs or files (driver-side listing only)."""
-    out: list[str] = []
+    return sorted(_listed(spark, paths, pattern))
+
+
+def _listed(spark: SparkSession, paths: str | Sequence[str], pattern: str) -> dict[str, bool]:
+    """File paths, and whether each is a report in parts."""
+    out: dict[str, bool] = {}
     for p in [paths] if isinstance(paths, str) else list(paths):
         fs, jp = hadoop_fs(spark, p)
         if fs.exists(jp):                    # a path that exists is meant literally
-            found = fs.listStatus(jp)
+            found = [fs.getFileStatus(jp)] if fs.exists(jp.suffix(f"/{PARTS}")) else fs.listStatus(jp)
         else:
             found = fs.globStatus(jp)
         for st in found or []:
             name = st.getPath().getName()
-            if st.isFile() and fnmatch.fnmatchcase(name, pattern):
-                out.append(st.getPath().toString())
+            if fnmatch.fnmatchcase(name, pattern) and (
+                    st.isFile() or fs.exists(st.getPath().suffix(f"/{PARTS}"))):
+                out[st.getPath().toString()] = not st.isFile()
     hidden = [p for p in out if p.rsplit("/", 1)[-1].startswith(("_", "."))]
     if hidden:
         raise ValueError(f"Spark does not read files whose names start with _ or .: {sorted(hidden)[:5]}")
-    return sorted(set(out))
+    return out
 
 
 def literal(path: str) -> str:
@@ -125,17 +136,22 @@ def null_tokens(df: DataFrame, columns: Iterable[str] | None = None,
 
 
 def _lines(spark: SparkSession, paths: list[str], names: Sequence[str] | None,
-           members: DataFrame | None = None) -> DataFrame:
+           members: DataFrame | None = None, parted: Iterable[str] = ()) -> DataFrame:
     """Physical lines of files and archive members with (file, split, place in the split)."""
+    parted = set(parted)
     zipped = [p for p in paths if p.lower().endswith(".zip")]
     plain = [p for p in paths if not p.lower().endswith(".zip")
              and (names is None or p.rsplit("/", 1)[-1] in names)]
     parts = []
-    if plain:
-        parts.append(spark.read.text([literal(p) for p in plain]).select(
-            F.col("_metadata.file_path").alias(PATH), decoded_name(F.col("_metadata.file_name")).alias(FILE),
-            F.col("_metadata.file_block_start").alias(BLOCK), F.monotonically_increasing_id().alias(ROW),
-            F.col("value").alias(TEXT)))
+    path, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    folder = F.regexp_replace(path, "/[^/]*$", "")
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("bigint")
+    for own, path, block in (([p for p in plain if p not in parted], path, start),
+                             ([p for p in plain if p in parted], folder, part * PART_SPAN + start)):
+        if own:
+            parts.append(spark.read.text([literal(p) for p in own]).select(
+                path.alias(PATH), decoded_name(F.element_at(F.split(path, "/"), -1)).alias(FILE),
+                block.alias(BLOCK), F.monotonically_increasing_id().alias(ROW), F.col("value").alias(TEXT)))
     if zipped:
         if members is None:
             members = stage_members(spark, [literal(p) for p in zipped])
@@ -269,12 +285,13 @@ def report_records(spark: SparkSession, paths: str | Sequence[str], preamble: in
     of its file's (sep, header) in the layouts.  Blank records, headers and the last
     ``footer`` records of each file are left out.
     """
-    files = list_files(spark, paths, pattern)
+    listed = _listed(spark, paths, pattern)
+    files = sorted(listed)
     if not files:
         raise FileNotFoundError(f"no report files under {paths}")
     if names is None and not isinstance(preamble, int):
         names = sorted(preamble)
-    lines = _lines(spark, files, names, members)
+    lines = _lines(spark, files, names, members, [p for p in files if listed[p]])
     splits = lines.groupBy(PATH, FILE, BLOCK).agg(F.min(ROW).alias("lo"), F.count(F.lit(1)).alias("n"))
     before = W.partitionBy(PATH).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
     own, file_table = _preambles(spark, preamble)

@@ -2,9 +2,10 @@
 
 Used by the suite to lay down delivered reports (preamble lines, a header, CSV
 rows, an optional footer) from the supplied tables, under the shared scratch
-folder.  It is a Spark job: rows are grouped by file with a shuffle, each file
-is written by one task in line order, and the part files are then renamed to
-the report file names (metadata operations only).
+folder.  It is a Spark job: lines are ranged by (file, line) and written in that
+order by as many tasks as they fill.  A report that one task wrote is renamed to
+its file name; one that several tasks wrote is delivered in parts, a folder of
+that name (``sources.reports.PARTS``).  Both are metadata operations only.
 """
 
 from __future__ import annotations
@@ -17,9 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reportflow.session import hadoop_fs
+from reportflow.sources.reports import PARTS
 
 CSV_OPTS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
             "quote": '"', "escape": '"'}
+# Lines that one task sorts and writes.
+LINES_PER_TASK = 250_000
 
 
 def report_lines(rows: DataFrame, file_col: str, order_col: str, value_cols: Sequence[str],
@@ -47,14 +51,23 @@ def report_lines(rows: DataFrame, file_col: str, order_col: str, value_cols: Seq
     return data.unionByName(extra)
 
 
-def write_files(spark: SparkSession, lines: DataFrame, root: str) -> list[str]:
-    """Write one text file per ``file`` value under ``root``; return the paths.
+def _ranged(lines: DataFrame, lines_per_task: int) -> DataFrame:
+    """Lines in the order of (file, n), over as many tasks as they fill."""
+    tasks = max(1, -(-lines.count() // lines_per_task))
+    return lines.repartitionByRange(tasks, "file", "n").sortWithinPartitions("file", "n")
+
+
+def write_files(spark: SparkSession, lines: DataFrame, root: str, lines_per_task: int = LINES_PER_TASK) -> list[str]:
+    """Write one report per ``file`` value under ``root``, large ones in parts; return the paths.
 
     A ``file`` value may contain ``/`` (a sub-folder per delivery).
     """
+    return _deliver(spark, _ranged(lines, lines_per_task), root)
+
+
+def _deliver(spark: SparkSession, ordered: DataFrame, root: str) -> list[str]:
     staging = f"{root.rstrip('/')}/_staging-{uuid.uuid4().hex}"
-    (lines.repartition("file").sortWithinPartitions("file", "n")
-     .select("file", "line").write.partitionBy("file").text(staging))
+    ordered.select("file", "line").write.partitionBy("file").text(staging)
     fs, jstaging = hadoop_fs(spark, staging)
     out = []
     for st in fs.listStatus(jstaging):
@@ -63,11 +76,12 @@ def write_files(spark: SparkSession, lines: DataFrame, root: str) -> list[str]:
             continue
         target_name = unquote(name.split("=", 1)[1])
         parts = [p for p in fs.listStatus(st.getPath()) if p.getPath().getName().startswith("part-")]
-        if len(parts) != 1:
-            raise RuntimeError(f"expected one part file for {target_name}, got {len(parts)}")
         target = st.getPath().getParent().getParent().suffix("/" + target_name)
         fs.mkdirs(target.getParent())
-        fs.rename(parts[0].getPath(), target)
+        if len(parts) > 1:
+            fs.create(st.getPath().suffix("/" + PARTS)).close()
+        if not fs.rename(parts[0].getPath() if len(parts) == 1 else st.getPath(), target):
+            raise RuntimeError(f"{target_name} cannot be delivered to {root}")
         out.append(target.toString())
     return sorted(out)
 
