@@ -217,7 +217,7 @@ def _listing(spark: SparkSession, deliveries: list, staging: str) -> Landed:
     if archives:
         members = stage_members(spark, [literal(p) for p in archives], f"{staging}/members-{uuid.uuid4().hex}")
         name = F.element_at(F.split("member", "/"), -1).alias("name")
-        per_name = members.groupBy("archive", name).agg(
+        per_name = members.where("slice = 0").groupBy("archive", name).agg(
             F.count(F.lit(1)).alias("n"), F.min(member_is_safe(F.col("member"), "archive")).alias("safe"))
         per_archive = per_name.groupBy(_decoded("archive").alias("archive")).agg(
             F.min("safe").alias("safe"), F.collect_list(F.struct("name", "n")).alias("names"))

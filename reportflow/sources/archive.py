@@ -1,12 +1,11 @@
 """Archive members (S7): expand ZIP deliveries and guard against path escapes.
 
 ``stage_members`` reads each archive once (one row of Spark's ``binaryFile``, 2 GB
-at most): its directory is parsed and its members leave as compressed slices, one
-row each, which are dealt over tasks and written to the scratch folder.  From there
-names are listed without touching contents, and ``member_lines`` inflates only the
-members that are wanted, each in a task of its own choosing, so that one large
-archive is inflated by many tasks.  These two steps run in Python, a slice or a
-piece of a member at a time.
+at most): its directory is parsed and its members leave as compressed slices of a
+few megabytes, which are written to the scratch folder.  From there names are listed
+without touching contents, and ``member_lines`` inflates only the members that are
+wanted, each in a task of its own choosing, so that one large archive is inflated by
+many tasks.  These two steps run in Python, a slice or a piece of a member at a time.
 
 ``guard`` decides, all-or-nothing per archive, whether every member stays
 inside the destination folder once the path is resolved; the check is a Column
@@ -63,7 +62,7 @@ PIECE = 1 << 22
 
 
 def _slices(batches):
-    """(archive, member, method, crc, data) of every member, its data as they lie in the archive."""
+    """(archive, member, method, crc, slice, data) of every member, its data as they lie in the archive."""
     for batch in batches:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
             raw = memoryview(content.as_buffer())
@@ -79,77 +78,85 @@ def _slices(batches):
                         data = raw[at:at + info.compress_size]
                     else:
                         method, data = STORED, zf.read(info)       # another method; encrypted ones raise
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([path]), pa.array([info.filename]), pa.array([method], pa.int32()),
-                         pa.array([info.CRC], pa.int64()), pa.array([bytes(data)], pa.binary())],
-                        ["archive", "member", "method", "crc", "data"])
+                    for i in range(0, max(len(data), 1), PIECE):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([path]), pa.array([info.filename]), pa.array([method], pa.int32()),
+                             pa.array([info.CRC], pa.int64()), pa.array([i // PIECE], pa.int32()),
+                             pa.array([bytes(data[i:i + PIECE])], pa.binary())],
+                            ["archive", "member", "method", "crc", "slice", "data"])
 
 
 def stage_members(spark: SparkSession, paths: list[str], staged: str | None = None) -> DataFrame:
-    """(archive, member, method, crc, data): compressed members of ZIP files, read once and dealt.
+    """(archive, member, method, crc, slice, data): compressed members of ZIP files, read once.
 
-    They are written to ``staged``, or else to a folder of their own in the scratch folder.
+    A member has at least one slice, of number 0.  They are written to ``staged``, or else to a folder of their own in the scratch folder.
     """
     raw = (spark.read.format("binaryFile").load(paths)
            .select(F.col("_metadata.file_path").alias("path"), "content"))
-    found = raw.mapInArrow(_slices, "archive string, member string, method int, crc bigint, data binary")
+    found = raw.mapInArrow(_slices, "archive string, member string, method int, crc bigint, slice int, data binary")
     staged = staged or scratch_path(spark, "members")
-    found.repartition("archive", "member").write.parquet(staged)
+    found.write.parquet(staged)
     return spark.read.schema(found.schema).parquet(staged)
 
 
-def _inflated(method: int, data: memoryview):
-    """Pieces of a member's contents."""
+def _inflated(method: int, slices):
+    """Pieces of a member's contents, from its slices in order."""
     if method == DEFLATED:
         z = zlib.decompressobj(-15)
-        yield z.decompress(data, PIECE)
-        while z.unconsumed_tail:
-            yield z.decompress(z.unconsumed_tail, PIECE)
+        for data in slices:
+            yield z.decompress(data, PIECE)
+            while z.unconsumed_tail:            # a part of one slice, so its copies stay small
+                yield z.decompress(z.unconsumed_tail, PIECE)
         yield z.flush()
     elif method == BZIPPED:
         z = bz2.BZ2Decompressor()
-        yield z.decompress(data, PIECE)
-        while not z.eof and not z.needs_input:
-            yield z.decompress(b"", PIECE)
+        for data in slices:
+            if z.eof:
+                break
+            yield z.decompress(data, PIECE)
+            while not z.eof and not z.needs_input:
+                yield z.decompress(b"", PIECE)
     else:
-        for i in range(0, len(data), PIECE):
-            yield bytes(data[i:i + PIECE])
+        yield from slices
 
 
 def _line_batches(batches):
-    """Numbered lines of members, a piece of a few megabytes at a time."""
+    """Numbered lines of members, whose slices come in order, a piece of a few megabytes at a time."""
+    from itertools import groupby
     columns = ["archive", "member", "number", "line"]
-    for batch in batches:
-        for i in range(batch.num_rows):
-            archive, member, method, crc = (batch.column(c)[i].as_py() for c in ("archive", "member", "method", "crc"))
-            decoder = codecs.getincrementaldecoder("utf-8")("replace")
-            newlines = io.IncrementalNewlineDecoder(decoder, translate=True)
-            rest, number, check = "", 0, 0
-
-            def rows(lines, number, archive=archive, member=member):
-                return pa.RecordBatch.from_arrays(
-                    [pa.array([archive] * len(lines), pa.string()), pa.array([member] * len(lines), pa.string()),
-                     pa.array(range(number, number + len(lines)), pa.int64()), pa.array(lines, pa.string())], columns)
-
-            for piece in _inflated(method, memoryview(batch.column("data")[i].as_buffer())):
-                check = zlib.crc32(piece, check)
-                lines = (rest + newlines.decode(piece)).split("\n")
-                rest = lines.pop()
-                if lines:
-                    yield rows(lines, number)
-                    number += len(lines)
-            if check != crc:
-                raise ValueError(f"{archive}: member {member} is damaged")
-            rest += newlines.decode(b"", final=True)
-            if rest:
-                lines = rest.split("\n")
-                yield rows(lines if lines[-1] else lines[:-1], number)
+    slices = ((tuple(batch.column(c)[i].as_py() for c in ("archive", "member", "method", "crc")), batch.column("data")[i])
+              for batch in batches for i in range(batch.num_rows))
+    for (archive, member, method, crc), of_member in groupby(slices, key=lambda s: s[0]):
+        decoder = codecs.getincrementaldecoder("utf-8")("replace")
+        newlines = io.IncrementalNewlineDecoder(decoder, translate=True)
+        rest, number, check = "", 0, 0
+
+        def rows(lines, number, archive=archive, member=member):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([archive] * len(lines), pa.string()), pa.array([member] * len(lines), pa.string()),
+                 pa.array(range(number, number + len(lines)), pa.int64()), pa.array(lines, pa.string())], columns)
+
+        for piece in _inflated(method, (data.as_py() for _, data in of_member)):
+            check = zlib.crc32(piece, check)
+            lines = (rest + newlines.decode(piece)).split("\n")
+            rest = lines.pop()
+            if lines:
+                yield rows(lines, number)
+                number += len(lines)
+        if check != crc:
+            raise ValueError(f"{archive}: member {member} is damaged")
+        rest += newlines.decode(b"", final=True)
+        if rest:
+            lines = rest.split("\n")
+            yield rows(lines if lines[-1] else lines[:-1], number)
 
 
 def member_lines(members: DataFrame) -> DataFrame:
     """(archive, member, number, line): the text lines of staged members."""
-    return members.select("archive", "member", "method", "crc", "data").mapInArrow(
-        _line_batches, "archive string, member string, number bigint, line string")
+    keys = ["archive", "member", "method", "crc"]
+    return (members.select(*keys, "slice", "data").repartition("archive", "member")
+            .sortWithinPartitions(*keys, "slice").mapInArrow(
+                _line_batches, "archive string, member string, number bigint, line string"))
 
 
 def _segments(path: Column) -> Column:

@@ -55,6 +55,7 @@ FILE, PATH, SEQ = "_file", "_path", "_seq"
 BLOCK, ROW, LINE, TEXT = "__block", "__row", "__line", "__text"
 PARTS = "_PARTS"                # hidden from Spark's readers, as it starts with an underscore
 PART_SPAN = 1 << 40             # more than the bytes of any part
+MEMBER_LINES = 200_000          # lines of an archive member that count as one split
 _GLOB = re.compile(r"([\\*?\[\]{}])")
 
 
@@ -157,19 +158,22 @@ def _lines(spark: SparkSession, paths: list[str], names: Sequence[str] | None,
             members = stage_members(spark, [literal(p) for p in zipped])
         if names is not None:                       # before anything is inflated
             members = members.where(F.element_at(F.split("member", "/"), -1).isin(*names))
-        parts.append(member_lines(members).select(
+        # A member is inflated by one task, so once only; later passes read its lines by many.
+        inflated = _kept(member_lines(members), maxRecordsPerFile=MEMBER_LINES)
+        parts.append(inflated.select(
             F.concat("archive", F.lit("!/"), "member").alias(PATH),
-            F.element_at(F.split("member", "/"), -1).alias(FILE), F.lit(0).cast("bigint").alias(BLOCK),
+            F.element_at(F.split("member", "/"), -1).alias(FILE),
+            (F.col("number") - F.col("number") % MEMBER_LINES).alias(BLOCK),
             F.col("number").alias(ROW), F.col("line").alias(TEXT)))
     if not parts:
         raise FileNotFoundError(f"no files of the wanted names: {sorted(names or [])[:5]}")
     return reduce(DataFrame.unionByName, parts)
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """A small table written to the scratch folder, so that Spark knows its size."""
+def _kept(df: DataFrame, **options) -> DataFrame:
+    """A table written to the scratch folder; of a small one, Spark then knows the size."""
     path = scratch_path(df.sparkSession, "scan")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

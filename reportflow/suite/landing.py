@@ -10,11 +10,14 @@ that name (``sources.reports.PARTS``).  Both are metadata operations only.
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
+import zlib
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reportflow.session import hadoop_fs
@@ -86,24 +89,122 @@ def _deliver(spark: SparkSession, ordered: DataFrame, root: str) -> list[str]:
     return sorted(out)
 
 
-def write_archives(spark: SparkSession, lines: DataFrame, root: str) -> list[str]:
-    """Lay report lines (``archive/member`` as file) down as ZIP archives, one per task.
+CHUNK = 1 << 22
 
-    The text writer ends a file with a line break; it is the archive's comment.
+
+def _deflated(batches):
+    """(file, n, size, crc, data): lines in order as deflated chunks, each but for its last byte.
+
+    A chunk ends as its text does, with a line break: an uncompressed block of that one
+    byte.  So chunks follow each other in the lines of a text file, which adds the breaks.
+    """
+    import pyarrow as pa
+    open_file, first, text = None, 0, []
+
+    def chunk():
+        raw = "".join(text).encode()
+        z = zlib.compressobj(wbits=-15)
+        data = z.compress(raw[:-1]) + z.flush(zlib.Z_SYNC_FLUSH) + b"\x00\x01\x00\xfe\xff"
+        return pa.RecordBatch.from_arrays(
+            [pa.array([open_file]), pa.array([first], pa.int64()), pa.array([len(raw)], pa.int64()),
+             pa.array([zlib.crc32(raw)], pa.int64()), pa.array([data], pa.binary())],
+            ["file", "n", "size", "crc", "data"])
+
+    size = 0
+    for batch in batches:
+        for file, n, line in zip(*(batch.column(c).to_pylist() for c in ("file", "n", "line")), strict=True):
+            if text and (file != open_file or size >= CHUNK):
+                yield chunk()
+                text, size = [], 0
+            if not text:
+                open_file, first = file, n
+            text.append(line + "\n")
+            size += len(line) + 1
+    if text:
+        yield chunk()
+
+
+def _crc_joined(crc: int, other: int, size: int) -> int:
+    """The CRC of two byte strings, from those of each and the size of the second."""
+    def times(matrix, v):
+        out = 0
+        for row in matrix:
+            if v & 1:
+                out ^= row
+            v >>= 1
+        return out
+
+    shift = [0xEDB88320, *(1 << i for i in range(31))]         # one zero bit more
+    for _ in range(3):
+        shift = [times(shift, row) for row in shift]            # a zero byte
+    while size:
+        if size & 1:
+            crc = times(shift, crc)
+        size >>= 1
+        shift = [times(shift, row) for row in shift]
+    return crc ^ other
+
+
+FINAL = b"\x03\x00"             # an empty last block ends a member
+
+
+class _Tail(io.BytesIO):
+    """What follows the first ``start`` bytes of a file."""
+
+    def __init__(self, start: int):
+        super().__init__()
+        self.start = start
+
+    def tell(self):
+        return super().tell() + self.start
+
+    def seek(self, at, whence=0):
+        return super().seek(at - self.start if whence == 0 else at, whence) + self.start
+
+
+def _framed(key, pdf):
+    """(file, n, member, head): what precedes each member's first chunk, and the archive's directory."""
+    import pandas as pd
+    rows, infos, at, end = [], [], 0, b""
+    for i, (member, part) in enumerate(pdf.sort_values(["member", "n"]).groupby("member")):
+        info = zipfile.ZipInfo(member)
+        info.compress_type, info.header_offset = zipfile.ZIP_DEFLATED, at
+        info.file_size, info.compress_size = int(part["size"].sum()), int(part["stored"].sum()) + len(FINAL)
+        for crc, size in zip(part["crc"], part["size"], strict=True):
+            info.CRC = _crc_joined(getattr(info, "CRC", 0) or 0, int(crc), int(size))
+        head = info.FileHeader()
+        rows.append((key[0], i, member, end + head))
+        infos.append(info)
+        at, end = at + len(head) + info.compress_size, FINAL
+    tail = _Tail(at)
+    with zipfile.ZipFile(tail, "w") as zf:
+        zf.filelist.extend(infos)
+        zf.comment = b"\n"
+    rows.append((key[0], len(infos), None, end + tail.getvalue()[:-1]))
+    return pd.DataFrame(rows, columns=["file", "place", "member", "head"])
+
+
+def write_archives(spark: SparkSession, lines: DataFrame, root: str, lines_per_task: int = LINES_PER_TASK) -> list[str]:
+    """Lay report lines (``archive/member`` as file) down as ZIP archives.
+
+    Lines are deflated in chunks by as many tasks as they fill.  One task per archive
+    then puts its chunks, a few megabytes each, into one file.  The text writer ends
+    a file with a line break; it is the archive's comment.
     """
-    def pack(key, pdf):
-        import io
-        import zipfile
-
-        import pandas as pd
-        out = io.BytesIO()
-        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
-            for member, part in pdf.sort_values(["member", "n"]).groupby("member"):
-                zf.writestr(member, "\n".join(part["line"]) + "\n")
-            zf.comment = b"\n"
-        return pd.DataFrame({"file": [key[0]], "n": [0], "bytes": [out.getvalue()[:-1]]})
-
-    parts = lines.select(F.regexp_extract("file", r"^(.*\.zip)/", 1).alias("archive"),
-                         F.regexp_replace("file", r"^.*\.zip/", "").alias("member"), "n", "line")
-    packed = parts.groupBy("archive").applyInPandas(pack, "file string, n bigint, bytes binary")
-    return write_files(spark, packed.select("file", "n", F.col("bytes").cast("string").alias("line")), root)
+    staged = f"{root.rstrip('/')}/_chunks-{uuid.uuid4().hex}"
+    _ranged(lines, lines_per_task).select("file", "n", "line").mapInArrow(
+        _deflated, "file string, n bigint, size bigint, crc bigint, data binary").write.parquet(staged)
+    archive = F.regexp_extract("file", r"^(.*\.zip)/", 1)
+    chunks = spark.read.parquet(staged).select(archive.alias("file"), F.regexp_replace("file", r"^.*\.zip/", "").alias("member"),
+                                               "n", "size", "crc", "data", (F.length("data") + 1).alias("stored"))
+    frames = F.broadcast(chunks.drop("data").groupBy("file").applyInPandas(
+        _framed, "file string, place int, member string, head binary"))
+    first = F.row_number().over(Window.partitionBy("file", "member").orderBy("n")) == 1
+    starts = chunks.select("file", "member", "n").withColumn("first", first).where("first").drop("first")
+    heads = starts.join(frames, ["file", "member"]).select("file", "member", "n", "head")
+    body = (chunks.join(F.broadcast(heads), ["file", "member", "n"], "left")
+            .join(frames.drop("head"), ["file", "member"])
+            .select("file", "place", "n", F.concat(F.coalesce("head", F.lit(b"")), "data").alias("bytes")))
+    ends = frames.where("member IS NULL").select("file", "place", F.lit(0).cast("bigint").alias("n"), F.col("head").alias("bytes"))
+    ordered = body.unionByName(ends).repartition("file").sortWithinPartitions("file", "place", "n")
+    return _deliver(spark, ordered.select("file", F.col("bytes").cast("string").alias("line")), root)

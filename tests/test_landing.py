@@ -43,3 +43,32 @@ def test_no_task_gets_a_whole_delivery(spark):
     assert loaded.count() == 100
     plan = loaded._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan
+
+
+def test_archives_are_deflated_by_many_tasks(spark, tmp_path):
+    import zipfile
+    lines = _report(spark, 400).withColumn("file", F.replace("file", F.lit("r/"), F.lit("r/one.zip/in/")))
+    lines = lines.unionByName(lines.withColumn("file", F.replace("file", F.lit("one"), F.lit("two"))))
+    want = {}
+    for r in lines.orderBy("file", "n").collect():
+        want.setdefault(tuple(r.file.split(".zip/")), []).append(r.line + "\n")
+    landing.write_archives(spark, lines, str(tmp_path), lines_per_task=90)
+    got = {}
+    for p in (tmp_path / "r").glob("*.zip"):
+        with zipfile.ZipFile(p) as zf:
+            assert zf.testzip() is None
+            got |= {(f"r/{p.stem}", m): zf.read(m).decode() for m in zf.namelist()}
+    assert got == {k: "".join(v) for k, v in want.items()}
+    found = scan_reports(spark, f"{tmp_path}/r", 1, footer=1)
+    assert found.count() == 800 and found.where("try_cast(a AS INT) % 7 = 0 AND b = 'x, \"y\"\nz'").count() == 116
+
+
+def test_inflating_copies_no_more_than_a_slice(spark):
+    import zlib
+
+    from reportflow.sources import archive
+    raw = b"a line of text\n" * 4_000_000
+    z = zlib.compressobj(wbits=-15)
+    data = z.compress(raw) + z.flush()
+    slices = [data[i:i + 50_000] for i in range(0, len(data), 50_000)]
+    assert len(slices) > 1 and b"".join(archive._inflated(archive.DEFLATED, iter(slices))) == raw
