@@ -18,7 +18,9 @@ order in the split.  A scan has these steps, all of them Spark jobs:
 A record is one line, or several if a quoted field holds line breaks.  In files
 with a line that leaves a quote open, each line is a function from "inside quotes"
 to "inside quotes"; these are composed inside each split and then over the splits
-of the file, so a file of any size is cut into records by many tasks.
+of the file, so a file of any size is cut into records by many tasks.  A task meets
+the lines of a split in their order, and joins those of a record as it reads them;
+only records that reach over splits are shuffled.
 
 A report may be delivered in parts: a folder with its file name that holds the marker
 ``_PARTS`` and Spark's part files.  It is one file, whose lines run on from part to part.
@@ -39,6 +41,9 @@ import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -53,6 +58,8 @@ NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 
 FILE, PATH, SEQ = "_file", "_path", "_seq"
 BLOCK, ROW, LINE, TEXT = "__block", "__row", "__line", "__text"
+READ, START, KIND = "__read", "__start", "__kind"       # the file that was read, the split's start in it
+PART, MEMBER = 1, 2             # kinds of what is read, beside whole files
 PARTS = "_PARTS"                # hidden from Spark's readers, as it starts with an underscore
 PART_SPAN = 1 << 40             # more than the bytes of any part
 MEMBER_LINES = 200_000          # lines of an archive member that count as one split
@@ -138,21 +145,20 @@ def null_tokens(df: DataFrame, columns: Iterable[str] | None = None,
 
 def _lines(spark: SparkSession, paths: list[str], names: Sequence[str] | None,
            members: DataFrame | None = None, parted: Iterable[str] = ()) -> DataFrame:
-    """Physical lines of files and archive members with (file, split, place in the split)."""
+    """Physical lines of files and archive members with (file read, split, place in the split).
+
+    What follows from these is worked out once a split (``_named``), not once a line.
+    """
     parted = set(parted)
     zipped = [p for p in paths if p.lower().endswith(".zip")]
     plain = [p for p in paths if not p.lower().endswith(".zip")
              and (names is None or p.rsplit("/", 1)[-1] in names)]
     parts = []
-    path, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
-    folder = F.regexp_replace(path, "/[^/]*$", "")
-    part = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("bigint")
-    for own, path, block in (([p for p in plain if p not in parted], path, start),
-                             ([p for p in plain if p in parted], folder, part * PART_SPAN + start)):
+    for kind, own in enumerate(([p for p in plain if p not in parted], [p for p in plain if p in parted])):
         if own:
             parts.append(spark.read.text([literal(p) for p in own]).select(
-                path.alias(PATH), decoded_name(F.element_at(F.split(path, "/"), -1)).alias(FILE),
-                block.alias(BLOCK), F.monotonically_increasing_id().alias(ROW), F.col("value").alias(TEXT)))
+                F.col("_metadata.file_path").alias(READ), F.col("_metadata.file_block_start").alias(START),
+                F.lit(kind).alias(KIND), F.monotonically_increasing_id().alias(ROW), F.col("value").alias(TEXT)))
     if zipped:
         if members is None:
             members = stage_members(spark, [literal(p) for p in zipped])
@@ -161,15 +167,24 @@ def _lines(spark: SparkSession, paths: list[str], names: Sequence[str] | None,
         # A member is inflated by one task, so once only; later passes read its lines by many.
         inflated = _kept(member_lines(members), maxRecordsPerFile=MEMBER_LINES)
         parts.append(inflated.select(
-            F.concat("archive", F.lit("!/"), "member").alias(PATH),
-            F.element_at(F.split("member", "/"), -1).alias(FILE),
-            (F.col("number") - F.col("number") % MEMBER_LINES).alias(BLOCK),
+            F.concat("archive", F.lit("!/"), "member").alias(READ),
+            (F.col("number") - F.col("number") % MEMBER_LINES).alias(START), F.lit(MEMBER).alias(KIND),
             F.col("number").alias(ROW), F.col("line").alias(TEXT)))
     if not parts:
         raise FileNotFoundError(f"no files of the wanted names: {sorted(names or [])[:5]}")
     return reduce(DataFrame.unionByName, parts)
 
 
+def _named(splits: DataFrame) -> DataFrame:
+    """Splits with their report's path and file name, and their place in it."""
+    part = F.regexp_extract(READ, r"/part-(\d+)[^/]*$", 1)
+    x = splits.withColumn(PATH, F.when(F.col(KIND) == PART, F.regexp_replace(READ, "/[^/]*$", "")).otherwise(F.col(READ)))
+    name = F.element_at(F.split(PATH, "/"), -1)
+    return x.withColumns({
+        FILE: F.when(F.col(KIND) == MEMBER, name).otherwise(decoded_name(name)),
+        BLOCK: F.when(F.col(KIND) == PART, part.cast("bigint") * PART_SPAN + F.col(START)).otherwise(F.col(START))})
+
+
 def _kept(df: DataFrame, **options) -> DataFrame:
     """A table written to the scratch folder; of a small one, Spark then knows the size."""
     path = scratch_path(df.sparkSession, "scan")
@@ -193,56 +208,162 @@ def _without_quoted(text: Column, sep: str) -> Column:
     return F.when(text.contains('"'), F.regexp_replace(text, _quoted(sep), "$1x")).otherwise(text)
 
 
+def _open_quote(text: Column, sep: str) -> Column:
+    return F.regexp_replace(text, _quoted(sep), "$1x").rlike(rf"(^|{re.escape(sep)})\"").cast("int")
+
+
 def _leaves_open(text: Column, sep: str) -> Column:
     """1 if a line that starts outside quotes ends inside them."""
-    return _without_quoted(text, sep).rlike(rf"(^|{re.escape(sep)})\"").cast("int")
+    return F.when(text.contains('"'), _open_quote(text, sep)).otherwise(0)
 
 
 def _stays_open(text: Column, sep: str) -> Column:
     """1 if a line that starts inside quotes ends inside them."""
     close = r"^[^\"]*+(?:\"\"[^\"]*+)*+\""
     rest = F.concat(F.lit("x"), F.regexp_replace(text, close, ""))
-    return F.when(~text.rlike(close), 1).otherwise(_leaves_open(rest, sep))
+    return F.when(~text.rlike(close), 1).otherwise(_open_quote(rest, sep))
+
 
+# What a line does: where it ends if it starts outside quotes (0) plus twice where if it starts inside (1).
+FLIPS, KEEPS = 1, 2
+NEVER = (1 << 63) - 1           # a line number that no file reaches
 
-def _records(lines: DataFrame, seps: Sequence[str]) -> DataFrame:
-    """Lines of files with open quotes joined to records: (path, file, sep, line, text)."""
+
+def _effect(seps: Sequence[str]) -> Column:
     text = F.col(TEXT)
-    x = lines.withColumns({"f0": _by_sep(seps, lambda s: _leaves_open(text, s)),
-                           "f1": _by_sep(seps, lambda s: _stays_open(text, s))})
-    # Lines of the preamble stand outside; a constant line sets the state, the others keep or flip it.
-    fixed = F.col("f0") == F.col("f1")
-    x = x.withColumn("flip", F.when(~fixed & (F.col("f0") == 1), 1).otherwise(0))
-    inside = W.partitionBy(PATH, BLOCK).orderBy(LINE).rowsBetween(W.unboundedPreceding, -1)
-    x = x.withColumn("flips", F.coalesce(F.sum("flip").over(inside), F.lit(0)).cast("int"))
-    x = x.withColumn("set", F.when(fixed, (F.col("f0") + F.col("flips")) % 2))
-    x = x.withColumn("last_set", F.last("set", ignorenulls=True).over(inside))
-    # The same once more for the splits of a file: what each does to the state it starts in.
-    whole = x.groupBy(PATH, BLOCK).agg(F.sum("flip").alias("b_flips"),
-                                       F.max_by("set", F.when(F.col("set").isNotNull(), F.col(LINE))).alias("b_set"))
+    return F.when(text.contains('"'), _by_sep(seps, lambda s: _open_quote(text, s) + 2 * _stays_open(text, s))
+                  ).otherwise(KEEPS).alias("effect")
+
+
+def _states(effects: np.ndarray, start: int) -> np.ndarray:
+    """The state after each line: that of the last line that sets it, flipped as often as lines since do."""
+    flips = np.cumsum(effects == FLIPS)
+    at = np.maximum.accumulate(np.where((effects == FLIPS) | (effects == KEEPS), -1, np.arange(len(effects))))
+    return np.where(at < 0, start + flips, effects[at] // 3 + flips - flips[at]) & 1
+
+
+_ENDS = "split bigint, end0 int, end1 int, closed bigint, open0 bigint, open1 bigint"
+
+
+def _split_ends(batches):
+    """What the lines of each split do together, if it starts outside (0) or inside (1) quotes.
+
+    Its end from either start, the line that closes a quote open at its start, and the
+    line (from either start) that begins the record still open at its end.
+    """
+    schema = pa.schema([(c, pa.int32() if t == "int" else pa.int64()) for c, t in (x.split() for x in _ENDS.split(", "))])
+    run, last, met = None, -1, set()
+    for batch in batches:
+        split, line, effect = (batch.column(c).to_numpy() for c in ("split", LINE, "effect"))
+        done = []
+        cuts = [0, *(np.flatnonzero(np.diff(split)) + 1), len(split)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a == b:
+                continue
+            if run is None or run["split"] != split[a]:
+                if run is not None:
+                    done.append(run)
+                    met.add(run["split"])
+                run, last = {"split": int(split[a]), "end0": 0, "end1": 1, "closed": None, "open0": None, "open1": None}, -1
+            if run["split"] in met or line[a] <= last or (np.diff(line[a:b]) <= 0).any():
+                raise RuntimeError("lines of a split were read out of order")
+            last = line[b - 1]
+            for start in (0, 1):
+                after = _states(effect[a:b], run[f"end{start}"])
+                opens = np.flatnonzero(np.diff(after, prepend=run[f"end{start}"]) == 1)
+                if len(opens):
+                    run[f"open{start}"] = int(line[a + opens[-1]])
+                if start and run["closed"] is None and not after.all():
+                    run["closed"] = int(line[a + after.argmin()])
+                run[f"end{start}"] = int(after[-1])
+        yield pa.RecordBatch.from_pylist(done, schema)
+    if run is not None:
+        yield pa.RecordBatch.from_pylist([run], schema)
+
+
+def _joined(batches):
+    """Lines in order, which begin and end outside quotes, joined to records with the number of their first line."""
+    columns, held, state = ["split", LINE, TEXT], [], 0
+    for batch in batches:
+        after = _states(batch.column("effect").to_numpy(), state)
+        if not len(after):
+            continue
+        state = int(after[-1])
+        ends = np.flatnonzero(after == 0) + 1
+        batch = batch.select(columns)
+        if not len(ends):
+            held.append(batch)
+            continue
+        before = sum(b.num_rows for b in held)
+        whole = pa.Table.from_batches([*held, batch.slice(0, ends[-1])]).combine_chunks()
+        held = [batch.slice(ends[-1])] if ends[-1] < batch.num_rows else []
+        if before or len(ends) < whole.num_rows:
+            begins = np.concatenate([[0], ends[:-1] + before])
+            split, line, text = (whole.column(c).combine_chunks() for c in columns)
+            text = text.chunk(0) if isinstance(text, pa.ChunkedArray) else text
+            goes_on = np.ones(whole.num_rows, bool)
+            goes_on[begins] = False
+            goes_on = goes_on[1:]
+            if ((np.diff(line.to_numpy()) != 1) | (np.diff(split.to_numpy()) != 0))[goes_on].any():
+                raise RuntimeError("lines of a split were read out of order")
+            lists = pa.ListArray.from_arrays(pa.array(np.append(begins, whole.num_rows), pa.int32()), text)
+            whole = pa.table([split.take(pa.array(begins)), line.take(pa.array(begins)),
+                              pc.binary_join(lists, "\n")], columns)
+        yield from whole.to_batches()
+    if held:
+        raise RuntimeError("lines of a split were read out of order")
+
+
+def _in_order(x: DataFrame, staged: bool) -> DataFrame:
+    """Each split in one task and in its order: so files are read, but staged members lie in files that cut their splits."""
+    return x.repartition("split").sortWithinPartitions("split", LINE) if staged else x
+
+
+def _cut_splits(lines: DataFrame, splits: DataFrame, seps: Sequence[str], staged: bool) -> DataFrame:
+    """The splits of files with open quotes, and what of them belongs to records that reach over splits.
+
+    Lines up to ``head_to`` belong to the record begun at line ``carry``, in a split before;
+    lines from ``tail_from`` on to a record that goes on in the next split.
+    """
+    x = _numbered(lines, F.broadcast(splits), "preamble", "sep", "split").where(F.col(LINE) >= F.col("preamble"))
+    # Lines without a quote keep the state.  (A filter on the effect would work it out once more.)
+    x = x.where(F.col(TEXT).contains('"')).select("split", LINE, _effect(seps))
+    x = splits.join(_in_order(x, staged).mapInArrow(_split_ends, _ENDS), "split", "left")
+    x = x.withColumns({"end0": F.coalesce("end0", F.lit(0)), "end1": F.coalesce("end1", F.lit(1))})
     before = W.partitionBy(PATH).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
-    whole = whole.withColumn("n", F.coalesce(F.sum("b_flips").over(before), F.lit(0)))
-    key = F.when(F.col("b_set").isNotNull(), (F.col("b_set") + F.col("n")) % 2)
-    whole = whole.withColumn("k", key).withColumn(
-        "start", (F.coalesce(F.last("k", ignorenulls=True).over(before), F.lit(0)) + F.col("n")) % 2)
-    # b_set already holds the flips after it in its own split, up to the split's end
-    whole = whole.select(PATH, BLOCK, F.col("start").cast("int").alias("start"))
-    x = x.join(whole, [PATH, BLOCK])
-    x = x.withColumn("state", (F.coalesce("last_set", "start") + F.col("flips")) % 2)
-    x = x.withColumn("begins", F.when(F.col("state") == 0, F.col(LINE)))
-    upto = W.partitionBy(PATH, BLOCK).orderBy(LINE).rowsBetween(W.unboundedPreceding, 0)
-    x = x.withColumn("in_block", F.max("begins").over(upto))
-    starts = x.groupBy(PATH, BLOCK).agg(F.max("begins").alias("b_begin"))
-    starts = starts.withColumn("carry", F.max("b_begin").over(before)).drop("b_begin")
-    x = x.join(starts, [PATH, BLOCK]).withColumn("record", F.coalesce("in_block", "carry"))
+    flips = F.sum(F.when(F.col("end0") > F.col("end1"), 1).otherwise(0)).over(before)
+    x = x.withColumn("flips", F.coalesce(flips, F.lit(0)))
+    x = x.withColumn("set", F.when(F.col("end0") == F.col("end1"), (F.col("end0") + F.col("flips")) % 2))
+    x = x.withColumn("start", (F.coalesce(F.last("set", ignorenulls=True).over(before), F.lit(0)) + F.col("flips")) % 2)
+    inside = F.col("start") == 1
+    x = x.withColumns({"end": F.when(inside, F.col("end1")).otherwise(F.col("end0")),
+                       "head_to": F.when(inside, F.coalesce("closed", F.lit(NEVER))).otherwise(-1)})
+    begun = F.when(F.col("end") == 1, F.when(inside, F.col("open1")).otherwise(F.col("open0")))
+    x = x.withColumn("begun", begun).withColumn("carry", F.last("begun", ignorenulls=True).over(before))
+    cut = _kept(x.select(*splits.columns, "end", "head_to", "carry", F.coalesce("begun", F.lit(NEVER)).alias("tail_from")))
     # A quote that the file never closes would swallow its rest: an error, as in the reference's reader.
-    ends = x.groupBy(PATH).agg(F.max_by(F.when(F.col("state") == 0, F.col("f0")).otherwise(F.col("f1")), LINE)
-                               .alias("open")).where("open = 1").select(PATH).limit(1).collect()
+    ends = cut.groupBy(PATH).agg(F.max_by("end", BLOCK).alias("end")).where("end = 1").select(PATH).limit(1).collect()
     if ends:
         raise ValueError(f"quoted field without an end in {ends[0][0]}")
-    joined = x.groupBy(PATH, FILE, "sep", "record").agg(F.concat_ws("\n", F.transform(
+    return cut
+
+
+def _records(lines: DataFrame, cut: DataFrame, seps: Sequence[str], staged: bool) -> DataFrame:
+    """Lines of files with open quotes joined to records: (path, file, line, text)."""
+    facts = ("preamble", "sep", "split", "head_to", "carry", "tail_from")
+    number = F.col(LINE)
+    x = _numbered(lines, F.broadcast(cut), *facts).where(
+        (number >= F.col("preamble")) & (number > F.col("head_to")) & (number < F.col("tail_from")))
+    x = _in_order(x.select("split", LINE, _effect(seps), TEXT), staged).mapInArrow(
+        _joined, f"split bigint, {LINE} bigint, {TEXT} string")
+    within = x.join(F.broadcast(cut.select("split", PATH, FILE)), "split").select(PATH, FILE, LINE, TEXT)
+    reaching = cut.where((F.col("head_to") >= 0) | (F.col("tail_from") < NEVER))
+    pieces = _numbered(lines, F.broadcast(reaching), *facts).where(
+        (number >= F.col("preamble")) & ((number <= F.col("head_to")) | (number >= F.col("tail_from"))))
+    record = F.when(number <= F.col("head_to"), F.col("carry")).otherwise(F.col("tail_from"))
+    over = pieces.groupBy(PATH, FILE, record.alias("record")).agg(F.concat_ws("\n", F.transform(
         F.sort_array(F.collect_list(F.struct(LINE, TEXT))), lambda r: r[TEXT])).alias(TEXT))
-    return joined.select(PATH, FILE, "sep", F.col("record").alias(LINE), TEXT)
+    return within.unionByName(over.select(PATH, FILE, F.col("record").alias(LINE), TEXT))
 
 
 SPLITS = ("lo", "n", "before")
@@ -253,14 +374,14 @@ def _numbered(lines: DataFrame, splits: DataFrame, *facts: str) -> DataFrame:
     place = F.col(ROW) - F.col("lo")
     number = F.when(place.between(0, F.col("n") - 1), place + F.col("before")).otherwise(F.raise_error(F.concat(
         F.lit("lines were numbered differently before, read with the same settings: "), F.col(PATH))).cast("bigint"))
-    x = lines.join(splits.select(PATH, BLOCK, *SPLITS, *facts), [PATH, BLOCK])
-    x = x.withColumn(LINE, number).drop(ROW, *SPLITS)
+    x = lines.drop(KIND).join(splits.select(READ, START, PATH, FILE, *SPLITS, *facts), [READ, START])
+    x = x.withColumn(LINE, number).drop(READ, START, ROW, *SPLITS)
     first = (F.col(LINE) == 0) & F.startswith(F.col(TEXT), F.lit("\ufeff"))
     return x.withColumn(TEXT, F.when(first, F.substring(TEXT, 2, 1 << 30)).otherwise(F.col(TEXT)))
 
 
 def _filled(text: str) -> Column:
-    return F.trim(F.translate(text, "\t", " ")) != ""
+    return F.ltrim(F.col(text), F.lit(" \t")) != ""
 
 
 def _tail(records: DataFrame, footer: int) -> DataFrame:
@@ -296,13 +417,13 @@ def report_records(spark: SparkSession, paths: str | Sequence[str], preamble: in
     if names is None and not isinstance(preamble, int):
         names = sorted(preamble)
     lines = _lines(spark, files, names, members, [p for p in files if listed[p]])
-    splits = lines.groupBy(PATH, FILE, BLOCK).agg(F.min(ROW).alias("lo"), F.count(F.lit(1)).alias("n"))
+    splits = _named(lines.groupBy(READ, START, KIND).agg(F.min(ROW).alias("lo"), F.count(F.lit(1)).alias("n")))
     before = W.partitionBy(PATH).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
     own, file_table = _preambles(spark, preamble)
     if file_table is not None:
         splits = splits.join(file_table, FILE)
-    splits = _kept(splits.select(PATH, FILE, BLOCK, "lo", "n", own.alias("preamble"),
-                                 F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
+    splits = _kept(splits.select(READ, START, PATH, FILE, BLOCK, F.monotonically_increasing_id().alias("split"), "lo", "n",
+                                 own.alias("preamble"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
 
     kinds = [",", ";"] if sep is None else [sep]
     body = (F.col(LINE) >= F.col("preamble")) & _filled(TEXT)
@@ -325,14 +446,21 @@ def report_records(spark: SparkSession, paths: str | Sequence[str], preamble: in
     facts = _kept(facts)
 
     heads = facts.where(F.col("head").isNotNull()).select(PATH, FILE, "sep", F.col("head").alias("header"))
-    kinds_found = facts.select("sep", "head", "open").distinct().collect()
+    head_goes_on = _by_sep(kinds, lambda k: _leaves_open(F.col("head"), k)).alias("goes_on")
+    kinds_found = facts.select("sep", "head", "open", head_goes_on).distinct().collect()
     opened = multiline and any(r["open"] == 1 for r in kinds_found)
     layouts = sorted({(r["sep"], r["head"]) for r in kinds_found if r["head"] is not None})
     if opened:                              # there the header and the footer are records
-        of_split = splits.join(facts.where("open = 1").select(PATH, "sep"), PATH)
-        wide = _records(_numbered(lines, of_split, "preamble", "sep").where(F.col(LINE) >= F.col("preamble")),
-                        kinds).where(_filled(TEXT))
-        cut = wide.groupBy(PATH, FILE, "sep").agg(F.min_by(TEXT, LINE).alias("header"), F.min(LINE).alias("top"))
+        mine = facts.where("open = 1")
+        seps = sorted({r["sep"] for r in kinds_found if r["open"] == 1})
+        staged = any(p.lower().endswith(".zip") for p in files)
+        cut_splits = _cut_splits(lines, splits.join(mine.select(PATH, "sep"), PATH), seps, staged)
+        wide = _records(lines, cut_splits, seps, staged).where(_filled(TEXT))
+        cut = mine.select(PATH, FILE, "sep", F.col("head").alias("header"), "top")
+        if any(r["open"] == 1 and r["goes_on"] == 1 for r in kinds_found):
+            long = mine.where(head_goes_on == 1).select(PATH, "top")
+            long = wide.join(F.broadcast(long), PATH).where(F.col(LINE) == F.col("top")).select(PATH, TEXT)
+            cut = cut.join(long, PATH, "left").withColumn("header", F.coalesce(TEXT, "header")).drop(TEXT)
         cut = _kept(cut.join(_tail(wide, footer), PATH, "left") if footer else
                     cut.withColumn("tail", F.lit(None).cast("bigint")))
         heads = heads.join(cut.select(PATH), PATH, "left_anti").unionByName(cut.select(*heads.columns))
@@ -348,7 +476,7 @@ def report_records(spark: SparkSession, paths: str | Sequence[str], preamble: in
     plain = _kept(splits.join(tops.select(PATH, "top", "tail").join(of_file, PATH), PATH))
     out = _numbered(lines, plain, "top", "tail", "layout").where(inside & _filled(TEXT)).select(*columns)
     if opened:
-        more = wide.drop("sep").join(cut.select(PATH, "top", "tail").join(of_file, PATH), PATH)
+        more = wide.join(F.broadcast(cut.select(PATH, "top", "tail").join(of_file, PATH)), PATH)
         out = out.unionByName(more.where(inside).select(*columns))
     return out, heads, layouts
 

@@ -2,6 +2,8 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 from conftest import rows, write_report
 from reportflow.sources.reports import report_sep, scan_reports
 
@@ -163,3 +165,72 @@ def test_dispatch_without_allowed_files(spark, tmp_path):
     write_report(str(tmp_path / "land" / "notes.csv"), ["pre", "a,b", "1,2"])
     with pytest.raises(FileNotFoundError):
         dispatch_scan(spark, str(tmp_path / "land"), "NETWORKS")
+
+
+def _noted(n, seed):
+    """A report with quoted line breaks, and its rows by Python's reader."""
+    import csv
+    import io
+    import random
+    rng = random.Random(seed)
+    words = ["a", "", "b,c", 'say "hi"', "x\ny", "\n\n", 'p\n"q",\nr', '"', "long " * 9, "1\n2\n3\n4"]
+    buf = io.StringIO()
+    w = csv.writer(buf, lineterminator="\n")
+    w.writerow(["id", "no\nte", "state"])
+    for i in range(n):
+        w.writerow([i, rng.choice(words), rng.choice(words[:5])])
+    want = [tuple(r) for r in csv.reader(io.StringIO(buf.getvalue()))][1:]
+    return "notes\n\n" + buf.getvalue(), sorted(want)
+
+
+def test_records_over_splits_match_a_csv_reader(spark, tmp_path, monkeypatch):
+    """Any split size, with and without broadcast joins by size, from files and from archive members."""
+    import zipfile
+
+    from reportflow.sources import reports
+    want = []
+    (tmp_path / "f").mkdir()
+    (tmp_path / "z").mkdir()
+    with zipfile.ZipFile(tmp_path / "z" / "all.zip", "w") as zf:
+        for i in range(3):
+            text, rows_of = _noted(40, i)
+            (tmp_path / "f" / f"n{i}.csv").write_text(text)
+            zf.writestr(f"in/n{i}.csv", text)
+            want += [(f"n{i}.csv", *r) for r in rows_of]
+    monkeypatch.setattr(reports, "MEMBER_LINES", 7)
+    conf = {"spark.sql.files.maxPartitionBytes": "128m", "spark.sql.autoBroadcastJoinThreshold": "10m"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for folder, size, limit in (("f", "128m", "10m"), ("f", "40", "-1"), ("z", "128m", "-1")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            got = scan_reports(spark, str(tmp_path / folder), preamble=1, map_null_tokens=False)
+            assert got.columns[:3] == ["id", "no\nte", "state"]
+            assert rows(got.select("_file", F.col("id"), F.coalesce("`no\nte`", F.lit("")),
+                                   F.coalesce("state", F.lit("")))) == sorted(want, key=lambda t: tuple(map(str, t)))
+            footed = scan_reports(spark, str(tmp_path / folder), preamble=1, footer=2)
+            assert sorted(int(r.id) for r in footed.select("id").collect()) == sorted(list(range(38)) * 3)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_records_within_splits_are_not_shuffled(spark, tmp_path):
+    """Lines meet in their split as they are read; before, windows sorted every line of a file."""
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.csv").write_text(_noted(300, 5)[0])
+    got = scan_reports(spark, str(tmp_path / "w"), preamble=1)
+    assert got.count() == 300
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "MapInArrow" in plan
+    got.collect()
+    final = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "Exchange hashpartitioning" not in final and final.count("FileScan text") == 1
+
+
+def test_file_names_are_worked_out_once_a_split(spark, tmp_path):
+    write_report(str(tmp_path / "a b" / "c+d e.csv"), ["a,b", "1,2", "3,4"])
+    got = scan_reports(spark, str(tmp_path / "a b"), preamble=0)
+    assert {r._file for r in got.collect()} == {"c+d e.csv"}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "url_decode" not in plan.lower() and "regexp_replace(_metadata" not in plan
