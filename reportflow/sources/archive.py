@@ -1,11 +1,12 @@
 """Archive members (S7): expand ZIP deliveries and guard against path escapes.
 
-``stage_members`` reads each archive once (one row of Spark's ``binaryFile``, 2 GB
-at most): its directory is parsed and its members leave as compressed slices of a
-few megabytes, which are written to the scratch folder.  From there names are listed
-without touching contents, and ``member_lines`` inflates only the members that are
-wanted, each in a task of its own choosing, so that one large archive is inflated by
-many tasks.  These two steps run in Python, a slice or a piece of a member at a time.
+``stage_members`` reads each archive once, by as many tasks as it has splits, into
+slices of 256 KB in the scratch folder.  One task parses an archive's directory, and
+the slices are cut where members begin and end.  So no task holds an archive or a
+member, which may have any size.  From there names are listed without touching
+contents, and ``member_lines`` inflates only the members that are wanted, each in a
+task of its own choosing, so that one large archive is inflated by many tasks.  These
+steps run in Python, some slices or a piece of a member at a time.
 
 ``guard`` decides, all-or-nothing per archive, whether every member stays
 inside the destination folder once the path is resolved; the check is a Column
@@ -18,15 +19,18 @@ from __future__ import annotations
 import bz2
 import codecs
 import io
+import lzma
 import zipfile
 import zlib
+from itertools import chain, groupby
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reportflow.session import scratch_path
+from reportflow.session import hadoop_fs, scratch_path
 
 MEMBER_SCHEMA = T.StructType([
     T.StructField("archive", T.StringType()),
@@ -57,46 +61,192 @@ def expand_archives(spark: SparkSession, paths: str | list[str],
     return raw.mapInPandas(_members, MEMBER_SCHEMA)
 
 
-STORED, DEFLATED, BZIPPED = zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2
-PIECE = 1 << 22
+STORED, DEFLATED, BZIPPED, LZMA = zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA
+PIECE = 1 << 22                 # of a member's contents
+SLICE = 1 << 18                 # of an archive; a row that Spark's sorts and readers hold many of
+TAIL = 1 << 17                  # more than an archive's end record with its comment and zip64 records
+ROW_GROUP = 1 << 25             # what a reader of slices takes at once
 
 
-def _slices(batches):
-    """(archive, member, method, crc, slice, data) of every member, its data as they lie in the archive."""
+def _pieces(batches):
+    """(archive, size, block, place, n, data): files in slices, their lines put together; ``place`` is in the split."""
+    import numpy as np
+    names = ["archive", "size", "block", "place", "n", "data"]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    last, place = None, 0
     for batch in batches:
-        for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-            raw = memoryview(content.as_buffer())
-            with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as zf:
-                for info in zf.infolist():
-                    if info.is_dir():
-                        continue
-                    method, at = info.compress_type, info.header_offset
-                    if method in (STORED, DEFLATED, BZIPPED) and not info.flag_bits & 1:
-                        # a local header is 30 bytes, with the lengths of its name and extra field at 26
-                        at += 30 + int.from_bytes(raw[at + 26:at + 28], "little") + \
-                            int.from_bytes(raw[at + 28:at + 30], "little")
-                        data = raw[at:at + info.compress_size]
-                    else:
-                        method, data = STORED, zf.read(info)       # another method; encrypted ones raise
-                    for i in range(0, max(len(data), 1), PIECE):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([path]), pa.array([info.filename]), pa.array([method], pa.int32()),
-                             pa.array([info.CRC], pa.int64()), pa.array([i // PIECE], pa.int32()),
-                             pa.array([bytes(data[i:i + PIECE])], pa.binary())],
-                            ["archive", "member", "method", "crc", "slice", "data"])
+        archive, size, block = (batch.column(c) for c in names[:3])
+        data = batch.column("data").cast(pa.large_binary())
+        at = np.frombuffer(data.buffers()[1], np.int64)[data.offset:data.offset + len(data) + 1]
+        begin, rows = 0, []
+        for end in sorted({x for c in (archive, block) for x in pc.run_end_encode(c).run_ends.to_pylist()}):
+            key = (archive[begin].as_py(), size[begin].as_py(), block[begin].as_py())
+            if key != last:
+                last, place = key, 0
+            for i in range(int(at[begin]), int(at[end]), SLICE):
+                n = min(SLICE, int(at[end]) - i)
+                rows.append((*key, place, n, data.buffers()[2][i:i + n].to_pybytes()))
+                place += n
+            begin = end
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
+
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _placed(spark: SparkSession, paths: list[str], folder: str) -> DataFrame:
+    """(archive, size, at, n, data): the bytes of files in slices, by as many tasks as the files have splits.
+
+    Spark's text reader cuts files of any kind at line breaks, and so by many tasks.
+    What it leaves out is known: the breaks, and a byte order mark that begins a file.
+    """
+    lines = spark.read.text(paths, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("archive"), F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("block"), F.concat(F.col("value").cast("binary"), F.lit(b"\n")).alias("data"))
+    pieces = _staged(lines.mapInArrow(
+        _pieces, "archive string, size bigint, block bigint, place bigint, n bigint, data binary"), f"{folder}/pieces")
+    whole = Window.partitionBy("archive")
+    before = whole.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = pieces.groupBy("archive", "size", "block").agg(F.sum("n").alias("total")).select(
+        "archive", "block", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("before"),
+        (F.col("size") - F.sum("total").over(whole)).alias("lacks"))
+    # A file's last line has one byte too many if it ends without a break.
+    start = (F.when(F.col("lacks").isin(0, -1), 0).when(F.col("lacks").isin(3, 2), 3).otherwise(F.raise_error(
+        F.concat(F.lit("file changed while it was read: "), F.col("archive"))).cast("int")))
+    splits = _staged(splits.select("archive", "block", (F.col("before") + start).alias("before")), f"{folder}/splits")
+    at = F.col("before") + F.col("place")
+    return pieces.join(F.broadcast(splits), ["archive", "block"]).select(
+        "archive", "size", at.alias("at"), F.least("n", F.col("size") - at).alias("n"), "data").where("n > 0")
+
+
+class _Before(Exception):
+    """A file was read where it is not at hand."""
+
+
+class _End(io.BytesIO):
+    """A file of which only the end is at hand: what follows its first ``start`` bytes."""
+
+    def __init__(self, pdf):
+        data = [x[:int(n)] for _, n, x in sorted(zip(pdf["at"], pdf["n"], pdf["data"], strict=True))
+                ] if pdf["at"].notna().all() else []
+        super().__init__(b"".join(data))
+        self.start = int(pdf["at"].min()) if data else 0
+        self.size = self.start + sum(map(len, data))
+        self.place = 0
+
+    def tell(self):
+        return self.place
+
+    def seek(self, at, whence=0):
+        at += (0, self.place, self.size)[whence]
+        if at < 0:
+            raise OSError(f"no place {at} in a file")
+        self.place = at
+        return at
+
+    def read(self, n=-1):
+        if self.place < self.start and n != 0:
+            raise _Before(self.place)
+        super().seek(self.place - self.start)
+        data = super().read(n)
+        self.place += len(data)
+        return data
+
+
+def _directory_start(key, pdf):
+    """(archive, start): where what its directory is read from begins in an archive."""
+    import pandas as pd
+    end = _End(pdf)
+    try:
+        with zipfile.ZipFile(end) as zf:
+            start = zf.start_dir
+    except _Before as x:
+        start = x.args[0]
+    return pd.DataFrame([(key[0], min(start, end.size - TAIL))], columns=["archive", "start"])
+
+
+def _directory(key, pdf):
+    """(archive, member, method, crc, stored, head): the directory of an archive; ``head`` is the place of a member's header."""
+    import pandas as pd
+    rows = []
+    with zipfile.ZipFile(_End(pdf)) as zf:
+        for info in zf.infolist():
+            if info.is_dir():
+                continue
+            if info.flag_bits & 1:
+                raise RuntimeError(f"{key[0]}: member {info.filename} is encrypted")
+            if info.compress_type not in (STORED, DEFLATED, BZIPPED, LZMA):
+                raise NotImplementedError(f"{key[0]}: member {info.filename} has compression method {info.compress_type}")
+            rows.append((key[0], info.filename, info.compress_type, info.CRC, info.compress_size, info.header_offset))
+    return pd.DataFrame(rows, columns=["archive", "member", "method", "crc", "stored", "head"])
+
+
+def _parts(pieces: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The parts of ranges (archive, begin, end, ...) that lie in one slice each, with their place and data."""
+    # A slice reaches into the next cell at most.
+    cells = F.sequence(F.expr(f"begin div {SLICE} - 1"), F.expr(f"(end - 1) div {SLICE}"))
+    ranges = ranges.where("begin < end").withColumn("cell", F.explode(cells))
+    found = pieces.drop("size").withColumn("cell", F.expr(f"at div {SLICE}")).withColumnRenamed("archive", "__archive")
+    found = ranges.join(found, (F.col("archive") == F.col("__archive")) & (ranges["cell"] == found["cell"]) &
+                        (F.col("begin") < F.col("at") + F.col("n")) & (F.col("at") < F.col("end")))
+    place = F.greatest("begin", "at")
+    length = F.least("end", F.col("at") + F.col("n")) - place
+    return found.select(*[c for c in ranges.columns if c != "cell"], place.alias("place"), F.substring(
+        "data", (place - F.col("at") + 1).cast("int"), length.cast("int")).alias("data"))
 
 
 def stage_members(spark: SparkSession, paths: list[str], staged: str | None = None) -> DataFrame:
     """(archive, member, method, crc, slice, data): compressed members of ZIP files, read once.
 
-    A member has at least one slice, of number 0.  They are written to ``staged``, or else to a folder of their own in the scratch folder.
+    A member has at least one slice, of number 0; the others have that of their first byte in the member.
+    They are written to ``staged``, or else to a folder of their own in the scratch folder.
     """
-    raw = (spark.read.format("binaryFile").load(paths)
-           .select(F.col("_metadata.file_path").alias("path"), "content"))
-    found = raw.mapInArrow(_slices, "archive string, member string, method int, crc bigint, slice int, data binary")
-    staged = staged or scratch_path(spark, "members")
-    found.write.parquet(staged)
-    return spark.read.schema(found.schema).parquet(staged)
+    folder = scratch_path(spark, "archives")
+    archives = spark.read.format("binaryFile").load(paths).select(
+        F.col("_metadata.file_path").alias("archive"), F.col("length").alias("size"))
+    pieces = _placed(spark, paths, folder)
+    bytes_ = pieces.select("archive", "at", "n", "data")
+
+    def ends(start, of: DataFrame) -> DataFrame:        # an archive without bytes takes part, and is none
+        return of.join(bytes_.withColumnRenamed("archive", "__archive"), (F.col("archive") == F.col("__archive")) & (
+            F.col("at") + F.col("n") > start), "left").groupBy("archive")
+
+    starts = ends(F.col("size") - TAIL, archives).applyInPandas(_directory_start, "archive string, start bigint")
+    listed = _staged(ends(F.col("start"), starts).applyInPandas(
+        _directory, "archive string, member string, method int, crc bigint, stored bigint, head bigint"), f"{folder}/directory")
+    # A local header is 30 bytes, with the lengths of its name and extra field at 26.
+    heads = listed.select("archive", "head", (F.col("head") + 26).alias("begin"), (F.col("head") + 30).alias("end")).distinct()
+    of_head = F.sort_array(F.collect_list(F.struct("place", F.hex("data").alias("hex"))))
+    lengths = _parts(pieces, heads).groupBy("archive", "head").agg(
+        F.rpad(F.concat_ws("", F.transform(of_head, lambda x: x["hex"])), 8, "0").alias("hex"))
+
+    def number(at: int):
+        return F.coalesce(F.conv(F.concat(F.substring("hex", at + 2, 2), F.substring("hex", at, 2)), 16, 10).cast("bigint"), F.lit(0))
+
+    begin = F.col("head") + 30 + number(1) + number(5)
+    members = _staged(listed.join(lengths, ["archive", "head"], "left").join(archives, "archive").select(
+        "archive", "member", "method", "crc", begin.alias("begin"),
+        F.least(begin + F.col("stored"), "size").alias("end")), f"{folder}/members")
+    names = ["archive", "member", "method", "crc"]
+    slices = _parts(pieces, members).select(*names, (F.col("place") - F.col("begin")).alias("slice"), "data").unionByName(
+        members.where("begin >= end").select(*names, F.lit(0).cast("bigint").alias("slice"), F.lit(b"").alias("data")))
+    # Many tasks write the members of one archive, and many a large one.
+    out = _staged(slices.repartition("archive", "member", "slice"), staged or scratch_path(spark, "members"))
+    fs, path = hadoop_fs(spark, folder)
+    fs.delete(path, True)
+    return out
+
+
+def _drained(z, slices):
+    for data in slices:
+        if z.eof:
+            break
+        yield z.decompress(data, PIECE)
+        while not z.eof and not z.needs_input:
+            yield z.decompress(b"", PIECE)
 
 
 def _inflated(method: int, slices):
@@ -109,20 +259,22 @@ def _inflated(method: int, slices):
                 yield z.decompress(z.unconsumed_tail, PIECE)
         yield z.flush()
     elif method == BZIPPED:
-        z = bz2.BZ2Decompressor()
+        yield from _drained(bz2.BZ2Decompressor(), slices)
+    elif method == LZMA:
+        slices, head = iter(slices), b""        # a version, the size of the properties and these
         for data in slices:
-            if z.eof:
+            head += data
+            size = 4 + int.from_bytes(head[2:4], "little")
+            if len(head) > size:
+                kind = lzma._decode_filter_properties(lzma.FILTER_LZMA1, head[4:size])
+                yield from _drained(lzma.LZMADecompressor(lzma.FORMAT_RAW, filters=[kind]), chain([head[size:]], slices))
                 break
-            yield z.decompress(data, PIECE)
-            while not z.eof and not z.needs_input:
-                yield z.decompress(b"", PIECE)
     else:
         yield from slices
 
 
 def _line_batches(batches):
     """Numbered lines of members, whose slices come in order, a piece of a few megabytes at a time."""
-    from itertools import groupby
     columns = ["archive", "member", "number", "line"]
     slices = ((tuple(batch.column(c)[i].as_py() for c in ("archive", "member", "method", "crc")), batch.column("data")[i])
               for batch in batches for i in range(batch.num_rows))
