@@ -1,7 +1,7 @@
 """Archive members (S7): expand ZIP deliveries and guard against path escapes.
 
 ``stage_members`` reads each archive once, by as many tasks as it has splits, into
-slices of 256 KB in the scratch folder.  One task parses an archive's directory, and
+slices of 64 KB in the scratch folder.  One task parses an archive's directory, and
 the slices are cut where members begin and end.  So no task holds an archive or a
 member, which may have any size.  From there names are listed without touching
 contents, and ``member_lines`` inflates only the members that are wanted, each in a
@@ -63,33 +63,37 @@ def expand_archives(spark: SparkSession, paths: str | list[str],
 
 STORED, DEFLATED, BZIPPED, LZMA = zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA
 PIECE = 1 << 22                 # of a member's contents
-SLICE = 1 << 18                 # of an archive; a row that Spark's sorts and readers hold many of
+SLICE = 1 << 16                 # of an archive: Spark's sorts, Parquet pages and readers hold many rows
+ROW = 1 << 10                   # what Python gets as a row: an Arrow batch has 10,000
 TAIL = 1 << 17                  # more than an archive's end record with its comment and zip64 records
-ROW_GROUP = 1 << 25             # what a reader of slices takes at once
+ROW_GROUP = 1 << 23             # what a reader of slices takes at once
+
+
+def _runs(batches, names: list[str]):
+    """Rows of the same key put together, of one batch at most: (key, their data)."""
+    import numpy as np
+    for batch in batches:
+        keys, data = [batch.column(c) for c in names], batch.column("data").cast(pa.large_binary())
+        at = np.frombuffer(data.buffers()[1], np.int64)[data.offset:].tolist()
+        raw = memoryview(data.buffers()[2] or b"")
+        begin = 0
+        for end in sorted({x for c in keys for x in pc.run_end_encode(c).run_ends.to_pylist()}):
+            yield tuple(c[begin].as_py() for c in keys), raw[at[begin]:at[end]]
+            begin = end
 
 
 def _pieces(batches):
     """(archive, size, block, place, n, data): files in slices, their lines put together; ``place`` is in the split."""
-    import numpy as np
     names = ["archive", "size", "block", "place", "n", "data"]
     types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     last, place = None, 0
-    for batch in batches:
-        archive, size, block = (batch.column(c) for c in names[:3])
-        data = batch.column("data").cast(pa.large_binary())
-        at = np.frombuffer(data.buffers()[1], np.int64)[data.offset:data.offset + len(data) + 1]
-        begin, rows = 0, []
-        for end in sorted({x for c in (archive, block) for x in pc.run_end_encode(c).run_ends.to_pylist()}):
-            key = (archive[begin].as_py(), size[begin].as_py(), block[begin].as_py())
-            if key != last:
-                last, place = key, 0
-            for i in range(int(at[begin]), int(at[end]), SLICE):
-                n = min(SLICE, int(at[end]) - i)
-                rows.append((*key, place, n, data.buffers()[2][i:i + n].to_pybytes()))
-                place += n
-            begin = end
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+    for key, data in _runs(batches, names[:3]):
+        if key != last:
+            last, place = key, 0
+        parts = [bytes(data[i:i + SLICE]) for i in range(0, len(data), SLICE)]
+        columns = [*([k] * len(parts) for k in key), [place + i for i in range(0, len(data), SLICE)], [len(x) for x in parts], parts]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+        place += len(data)
 
 
 def _staged(df: DataFrame, path: str) -> DataFrame:
@@ -190,7 +194,7 @@ def _parts(pieces: DataFrame, ranges: DataFrame) -> DataFrame:
     cells = F.sequence(F.expr(f"begin div {SLICE} - 1"), F.expr(f"(end - 1) div {SLICE}"))
     ranges = ranges.where("begin < end").withColumn("cell", F.explode(cells))
     found = pieces.drop("size").withColumn("cell", F.expr(f"at div {SLICE}")).withColumnRenamed("archive", "__archive")
-    found = ranges.join(found, (F.col("archive") == F.col("__archive")) & (ranges["cell"] == found["cell"]) &
+    found = ranges.hint("merge").join(found, (F.col("archive") == F.col("__archive")) & (ranges["cell"] == found["cell"]) &
                         (F.col("begin") < F.col("at") + F.col("n")) & (F.col("at") < F.col("end")))
     place = F.greatest("begin", "at")
     length = F.least("end", F.col("at") + F.col("n")) - place
@@ -276,8 +280,8 @@ def _inflated(method: int, slices):
 def _line_batches(batches):
     """Numbered lines of members, whose slices come in order, a piece of a few megabytes at a time."""
     columns = ["archive", "member", "number", "line"]
-    slices = ((tuple(batch.column(c)[i].as_py() for c in ("archive", "member", "method", "crc")), batch.column("data")[i])
-              for batch in batches for i in range(batch.num_rows))
+    slices = ((key, data[i:i + SLICE]) for key, data in _runs(batches, ["archive", "member", "method", "crc"])
+              for i in range(0, max(len(data), 1), SLICE))
     for (archive, member, method, crc), of_member in groupby(slices, key=lambda s: s[0]):
         decoder = codecs.getincrementaldecoder("utf-8")("replace")
         newlines = io.IncrementalNewlineDecoder(decoder, translate=True)
@@ -288,7 +292,7 @@ def _line_batches(batches):
                 [pa.array([archive] * len(lines), pa.string()), pa.array([member] * len(lines), pa.string()),
                  pa.array(range(number, number + len(lines)), pa.int64()), pa.array(lines, pa.string())], columns)
 
-        for piece in _inflated(method, (data.as_py() for _, data in of_member)):
+        for piece in _inflated(method, (data for _, data in of_member)):
             check = zlib.crc32(piece, check)
             lines = (rest + newlines.decode(piece)).split("\n")
             rest = lines.pop()
@@ -306,9 +310,11 @@ def _line_batches(batches):
 def member_lines(members: DataFrame) -> DataFrame:
     """(archive, member, number, line): the text lines of staged members."""
     keys = ["archive", "member", "method", "crc"]
-    return (members.select(*keys, "slice", "data").repartition("archive", "member")
-            .sortWithinPartitions(*keys, "slice").mapInArrow(
-                _line_batches, "archive string, member string, number bigint, line string"))
+    starts = F.sequence(F.lit(1), F.greatest(F.length("data"), F.lit(1)), F.lit(ROW))
+    ordered = members.select(*keys, "slice", "data").repartition("archive", "member").sortWithinPartitions(*keys, "slice")
+    return ordered.select(*keys, "data", F.explode(starts).alias("start")).select(
+        *keys, F.substring("data", F.col("start"), F.lit(ROW)).alias("data")).mapInArrow(
+            _line_batches, "archive string, member string, number bigint, line string")
 
 
 def _segments(path: Column) -> Column:

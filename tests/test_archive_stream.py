@@ -58,7 +58,7 @@ def test_no_row_holds_an_archive_or_a_member(spark, tmp_path, before, comment):
         members = archive.stage_members(spark, [literal(str(path))])
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert members.agg(F.max(F.length("data"))).first()[0] <= 1 << 18 < os.path.getsize(path) // 8
+    assert members.agg(F.max(F.length("data"))).first()[0] <= 1 << 16 < os.path.getsize(path) // 32
     assert members.where("slice = 0").count() == 4005
     lines = archive.member_lines(members)
     assert lines.where("member LIKE 'd%'").agg(F.count("*"), F.sum("line"), F.max("number")).first()[:] == (4000, 7998000, 0)
