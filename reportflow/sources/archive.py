@@ -3,10 +3,11 @@
 ``stage_members`` reads each archive once, by as many tasks as it has splits, into
 slices of 64 KB in the scratch folder.  One task parses an archive's directory, and
 the slices are cut where members begin and end.  So no task holds an archive or a
-member, which may have any size; only bytes without a line break are one row.  From there names are listed without touching
-contents, and ``member_lines`` inflates only the members that are wanted, each in a
-task of its own choosing, so that one large archive is inflated by many tasks.  These
-steps run in Python, some slices or a piece of a member at a time.
+member, which may have any size; only bytes without a line break are one row.  From
+there names are listed without touching contents, and ``member_lines`` inflates only
+the members that are wanted, each in a task of its own choosing, so that one large
+archive is inflated by many tasks.  These steps run in Python, some slices or a piece
+of a member at a time.
 
 ``guard`` decides, all-or-nothing per archive, whether every member stays
 inside the destination folder once the path is resolved; the check is a Column
